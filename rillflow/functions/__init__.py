@@ -1 +1 @@
-
+"""Scalar expressions: every function takes columns and returns a column."""

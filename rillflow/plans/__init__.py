@@ -1 +1 @@
-
+"""Queries: operators applied to the driver's tables."""

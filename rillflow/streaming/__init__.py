@@ -1 +1 @@
-
+"""Nothing here: all of this library's operators are batch jobs."""
