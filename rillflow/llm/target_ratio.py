@@ -18,9 +18,10 @@ from rillflow.llm.common import BLANKS
 BUCKETS = 1 << 14
 #: The target is fitted on so many trusted documents at most, chosen by a hash of doc_id; the raw side counts all.
 TRUSTED_ROWS = 20_000
-SMOOTHING = 1.0
+#: Counts added to each bucket of both sides.
+SMOOTHING = 30.0
 #: Documents whose mean log ratio is lower are rejected; and n-grams with ratio 0 that steady short texts.
-THRESHOLD, PRIOR = -0.25, 50
+THRESHOLD, PRIOR = -0.045, 50
 LEAST_WORDS, MOST_REPEATED = 50, 50
 SYMBOLS = r"[#*$%&|<>]"
 
@@ -48,11 +49,11 @@ def fit(documents: DataFrame, trusted: DataFrame, rows: int = TRUSTED_ROWS, n: i
     words = documents.select("doc_id", words_of(F.col("text")).alias("w")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left")
     grams = words.select(F.coalesce("_trusted", F.lit(0)).alias("t"), F.explode(buckets(F.col("w"), n)).alias("b"))
     counts = {r.b: (r.raw, r.target) for r in grams.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()}
-    raw, target = (sum(c[k] for c in counts.values()) + SMOOTHING * n for k in (0, 1))
-    if target == SMOOTHING * n:
+    raw, target = (sum(c[k] for c in counts.values()) for k in (0, 1))
+    if not target:
         return [0.0] * n
-    share = lambda b, k, whole: (counts.get(b, (0, 0))[k] + SMOOTHING) / whole
-    return [math.log(share(b, 1, target) / share(b, 0, raw)) for b in range(n)]
+    # Both multinomials at the target's size, so that a bucket that either side hardly saw says nothing.
+    return [math.log((t + SMOOTHING) / (r * target / raw + SMOOTHING)) for r, t in (counts.get(b, (0, 0)) for b in range(n))]
 
 
 def judge(documents: DataFrame, weights: list[float], threshold: float = THRESHOLD) -> DataFrame:

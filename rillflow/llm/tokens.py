@@ -22,12 +22,13 @@ from rillflow.llm.common import mounted, new_path, staged
 
 #: Texts of over twice CHUNK characters are encoded by overlapping chunks.
 CHUNK, OVERLAP = 16_384, 256
-#: Units that a worker keeps, and the longest unit kept.
-MEMO, LONGEST = 800_000, 64
+#: Units in each of a worker's two generations, and the longest unit kept.
+MEMO, LONGEST = 600_000, 64
 
 _ODD_BLANK = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
 _PLACES = re.compile(r"(?<=\S)(?= )")
 #: Letters and digits that the splitting pattern surely takes as such.
+_WORD = re.compile("[ ]?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 _PLAIN = frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZäöüßáéíóúñàèùâêîôûëïçÄÖÜÉÈÊÇÑÁÍÓÚ")
 
 
@@ -63,29 +64,55 @@ def atoms(unit: str) -> list[str]:
     return out
 
 
+def byte_characters() -> dict[int, str]:
+    """The character by which a byte-level vocabulary writes each byte: visible ones of Latin-1 by themselves, the
+    others by those from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
 class Memo:
-    """Encodes texts unit by unit through the library, each distinct atom once as long as it is kept."""
+    """Encodes texts unit by unit through the library, each distinct atom once as long as it is kept.
+
+    A word of letters (with a space before it or not) is one piece of the splitting pattern, so the library's merges
+    are applied to it directly; other atoms go through the whole tokenizer. When a generation is full, it becomes the
+    old one; an old unit that comes again moves to the new generation.
+    """
 
     def __init__(self, path: str, value, nothing):
         self.tok, self.value, self.nothing = tokenizer(path), value, nothing
-        self.kept = {"": nothing}
+        self.merge, self.characters = self.tok.model.tokenize, byte_characters()
+        self.kept, self.old = {"": nothing}, {}
 
     def encode(self, texts: list[str]) -> list[list]:
         """For each text the values of its units' ids."""
         cut = [units(t) for t in texts]
         if len(self.kept) > MEMO:
-            self.kept = {"": self.nothing}
-        kept, value = self.kept, self.value
+            self.old, self.kept = self.kept, {"": self.nothing}
+        kept, old, value = self.kept, self.old, self.value
         compound, asked = [], []
         for u in set().union(*cut).difference(kept):
-            if u[-1] in ",." or "\n" in u:
+            if (v := old.get(u)) is not None:
+                kept[u] = v
+            elif "\n" in u:
                 compound.append((u, atoms(u)))
+            elif u[-1] in ",." and (stem := u.rstrip(",.")) and stem[-1] in _PLAIN:
+                compound.append((u, [stem, u[len(stem) :]]))
             else:
                 asked.append(u)
         if compound:
             asked = list(set(asked).union(*(some for _, some in compound)).difference(kept))
-        asked.sort()
-        for few in _groups(asked):
+        word, merge, characters, rest = _WORD.fullmatch, self.merge, self.characters, []
+        space = characters[ord(" ")]
+        for a in asked:
+            if word(a):
+                written = (space + a[1:] if a[0] == " " else a) if a.isascii() else a.encode().decode("latin-1").translate(characters)
+                kept[a] = value([t.id for t in merge(written)])
+            else:
+                rest.append(a)
+        rest.sort()
+        for few in _groups(rest):
             kept.update(zip(few, [value(e.ids) for e in self.tok.encode_batch_fast(few, add_special_tokens=False)], strict=True))
         for u, some in compound:
             if len(some) > 1:
