@@ -47,7 +47,7 @@ def merge_vars(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def align_coords(df: DataFrame, ref: DataFrame, coords: list[str], digits: int = 4) -> DataFrame:
-    """Coordinates equal to the reference's after rounding take the reference's value; rows without partner go."""
+    """Coordinates equal to those of ref after rounding take ref's value; rows without partner go."""
     r = ref.select(*coords).distinct().select(*[F.round(c, digits).alias(f"_{c}") for c in coords], *[F.col(c).alias(f"ref_{c}") for c in coords])
     rows = df.withColumns({f"_{c}": F.round(c, digits) for c in coords}).join(r, [f"_{c}" for c in coords])
     return rows.withColumns({c: F.col(f"ref_{c}") for c in coords}).drop(*[f"{p}{c}" for c in coords for p in ("_", "ref_")])

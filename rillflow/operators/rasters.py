@@ -55,17 +55,17 @@ def mosaic(tiles: DataFrame, rank: str, window: tuple[int, int, int, int]) -> Da
 def terrain(pixels: DataFrame, keys: list[str], cell_x: float = 1.0, cell_y: float = 1.0) -> DataFrame:
     """Slope and aspect in degrees by Horn's 3 x 3 window (aspect: the downhill direction from north).
 
-    Each pixel is sent to its eight neighbours and summed there: linear, any raster size. A missing neighbour is
-    extrapolated from the centre and the opposite one (2 c - o); where that is missing too, it takes the centre.
+    Each pixel is sent to its eight neighbours and summed there: linear, any raster size. A missing side neighbour is
+    extrapolated from the centre and the opposite one (2 c - o; where that is missing too, it takes the centre), a
+    missing corner from the two sides next to it.
     """
     offsets = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
     moved = pixels.where("value is not null").withColumn("_o", F.explode(F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in offsets])))
     at = {(dr, dc): F.max(F.when((F.col("_o.dr") == dr) & (F.col("_o.dc") == dc), F.col("value"))).alias(f"z{dr + 1}{dc + 1}") for dr, dc in offsets}
     near = moved.groupBy(*keys, (F.col("row") - F.col("_o.dr")).alias("row"), (F.col("col") - F.col("_o.dc")).alias("col")).agg(*at.values()).where("z11 is not null")
-    z = {}
-    for dr, dc in offsets:
-        other = F.col(f"z{1 - dr}{1 - dc}")
-        z[dr, dc] = F.coalesce(F.col(f"z{dr + 1}{dc + 1}"), 2 * F.col("z11") - other, F.col("z11"))
+    c, own = F.col("z11"), lambda dr, dc: F.col(f"z{dr + 1}{dc + 1}")
+    z = {o: F.coalesce(own(*o), 2 * c - own(-o[0], -o[1]), c) for o in offsets if 0 in o}
+    z |= {(dr, dc): F.coalesce(own(dr, dc), z[dr, 0] + z[0, dc] - c) for dr, dc in offsets if dr and dc}
     dx = (z[-1, 1] + 2 * z[0, 1] + z[1, 1] - z[-1, -1] - 2 * z[0, -1] - z[1, -1]) / (8 * cell_x)
     dy = (z[1, -1] + 2 * z[1, 0] + z[1, 1] - z[-1, -1] - 2 * z[-1, 0] - z[-1, 1]) / (8 * cell_y)
     slope = F.degrees(F.atan(F.sqrt(dx * dx + dy * dy)))

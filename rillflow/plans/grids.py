@@ -44,7 +44,8 @@ def _z(dr: int, dc: int) -> str:
 
 
 HORN = ", ".join(f"z{dr + 1}{dc + 1} AS {_z(dr, dc)}" for dr in (-1, 0, 1) for dc in (-1, 0, 1))
-ZS = {(a, b): f"coalesce(z{a}{b}.v, 2 * z11.v - z{2 - a}{2 - b}.v, z11.v)" for a in range(3) for b in range(3)}
+ZS = {(a, b): f"coalesce(z{a}{b}.v, 2 * z11.v - z{2 - a}{2 - b}.v, z11.v)" for a in range(3) for b in range(3) if 1 in (a, b)}
+ZS |= {(a, b): f"coalesce(z{a}{b}.v, {ZS[a, 1]} + {ZS[1, b]} - z11.v)" for a in (0, 2) for b in (0, 2)}
 add("w8_terrain", lambda s, d: R.terrain(pixels(s, d), []), f"""{PIXELS}, {HORN},
     g AS (SELECT row, col, ({ZS[0, 2]} + 2 * {ZS[1, 2]} + {ZS[2, 2]} - {ZS[0, 0]} - 2 * {ZS[1, 0]} - {ZS[2, 0]}) / 8 AS dx, ({ZS[2, 0]} + 2 * {ZS[2, 1]} + {ZS[2, 2]} - {ZS[0, 0]} - 2 * {ZS[0, 1]} - {ZS[0, 2]}) / 8 AS dy
         FROM z11 {" ".join(f"LEFT JOIN z{a}{b} USING (row, col)" for a in range(3) for b in range(3) if (a, b) != (1, 1))})
