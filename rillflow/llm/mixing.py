@@ -86,7 +86,7 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: fl
     total = per.agg(F.coalesce(F.sum("share"), F.lit(0.0)), F.coalesce(F.max("source_size"), F.lit(0))).first()
     n_slots, bits = round(total[0]), bucket_bits(rows.count())
     upto = F.sum("share").over(Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0))
-    per = staged(per.withColumn("high", upto).withColumn("all", F.max("high").over(Window.partitionBy())).select("src", "source", "source_size", "target", "width", "blocks", ((F.col("high") - F.col("share")) / F.col("all")).alias("low"), F.when(F.col("high") == F.col("all"), 1.0).otherwise(F.col("high") / F.col("all")).alias("high")), "mix-sources")
+    per = staged(per.withColumn("high", upto).withColumn("all", F.nullif(F.max("high").over(Window.partitionBy()), F.lit(0.0))).select("src", "source", "source_size", "target", "width", "blocks", ((F.col("high") - F.col("share")) / F.col("all")).alias("low"), F.when(F.col("high") == F.col("all"), 1.0).otherwise(F.col("high") / F.col("all")).alias("high")), "mix-sources")
     ranked = schedule(spark, per.select("src", "low", "high"), n_slots).join(per.select("src", "blocks"), "src")
     planned = ranked.where(F.col("rank") < F.col("blocks") * passes).select("slot", "src", (F.col("rank") % F.col("blocks")).alias("block"), F.floor(F.col("rank") / F.col("blocks")).alias("pass"))
     takes = planned.groupBy("src", "block").agg(F.count("*").alias("times"))
