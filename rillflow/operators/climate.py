@@ -57,11 +57,7 @@ def climate_periods(df: DataFrame, keys: list[str]) -> DataFrame:
     the mean) steps, in rows (kind, ...); without any run the four statistics are null."""
     rows = mean_daily_max(df, keys, "day", "t").withColumn("_mp", F.avg("p").over(Window.partitionBy(*keys)))
     kinds = {"frost": F.col("t") < FREEZING, "heat": F.col("t") > F.col("mean_max") + 5, "dry": F.col("p") < 1, "wet": F.col("p") >= 5 * F.col("_mp")}
-    parts = [period_stats(rows, keys, "day", c, empty=None).withColumn("kind", F.lit(k)) for k, c in kinds.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return period_stats(rows, keys, "day", kinds, empty=None)
 
 
 def pet_comparison(sources: dict[str, DataFrame], keys: list[str]) -> DataFrame:

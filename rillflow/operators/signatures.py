@@ -105,5 +105,4 @@ def flow_periods(q: DataFrame, keys: list[str]) -> DataFrame:
     per = q.groupBy(*keys).agg((0.2 * F.avg("q")).alias("_low"), (9 * F.median("q")).alias("_high"))
     rows = q.join(per, keys)
     kinds = {"no": F.col("q") <= 0, "low": F.col("q") < F.col("_low"), "high": F.col("q") > F.col("_high")}
-    parts = [period_stats(rows, keys, "day", c).withColumn("kind", F.lit(k)) for k, c in kinds.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return period_stats(rows, keys, "day", kinds)

@@ -158,17 +158,28 @@ def run_lengths(df: DataFrame, keys: list[str], ts: str, cond: Column, include_o
     return (runs if include_open else runs.where("not _open")).drop("_run", "_open")
 
 
-def period_stats(df: DataFrame, keys: list[str], ts: str, cond: Column, steps_per_day: int = 1, empty: float | None = 0.0) -> DataFrame:
-    """keys, frequency (days a year), mean, median, skew and kurtosis of run lengths in days, season with most true
-    steps (ties: the first by name). Without any run the four are `empty`; missing steps count as false."""
-    true = F.coalesce(cond, F.lit(False))
-    share = df.groupBy(*keys).agg((F.avg(true.cast("double")) * 365.25).alias("frequency"))
-    days = F.col("length") / float(steps_per_day)
-    runs = run_lengths(df, keys, ts, cond).groupBy(*keys).agg(F.avg(days).alias("mean"), F.median(days).alias("median"), F.skewness(days).alias("skew"), F.kurtosis(days).alias("kurtosis"))
-    counts = df.where(true).groupBy(*keys, season(F.month(ts)).alias("_s")).agg(F.count("*").alias("_n"))
-    top = counts.groupBy(*keys).agg(F.min_by("_s", F.struct(-F.col("_n"), F.col("_s"))).alias("season"))
-    out = share.join(runs, keys, "left").join(top, keys, "left")
-    return out.withColumns({c: F.coalesce(F.when(F.isnan(c), None).otherwise(F.col(c)), F.when(F.col("mean").isNull(), F.lit(empty).cast("double"))) for c in ("median", "skew", "kurtosis")} | {"mean": F.coalesce("mean", F.lit(empty).cast("double"))})
+def period_stats(df: DataFrame, keys: list[str], ts: str, conds: dict[str, Column], steps_per_day: int = 1, empty: float | None = 0.0) -> DataFrame:
+    """keys and kind of each condition: frequency (days a year), mean, median, skew and kurtosis of run lengths in
+    days, season with most true steps (ties: the first by name; none without a true step).
+
+    Missing steps count as false; a run still open at the end isn't counted; without any run the four are `empty`. All
+    conditions share one shuffle: the window's partitioning serves both aggregations.
+    """
+    pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.coalesce(c, F.lit(False)).alias("c")) for k, c in conds.items()])
+    rows = df.select(*keys, ts, F.explode(pairs).alias("_x")).select(*keys, F.col(ts).alias("_t"), "_x.kind", "_x.c")
+    by, names = [*keys, "kind"], ("djf", "jja", "mam", "son")
+    w = Window.partitionBy(*by).orderBy("_t")
+    rows = rows.withColumn("_new", (F.col("c") != F.coalesce(F.lag("c").over(w), ~F.col("c"))).cast("int"))
+    rows = rows.withColumns({"_run": F.sum("_new").over(w.rowsBetween(*_UP)), "_last": F.lead("_t").over(w).isNull(), "_s": season(F.month("_t"))})
+    runs = rows.groupBy(*by, "_run").agg(F.count("*").alias("n"), F.bool_or("c").alias("c"), F.bool_or("_last").alias("open"), *[F.count_if(F.col("c") & (F.col("_s") == x)).alias(x) for x in names])
+    days = F.when(F.col("c") & ~F.col("open"), F.col("n") / float(steps_per_day))
+    stats = {"mean": F.avg(days), "median": F.median(days), "skew": F.skewness(days), "kurtosis": F.kurtosis(days)}
+    out = runs.groupBy(*by).agg((F.sum(F.when(F.col("c"), F.col("n")).otherwise(0)) / F.sum("n") * 365.25).alias("frequency"), F.count(days).alias("_n"), *[F.nanvl(c, F.lit(None).cast("double")).alias(k) for k, c in stats.items()], *[F.sum(x).alias(x) for x in names])
+    best, top = F.greatest(*names), F.lit(None).cast("string")
+    for x in reversed(names):
+        top = F.when((F.col(x) == best) & (best > 0), x).otherwise(top)
+    filled = {k: F.when(F.col("_n") == 0, F.lit(empty).cast("double")).otherwise(F.col(k)) for k in stats}
+    return out.withColumns(filled).select(*keys, "kind", "frequency", *stats, top.alias("season"))
 
 
 def mean_daily_max(df: DataFrame, keys: list[str], day: str, value: str) -> DataFrame:

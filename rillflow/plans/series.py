@@ -96,7 +96,7 @@ STATS = """sh AS (SELECT site, avg(CAST(c AS INTEGER)) * 365.25 AS frequency FRO
 SELECT site, season, frequency, coalesce(mean, {e}) AS mean, CASE WHEN mean IS NULL THEN {e} ELSE median END AS median, CASE WHEN mean IS NULL THEN {e} WHEN c2 > 0 THEN c3 / power(c2, 1.5) END AS skew, CASE WHEN mean IS NULL THEN {e} WHEN c2 > 0 THEN c4 / (c2 * c2) - 3 END AS kurtosis FROM sh LEFT JOIN m1 USING (site) LEFT JOIN m2 USING (site) LEFT JOIN se USING (site)"""
 
 add("w1_run_lengths", lambda s, d: T.run_lengths(flow(s, d), SITE, "day", F.col("q") > 3), FLOW + ",\n" + RUNS.format(cond="q > 3", src="flow") + "\n--\nSELECT * FROM runs", "site run_start length")
-add("a22_period_stats", lambda s, d: T.period_stats(rain(s, d), SITE, "day", F.col("p") < 1), RAIN + ",\n" + RUNS.format(cond="p < 1", src="rain") + ",\n" + STATS.format(e="0.0"), "site season", "frequency mean median skew kurtosis", 4)
+add("a22_period_stats", lambda s, d: T.period_stats(rain(s, d), SITE, "day", {"dry": F.col("p") < 1}), RAIN + ",\n" + RUNS.format(cond="p < 1", src="rain") + ",\n" + STATS.format(e="0.0"), "site season", "frequency mean median skew kurtosis", 4)
 for _k, _c in (("no", "q <= 0"), ("low", "q < 0.2 * mq"), ("high", "q > 9 * md")):
     add(f"a23_{_k}_flow", lambda s, d, k=_k: G.flow_periods(flow(s, d), SITE).where(F.col("kind") == k), FLOW + ",\nx AS (SELECT *, avg(q) OVER (PARTITION BY site) AS mq, median(q) OVER (PARTITION BY site) AS md FROM flow),\n" + RUNS.format(cond=_c, src="x") + ",\n" + STATS.format(e="0.0"), "site season", "frequency mean median skew kurtosis", 4)
 for _k, _c in (("frost", "t < 273.15"), ("heat", "t > mm + 5"), ("dry", "p < 1"), ("wet", "p >= 5 * mp")):
@@ -159,7 +159,13 @@ def season_sql(src: str, group: str) -> str:
 SELECT site, count(s) AS n_years, avg(s) AS seasonality_mean, stddev_pop(s) AS seasonality_std FROM z GROUP BY site"""
 
 
-add("a8_seasonality", lambda s, d: C.seasonality(T.interpolate_time(T.reindex_daily(rain(s, d), SITE, "day"), SITE, "day", ["p", "t"]), SITE), None, "site n_years", "seasonality_mean seasonality_std")
+INTERPOLATED = """axis AS (SELECT site, unnest(generate_series(min(day)::TIMESTAMP, max(day)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM rain GROUP BY site),
+    j AS (SELECT a.site, a.day, epoch(a.day) / 86400 AS k, p, t FROM axis a LEFT JOIN rain f ON a.site = f.site AND a.day = f.day),
+    nb AS (SELECT *, last_value(p IGNORE NULLS) OVER u AS p0, first_value(p IGNORE NULLS) OVER d AS p1, last_value(t IGNORE NULLS) OVER u AS t0, first_value(t IGNORE NULLS) OVER d AS t1,
+        last_value(CASE WHEN p IS NOT NULL THEN k END IGNORE NULLS) OVER u AS k0, first_value(CASE WHEN p IS NOT NULL THEN k END IGNORE NULLS) OVER d AS k1
+        FROM j WINDOW u AS (PARTITION BY site ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), d AS (PARTITION BY site ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    x AS (SELECT site, year(day) AS y, coalesce(p, p0 + (p1 - p0) * (k - k0) / (k1 - k0)) AS p, coalesce(t, t0 + (t1 - t0) * (k - k0) / (k1 - k0)) AS t, CASE WHEN year(day) % 4 = 0 THEN 366 ELSE 365 END AS n, 2 * pi() * (dayofyear(day) - 1) / CASE WHEN year(day) % 4 = 0 THEN 366 ELSE 365 END AS x FROM nb)"""
+add("a8_seasonality", lambda s, d: C.seasonality(T.interpolate_time(T.reindex_daily(rain(s, d), SITE, "day"), SITE, "day", ["p", "t"]), SITE), season_sql(INTERPOLATED, ""), "site n_years", "seasonality_mean seasonality_std")
 add("a8_seasonality_years", lambda s, d: C.seasonality(rain(s, d), SITE), season_sql("x AS (SELECT site, year(day) AS y, p, t, CASE WHEN year(day) % 4 = 0 THEN 366 ELSE 365 END AS n, 2 * pi() * (dayofyear(day) - 1) / CASE WHEN year(day) % 4 = 0 THEN 366 ELSE 365 END AS x FROM rain)", ""), "site n_years", "seasonality_mean seasonality_std")
 add("a8_seasonality_typical", lambda s, d: C.seasonality(rain(s, d), SITE, typical=True), season_sql("ty AS (SELECT site, 0 AS y, dayofyear(day) AS i, avg(p) AS p, avg(t) AS t FROM rain GROUP BY ALL), x AS (SELECT site, y, p, t, max(i) OVER (PARTITION BY site) AS n, 2 * pi() * (i - 1) / max(i) OVER (PARTITION BY site) AS x FROM ty)", ""), "site n_years", "seasonality_mean seasonality_std")
 add("a25_number_of_years", lambda s, d: rain(s, d).groupBy("site").agg(F.count_distinct(F.year("day")).alias("n_years"), F.count_distinct(S.water_year(F.col("day"))).alias("n_water_years")), f"{RAIN}\n--\nSELECT site, count(DISTINCT year(day)) AS n_years, count(DISTINCT year(day) + CAST(month(day) >= 10 AS INTEGER)) AS n_water_years FROM rain GROUP BY site", "site n_years n_water_years")

@@ -72,7 +72,7 @@ def test_runs_and_periods(spark):
     df = days(spark, "2001-01-01", [1, 1, 0, 1])
     assert [r.length for r in T.run_lengths(df, ["site"], "day", F.col("q") > 0).collect()] == [2]
     assert len(T.run_lengths(df, ["site"], "day", F.col("q") > 0, include_open=True).collect()) == 2
-    none = T.period_stats(df, ["site"], "day", F.col("q") > 5).first()
+    none = T.period_stats(df, ["site"], "day", {"high": F.col("q") > 5}).first()
     assert (none.frequency, none["mean"], none.median, none.skew, none.kurtosis, none.season) == (0, 0, 0, 0, 0, None)
 
 
