@@ -17,7 +17,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts. Labels and documents of the whole corpus train it."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     net = quality_cnn.train(docs, labels)
-    return quality_cnn.score(docs, net, threshold=0.3).where("predicted = 1").select(*docs.columns)
+    return quality_cnn.score(docs, net, threshold=0.3, prefix="_stage_").where("_stage_predicted = 1").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,18 +25,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     The hash is what the whole text is told apart by; of rows equal in doc_id and text one stays.
     """
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    found = simhash.near_duplicates(keyed, ["doc_id", "_h"])
-    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_h")).alias("x"))
-    kept = first.select(F.col("x.doc_id").alias("_id"), F.col("x._h").alias("_kept")).distinct()
-    rows = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_kept")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "_h"]).select(*docs.columns)
+    keyed = docs.withColumn("_stage_h", F.xxhash64("text"))
+    found = simhash.near_duplicates(keyed, ["doc_id", "_stage_h"])
+    first = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_stage_h")).alias("x"))
+    kept = first.select(F.col("x.doc_id").alias("_stage_id"), F.col("x._stage_h").alias("_stage_kept")).distinct()
+    rows = keyed.join(kept, F.col("doc_id").eqNullSafe(F.col("_stage_id")) & (F.col("_stage_h") == F.col("_stage_kept")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "_stage_h"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any benchmark window."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontamination.decontaminate(docs, benchmark).where("n_hit = 0").select(*docs.columns)
+    return decontamination.decontaminate(docs, benchmark, prefix="_stage_").where("_stage_n_hit = 0").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

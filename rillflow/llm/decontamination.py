@@ -114,16 +114,17 @@ def window_pairs(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     return one.select(F.array_join(F.slice("ws", F.col("at"), size), " ").alias("window"), "item_id").distinct()
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_pairs: int = BLOCK_PAIRS, columns: list[str] | None = None) -> DataFrame:
-    """The columns (all, unless listed) of every document with n_words, n_hit, items (sorted ids of found items).
+def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_pairs: int = BLOCK_PAIRS, columns: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """The columns (all, unless listed) of every document with n_words, n_hit, items (sorted ids of found items), named
+    after the prefix.
 
     A null or empty text has no words and no hits; null item texts and ids are left out; an empty benchmark hits
     nothing. Equal items are all found; repeated documents are judged one by one. Columns of documents named as a
     result column are replaced.
     """
     spark = documents.sparkSession
-    made = ("n_words", "n_hit", "items")
-    columns = [c for c in columns or documents.columns if c not in made]
+    made = [f"{prefix}{c}" for c in ("n_words", "n_hit", "items")]
+    columns = [c for c in columns or documents.columns if c.lower() not in made]
     pairs = window_pairs(benchmark, size).cache()
     n_blocks = max(1, -(-pairs.count() // block_pairs))
     block_of = F.pmod(F.xxhash64("window", "item_id"), F.lit(n_blocks))
@@ -170,4 +171,4 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW
 
     rows = documents.select(*columns) if "text" in columns else documents.select(*columns, "text")
     schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return rows.mapInArrow(judge, f"{schema}, n_words long, n_hit long, items array<bigint>")
+    return rows.mapInArrow(judge, f"{schema}, `{made[0]}` long, `{made[1]}` long, `{made[2]}` array<bigint>")

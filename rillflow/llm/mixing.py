@@ -109,11 +109,11 @@ def mixed_rows(documents: DataFrame, **how) -> DataFrame:
     Rows equal in doc_id and text share their words evenly. Documents without words, and ones not taken, leave no row.
     """
     taken, _ = mix(documents, **how)
-    per = taken.groupBy("doc_id", "h").agg((F.sum("taken") / F.count("*")).cast("long").alias("_taken"), F.max("size").alias("_size")).where("_taken > 0")
-    per = per.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"), "_taken", "_size")
-    rows = documents.join(per, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h")))
-    rows = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")))))
-    rest = F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")
+    per = taken.groupBy("doc_id", "h").agg((F.sum("taken") / F.count("*")).cast("long").alias("_mix_taken"), F.max("size").alias("_mix_size")).where("_mix_taken > 0")
+    per = per.select(F.col("doc_id").alias("_mix_id"), F.col("h").alias("_mix_h"), "_mix_taken", "_mix_size")
+    rows = documents.join(per, F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.xxhash64("text") == F.col("_mix_h")))
+    rows = rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_mix_taken") / F.col("_mix_size")))))
+    rest = F.col("_mix_taken") - (F.col("_mix_copy") - 1) * F.col("_mix_size")
     cut = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+"), 1, rest.cast("int")), " ")
-    rows = rows.withColumn("text", F.when(rest >= F.col("_size"), F.col("text")).otherwise(cut)).drop("_id", "_h", "_taken", "_size", "_copy")
+    rows = rows.withColumn("text", F.when(rest >= F.col("_mix_size"), F.col("text")).otherwise(cut)).drop("_mix_id", "_mix_h", "_mix_taken", "_mix_size", "_mix_copy")
     return rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in documents.columns else rows

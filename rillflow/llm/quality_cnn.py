@@ -151,13 +151,14 @@ def train(documents: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Ne
     return fit([(r.text or "").encode() for r in sample], np.array([r.quality for r in sample], int))
 
 
-def score(documents: DataFrame, net: Network, columns: list[str] | None = None, threshold: float = 0.3) -> DataFrame:
-    """The columns (all, unless listed) of every document with score and predicted, from its whole text.
+def score(documents: DataFrame, net: Network, columns: list[str] | None = None, threshold: float = 0.3, prefix: str = "") -> DataFrame:
+    """The columns (all, unless listed) of every document with score and predicted (after the prefix), from its whole text.
 
     A null text counts as empty; an empty text is scored as one chunk of zeros. Rows stay where they are: no shuffle.
-    A text of any length is handled GROUP chunks at a time. Columns named score or predicted are replaced.
+    A text of any length is handled GROUP chunks at a time. Columns named as a result are replaced.
     """
-    columns = [c for c in columns or documents.columns if c not in ("score", "predicted")]
+    made = [f"{prefix}score", f"{prefix}predicted"]
+    columns = [c for c in columns or documents.columns if c.lower() not in made]
     rows = documents.select(*columns, F.coalesce("text", F.lit("")).alias("_text")) if "text" not in columns else documents.select(*columns)
     source = "_text" if "text" not in columns else "text"
     params = [getattr(net, f.name) for f in fields(Network)]
@@ -185,7 +186,7 @@ def score(documents: DataFrame, net: Network, columns: list[str] | None = None,
                         flush()
                 flush()
                 p = net.combine(np.concatenate(vectors)) if vectors else np.zeros(0)
-                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32), pa.int32())], names=[*columns, "score", "predicted"])
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32), pa.int32())], names=[*columns, *made])
 
     schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return rows.mapInArrow(apply, f"{schema}, score double, predicted int")
+    return rows.mapInArrow(apply, f"{schema}, `{made[0]}` double, `{made[1]}` int")

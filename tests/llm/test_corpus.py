@@ -216,6 +216,11 @@ def test_pipeline_edges(spark):
     stage = dict(corpus_pipeline.STAGES)["near_duplicates"]
     assert sorted((str(r.doc_id), str(r.text)) for r in stage(spark, docs, "").collect()) == [("1", "same text of a few words"), ("2", "None"), ("None", "another text that stands alone here")]
     assert stage(spark, docs.limit(0), "").count() == 0
+    sf = "/root/testdata/sf0.001"
+    clashing = docs.selectExpr("*", "7 AS score", "8 AS n_hit", "9 AS shard", "'p' AS predicted", "'g' AS `group`", "1 AS n_words")
+    for name, f in corpus_pipeline.STAGES[:-1]:
+        out = f(spark, clashing, sf)
+        assert out.columns == clashing.columns and {(r.score, r.n_hit, r.predicted) for r in out.collect()} <= {(7, 8, "p")}, name
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
