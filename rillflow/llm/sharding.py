@@ -17,7 +17,7 @@ from rillflow.llm.common import bucket_bits, hash_bucket, running_total, staged
 
 SHARDS = 24
 #: A group of equal texts over this share of a shard's bytes is dealt to several items.
-GROUP_SHARE = 0.1
+GROUP_SHARE = 0.3
 #: Bits of a dimension's key: metadata value, then a hash that orders rows of equal value. Histogram bins per round.
 VALUE_BITS, TIE_BITS, BINS = 20, 42, 1 << 16
 #: A bin this light against a shard is not narrowed further.
@@ -63,7 +63,7 @@ def shard(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     group = ["h", "text_crc32", "size"]
     most = max(1.0, total / shards * GROUP_SHARE)
     # At most total / most of these.
-    heavy = rows.groupBy(*group).agg(F.sum("size").alias("_all")).where(F.col("_all") > most).select(*group, F.ceil(F.col("_all") / (most / 2)).cast("int").alias("_pieces"))
+    heavy = rows.groupBy(*group).agg(F.sum("size").alias("_all")).where(F.col("_all") > most).select(*group, F.ceil(F.col("_all") / (most / 8)).cast("int").alias("_pieces"))
     dealt = rows.join(F.broadcast(heavy), group, "left").withColumn("piece", F.when(F.col("_pieces").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id"), F.col("_pieces"))).cast("int")).drop("_pieces")
     items = dealt.groupBy(*group, "piece").agg(F.sum("size").alias("bytes"), *[F.min(f"_{c}").alias(f"_{c}") for c in metadata])
     items = items.withColumn("tie", F.shiftrightunsigned(F.xxhash64("h", "piece", "text_crc32"), 64 - TIE_BITS))
