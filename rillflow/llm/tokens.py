@@ -12,9 +12,11 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,10 +24,14 @@ from rillflow.llm.common import mounted, new_path, staged
 
 #: Texts of over twice CHUNK characters are encoded by overlapping chunks.
 CHUNK, OVERLAP = 16_384, 256
-#: Units in each of a worker's two generations, and the longest unit kept.
-MEMO, LONGEST = 600_000, 64
-
-_ODD_BLANK = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
+#: Atoms in each of a worker's two generations, and the longest atom kept.
+MEMO, LONGEST = 1_000_000, 64
+
+#: Texts with a NUL, or with a blank before a space, are cut by a slower search.
+_ODD = "\\x00|[\\t\\n\\x0b\\x0c\\r \\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}] "
+#: Further places where the pattern surely ends a token: between a letter or digit and a comma or full stop, and around
+#: a line end between a non-blank and a letter.
+_ENDS = (("([A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff])([,.])", "\\1\0\\2"), ("([!-~\xa1-\xff])\n([A-Za-z])", "\\1\0\n\0\\2"))
 _PLACES = re.compile(r"(?<=\S)(?= )")
 #: Letters and digits that the splitting pattern surely takes as such.
 _WORD = re.compile("[ ]?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
@@ -42,11 +48,31 @@ def tokenizer(path: str):
     return tok
 
 
-def units(text: str) -> list[str]:
-    """The text cut at proven places; joined, the units are the text."""
-    if "\0" in text or "  " in text or "\n " in text or "\t " in text or "\r " in text or _ODD_BLANK.search(text):
-        return _PLACES.split(text)
-    return text.replace(" ", "\0 ").split("\0")
+def units(texts: pa.Array) -> pa.Array:
+    """Each text cut at every proven place, as a list; joined, the units are the text."""
+    odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
+    marked = pc.replace_substring(texts, " ", "\0 ")
+    for pattern, marks in _ENDS:
+        marked = pc.replace_substring_regex(marked, pattern, marks)
+    cut = pc.split_pattern(marked, "\0")
+    if not odd.any():
+        return cut
+    slow = pa.array([_PLACES.split(t) for t in texts.filter(pa.array(odd)).to_pylist()], cut.type)
+    order = np.empty(len(texts), np.int64)
+    order[np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])] = np.arange(len(texts))
+    return pa.concat_arrays([cut.filter(pa.array(~odd)), slow]).take(pa.array(order))
+
+
+def pieces(texts: pa.Array, rows: int = 8192, chars: int = 1 << 23) -> Iterator[pa.Array]:
+    """The array in slices of bounded rows and bytes (but of one row at least); nulls become empty texts."""
+    texts = texts.cast(pa.large_string()).fill_null("")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        limit = (ends[at - 1] if at else 0) + chars
+        upto = max(at + 1, min(at + rows, int(np.searchsorted(ends, limit, "right"))))
+        yield texts.slice(at, upto - at)
+        at = upto
 
 
 def atoms(unit: str) -> list[str]:
@@ -85,14 +111,25 @@ class Memo:
         self.merge, self.characters = self.tok.model.tokenize, byte_characters()
         self.kept, self.old = {"": nothing}, {}
 
-    def encode(self, texts: list[str]) -> list[list]:
-        """For each text the values of its units' ids."""
-        cut = [units(t) for t in texts]
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The values of all texts' units in order, and where each text's units start (and the last one's end)."""
+        cut = units(texts)
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        own = self.learn(distinct)
+        kept = self.kept
+        kind = pa.int64() if self.nothing == 0 else pa.large_binary()
+        values = pa.array([kept[u] if u in kept else own[u] for u in distinct] if own else list(map(kept.__getitem__, distinct)), kind)
+        return values.take(coded.indices), bounds
+
+    def learn(self, distinct: list[str]) -> dict:
+        """The values of the units that aren't kept: those of several atoms, and long ones. The others are kept."""
         if len(self.kept) > MEMO:
             self.old, self.kept = self.kept, {"": self.nothing}
         kept, old, value = self.kept, self.old, self.value
         compound, asked = [], []
-        for u in set().union(*cut).difference(kept):
+        for u in set(distinct).difference(kept):
             if (v := old.get(u)) is not None:
                 kept[u] = v
             elif "\n" in u:
@@ -103,6 +140,9 @@ class Memo:
                 asked.append(u)
         if compound:
             asked = list(set(asked).union(*(some for _, some in compound)).difference(kept))
+            if old:
+                kept.update((a, old[a]) for a in asked if a in old)
+                asked = [a for a in asked if a not in kept]
         word, merge, characters, rest = _WORD.fullmatch, self.merge, self.characters, []
         space = characters[ord(" ")]
         for a in asked:
@@ -114,13 +154,25 @@ class Memo:
         rest.sort()
         for few in _groups(rest):
             kept.update(zip(few, [value(e.ids) for e in self.tok.encode_batch_fast(few, add_special_tokens=False)], strict=True))
-        for u, some in compound:
-            if len(some) > 1:
-                kept[u] = sum([kept[a] for a in some], 0) if self.nothing == 0 else self.nothing.join([kept[a] for a in some])
-        out = [list(map(kept.__getitem__, us)) for us in cut]
-        for u in [u for u in asked if len(u) > LONGEST] + [u for u, some in compound if len(u) > LONGEST]:
-            kept.pop(u, None)
-        return out
+        if self.nothing == 0:
+            own = {u: sum([kept[a] for a in some]) for u, some in compound if len(some) > 1}
+        else:
+            own = {u: self.nothing.join([kept[a] for a in some]) for u, some in compound if len(some) > 1}
+        return own | {a: kept.pop(a) for a in asked if len(a) > LONGEST}
+
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text."""
+        values, bounds = self.encode(texts)
+        upto = np.concatenate([[0], np.cumsum(values.to_numpy())])
+        return upto[bounds[1:]] - upto[bounds[:-1]]
+
+    def ids(self, texts: pa.Array) -> list[memoryview]:
+        """The bytes of each text's ids."""
+        values, bounds = self.encode(texts)
+        _, offsets, data = values.buffers()
+        at = np.frombuffer(offsets, np.int64, len(values) + 1, values.offset * 8)[bounds].tolist()
+        view = memoryview(data) if data is not None else memoryview(b"")
+        return [view[a:z] for a, z in zip(at, at[1:], strict=False)]
 
 
 _memos: dict[tuple, Memo] = {}
@@ -195,16 +247,15 @@ def count_tokens(documents: DataFrame, path: str, limit: int = 1024) -> DataFram
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = memo(path, "count")
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                texts = [t or "" for t in batch.column("text").to_pylist()]
-                huge = {i for i, t in enumerate(texts) if len(t) > 2 * CHUNK}
-                n = [sum(x) for x in own.encode(["" if i in huge else t for i, t in enumerate(texts)])]
-                for i in huge:
-                    n[i] = sum(len(ids) for ids in resynchronised(own.tok, texts[i]))
-                n_bytes = [len(t.encode()) for t in texts]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes, pa.int64()), pa.array(n, pa.int64()), pa.array([x > limit for x in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        for batch in batches:
+            at = 0
+            for texts in pieces(batch.column("text")):
+                huge = pc.greater(pc.utf8_length(texts), 2 * CHUNK)
+                n = own.counts(pc.if_else(huge, "", texts))
+                for i in np.flatnonzero(huge.to_numpy(zero_copy_only=False)).tolist():
+                    n[i] = sum(len(ids) for ids in resynchronised(own.tok, texts[i].as_py()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pc.binary_length(texts).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit, pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
+                at += len(texts)
 
     return documents.select("doc_id", "text").mapInArrow(count, f"doc_id {key}, n_bytes long, n_tokens long, over_limit boolean")
 
@@ -235,14 +286,13 @@ def write_tokens(documents: DataFrame, path: str, end_id: int = 2, parts: int |
         own = memo(path, kind)
         tail, width, at, n = np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize, 0, 0
         with open(f"{temp}-ids", "wb") as ids, open(f"{temp}-offsets", "wb") as offsets, open(f"{temp}-docs", "wb") as docs:
-            for whole in batches:
-                for k in range(0, whole.num_rows, 256):
-                    batch = whole.slice(k, 256)
-                    data = [b"".join(x) + tail for x in own.encode([t or "" for t in batch.column("text").to_pylist()])]
-                    sizes = np.array([len(x) // width for x in data], "<i8")
+            for batch in batches:
+                docs.write(batch.column("doc_id").to_numpy().astype("<i8").tobytes())
+                for texts in pieces(batch.column("text")):
+                    data = own.ids(texts)
+                    sizes = np.array([len(x) // width + 1 for x in data], "<i8")
                     offsets.write((at + np.cumsum(sizes) - sizes).astype("<i8").tobytes())
-                    docs.write(batch.column("doc_id").to_numpy().astype("<i8").tobytes())
-                    ids.writelines(data)
+                    ids.writelines(x for pair in zip(data, repeat(tail), strict=False) for x in pair)
                     at, n = at + int(sizes.sum()), n + len(data)
             offsets.write(np.array([at], "<i8").tobytes())
         for name in ("docs", "offsets", "ids"):
