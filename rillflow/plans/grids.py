@@ -117,13 +117,10 @@ def _checked(s, d):
     return O.check_forcing(rows, ["site"], "ts", ["p", "t"], 86400)
 
 
-add("a28_check_forcing", _checked, f"""{RAIN}, g AS (SELECT site, day, CASE WHEN p > 2 THEN p END AS p, t, epoch(day) - lag(epoch(day)) OVER (PARTITION BY site ORDER BY day) <> 86400 AS gap FROM rain), a AS (SELECT site, avg(CAST(p IS NULL AS INTEGER)) AS np, avg(CAST(t IS NULL AS INTEGER)) AS nt, count(p) AS cp, count(t) AS ct, bool_or(gap) AS gap FROM g GROUP BY site)
---
-SELECT site, 'nulls in p' AS reason FROM a WHERE np >= 0.0001 UNION ALL SELECT site, 'nulls in t' FROM a WHERE nt >= 0.0001 UNION ALL SELECT site, 'no data in p' FROM a WHERE cp = 0 UNION ALL SELECT site, 'no data in t' FROM a WHERE ct = 0 UNION ALL SELECT site, 'time steps' FROM a WHERE gap UNION ALL SELECT site, 'starts at midnight' FROM a""", "site reason")
+CHECKED = f"""{RAIN}, g AS (SELECT site, day, CASE WHEN p > 2 THEN p END AS p, t, epoch(day) - lag(epoch(day)) OVER (PARTITION BY site ORDER BY day) <> 86400 AS gap FROM rain), a AS (SELECT site, avg(CAST(p IS NULL AS INTEGER)) AS np, avg(CAST(t IS NULL AS INTEGER)) AS nt, count(p) AS cp, count(t) AS ct, bool_or(gap) AS gap FROM g GROUP BY site), r AS (SELECT site, 'nulls in p' AS reason FROM a WHERE np >= 0.0001 UNION ALL SELECT site, 'nulls in t' FROM a WHERE nt >= 0.0001 UNION ALL SELECT site, 'no data in p' FROM a WHERE cp = 0 UNION ALL SELECT site, 'no data in t' FROM a WHERE ct = 0 UNION ALL SELECT site, 'time steps' FROM a WHERE gap UNION ALL SELECT site, 'starts at midnight' FROM a)"""
+add("a28_check_forcing", _checked, f"{CHECKED}\n--\nSELECT * FROM r", "site reason")
 add("a28_unequal_periods", lambda s, d: O.unequal_periods(table(s, d, "orders").select((COL("o_custkey") % 100).alias("basin"), (COL("o_orderkey") % 2).alias("part"), F.to_date("o_orderdate").alias("ts")), "basin", "part", "ts"), "a AS (SELECT o_custkey % 100 AS basin, o_orderkey % 2 AS part, min(CAST(o_orderdate AS DATE)) AS a, max(CAST(o_orderdate AS DATE)) AS z, count(DISTINCT CAST(o_orderdate AS DATE)) AS n FROM orders GROUP BY ALL)\n--\nSELECT basin, 'periods differ' AS reason FROM a GROUP BY basin HAVING count(DISTINCT (a, z, n)) > 1", "basin reason")
-add("a29_reason_counts", lambda s, d: O.reason_counts(_checked(s, d), "site"), f"""{RAIN}, g AS (SELECT site, day, CASE WHEN p > 2 THEN p END AS p, epoch(day) - lag(epoch(day)) OVER (PARTITION BY site ORDER BY day) <> 86400 AS gap FROM rain), a AS (SELECT site, avg(CAST(p IS NULL AS INTEGER)) AS np, bool_or(gap) AS gap FROM g GROUP BY site), r AS (SELECT site, 'nulls in p' AS reason FROM a WHERE np >= 0.0001 UNION ALL SELECT site, 'time steps' FROM a WHERE gap UNION ALL SELECT site, 'starts at midnight' FROM a)
---
-SELECT reason, count(*) AS n, count(DISTINCT site) AS n_basins FROM r GROUP BY reason""", "reason n n_basins")
+add("a29_reason_counts", lambda s, d: O.reason_counts(_checked(s, d), "site"), f"{CHECKED}\n--\nSELECT reason, count(*) AS n, count(DISTINCT site) AS n_basins FROM r GROUP BY reason", "reason n n_basins")
 
 
 def _compared(s, d):
