@@ -42,17 +42,17 @@ def stream_lengths(net: DataFrame, rounds: int = 40) -> DataFrame:
     return current.join(fed, ["basin", "comid"], "left_anti").select("basin", "comid", F.when(F.col("to").isNull(), F.col("sum")).alias("stream_length"))
 
 
-def upstream(net: DataFrame, ids: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(basin, comid, member): each given segment with all segments upstream of it, itself included."""
-    edges = net.select("basin", F.col("next_down").alias("member"), F.col("comid").alias("up")).where("member is not null and member <> 0")
+def upstream(net: DataFrame, ids: DataFrame) -> DataFrame:
+    """(basin, comid, member): each given segment with all segments upstream of it, itself included. Jumps double in
+    every round, so a path of n segments takes log2(n) rounds; a round that reaches nothing new is the last."""
+    jumps = net.select("basin", F.col("next_down").alias("member"), F.col("comid").alias("up")).where("member is not null and member <> 0").distinct()
     reached = ids.join(net.select("basin", "comid"), ["basin", "comid"], "left_semi").select("basin", "comid", F.col("comid").alias("member")).distinct()
-    newest = reached
-    for _ in range(rounds):
-        newest = _written(newest.join(edges, ["basin", "member"]).select("basin", "comid", F.col("up").alias("member")).distinct().join(reached, ["basin", "comid", "member"], "left_anti"))
+    while True:
+        newest = _written(reached.join(jumps, ["basin", "member"]).select("basin", "comid", F.col("up").alias("member")).distinct().join(reached, ["basin", "comid", "member"], "left_anti"))
         if newest.isEmpty():
-            break
+            return reached
         reached = _written(reached.unionByName(newest))
-    return reached
+        jumps = _written(jumps.withColumnRenamed("up", "by").join(jumps.withColumnRenamed("member", "by"), ["basin", "by"]).select("basin", "member", "up").distinct())
 
 
 def upstream_area(net: DataFrame, ids: DataFrame) -> DataFrame:

@@ -190,3 +190,12 @@ def test_unequal_blocks_fail(spark):
     a, b = spark.createDataFrame([("1",)], "basin string"), spark.createDataFrame([("2",)], "basin string")
     with pytest.raises(ValueError):
         B.merge_blocks([a, b], "basin")
+
+
+def test_upstream_of_a_long_chain(spark):
+    n = 1500
+    net = spark.range(1, n + 1).selectExpr("0 AS basin", "id AS comid", "id + 1 AS next_down", "1.0D AS unitarea")
+    ids = net.where(f"comid in (1, {n})").select("basin", "comid")
+    assert {r.comid: (r.n_up, r.area) for r in N.upstream_area(net, ids).collect()} == {1: (1, 1), n: (n, n)}
+    ring = net.withColumn("next_down", F.expr(f"comid % {n} + 1"))
+    assert {r.comid: r.n_up for r in N.upstream_area(ring, ids).collect()} == {1: n, n: n}
