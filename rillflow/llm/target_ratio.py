@@ -16,8 +16,6 @@ from rillflow.llm.common import BLANKS
 
 #: Buckets of either multinomial; its weights are part of the plan and their number does not grow with the data.
 BUCKETS = 1 << 14
-#: The target is fitted on so many trusted documents at most, chosen by a hash of doc_id; the raw side counts all.
-TRUSTED_ROWS = 20_000
 #: Counts added to each bucket of both sides.
 SMOOTHING = 30.0
 #: Documents whose mean log ratio is lower are rejected; and n-grams with ratio 0 that steady short texts.
@@ -40,13 +38,13 @@ def buckets(words: Column, n: int = BUCKETS) -> Column:
     return F.concat(single, F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0))))
 
 
-def fit(documents: DataFrame, trusted: DataFrame, rows: int = TRUSTED_ROWS, n: int = BUCKETS) -> list[float]:
-    """The log ratio of each bucket. trusted: doc_id of trusted documents, of which at most `rows` are used.
+def fit(documents: DataFrame, trusted: DataFrame, n: int = BUCKETS) -> list[float]:
+    """The log ratio of each bucket. trusted: doc_id of trusted documents, all of which count.
 
     Counts of the raw side are over every document. Smoothing keeps every ratio finite; without documents all are 0.
     """
-    chosen = trusted.select("doc_id").where("doc_id is not null").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted"))
-    words = documents.select("doc_id", words_of(F.col("text")).alias("w")).join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"), "left")
+    chosen = trusted.select("doc_id").where("doc_id is not null").distinct().select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted"))
+    words = documents.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"), "left").select("_trusted", words_of(F.col("text")).alias("w"))
     grams = words.select(F.coalesce("_trusted", F.lit(0)).alias("t"), F.explode(buckets(F.col("w"), n)).alias("b"))
     counts = {r.b: (r.raw, r.target) for r in grams.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect()}
     raw, target = (sum(c[k] for c in counts.values()) for k in (0, 1))

@@ -189,3 +189,8 @@ def test_pii_terms(spark):
         assert terms == (["Ravenholm"] if r.doc_id < 4 else [])
     row = queries.op10_sanitise(spark, "/root/testdata/sf0.001").first()
     assert len(row.base_sha256) == 64 and hashlib.sha256(b"").hexdigest() in {r.base_sha256 for r in queries.op10_sanitise(spark, "/root/testdata/sf0.001").collect()}
+
+
+def test_every_trusted_document_counts(spark):
+    docs = spark.range(25_000).selectExpr("id AS doc_id", "concat('w', id % 7) AS text")
+    assert target_ratio.fit(docs, docs.select("doc_id")) == [0.0] * target_ratio.BUCKETS
