@@ -1,9 +1,10 @@
 """PII: fixed patterns, and terms that disclose a protected entity by what the corpus says about them.
 
-Protected entities are the values that the patterns find. A term near an entity discloses it if, over the corpus,
-seeing the term tells almost as much as seeing the entity: their pointwise mutual information reaches a share of the
-entity's own information, -log2 of its frequency. Such terms get spans of their own: removed where the term all but
-determines the entity, generalised otherwise. Rare coincidences don't count: a pair needs support in several documents.
+Protected entities are the values that the patterns find. A term in an entity's documents discloses it if, over the
+corpus, seeing the term tells almost as much as seeing the entity: their pointwise mutual information reaches a share of
+the entity's own information, -log2 of its frequency. Such terms get spans wherever they stand, in documents without the
+entity too: removed if the term all but determines an entity, generalised otherwise. Rare coincidences don't count: a
+pair needs support in several documents.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from pyspark.sql import functions as F
 from rillflow.llm.common import staged
 
 KINDS = ("email", "ip", "card", "phone")
-#: Code points of context on either side of an entity whose whole terms count as near it.
-CONTEXT = 80
 #: Documents that must hold term and entity together; the share of the entity's information that discloses it; and
 #: the share of a term's documents that hold the entity from which on the term is removed.
 SUPPORT, DISCLOSED, REMOVED = 3, 0.9, 0.9
@@ -35,17 +34,14 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 
 
 def found(text: Column, kind: str) -> Column:
-    """The kind's matches in order: array of (gap, value, left, right): the code points since the last match, the
-    match, and the context on either side (none for cards' and ips' digits inside a longer match)."""
+    """The kind's matches in order: array of (gap, value): the code points since the last match, and the match."""
     pattern = PATTERNS[kind]
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gap = lambda i: F.get(gaps, i)
-    rows = F.transform(values, lambda v, i: F.struct(F.length(gap(i)).alias("gap"), v.alias("value"), F.right(gap(i), F.lit(CONTEXT)).alias("left"), F.left(gap(i + 1), F.lit(CONTEXT)).alias("right")))
+    rows = F.transform(values, lambda v, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), v.alias("value")))
     might = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
     if kind in ("ip", "card"):
         might = might & text.rlike("[0-9]")
-    none = F.array().cast("array<struct<gap:int,value:string,left:string,right:string>>")
-    return F.when(might, rows).otherwise(none)
+    return F.when(might, rows).otherwise(F.array().cast("array<struct<gap:int,value:string>>"))
 
 
 def valid(kind: Column, value: Column) -> Column:
@@ -57,45 +53,55 @@ def valid(kind: Column, value: Column) -> Column:
 
 
 def scan(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, matches): rid and doc_id of every document; rid, kind, start, end, value, left, right of each valid match.
+    """(rows, matches): rid, doc_id, text t and might (false: without any match) of every document; rid, kind, rank, start, end, value of each valid match.
 
     rid numbers the rows of the written scan, so it stays the same whatever is computed again later.
     """
     text = F.coalesce("text", F.lit(""))
-    scanned = documents.select("doc_id", text.alias("t")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", *[found(F.col("t"), k).alias(k) for k in KINDS])
+    scanned = documents.select("doc_id", text.alias("t")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "t", *[found(F.col("t"), k).alias(k) for k in KINDS])
     scanned = staged(scanned, "pii-scan")
     each = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(i).alias("rank"), F.col(k).alias("found")) for i, k in enumerate(KINDS)])
-    some = scanned.where(" or ".join(f"size({k}) > 0" for k in KINDS)).select("rid", F.explode(each).alias("e"))
+    might = F.expr(" or ".join(f"size({k}) > 0" for k in KINDS))
+    some = scanned.where(might).select("rid", F.explode(each).alias("e"))
     rows = some.select("rid", "e.kind", "e.rank", F.posexplode("e.found").alias("pos", "m")).select("rid", "kind", "rank", "pos", "m.*")
     upto = F.sum(F.col("gap") + F.length("value")).over(Window.partitionBy("rid", "kind").orderBy("pos"))
     rows = rows.withColumn("end", upto.cast("long")).withColumn("start", F.col("end") - F.length("value")).where(valid(F.col("kind"), F.col("value")))
-    return scanned.select("rid", "doc_id"), staged(rows.select("rid", "kind", "rank", "start", "end", "value", "left", "right"), "pii-matches")
-
-
-def near_terms(matches: DataFrame) -> DataFrame:
-    """rid, entity, term, start, end of each whole term in a match's context."""
-    side = lambda s, c: F.struct(F.lit(s).alias("side"), F.col(c).alias("text"))
-    rows = matches.select("rid", F.concat("kind", F.lit(":"), F.lower("value")).alias("entity"), "start", "end", F.explode(F.array(side(0, "left"), side(1, "right"))).alias("c"))
-    gaps, terms = F.split("c.text", TERM, -1), F.regexp_extract_all("c.text", F.lit(TERM), F.lit(0))
-    zipped = F.transform(terms, lambda t, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), t.alias("term"), (F.length(F.get(gaps, i + 1)) == 0).alias("last"), (i == 0).alias("first")))
-    rows = rows.select("rid", "entity", "start", "end", "c.side", F.length("c.text").alias("n"), F.posexplode(zipped).alias("pos", "m")).select("*", "m.*").drop("m")
-    upto = F.sum(F.col("gap") + F.length("term")).over(Window.partitionBy("rid", "entity", "start", "side").orderBy("pos"))
-    rows = rows.withColumn("upto", upto)
-    # A term that the context's far end may have cut is no whole term; one that touches the entity is part of it.
-    cut = F.when(F.col("side") == 0, (F.col("n") >= CONTEXT) & F.col("first") & (F.col("gap") == 0)).otherwise((F.col("n") >= CONTEXT) & F.col("last") & (F.col("upto") == F.col("n")))
-    touches = F.when(F.col("side") == 0, F.col("upto") == F.col("n")).otherwise(F.col("first") & (F.col("gap") == 0))
-    base = F.when(F.col("side") == 0, F.col("start") - F.col("n")).otherwise(F.col("end"))
-    end = base + F.col("upto")
-    return rows.where(~cut & ~touches).select("rid", "entity", F.lower("term").alias("term"), (end - F.length("term")).alias("start"), end.alias("end"))
-
-
-def disclosing(documents: DataFrame, matches: DataFrame, near: DataFrame, support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
-    """entity, term, pmi, action of the pairs that disclose. Frequencies are numbers of documents, over all documents."""
-    n_entity = matches.select("rid", F.concat("kind", F.lit(":"), F.lower("value")).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    n_both = near.select("rid", "entity", "term").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
-    terms = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0)))
-    n_term = documents.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count("*").alias("n_term")).where(F.col("n_term") >= support)
-    n = documents.select(F.lit(1)).count()
+    return scanned.select("rid", "doc_id", "t", might.alias("might")), staged(rows.select("rid", "kind", "rank", "start", "end", "value"), "pii-matches")
+
+
+def distinct_terms(rows: DataFrame) -> DataFrame:
+    """rid, term of each different term of each row."""
+    return rows.select("rid", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(TERM), F.lit(0)))).alias("term"))
+
+
+def occurrences(rows: DataFrame) -> DataFrame:
+    """rid, term, start, end of each term at each place it stands."""
+    # Zipped without a lambda, which would split the text again for each term.
+    zipped = F.arrays_zip(F.split("t", TERM, -1).alias("gap"), F.regexp_extract_all("t", F.lit(TERM), F.lit(0)).alias("term"))
+    each = rows.select("rid", F.posexplode(zipped).alias("pos", "m")).select("rid", "pos", F.length("m.gap").alias("gap"), "m.term").where("term is not null")
+    end = F.sum(F.col("gap") + F.length("term")).over(Window.partitionBy("rid").orderBy("pos")).cast("long")
+    return each.withColumn("end", end).select("rid", F.lower("term").alias("term"), (F.col("end") - F.length("term")).alias("start"), "end")
+
+
+def outside(terms: DataFrame, matches: DataFrame) -> DataFrame:
+    """The occurrences that overlap no match. Only emails hold letters; neither they nor terms overlap their own kind."""
+    emails = matches.where("kind = 'email'").select("rid", F.lit(None).cast("string").alias("term"), "start", "end")
+    by = Window.partitionBy("rid").orderBy("start", F.col("term").isNotNull())
+    email = F.col("term").isNull()
+    before = F.max(F.when(email, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.lead(F.when(email, F.col("start"))).over(by)
+    rows = terms.unionByName(emails).withColumns({"before": before, "after": after})
+    return rows.where(~email & (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.col("after").isNull() | (F.col("after") >= F.col("end")))).select("rid", "term", "start", "end")
+
+
+def disclosing(n: int, matches: DataFrame, held: DataFrame, n_term: DataFrame, support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
+    """entity, term, pmi, action of the pairs that disclose. Frequencies are numbers of documents, over all n documents;
+    a pair's is that of documents that hold both, at whatever distance. held: rid, term of the documents with matches;
+    n_term: term, n_term over all documents, terms with support only."""
+    entities = matches.select("rid", F.concat("kind", F.lit(":"), F.lower("value")).alias("entity")).distinct()
+    n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    often = entities.join(n_entity.select("entity"), "entity")
+    n_both = held.join(often, "rid").groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
     pairs = n_both.join(n_entity, "entity").join(n_term, "term")
     pmi = F.log2(F.col("n_both") * F.lit(float(n)) / (F.col("n_entity") * F.col("n_term")))
     own = F.log2(F.lit(float(n)) / F.col("n_entity"))
@@ -107,17 +113,21 @@ def find(documents: DataFrame) -> DataFrame:
     """doc_id, spans of every document: (kind, rank, start, end) with the base kinds and then remove and generalise.
 
     Spans are ordered by start, then kind as listed. A null text counts as empty and has none; repeated rows each have
-    theirs; an empty table gives an empty result. Terms that overlap a base span of their document are left out.
+    theirs; an empty table gives an empty result. Terms that overlap a base span of their document are left out, of the
+    frequencies too; every other occurrence of a disclosing term, in any document, has a span.
     """
     rows, matches = scan(documents)
-    near = staged(near_terms(matches), "pii-near")
-    pairs = staged(disclosing(documents, matches, near), "pii-pairs")
-    hits = near.join(pairs, ["entity", "term"]).select("rid", "start", "end", "action").distinct()
-    inside = matches.select(F.col("rid").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"))
-    hits = hits.join(inside, (F.col("rid") == F.col("r")) & (F.col("start") < F.col("e")) & (F.col("end") > F.col("s")), "left_anti")
-    hits = hits.groupBy("rid", "start", "end").agg(F.max("action").alias("kind"))
+    free = staged(outside(occurrences(rows.where("might")), matches), "pii-terms")
+    plain = rows.where("not might").select("rid", "t")
+    held = free.select("rid", "term").distinct()
+    n_term = held.select("term").unionByName(distinct_terms(plain).select("term")).groupBy("term").agg(F.count("*").alias("n_term")).where(F.col("n_term") >= SUPPORT)
+    pairs = disclosing(rows.count(), matches, held, n_term)
+    terms = staged(pairs.groupBy("term").agg(F.max("action").alias("kind")), "pii-disclosing")
+    # Written, so that its size is known before the texts would be shuffled to meet it.
+    also = staged(distinct_terms(plain).join(terms, "term", "left_semi").select("rid").distinct(), "pii-also")
+    hits = free.unionByName(occurrences(plain.join(also, "rid", "left_semi"))).join(terms, "term")
     more = hits.select("rid", "start", F.when(F.col("kind") == "remove", 4).otherwise(5).alias("rank"), "kind", "end")
     every = matches.select("rid", "start", "rank", "kind", "end").unionByName(more)
     spans = every.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
     none = F.array().cast(spans.schema["spans"].dataType)
-    return rows.join(spans, "rid", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))
+    return rows.select("rid", "doc_id").join(spans, "rid", "left").select("doc_id", F.coalesce("spans", none).alias("spans"))

@@ -191,6 +191,15 @@ def test_pii_terms(spark):
     assert len(row.base_sha256) == 64 and hashlib.sha256(b"").hexdigest() in {r.base_sha256 for r in queries.op10_sanitise(spark, "/root/testdata/sf0.001").collect()}
 
 
+def test_pii_terms_anywhere(spark):
+    far = " ".join(["the crew wrote about the sea today"] * 40)
+    told = [f"Ravenholm {far} a@x.example.org, b@x.example.org Ravenholm"] * 8
+    alone, twin = f"{far} Ravenholm {far} RAVENHOLM", "mail Ravenholm: c@y.example.org, é Ravenholm@z.example.org"
+    texts = [*told, alone, twin, *[far] * 300]
+    got = {r.doc_id: [texts[r.doc_id][s["start"] : s["end"]] for s in r.spans if s["rank"] >= 4] for r in sanitise.find(docs_of(spark, texts)).collect()}
+    assert got == {i: {8: ["Ravenholm", "RAVENHOLM"], 9: ["Ravenholm"]}.get(i, ["Ravenholm"] * 2 if i < 8 else []) for i in range(len(texts))}
+
+
 def test_every_trusted_document_counts(spark):
     docs = spark.range(25_000).selectExpr("id AS doc_id", "concat('w', id % 7) AS text")
     assert target_ratio.fit(docs, docs.select("doc_id")) == [0.0] * target_ratio.BUCKETS
