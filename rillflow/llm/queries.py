@@ -54,8 +54,9 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_target_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    weights = target_ratio.fit(documents, table(spark, sf_dir, "labels").where("quality = 1"))
-    return target_ratio.judge(documents, weights)
+    trusted = table(spark, sf_dir, "labels").where("quality = 1")
+    scored = target_ratio.score(documents, target_ratio.fit(documents, trusted))
+    return target_ratio.judge(scored, target_ratio.threshold(scored, trusted))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,10 +72,10 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sanitise.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    base = F.filter("spans", lambda s: s["rank"] < len(sanitise.KINDS))
+    base = F.filter("spans", lambda s: s["rank"] < len(sanitise.BASE))
     said = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     number = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
-    return found.select("doc_id", *[number(k) for k in sanitise.KINDS], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+    return found.select("doc_id", *[number(k) for k in sanitise.BASE], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """PII: fixed patterns, and terms that disclose a protected entity by what the corpus says about them.
 
-Protected entities are the values that the patterns find. A term in an entity's documents discloses it if, over the
-corpus, seeing the term tells almost as much as seeing the entity: their pointwise mutual information reaches a share of
-the entity's own information, -log2 of its frequency. Such terms get spans wherever they stand, in documents without the
-entity too: removed if the term all but determines an entity, generalised otherwise. Rare coincidences don't count: a
-pair needs support in several documents.
+Protected entities are the values that the patterns find, and the kinds themselves (that a text holds an email, a card,
+a secret). A term in an entity's documents discloses it if, over the corpus, seeing the term tells almost as much as
+seeing the entity: their pointwise mutual information reaches a share of the entity's own information, -log2 of its
+frequency. Such terms get spans wherever they stand, in documents without the entity too: removed if the term all but
+determines an entity, generalised otherwise. Rare coincidences don't count: a pair needs support in several documents.
+Secrets (long runs of hex digits, such as access tokens) are protected beside the base kinds; each has a span.
 """
 
 from __future__ import annotations
@@ -14,10 +15,12 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import staged
 
-KINDS = ("email", "ip", "card", "phone")
+#: The base kinds, and what else is protected; a span's rank is its kind's place in BASE + PROTECTED + ACTIONS.
+BASE, PROTECTED, ACTIONS = ("email", "ip", "card", "phone"), ("secret",), ("remove", "generalise")
+KINDS = BASE + PROTECTED
 #: Documents that must hold term and entity together; the share of the entity's information that discloses it; and
 #: the share of a term's documents that hold the entity from which on the term is removed.
-SUPPORT, DISCLOSED, REMOVED = 3, 0.9, 0.9
+SUPPORT, DISCLOSED, REMOVED = 3, 0.95, 0.9
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}"
 
 # The contract's patterns in a form that takes linear time and constant stack: possessive runs, no start inside a run
@@ -28,6 +31,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"[0-9](?:(?=[\x20-]?[0-9])[0-9\x20-])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "secret": r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,}+(?![0-9A-Za-z])",
 }
 #: A text without this character has no match of the kind.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
@@ -39,7 +43,7 @@ def found(text: Column, kind: str) -> Column:
     gaps, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     rows = F.transform(values, lambda v, i: F.struct(F.length(F.get(gaps, i)).alias("gap"), v.alias("value")))
     might = F.contains(text, F.lit(NEEDS[kind])) if kind in NEEDS else F.lit(True)
-    if kind in ("ip", "card"):
+    if kind in ("ip", "card", "secret"):
         might = might & text.rlike("[0-9]")
     return F.when(might, rows).otherwise(F.array().cast("array<struct<gap:int,value:string>>"))
 
@@ -49,7 +53,8 @@ def valid(kind: Column, value: Column) -> Column:
     part = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
     doubled = F.transform(F.split(F.reverse(digits), ""), lambda c, i: F.when(i % 2 == 0, c.cast("int")).otherwise((c.cast("int") * 2) % 10 + F.floor(c.cast("int") * 2 / 10).cast("int")))
     luhn = F.when(F.length(digits).between(12, 19), F.aggregate(doubled, F.lit(0), lambda a, x: a + x) % 10 == 0).otherwise(False)
-    return F.when(kind == "email", True).when(kind == "ip", value.rlike(rf"^{part}(?:\.{part}){{3}}$")).when(kind == "card", luhn).otherwise(F.length(digits).between(9, 15))
+    secret = value.rlike("[0-9]") & value.rlike("[A-Fa-f]")
+    return F.when(kind == "email", True).when(kind == "secret", secret).when(kind == "ip", value.rlike(rf"^{part}(?:\.{part}){{3}}$")).when(kind == "card", luhn).otherwise(F.length(digits).between(9, 15))
 
 
 def scan(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -84,23 +89,27 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def outside(terms: DataFrame, matches: DataFrame) -> DataFrame:
-    """The occurrences that overlap no match. Only emails hold letters; neither they nor terms overlap their own kind."""
-    emails = matches.where("kind = 'email'").select("rid", F.lit(None).cast("string").alias("term"), "start", "end")
+    """The occurrences that overlap no match. Only emails and secrets hold letters; terms don't overlap each other."""
+    lettered = matches.where("kind in ('email', 'secret')").select("rid", F.lit(None).cast("string").alias("term"), "start", "end")
     by = Window.partitionBy("rid").orderBy("start", F.col("term").isNotNull())
-    email = F.col("term").isNull()
-    before = F.max(F.when(email, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.lead(F.when(email, F.col("start"))).over(by)
-    rows = terms.unionByName(emails).withColumns({"before": before, "after": after})
-    return rows.where(~email & (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.col("after").isNull() | (F.col("after") >= F.col("end")))).select("rid", "term", "start", "end")
+    match = F.col("term").isNull()
+    before = F.max(F.when(match, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
+    after = F.lead(F.when(match, F.col("start"))).over(by)
+    rows = terms.unionByName(lettered).withColumns({"before": before, "after": after})
+    return rows.where(~match & (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.col("after").isNull() | (F.col("after") >= F.col("end")))).select("rid", "term", "start", "end")
 
 
 def disclosing(n: int, matches: DataFrame, held: DataFrame, n_term: DataFrame, support: int = SUPPORT, disclosed: float = DISCLOSED) -> DataFrame:
     """entity, term, pmi, action of the pairs that disclose. Frequencies are numbers of documents, over all n documents;
     a pair's is that of documents that hold both, at whatever distance. held: rid, term of the documents with matches;
     n_term: term, n_term over all documents, terms with support only."""
-    entities = matches.select("rid", F.concat("kind", F.lit(":"), F.lower("value")).alias("entity")).distinct()
-    n_entity = entities.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
-    often = entities.join(n_entity.select("entity"), "entity")
+    values = matches.select("rid", F.concat("kind", F.lit(":"), F.lower("value")).alias("entity")).distinct()
+    kinds = matches.select("rid", F.col("kind").alias("entity")).distinct()
+    # Written, so that Spark knows their size and can split a frequent entity's rows in the joins.
+    n_value = staged(values.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support), "pii-values")
+    n_kind = kinds.groupBy("entity").agg(F.count("*").alias("n_entity")).where(F.col("n_entity") >= support)
+    often = values.join(n_value.select("entity"), "entity").unionByName(kinds)
+    n_entity = staged(n_value.unionByName(n_kind), "pii-entities")
     n_both = held.join(often, "rid").groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support)
     pairs = n_both.join(n_entity, "entity").join(n_term, "term")
     pmi = F.log2(F.col("n_both") * F.lit(float(n)) / (F.col("n_entity") * F.col("n_term")))
@@ -110,9 +119,9 @@ def disclosing(n: int, matches: DataFrame, held: DataFrame, n_term: DataFrame, s
 
 
 def find(documents: DataFrame) -> DataFrame:
-    """doc_id, spans of every document: (kind, rank, start, end) with the base kinds and then remove and generalise.
+    """doc_id, spans of every document: (kind, rank, start, end): the base kinds, secret, remove and generalise.
 
-    Spans are ordered by start, then kind as listed. A null text counts as empty and has none; repeated rows each have
+    Spans are ordered by start, then kind as listed; those of a term that discloses several entities are one. A null text counts as empty and has none; repeated rows each have
     theirs; an empty table gives an empty result. Terms that overlap a base span of their document are left out, of the
     frequencies too; every other occurrence of a disclosing term, in any document, has a span.
     """
@@ -126,7 +135,7 @@ def find(documents: DataFrame) -> DataFrame:
     # Written, so that its size is known before the texts would be shuffled to meet it.
     also = staged(distinct_terms(plain).join(terms, "term", "left_semi").select("rid").distinct(), "pii-also")
     hits = free.unionByName(occurrences(plain.join(also, "rid", "left_semi"))).join(terms, "term")
-    more = hits.select("rid", "start", F.when(F.col("kind") == "remove", 4).otherwise(5).alias("rank"), "kind", "end")
+    more = hits.select("rid", "start", F.when(F.col("kind") == "remove", len(KINDS)).otherwise(len(KINDS) + 1).alias("rank"), "kind", "end")
     every = matches.select("rid", "start", "rank", "kind", "end").unionByName(more)
     spans = every.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
     none = F.array().cast(spans.schema["spans"].dataType)
