@@ -18,9 +18,11 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a new one where that is unset."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir, or in local mode (tests) a new one."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
         app = spark.sparkContext.applicationId
         found = _own.setdefault(app, tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp"))
     return found.rstrip("/")
@@ -46,6 +48,14 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a staged table that nothing will read again."""
+    jvm = df.sparkSession._jvm
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bucket_bits(n: int) -> int:
     """Bits of a hash that deal n rows to about sqrt(n) buckets of about sqrt(n) rows."""
     return max(1, (max(n, 1).bit_length() + 1) // 2)

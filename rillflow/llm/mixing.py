@@ -67,16 +67,16 @@ def schedule(spark, sources: DataFrame, n_slots: int) -> DataFrame:
     return running_total(mapped, ["src"], "stretch", ["slot"], F.lit(1), "rank").select("slot", "src", "rank")
 
 
-def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: float = REPEATS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: float = REPEATS, block: int = BLOCK, row: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, schedule) of the mix, both deterministic.
 
-    Documents: doc_id, h (a hash of the text), source, size, source_size, target, taken, one row per input row; taken
+    Documents: doc_id, h (a hash of the text, unless row is given), source, size, source_size, target, taken, one row per input row; taken
     counts words, repeats included, at most ceil(repeats) times size. Schedule: slot, src, block, pass. Null texts have
     size 0 and are never taken; a null source is a source; repeated rows are separate stretches of the stream; an empty
     table gives empty results. Only doc_id, text and source are read.
     """
     spark = documents.sparkSession
-    rows = documents.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("h"))
+    rows = documents.select("doc_id", "source", n_words(F.col("text")).alias("size"), (F.xxhash64("text") if row is None else row).alias("h"))
     rows = staged(rows, "mix-sizes")
     per = staged(targets(rows, weights, share, repeats), "mix-targets")
     passes = math.ceil(repeats)
@@ -103,17 +103,31 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: fl
     return full.select("doc_id", "h", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), planned
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The text up to the end of its n-th word, as it stands: white space between and before the words is kept."""
+    gaps, words = F.split(text, WORDS, -1), F.regexp_extract_all(text, F.lit(WORDS), F.lit(0))
+    return F.array_join(F.slice(F.zip_with(gaps, words, lambda g, w: F.concat(g, F.coalesce(w, F.lit("")))), 1, n.cast("int")), "")
+
+
 def mixed_rows(documents: DataFrame, **how) -> DataFrame:
-    """The mix's rows: each document as often as it is taken whole, then its first words for what is left over.
+    """The mix's rows: a document as often as all its words are taken, and a part of it where a pass ends inside it.
 
-    Rows equal in doc_id and text share their words evenly. Documents without words, and ones not taken, leave no row.
+    A pass takes the blocks of a source's stream one after another, so what it takes of a document is a stretch from
+    its first word on; that stretch is cut out of the text as it stands, and n_chars (if there) is counted anew. Rows
+    equal in all columns are interchangeable: what is taken of them together is dealt as whole copies and one part.
+    Documents without words, null texts and documents not taken leave no row; an empty table gives an empty result.
     """
-    taken, _ = mix(documents, **how)
-    per = taken.groupBy("doc_id", "h").agg((F.sum("taken") / F.count("*")).cast("long").alias("_mix_taken"), F.max("size").alias("_mix_size")).where("_mix_taken > 0")
-    per = per.select(F.col("doc_id").alias("_mix_id"), F.col("h").alias("_mix_h"), "_mix_taken", "_mix_size")
-    rows = documents.join(per, F.col("doc_id").eqNullSafe(F.col("_mix_id")) & (F.xxhash64("text") == F.col("_mix_h")))
+    columns = documents.columns
+    row = lambda: F.struct(F.xxhash64(*columns).alias("a"), F.hash(*columns).alias("b"))
+    taken, _ = mix(documents, row=row(), **how)
+    per = taken.groupBy(F.col("h").alias("_mix_h")).agg(F.sum("taken").alias("_mix_taken"), F.max("size").alias("_mix_size")).where("_mix_taken > 0")
+    # One shuffle of the texts serves both: repeated rows become one, which then meets what is taken of it.
+    rows = documents.withColumn("_mix_h", row()).dropDuplicates(["_mix_h"]).join(per, "_mix_h")
     rows = rows.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_mix_taken") / F.col("_mix_size")))))
     rest = F.col("_mix_taken") - (F.col("_mix_copy") - 1) * F.col("_mix_size")
-    cut = F.array_join(F.slice(F.split(F.btrim("text", F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+"), 1, rest.cast("int")), " ")
-    rows = rows.withColumn("text", F.when(rest >= F.col("_mix_size"), F.col("text")).otherwise(cut)).drop("_mix_id", "_mix_h", "_mix_taken", "_mix_size", "_mix_copy")
-    return rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in documents.columns else rows
+    part = rest < F.col("_mix_size")
+    made = {"text": F.when(part, first_words(F.col("text"), rest)).otherwise(F.col("text"))}
+    if "n_chars" in columns:
+        kind = documents.schema["n_chars"].dataType
+        made["n_chars"] = F.when(part, F.length(made["text"]).cast(kind)).otherwise(F.col("n_chars"))
+    return rows.withColumns(made).select(*columns)

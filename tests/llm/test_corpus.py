@@ -64,6 +64,18 @@ def test_mix_edges(spark):
     got = sorted((r.doc_id, r.size, r.taken) for r in mixing.mix(docs)[0].collect())
     assert got[:2] == [(0, 0, 0), (1, 0, 0)] and 4 <= got[2][2] <= 6
     assert mixing.mix(docs.limit(0))[0].count() == 0 and mixing.mix(docs_of(spark, [None, ""]))[0].agg({"taken": "sum"}).first()[0] == 0
+    ragged = [f"  {i}\n" + "w\t\n w " * 15 + "end\n" for i in range(300)]
+    docs = docs_of(spark, ragged, extra=True)
+    docs = docs.unionByName(docs.where("doc_id < 40")).unionByName(docs.where("doc_id < 5"))
+    rows = mixing.mixed_rows(docs, share=1.37)
+    parts = [(r.doc_id, r.text, r.n_chars) for r in rows.collect()]
+    assert all(ragged[i].startswith(t) and n == len(t) and t for i, t, n in parts) and sum(ragged[i] != t for i, t, _ in parts) <= 3
+    per, words = {}, lambda t: len(t.split())
+    for i, t, _ in parts:
+        per[i] = per.get(i, 0) + words(t)
+    taken = {r.doc_id: r.t for r in mixing.mix(docs, share=1.37, row=mixing.F.xxhash64(*docs.columns))[0].groupBy("doc_id").agg(mixing.F.sum("taken").alias("t")).collect()}
+    assert sum(per.values()) == sum(taken.values()) and mixing.mixed_rows(docs.limit(0)).count() == 0
+    assert [r.x for r in spark.createDataFrame([(" a  b\tc\n",)], "t string").select(mixing.F.explode(mixing.F.array(*[mixing.first_words(mixing.F.col("t"), mixing.F.lit(n)) for n in range(4)])).alias("x")).collect()] == ["", " a", " a  b", " a  b\tc"]
     rows = mixing.mixed_rows(docs_of(spark, [f"{i} " + "w " * 30 for i in range(300)], extra=True))
     assert rows.columns == docs_of(spark, [""], extra=True).columns
     per = {r.doc_id: r["count"] for r in rows.groupBy("doc_id").count().collect()}
@@ -86,11 +98,41 @@ def test_shards(spark):
         slots = sorted(r.slot for r in rows if r.shard == s)
         assert slots == list(range(len(slots)))
     assert len({r.shard for r in rows if texts[r.doc_id] == "same small text"}) == 1
+    assert len({r.shard for r in rows if texts[r.doc_id] == "a big copy " * 50}) > 1  # no shard can hold them all
     assert sorted(map(tuple, sharding.shard(docs).collect())) == sorted(map(tuple, rows))
     assert sharding.shard(docs.limit(0)).count() == 0 and sharding.shard(docs.limit(1)).count() == 1
     assert sharding.shard(docs.select("doc_id", "text"), 5).agg({"shard": "max"}).first()[0] == 4
 
 
+def test_equal_texts_stay_together(spark):
+    """A group stays whole up to what a shard holds."""
+    rng = random.Random(14)
+    texts = ["x" * rng.randrange(900) + str(i) for i in range(3000)]
+    room = sum(len(t) + 8 for t in texts) / 24
+    copies = {f"copy {k} " * 20: int(room * k / 10 / (20 * len(f"copy {k} ") + 8)) for k in (4, 8, 9)}
+    texts += [t for t, n in copies.items() for _ in range(n)]
+    rows = sharding.shard(docs_of(spark, texts)).collect()
+    total = [sum(r["size"] for r in rows if r.shard == s) for s in range(24)]
+    assert max(total) < 1.05 * min(total)
+    for t in copies:
+        assert len({r.shard for r in rows if texts[r.doc_id] == t}) == 1
+
+
+def test_sources_with_a_common_start(spark):
+    """A dimension's values are told apart however they start: shards are runs of sources."""
+    texts = [f"{i:05d} " * 20 for i in range(2400)]
+    sources = [f"commoncrawl-2024-{i:03d}" for i in range(48)]
+    rows = sharding.shard(docs_of(spark, texts, sources), 8).collect()
+    per = {s: sorted({r.doc_id % 48 for r in rows if r.shard == s}) for s in range(8)}
+    assert all(len(x) <= 8 and x == list(range(x[0], x[-1] + 1)) for x in per.values())
+
+
+def test_large_groups_are_placed():
+    group = lambda n, h: type("G", (), {"bytes": n, "h": h, "text_crc32": 0})
+    placed, left = sharding.place_large([group(50, 1), group(100, 2), group(60, 3), group(101, 4)], 2, 100.0)
+    assert placed == [(None, 50), (0, 1), (1, 1), (None, 101)] and left == [0.0, 40.0]
+
+
 def brute_fingerprint(text):
     ws = (text or "").encode()
     ws = bytes(b + 32 if 65 <= b <= 90 else b for b in ws).split()
