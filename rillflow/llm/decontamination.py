@@ -6,24 +6,28 @@ shingle along, so only that necessary prefix is joined with the documents' shing
 (the shingle's position less its offset in the window): the window must fit between the document's first and last word
 (positional and length bounds), and its words must equal the document's (exact containment).
 
-The benchmark is a stated query set: its (window, item) pairs are dealt by hash to blocks of bounded size, and every
-document meets every block. Blocks are the only thing that is sent to all executors.
+Neither the benchmark nor its index passes through the driver or is broadcast: shingles and prefixes are digest indexes
+in the shared folder, which the tasks map into memory, so a task's memory doesn't grow with the benchmark.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+import json
 from collections.abc import Iterator
-from itertools import repeat
+from functools import lru_cache
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillflow.llm import digests
+from rillflow.llm.common import LOWER, UPPER, staged
+
 WINDOW, SHINGLE = 10, 5
-#: (window, item) pairs in a block that is sent to the executors; more pairs make more blocks.
-BLOCK_PAIRS = 200_000
+#: Shingles found that a counting task holds before it adds them up; parsed prefixes that a judging task keeps.
+HELD, KEPT = 1 << 20, 1 << 16
 
 #: Bytes to word bytes: A-Z lower-cased; all that isn't 0-9, a-z or outside ASCII becomes a space.
 _FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -34,64 +38,13 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).split()
 
 
-class Block:
-    """The windows of one block, indexed by the hash of their shingles."""
-
-    def __init__(self, pairs: list[tuple[str, int]], size: int = SHINGLE):
-        items = defaultdict(set)
-        for w, item in pairs:
-            items[tuple(w.encode().split(b" "))].add(item)
-        self.windows = sorted(items)
-        self.items = [sorted(items[w]) for w in self.windows]
-        self.ids = {w: i for i, w in enumerate(sorted({w for win in self.windows for w in win}), 1)}
-        # Windows of fewer words than a shingle are their own shingle; shingles of one length are hashed alike.
-        self.lengths = sorted({min(size, len(w)) for w in self.windows})
-        self.of: list[tuple[int, np.ndarray]] = []  # for each window its shingle length and shingle hashes
-        for w in self.windows:
-            n = min(size, len(w))
-            self.of.append((n, hashed(np.array([self.ids[x] for x in w], np.uint64), n)))
-        self.keys = {n: np.unique(np.concatenate([h for k, h in self.of if k == n])) for n in self.lengths}
-        self.bitmap = {n: bitmap(k) for n, k in self.keys.items()}
-
-    def numbers(self, ws: list[bytes]) -> np.ndarray:
-        """Words as numbers; 0 is any word that no window has."""
-        return np.fromiter(map(self.ids.get, ws, repeat(0)), np.int64, len(ws)).view(np.uint64)
-
-    def places(self, ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Positions whose n-word shingle is in some window, and the shingles' ranks in keys[n]."""
-        if len(ids) < n:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        h = hashed(ids, n)
-        at = np.flatnonzero(self.bitmap[n][(h >> np.uint64(44)).astype(np.int64)])
-        rank = np.searchsorted(self.keys[n], h[at])
-        ok = self.keys[n][np.minimum(rank, len(self.keys[n]) - 1)] == h[at]
-        return at[ok], rank[ok]
-
-    def order(self, counts: dict[int, np.ndarray]) -> None:
-        """Fixes each window's prefix: the shingle that the corpus holds least often, the first of equally rare ones."""
-        self.prefix: dict[int, dict[int, list[tuple[int, int]]]] = {n: defaultdict(list) for n in self.lengths}
-        for i, (n, h) in enumerate(self.of):
-            rank = np.searchsorted(self.keys[n], h)
-            offset = int(np.argmin(counts[n][rank]))
-            self.prefix[n][int(rank[offset])].append((i, offset))
-        self.wanted = {n: np.array(sorted(p), np.int64) for n, p in self.prefix.items()}
-        self.windows_ids = [np.array([self.ids[x] for x in w], np.uint64) for w in self.windows]
-
-    def hits(self, ids: np.ndarray, covered: np.ndarray, items: set[int]) -> None:
-        """Marks covered words and adds the items found. Word numbers are exact, so equal numbers are equal words."""
-        for n in self.lengths:
-            at, rank = self.places(ids, n)
-            keep = np.isin(rank, self.wanted[n])
-            for p, r in zip(at[keep].tolist(), rank[keep].tolist(), strict=True):
-                for i, offset in self.prefix[n][r]:
-                    start, w = p - offset, self.windows_ids[i]
-                    if start >= 0 and start + len(w) <= len(ids) and np.array_equal(ids[start : start + len(w)], w):
-                        covered[start : start + len(w)] = True
-                        items.update(self.items[i])
+def numbers(ws: list[bytes]) -> np.ndarray:
+    """A number of each word; equal words have equal ones, others nearly always not."""
+    return np.fromiter(map(crc32, ws), np.uint64, len(ws))
 
 
 def hashed(ids: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all n-word shingles of a row of word numbers."""
+    """Digests of all n-word shingles of a row of word numbers."""
     h = np.full(max(len(ids) - n + 1, 0), n, np.uint64)
     for k in range(n):
         h = (h ^ ids[k : k + len(h)]) * _P
@@ -99,76 +52,121 @@ def hashed(ids: np.ndarray, n: int) -> np.ndarray:
     return h * _P
 
 
-def bitmap(keys: np.ndarray) -> np.ndarray:
-    out = np.zeros(1 << 20, bool)
-    out[(keys >> np.uint64(44)).astype(np.int64)] = True
-    return out
+def window_items(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """window, items: each distinct window (its words joined by spaces) with the JSON list of the items that have it,
+    as strings; a null stands for items without an id. Items without words have no window."""
+    text = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    found = benchmark.select(F.col("item_id").cast("string").alias("item"), F.regexp_extract_all(text, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)).alias("ws"))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("ws") - size + 1, F.lit(1)))
+    one = found.where(F.size("ws") > 0).select("item", "ws", F.explode(starts).alias("at"))
+    pairs = one.select(F.array_join(F.slice("ws", F.col("at"), size), " ").alias("window"), "item")
+    ids = F.array_sort(F.collect_set("item"))
+    nameless = F.array(F.lit(None).cast("string"))
+    items = F.when(F.max(F.col("item").isNull()), F.concat(ids, nameless)).otherwise(ids)
+    return pairs.groupBy("window").agg(F.to_json(items).alias("items"))
 
 
-def window_pairs(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """(window, item_id), distinct; a window is its words joined by spaces. Items without words have none."""
-    text = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    found = benchmark.where(F.col("item_id").isNotNull()).select("item_id", F.regexp_extract_all(text, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0)).alias("ws"))
-    starts = F.sequence(F.lit(1), F.greatest(F.size("ws") - size + 1, F.lit(1)))
-    one = found.where(F.size("ws") > 0).select("item_id", "ws", F.explode(starts).alias("at"))
-    return one.select(F.array_join(F.slice("ws", F.col("at"), size), " ").alias("window"), "item_id").distinct()
+def shingles(windows: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """window, n, offset, digest of each window's shingles; a window of fewer words is its own shingle of n words."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for w in batch.column("window").to_pylist():
+                ws = w.encode().split(b" ")
+                n = min(size, len(ws))
+                out += [(w, n, i, h) for i, h in enumerate(hashed(numbers(ws), n).view(np.int64).tolist())]
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.int32(), pa.int64()), strict=True)] if out else []
+            if columns:
+                yield pa.RecordBatch.from_arrays(columns, names=["window", "n", "offset", "digest"])
+
+    return windows.select("window").mapInArrow(cut, "window string, n int, offset int, digest long")
+
+
+def frequencies(documents: DataFrame, index: str, lengths: list[int]) -> DataFrame:
+    """digest, count: how often all texts hold each shingle of the index."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, held, n_held = digests.Index(index), [], 0
 
+        def added() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["digest", "count"])
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_pairs: int = BLOCK_PAIRS, columns: list[str] | None = None, prefix: str = "") -> DataFrame:
+        for batch in batches:
+            for text in batch.column("text"):
+                ids = numbers(words(text.as_py()))
+                for n in lengths:
+                    h = hashed(ids, n).view(np.int64)
+                    if len(at := keys.found(h)):
+                        held.append(h[at])
+                        n_held += len(at)
+            if n_held >= HELD:
+                yield added()
+                held, n_held = [], 0
+        if held:
+            yield added()
+
+    return documents.select("text").mapInArrow(count, "digest long, count long").groupBy("digest").agg(F.sum("count").alias("count"))
+
+
+def prefixes(benchmark: DataFrame, documents: DataFrame, size: int = WINDOW) -> tuple[str, list[int]]:
+    """(index, lengths): the digest index of each window's rarest shingle, the first of equally rare ones, with the
+    shingle's offset, the window and its items; and the numbers of words that shingles have (at most SHINGLE)."""
+    windows = staged(window_items(benchmark, size), "benchmark-windows")
+    of = staged(shingles(windows), "benchmark-shingles")
+    lengths = sorted(r.n for r in of.select("n").distinct().collect())
+    keys = of.select("digest").distinct().withColumn("entry", F.lit(""))
+    seen = staged(frequencies(documents, digests.write(keys, keys.count(), "benchmark-keys"), lengths), "benchmark-counts")
+    known = of.join(seen, "digest", "left").withColumn("count", F.coalesce("count", F.lit(0)))
+    first = known.groupBy("window").agg(F.min_by(F.struct("digest", "offset"), F.struct("count", "offset")).alias("x"))
+    entry = F.concat_ws("\n", F.col("x.offset").cast("string"), "window", "items").alias("entry")
+    return digests.write(first.join(windows, "window").select("x.digest", entry), windows.count(), "benchmark-prefixes"), lengths
+
+
+def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, columns: list[str] | None = None, prefix: str = "") -> DataFrame:
     """The columns (all, unless listed) of every document with n_words, n_hit, items (sorted ids of found items), named
     after the prefix.
 
-    A null or empty text has no words and no hits; null item texts and ids are left out; an empty benchmark hits
-    nothing. Equal items are all found; repeated documents are judged one by one. Columns of documents named as a
-    result column are replaced.
+    A null or empty text has no words and no hits, and gives no window; texts of any length are judged whole. Items may
+    have ids of any simple type; a null id stands in items as null, once, after the others. An empty benchmark hits
+    nothing, an empty table gives an empty result. Equal items are all found; repeated documents are judged one by one.
+    Columns of documents named as a result column are replaced.
     """
-    spark = documents.sparkSession
     made = [f"{prefix}{c}" for c in ("n_words", "n_hit", "items")]
     columns = [c for c in columns or documents.columns if c.lower() not in made]
-    pairs = window_pairs(benchmark, size).cache()
-    n_blocks = max(1, -(-pairs.count() // block_pairs))
-    block_of = F.pmod(F.xxhash64("window", "item_id"), F.lit(n_blocks))
-    blocks = [Block([tuple(r) for r in pairs.where(block_of == b).select("window", "item_id").collect()]) for b in range(n_blocks)]
-    pairs.unpersist()
-    sent = [spark.sparkContext.broadcast(b) for b in blocks]
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = [{n: np.zeros(len(k), np.int64) for n, k in s.value.keys.items()} for s in sent]
-        for batch in batches:
-            for text in batch.column("text"):
-                ws = words(text.as_py())
-                for s, total in zip(sent, totals, strict=True):
-                    ids = s.value.numbers(ws) if ws else np.zeros(0, np.uint64)
-                    for n in s.value.lengths:
-                        np.add.at(total[n], s.value.places(ids, n)[1], 1)
-        for b, total in enumerate(totals):
-            for n, t in total.items():
-                at = np.flatnonzero(t)
-                yield pa.RecordBatch.from_pydict({"b": pa.array([b] * len(at), pa.int32()), "n": pa.array([n] * len(at), pa.int32()), "rank": pa.array(at, pa.int64()), "count": pa.array(t[at], pa.int64())})
-
-    frequent = documents.select("text").mapInArrow(count, "b int, n int, rank long, count long").groupBy("b", "n", "rank").agg(F.sum("count").alias("count"))
-    seen = [{n: np.zeros(len(k), np.int64) for n, k in b.keys.items()} for b in blocks]
-    for r in frequent.collect():  # at most one row per shingle of the benchmark
-        seen[r.b][r.n][r.rank] = r["count"]
-    for s in sent:
-        s.unpersist()
-    for b, counts in zip(blocks, seen, strict=True):
-        b.order(counts)
-    ready = [spark.sparkContext.broadcast(b) for b in blocks]
+    index, lengths = prefixes(benchmark, documents, size)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = digests.Index(index)
+
+        @lru_cache(KEPT)
+        def parsed(digest: int) -> list[tuple[int, list[bytes], list]]:
+            parts = [e.split(b"\n") for e in keys.entries(digest)]
+            return [(int(offset), window.split(b" "), json.loads(items)) for offset, window, items in parts]
+
         for batch in batches:
             n_words, n_hit, found = [], [], []
             for text in batch.column("text"):
                 ws = words(text.as_py())
-                covered, items = np.zeros(len(ws), bool), set()
-                for s in ready if ws else []:
-                    s.value.hits(s.value.numbers(ws), covered, items)
+                ids, covered, items = numbers(ws), None, set()
+                for n in lengths:
+                    h = hashed(ids, n).view(np.int64)
+                    at = keys.found(h)
+                    for p, digest in zip(at.tolist(), h[at].tolist(), strict=True):
+                        for offset, window, some in parsed(digest):
+                            start = p - offset
+                            if start >= 0 and start + len(window) <= len(ws) and ws[start : start + len(window)] == window:
+                                covered = np.zeros(len(ws), bool) if covered is None else covered
+                                covered[start : start + len(window)] = True
+                                items.update(some)
                 n_words.append(len(ws))
-                n_hit.append(int(covered.sum()))
-                found.append(sorted(items))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=[*columns, *made])
+                n_hit.append(0 if covered is None else int(covered.sum()))
+                found.append(list(items))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=[*columns, *made])
 
     rows = documents.select(*columns) if "text" in columns else documents.select(*columns, "text")
     schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    return rows.mapInArrow(judge, f"{schema}, `{made[0]}` long, `{made[1]}` long, `{made[2]}` array<bigint>")
+    judged = rows.mapInArrow(judge, f"{schema}, `{made[0]}` long, `{made[1]}` long, `{made[2]}` array<string>")
+    kind = benchmark.schema["item_id"].dataType.simpleString()
+    return judged.withColumn(made[2], F.array_sort(F.col(made[2]).cast(f"array<{kind}>")))

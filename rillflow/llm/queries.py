@@ -20,7 +20,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    index = url_filter.write_index(url_filter.marked_hosts(pages), "entry")
+    index = url_filter.write_index(url_filter.unwanted(spark), "entry")
     return url_filter.filter_urls(pages, index).drop("listed")
 
 
@@ -91,10 +91,12 @@ ORACLE_SQL = {
         WITH parts AS (SELECT page_id,
                 translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
                 regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+            sites(h) AS (SELECT s || '.example.' || d FROM (VALUES ('adult-x'), ('ads-track'), ('casino-win'), ('cheap-pills'), ('free-bets'), ('spam-farm')) AS a(s), (VALUES ('com'), ('net'), ('org')) AS b(d)),
+            listed AS (SELECT DISTINCT host AS bad FROM parts JOIN sites ON host = h OR ends_with(host, '.' || h)),
             rules(kind, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
             fits AS (SELECT page_id, host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(kind, length(h || p)) AS kind
                 FROM parts LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL)
-        SELECT page_id, host, path, rule, coalesce(kind, CASE WHEN regexp_matches(host, 'spam|pills|casino|porn|malware') THEN 'block' ELSE 'allow' END) AS verdict FROM fits""",
+        SELECT page_id, host, path, rule, coalesce(kind, CASE WHEN bad IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict FROM fits LEFT JOIN listed ON host = bad""",
     "op5_decontaminate": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
             b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

@@ -1,27 +1,26 @@
 """URL filters: a sorted array of 64-bit digests, memory-mapped and probed by vectorised binary search.
 
-The listed strings (hosts, or host plus path) are range-partitioned by digest; each partition writes three flat files
-to the shared folder: sorted xxhash64 keys, 64-bit offsets, and the strings themselves. A probing task maps the files,
-searches the keys, and confirms each equal key against the stored string, so a digest collision never blocks a url.
+The listed strings (hosts, or host plus path) become a digest index (see digests). A probing task takes the digests of
+a url's host, of its parent domains and of host plus path, searches the sorted keys for all of a batch at once, and
+confirms each equal key against the stored string, so a digest collision never blocks a url.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import LOWER, UPPER, mounted, new_path
+from rillflow.llm import digests
+from rillflow.llm.common import LOWER, UPPER
 
 #: Allow and block rules (verdict, host, path); the longest that fits decides before the digest list does.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: Host labels that mark an unwanted site; every host with one becomes an entry of the digest list.
-MARKS = ("spam", "pills", "casino", "porn", "malware")
+#: The list of the query: unwanted sites, each under three domains; their subdomains are listed with them.
+SITES, DOMAINS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"), ("example.com", "example.net", "example.org")
 
 
 def host_of(url: Column) -> Column:
@@ -44,114 +43,64 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def write_index(entries: DataFrame, column: str, shards: int = 8) -> str:
-    """Writes the distinct non-empty strings of a column as digest shards; returns the index folder.
+def unwanted(spark: SparkSession, sites=SITES, domains=DOMAINS) -> DataFrame:
+    """entry: the listed hosts."""
+    hosts = [f"{s}.{d}" for s in sites for d in domains]
+    return spark.range(1).select(F.explode(F.array(*[F.lit(h) for h in hosts])).alias("entry"))
+
+
+def write_index(entries: DataFrame, column: str) -> str:
+    """Writes the distinct non-empty strings of a column as a digest index; returns its folder.
 
     Null and empty entries are left out, repeated ones count once. An empty table gives an index without entries.
-    Each shard's files appear by rename, so a task that runs again leaves one whole copy.
     """
-    spark = entries.sparkSession
-    folder = new_path(spark, "url-index")
-    root = mounted(folder)
-    os.makedirs(root, exist_ok=True)
-    rows = entries.select(F.col(column).alias("entry")).where("entry is not null and entry <> ''").distinct().withColumn("digest", F.xxhash64("entry"))
-    ordered = rows.repartitionByRange(shards, "digest").sortWithinPartitions("digest", "entry")
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        context = TaskContext.get()
-        base = f"{root}/shard-{context.partitionId():05d}"
-        temp, n, at = f"{base}.{context.taskAttemptId()}", 0, 0
-        with open(f"{temp}.keys", "wb") as keys, open(f"{temp}.offsets", "wb") as offsets, open(f"{temp}.strings", "wb") as strings:
-            offsets.write(np.zeros(1, "<i8").tobytes())
-            for batch in batches:
-                data = [x.encode() for x in batch.column("entry").to_pylist()]
-                ends = at + np.cumsum([len(x) for x in data], dtype="<i8") if data else np.zeros(0, "<i8")
-                keys.write(batch.column("digest").to_numpy().astype("<i8").tobytes())
-                offsets.write(ends.tobytes())
-                strings.write(b"".join(data))
-                n, at = n + len(data), int(ends[-1]) if data else at
-        for kind in ("strings", "offsets", "keys"):
-            os.replace(f"{temp}.{kind}", f"{base}.{kind}")
-        yield pa.RecordBatch.from_pydict({"n": [n]})
-
-    ordered.mapInArrow(write, "n long").agg(F.sum("n")).collect()
-    return folder
-
-
-class DigestIndex:
-    """The shards of one index, memory-mapped; the pages that searches touch are all that is read."""
-
-    def __init__(self, root: str):
-        self.shards = []
-        for name in sorted(x[:-5] for x in os.listdir(root) if x.endswith(".keys") and x.count(".") == 1):
-            keys_path, strings_path = f"{root}/{name}.keys", f"{root}/{name}.strings"
-            if os.path.getsize(keys_path):
-                keys = np.memmap(keys_path, "<i8", "r")
-                self.shards.append((keys, np.memmap(f"{root}/{name}.offsets", "<i8", "r"), np.memmap(strings_path, np.uint8, "r")))
-
-    def __contains__(self, entry: str) -> bool:
-        import xxhash
+    rows = entries.select(F.col(column).alias("entry")).where("entry is not null and entry <> ''").distinct()
+    return digests.write(rows.withColumn("digest", F.xxhash64("entry")), rows.count(), "url-index")
+
 
-        return bool(self.probe(np.array([xxhash.xxh64_intdigest(entry.encode(), 42)], np.uint64).view("<i8"), [entry])[0])
-
-    def holds(self, digests: np.ndarray) -> np.ndarray:
-        """For each digest whether some key equals it: one binary search per shard over its own range."""
-        found = np.zeros(len(digests), bool)
-        for keys, _, _ in self.shards:
-            at = np.minimum(np.searchsorted(keys, digests), len(keys) - 1)
-            found |= keys[at] == digests
-        return found
-
-    def probe(self, digests: np.ndarray, entries: list[str]) -> np.ndarray:
-        """For each (digest, string) whether the string is listed."""
-        found = np.zeros(len(entries), bool)
-        for keys, offsets, strings in self.shards:
-            at = np.searchsorted(keys, digests)
-            for i, p in enumerate(at.tolist()):
-                want = entries[i].encode()
-                while not found[i] and p < len(keys) and keys[p] == digests[i]:
-                    found[i] = strings[offsets[p] : offsets[p + 1]].tobytes() == want
-                    p += 1
-        return found
+def candidates(host: bytes, path: bytes, longest: int) -> list[bytes]:
+    """What of a url may be listed, first what names it most narrowly as a host: the host, its parent domains, host
+    plus path. Strings longer than the longest entry can't be; they are not even made, so a host of any number of
+    labels takes time in proportion to its length."""
+    out, at = [], len(host)
+    while at > 0 and len(host) - (at := host.rfind(b".", 0, at) + 1) <= longest:
+        out.append(host[at:])
+        at -= 1
+    if host and at == 0 and len(host) <= longest:  # a host that starts with a full stop
+        out.append(host)
+    whole = host + path
+    return out[::-1] + ([whole] if path and len(whole) <= longest else [])
 
 
 def filter_urls(pages: DataFrame, index: str, rules=RULES, url: str = "url", key: str = "page_id") -> DataFrame:
     """key, host, path, rule, verdict, listed (the entry that blocked it) for every row.
 
     A url is listed if its host, a parent domain of it, or host plus path is an entry. Null urls and urls without ://
-    have empty host and path, fit no rule and are allowed; repeated rows are judged one by one; other columns of
-    pages, whatever their names, are not read.
+    have empty host and path, fit no rule and are allowed; urls of any length are judged whole; repeated rows are
+    judged one by one; an empty table gives an empty result; other columns of pages, whatever their names, are not
+    read.
     """
-    root = mounted(index)
-    parts = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    labels = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    entries = F.when(F.col("host") == "", F.array().cast("array<string>")).otherwise(F.array_append(parents, F.concat("host", "path")))
-    rows = parts.withColumn("entries", entries).withColumn("digests", F.transform("entries", lambda x: F.xxhash64(x)))
+    rows = pages.select(F.col(key).alias("key"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = DigestIndex(root)
+        import xxhash
+
+        listing = digests.Index(index)
         for batch in batches:
-            owner = np.repeat(np.arange(batch.num_rows), batch.column("entries").value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-            flat = batch.column("entries").flatten()
-            digests = batch.column("digests").flatten().to_numpy(zero_copy_only=False)
+            owner, asked = [], []
+            for i, (host, path) in enumerate(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)):
+                some = candidates(host.encode(), path.encode(), listing.longest)
+                owner += [i] * len(some)
+                asked += some
+            found = np.array([xxhash.xxh64_intdigest(x, 42) for x in asked], np.uint64).view(np.int64)
             listed: list[str | None] = [None] * batch.num_rows
-            if len(digests):
-                at = np.flatnonzero(index.holds(digests))
-                strings = flat.take(pa.array(at)).to_pylist()
-                for i, entry, ok in zip(at.tolist(), strings, index.probe(digests[at], strings).tolist(), strict=True):
-                    if ok and listed[owner[i]] is None:
-                        listed[owner[i]] = entry
+            for i in listing.found(found).tolist():
+                if listed[owner[i]] is None and asked[i] in listing.entries(int(found[i])):
+                    listed[owner[i]] = asked[i].decode()
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("key", "host", "path")), pa.array(listed, pa.string())], names=["key", "host", "path", "listed"])
 
-    judged = rows.mapInArrow(judge, f"key {parts.schema['key'].dataType.simpleString()}, host string, path string, listed string")
+    judged = rows.mapInArrow(judge, f"key {rows.schema['key'].dataType.simpleString()}, host string, path string, listed string")
     rule, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("listed").isNotNull(), "block").otherwise("allow")
     return judged.select(F.col("key").alias(key), "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "listed")
 
-
-def marked_hosts(pages: DataFrame, marks=MARKS, url: str = "url") -> DataFrame:
-    """The distinct hosts of pages with a label that holds a mark: the digest list's entries."""
-    return pages.select(host_of(F.col(url)).alias("entry")).where(F.col("entry").rlike("|".join(marks))).distinct()
