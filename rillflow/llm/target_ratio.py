@@ -14,6 +14,7 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from rillflow.llm.common import BLANKS, staged
 
@@ -24,6 +25,8 @@ SMOOTHING = 0.2
 #: The share of trusted documents that may lie below the threshold, and the grid that thresholds lie on.
 LOST, STEP = 0.002, 0.001
 LEAST_WORDS, MOST_REPEATED = 50, 50
+#: A set of integer ids is held as bitmaps of 4 KB for 32,768 ids each, which are broadcast up to so many bytes.
+BITMAP, SENT = 4096, 64 << 20
 SYMBOLS = r"[#*$%&|<>]"
 
 
@@ -46,6 +49,25 @@ def fold(text: Column) -> Column:
     return F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(2)).cast("int")
 
 
+def marked(documents: DataFrame, trusted: DataFrame) -> DataFrame:
+    """doc_id, text, _trusted (whether trusted has the doc_id; false for null) of every document.
+
+    Integer ids become bitmaps, 64 times as dense as the ids, so that the texts need not be shuffled to meet them until
+    a corpus has some 500 million documents; beyond that, and for ids of other types, ids are joined by a shuffle.
+    """
+    ids = trusted.select(F.col("doc_id").alias("_id")).where("_id is not null").distinct()
+    rows = documents.select("doc_id", "text")
+    if isinstance(documents.schema["doc_id"].dataType, IntegralType) and isinstance(trusted.schema["doc_id"].dataType, IntegralType):
+        at = F.bitmap_bit_position("_id")
+        bits = staged(ids.groupBy(F.bitmap_bucket_number("_id").alias("_bucket")).agg(F.bitmap_construct_agg(at).alias("_bits")), "trusted-ids")
+        if bits.count() * BITMAP <= SENT:
+            met = rows.withColumn("_bucket", F.bitmap_bucket_number("doc_id")).join(F.broadcast(bits), "_bucket", "left")
+            place = F.bitmap_bit_position("doc_id")
+            byte = F.conv(F.hex(F.substring("_bits", (place / 8 + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+            return met.select("doc_id", "text", F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False)).alias("_trusted"))
+    return rows.join(ids, F.col("doc_id") == F.col("_id"), "left").select("doc_id", "text", F.col("_id").isNotNull().alias("_trusted"))
+
+
 def fit(documents: DataFrame, trusted: DataFrame, n: int = BUCKETS) -> list[list[float]]:
     """The log ratio of each bucket, for texts of fold 0 and of fold 1. trusted: doc_id of trusted documents, all of
     which count, in the fold that they aren't in themselves.
@@ -53,9 +75,8 @@ def fit(documents: DataFrame, trusted: DataFrame, n: int = BUCKETS) -> list[list
     Counts of the raw side are over every document. Smoothing keeps every ratio finite; without trusted documents all
     are 0. The counts that reach the driver are one row per bucket.
     """
-    chosen = trusted.select("doc_id").where("doc_id is not null").distinct().select(F.col("doc_id").alias("_id"), F.lit(1).alias("_trusted"))
-    words = documents.select("doc_id", "text").join(chosen, F.col("doc_id") == F.col("_id"), "left").select("_trusted", fold(F.col("text")).alias("f"), words_of(F.col("text")).alias("w"))
-    grams = words.select(*[F.when((F.col("_trusted") == 1) & (F.col("f") != k), 1).otherwise(0).alias(f"t{k}") for k in (0, 1)], F.explode(buckets(F.col("w"), n)).alias("b"))
+    words = marked(documents, trusted).select("_trusted", fold(F.col("text")).alias("f"), words_of(F.col("text")).alias("w"))
+    grams = words.select(*[F.when(F.col("_trusted") & (F.col("f") != k), 1).otherwise(0).alias(f"t{k}") for k in (0, 1)], F.explode(buckets(F.col("w"), n)).alias("b"))
     found = {r.b: r for r in grams.groupBy("b").agg(F.count("*").alias("raw"), F.sum("t0").alias("t0"), F.sum("t1").alias("t1")).collect()}
     raw = sum(r.raw for r in found.values())
 

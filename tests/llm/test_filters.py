@@ -319,3 +319,17 @@ def test_every_trusted_document_counts(spark):
         target = sum(f != k for f in folds.values()) * share
         seen = sorted({round(w, 3) for w in own[k] if w})
         assert len(seen) <= 4 and (not target or seen[-1] == pytest.approx(math.log(25_000 / target), abs=0.01))
+
+
+def test_trusted_ids(spark, monkeypatch):
+    """Bitmaps and the join agree, for ids of any sign and size, nulls, and ids of another type."""
+    some = [0, 1, 7, 8, -1, -8, -32768, -32769, 32767, 32768, 32769, 65536, 10**15, None, 5]
+    docs = spark.createDataFrame([(i, "x") for i in some + [3, -3, 10**15 + 1, 5]], "doc_id long, text string")
+    trusted = spark.createDataFrame([(i,) for i in some], "doc_id long")
+    want = sorted([(str(i), i is not None) for i in some] + [("3", False), ("-3", False), (str(10**15 + 1), False), ("5", True)])
+    got = lambda d, t: sorted((str(r.doc_id), r._trusted) for r in target_ratio.marked(d, t).collect())
+    assert got(docs, trusted) == want
+    cast = "CAST(doc_id AS STRING) AS doc_id"
+    assert got(docs.selectExpr(cast, "text"), trusted.selectExpr(cast)) == want
+    monkeypatch.setattr(target_ratio, "SENT", 0)
+    assert got(docs, trusted) == want
