@@ -10,6 +10,9 @@ Secrets (long runs of hex digits, such as access tokens) are protected beside th
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,21 +60,25 @@ def valid(kind: Column, value: Column) -> Column:
     return F.when(kind == "email", True).when(kind == "secret", secret).when(kind == "ip", value.rlike(rf"^{part}(?:\.{part}){{3}}$")).when(kind == "card", luhn).otherwise(F.length(digits).between(9, 15))
 
 
+def valid_as(kind: str):
+    return lambda m: valid(F.lit(kind), m["value"])
+
+
 def scan(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, matches): rid, doc_id, text t and might (false: without any match) of every document; rid, kind, rank, start, end, value of each valid match.
+    """(rows, matches): rid, doc_id, text t and might (whether it has a valid match) of every document; rid, kind, rank, start, end, value of each valid match.
 
     rid numbers the rows of the written scan, so it stays the same whatever is computed again later.
     """
     text = F.coalesce("text", F.lit(""))
     scanned = documents.select("doc_id", text.alias("t")).select(F.monotonically_increasing_id().alias("rid"), "doc_id", "t", *[found(F.col("t"), k).alias(k) for k in KINDS])
-    scanned = staged(scanned, "pii-scan")
+    might = [F.exists(F.col(k), valid_as(k)) for k in KINDS]
+    scanned = staged(scanned.withColumn("might", reduce(or_, might)), "pii-scan")
     each = F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(i).alias("rank"), F.col(k).alias("found")) for i, k in enumerate(KINDS)])
-    might = F.expr(" or ".join(f"size({k}) > 0" for k in KINDS))
-    some = scanned.where(might).select("rid", F.explode(each).alias("e"))
+    some = scanned.where("might").select("rid", F.explode(each).alias("e"))
     rows = some.select("rid", "e.kind", "e.rank", F.posexplode("e.found").alias("pos", "m")).select("rid", "kind", "rank", "pos", "m.*")
     upto = F.sum(F.col("gap") + F.length("value")).over(Window.partitionBy("rid", "kind").orderBy("pos"))
     rows = rows.withColumn("end", upto.cast("long")).withColumn("start", F.col("end") - F.length("value")).where(valid(F.col("kind"), F.col("value")))
-    return scanned.select("rid", "doc_id", "t", might.alias("might")), staged(rows.select("rid", "kind", "rank", "start", "end", "value"), "pii-matches")
+    return scanned.select("rid", "doc_id", "t", "might"), staged(rows.select("rid", "kind", "rank", "start", "end", "value"), "pii-matches")
 
 
 def distinct_terms(rows: DataFrame) -> DataFrame:
