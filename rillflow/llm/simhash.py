@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import staged
+from rillflow.llm.common import discard, staged
 
 WORDS_PER_SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Fingerprints of one key that one task compares at a time; a larger group is compared chunk by chunk, in many tasks.
@@ -170,21 +170,24 @@ def links(distinct: DataFrame, n: int, distance: int = DISTANCE, group: int = GR
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node of each connected component, for nodes that have an edge.
 
-    Alternating large-star and small-star steps; every step is written to the shared folder, so lineage stays short.
-    Each step uses a minimum per node (summed before it is shuffled) and joins it back, so a hub's edges are never
-    collected.
+    Alternating large-star and small-star steps; every step is written to the shared folder, so lineage stays short,
+    and the step before it is deleted. Each step writes a minimum per node (summed before it is shuffled) and joins
+    that table: Spark sends it to all tasks if it is small, and else splits the partition that holds a hub's edges, as
+    both sides are plain shuffles of written tables.
     """
     current = staged(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     count = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
     for _ in range(rounds):
         both = current.select("u", "v").unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "large-low")
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         large = staged(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "small-low")
+        small = large.join(least, "u")
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        current = staged(small, "small-star")
+        old, current = current, staged(small, "small-star")
+        for done in (old, low, large, least):
+            discard(done)
         now = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first()
         if now == count:
             break
@@ -199,7 +202,8 @@ def near_duplicates(documents: DataFrame, columns: list[str] = ("doc_id",), dist
 
     component_id is the smallest doc_id of the component, its own included; null doc_ids count only where all are
     null. Null and empty texts have fingerprint zero and link like others. Repeated rows stay, each with the same
-    component. An empty table gives an empty result.
+    component; texts of any length are hashed whole. An empty table gives an empty result. The joins read written
+    tables, so Spark can split the rows of a fingerprint or group that a large part of the documents shares.
     """
     columns = list(dict.fromkeys(["doc_id", *columns]))
     fps = staged(fingerprints(documents, columns), "fingerprints")
@@ -207,6 +211,7 @@ def near_duplicates(documents: DataFrame, columns: list[str] = ("doc_id",), dist
     distinct = staged(distinct, "distinct-fingerprints")
     nodes = components(links(distinct.select("fp"), distinct.count(), distance))
     grouped = distinct.join(nodes, distinct["fp"] == nodes["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("group"))
-    lowest = grouped.groupBy("group").agg(F.min("low").alias("component_id"))
-    of = grouped.select("fp", "group").join(lowest, "group")
+    grouped = staged(grouped, "fingerprint-groups")
+    lowest = staged(grouped.groupBy("group").agg(F.min("low").alias("component_id")), "lowest")
+    of = staged(grouped.select("fp", "group").join(lowest, "group"), "fingerprint-components")
     return fps.join(of, "fp").select(*columns, "fp", "group", "component_id")

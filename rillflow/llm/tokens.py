@@ -1,17 +1,22 @@
 """Token counts and token files with a public byte-level BPE vocabulary.
 
-Texts are cut only where the cut can't change a token: before a space that follows a non-space. The vocabulary's
+Texts are cut only where the cut can't change a token: before a space that follows a non-space. The byte-level
 splitting pattern lets no token hold a space after a non-space, and it looks only ahead, so tokens left of such a place
-depend on the left part alone and tokens right of it on the right part alone.
+depend on the left part alone and tokens right of it on the right part alone. That is proven for one kind of file only:
+`proven` reads the file's settings, and texts of any other vocabulary go through the library whole.
+
+Counting encodes every text by overlapping chunks that are spliced at such places (resynchronisation).
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -22,10 +27,10 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import mounted, new_path, staged
 
-#: Texts of over twice CHUNK characters are encoded by overlapping chunks.
-CHUNK, OVERLAP = 16_384, 256
-#: Atoms in each of a worker's two generations, and the longest atom kept.
-MEMO, LONGEST = 1_000_000, 64
+#: Characters in a chunk (a common text has one to a few), and in the overlap of neighbouring chunks at first.
+CHUNK, OVERLAP = 2048, 128
+#: Atoms in each of a worker's two generations (at most some 600 bytes each, 200 commonly), and the longest atom kept.
+MEMO, LONGEST = 700_000, 64
 
 #: Texts with a NUL, or with a blank before a space, are cut by a slower search.
 _ODD = "\\x00|[\\t\\n\\x0b\\x0c\\r \\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}] "
@@ -48,6 +53,24 @@ def tokenizer(path: str):
     return tok
 
 
+@lru_cache
+def proven(path: str) -> bool:
+    """Whether the file has the rules that the cuts are proven for: byte-level BPE with its standard splitting pattern,
+    no normalizer, merges without dropout, affixes or whole-word shortcuts, and special strings that take no white space
+    along and hold no place where texts are cut."""
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    split, model = file.get("pre_tokenizer") or {}, file.get("model") or {}
+    plain = file.get("normalizer") is None and split.get("type") == "ByteLevel" and split.get("add_prefix_space") is False and split.get("use_regex", True)
+    merges = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    letters = merges and set(byte_characters().values()) <= model["vocab"].keys()
+    added = file.get("added_tokens") or []
+    strings = [t["content"] for t in added]
+    bare = not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    uncut = all(len(u) == 1 and atoms(u[0]) == u for u in units(pa.array(strings, pa.large_string())).to_pylist())
+    return bool(plain and letters and bare and uncut)
+
+
 def units(texts: pa.Array) -> pa.Array:
     """Each text cut at every proven place, as a list; joined, the units are the text."""
     odd = pc.match_substring_regex(texts, _ODD).to_numpy(zero_copy_only=False)
@@ -107,19 +130,24 @@ class Memo:
     """
 
     def __init__(self, path: str, value, nothing):
-        self.tok, self.value, self.nothing = tokenizer(path), value, nothing
+        self.tok, self.value, self.nothing, self.proven = tokenizer(path), value, nothing, proven(path)
         self.merge, self.characters = self.tok.model.tokenize, byte_characters()
         self.kept, self.old = {"": nothing}, {}
 
     def encode(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """The values of all texts' units in order, and where each text's units start (and the last one's end)."""
-        cut = units(texts)
+        """The values of all texts' units in order, and where each text's units start (and the last one's end). A text
+        of a file without proven cuts is one unit."""
+        kind = pa.int64() if self.nothing == 0 else pa.large_binary()
+        if not self.proven:
+            return pa.array([self.value(e.ids) for e in self.tok.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)], kind), np.arange(len(texts) + 1)
+        return self.coded(units(texts), kind)
+
+    def coded(self, cut: pa.Array, kind: pa.DataType) -> tuple[pa.Array, np.ndarray]:
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
         coded = cut.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         own = self.learn(distinct)
         kept = self.kept
-        kind = pa.int64() if self.nothing == 0 else pa.large_binary()
         values = pa.array([kept[u] if u in kept else own[u] for u in distinct] if own else list(map(kept.__getitem__, distinct)), kind)
         return values.take(coded.indices), bounds
 
@@ -166,6 +194,50 @@ class Memo:
         upto = np.concatenate([[0], np.cumsum(values.to_numpy())])
         return upto[bounds[1:]] - upto[bounds[:-1]]
 
+    def spliced(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text, from overlapping chunks of CHUNK characters.
+
+        Neighbouring chunks are encoded apart and spliced at the last place of their overlap where both have a boundary
+        and the cut is proven. Where there is none, the text goes through `resynchronised`, which widens the overlap. A
+        text within one chunk has nothing to splice.
+        """
+        long = np.flatnonzero(pc.greater(pc.utf8_length(texts), CHUNK).to_numpy(zero_copy_only=False)) if self.proven else []
+        if not len(long):
+            return self.counts(texts)
+        step, whole = CHUNK - OVERLAP, [texts[i].as_py() for i in long.tolist()]
+        starts = [range(0, len(t) - OVERLAP, step) for t in whole]
+        chunks = pa.array([t[a : a + CHUNK] for t, s in zip(whole, starts, strict=True) for a in s], pa.large_string())
+        own = np.ones(len(texts), bool)
+        own[long] = False
+        # Texts of one chunk and the chunks of the others, in one call.
+        cut = units(pa.concat_arrays([texts.filter(pa.array(own)), chunks]))
+        values, bounds = self.coded(cut, pa.int64())
+        upto = np.concatenate([[0], np.cumsum(values.to_numpy())])
+        chars = np.concatenate([[0], np.cumsum(pc.utf8_length(cut.flatten()).to_numpy())])
+        n, k = np.zeros(len(texts), np.int64), int(own.sum())
+        n[own] = upto[bounds[1 : k + 1]] - upto[bounds[:k]]
+        for i, text, some in zip(long.tolist(), whole, starts, strict=True):
+            last = None  # the places and counts of the chunk before: where its units end, and its ids up to there
+            done = 0
+            for a in some:
+                b, z = bounds[k], bounds[k + 1]
+                ends, ids = chars[b + 1 : z + 1] - chars[b] + a, upto[b + 1 : z + 1] - upto[b]
+                k += 1
+                if last is None:
+                    first = 0
+                elif done >= 0:
+                    e, c = last
+                    common = np.intersect1d(e[e > a], ends[ends < e[-1]])
+                    place = next((p for p in common[::-1].tolist() if text[p] == " " and not text[p - 1].isspace()), None)
+                    if place is None:
+                        done = -1
+                        continue
+                    done += int(c[np.searchsorted(e, place)]) - first
+                    first = int(ids[np.searchsorted(ends, place)])
+                last = ends, ids
+            n[i] = done + int(last[1][-1]) - first if done >= 0 else sum(len(x) for x in resynchronised(self.tok, text))
+        return n
+
     def ids(self, texts: pa.Array) -> list[memoryview]:
         """The bytes of each text's ids."""
         values, bounds = self.encode(texts)
@@ -199,7 +271,7 @@ def _groups(items: list[str], chars: int = 1 << 20) -> Iterator[list[str]]:
 
 
 def resynchronised(tok, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[np.ndarray]:
-    """The ids of one huge text, piece by piece, from overlapping chunks.
+    """The ids of one text, piece by piece, from overlapping chunks.
 
     A chunk and the next one, which starts `overlap` characters before the first one's end, are spliced at a character
     position where both have a token boundary and which is a proven place. The place must lie inside the overlap, past
@@ -241,7 +313,8 @@ def count_tokens(documents: DataFrame, path: str, limit: int = 1024) -> DataFram
     """doc_id, n_bytes, n_tokens, over_limit of every document.
 
     A null text counts as empty, an empty text has 0 tokens. Special strings inside a text become their special id, as
-    the library does by default. Rows stay where they are; other columns aren't read.
+    the library does by default. Texts of any length are counted chunk by chunk, repeated rows one by one; an empty
+    table gives an empty result. Rows stay where they are; other columns aren't read.
     """
     key = documents.schema["doc_id"].dataType.simpleString()
 
@@ -250,10 +323,7 @@ def count_tokens(documents: DataFrame, path: str, limit: int = 1024) -> DataFram
         for batch in batches:
             at = 0
             for texts in pieces(batch.column("text")):
-                huge = pc.greater(pc.utf8_length(texts), 2 * CHUNK)
-                n = own.counts(pc.if_else(huge, "", texts))
-                for i in np.flatnonzero(huge.to_numpy(zero_copy_only=False)).tolist():
-                    n[i] = sum(len(ids) for ids in resynchronised(own.tok, texts[i].as_py()))
+                n = own.spliced(texts)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(at, len(texts)), pc.binary_length(texts).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(n > limit, pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
                 at += len(texts)
 

@@ -1,10 +1,12 @@
 """Mixing, sharding, near duplicates, tokens and the pipeline against plain Python."""
 
+import json
 import random
 import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import xxhash
@@ -203,7 +205,7 @@ def test_simhash_links(spark, group):
 TEXTS = ["", "a", " a", "the rain. The\nsea, and  two\t\tblanks ", "<|endoftext|>x <|endoftext|>", "é" * 50, "a\u00a0 b\u2028 c", "\x00 a\x00", "don't we'll, 12.5% of", "x" * 5000, "word " * 3000, " " * 300, "\n \n a"]
 
 
-def test_tokens(spark):
+def test_tokens(spark, monkeypatch):
     tok = tokens.tokenizer(BPE)
     rng = random.Random(9)
     pieces = ["the", " ", "  ", "\n", " \n", "a", "é", "<|endoftext|>", "12", "'s", "!!", "\t", "\x1c", "\x85", "😀", "abc,", "def.", "x.\n", "y,."]
@@ -211,6 +213,11 @@ def test_tokens(spark):
     ids = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
     for t, want in zip(texts, ids, strict=True):
         assert np.concatenate(list(tokens.resynchronised(tok, t, 16, 4))).tolist() == want
+    own = tokens.Memo(BPE, len, 0)
+    monkeypatch.setattr(tokens, "CHUNK", 24)
+    monkeypatch.setattr(tokens, "OVERLAP", 7)
+    assert own.spliced(pa.array(texts, pa.large_string())).tolist() == list(map(len, ids))
+    monkeypatch.undo()
     big = " ".join(rng.choice(pieces) + "word" for _ in range(20000)) + "z" * 40000
     texts += [big, None, texts[3]]
     ids += [tok.encode(big, add_special_tokens=False).ids, [], ids[3]]
@@ -230,6 +237,27 @@ def test_tokens(spark):
     assert [(r.doc_id, r.start, r.n_tokens) for r in tokens.read_tokens(spark, folder, manifest).orderBy("start").collect()] == [(None, 0, 2), (-5, 2, 2), (-5, 4, 2)]
 
 
+def test_other_vocabularies(spark, tmp_path):
+    """A file whose rules aren't the proven ones goes through the library whole, in counting and in writing."""
+    assert tokens.proven(BPE)
+    file = json.loads(open(BPE, encoding="utf-8").read())
+    changes = {"lower": {"normalizer": {"type": "Lowercase"}}, "prefix": {"pre_tokenizer": file["pre_tokenizer"] | {"add_prefix_space": True}}, "special": {"added_tokens": [file["added_tokens"][0] | {"lstrip": True, "rstrip": True}]}, "none": {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False, "trim_offsets": True}}}
+    texts = [*TEXTS, "The Rain, the SEA. " * 300, "a <|endoftext|> b", None]
+    docs = docs_of(spark, texts)
+    for name, change in changes.items():
+        path = str(tmp_path / f"{name}.json")
+        (tmp_path / f"{name}.json").write_text(json.dumps(file | change), encoding="utf-8")
+        assert not tokens.proven(path)
+        want = [len(e) for e in tokens.tokenizer(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert [r.n_tokens for r in tokens.count_tokens(docs, path).orderBy("doc_id").collect()] == want
+        folder, manifest = tokens.write_tokens(docs, path, 2, parts=2)
+        assert [r.n_tokens - 1 for r in tokens.read_tokens(spark, folder, manifest).orderBy("doc_id").collect()] == want
+    word = public_tokenizers.path("word_bpe_49k.json")
+    assert not tokens.proven(word)
+    want = [len(e) for e in tokens.tokenizer(word).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [r.n_tokens for r in tokens.count_tokens(docs, word).orderBy("doc_id").collect()] == want
+
+
 def test_pipeline_stages(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
