@@ -112,6 +112,27 @@ def km_to_degrees(km: Column, lat: Column) -> tuple[Column, Column]:
     return km / EARTH_KM, km / (F.lit(EARTH_KM) * F.cos(F.radians(lat)))
 
 
+def cubic_metres(cubic_feet: Column) -> Column:
+    """Flow in m3/s from ft3/s."""
+    return cubic_feet * FT3_TO_M3
+
+
+def flow_depth(flow: Column, area_km2: Column) -> Column:
+    """Flow in mm/d over a basin from m3/s."""
+    return flow * 86400 / (area_km2 * 1e6) * 1000
+
+
+def flux_depth(flux: Column, seconds: Column) -> Column:
+    """Water in mm that a mass flux (kg m-2 s-1) brings in a period."""
+    return flux * seconds / 1000 * 1000
+
+
+def seconds_in(period: str, day: Column) -> Column:
+    """Seconds of the hour, day, month or (mean) year that a date lies in."""
+    of = {"hour": F.lit(3600.0), "day": F.lit(86400.0), "month": F.dayofmonth(F.last_day(day)) * 86400.0, "year": F.lit(DAYS_PER_YEAR * 86400.0)}
+    return of[period]
+
+
 def circular_mean(angle: Column, high: float = 360.0, low: float = 0.0) -> Column:
     """Aggregate: mean direction in [low, high)."""
     x = (angle - low) * F.lit(2 * math.pi / (high - low))
@@ -151,9 +172,8 @@ def mapped(value: Column, table: dict[str, str]) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), value)
 
 
-# Offsets from UTC in hours of the standard time zones, and names of the Canadian provinces.
+# Offsets from UTC in hours of the standard time zones.
 UTC_OFFSETS = {"NST": "-3.5", "AST": "-4", "EST": "-5", "CST": "-6", "MST": "-7", "PST": "-8", "AKST": "-9", "HST": "-10"}
-PROVINCES = {"AB": "Alberta", "BC": "British Columbia", "MB": "Manitoba", "NB": "New Brunswick", "NL": "Newfoundland and Labrador", "NS": "Nova Scotia", "NT": "Northwest Territories", "NU": "Nunavut", "ON": "Ontario", "PE": "Prince Edward Island", "QC": "Quebec", "SK": "Saskatchewan", "YT": "Yukon"}
 
 
 def from_file_name(path: Column) -> tuple[Column, Column]:

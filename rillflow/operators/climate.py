@@ -42,7 +42,7 @@ def seasonality(df: DataFrame, keys: list[str], typical: bool = False) -> DataFr
     rows = df.select(*keys, F.year("day").alias("y"), F.dayofyear("day").alias("i"), F.col("p").cast("double").alias("p"), F.col("t").cast("double").alias("t"))
     if typical:
         rows = rows.groupBy(*keys, F.lit(0).alias("y"), "i").agg(F.avg("p").alias("p"), F.avg("t").alias("t"))
-    n = F.when(F.col("y") % 4 == 0, 366).otherwise(365) if not typical else F.max("i").over(Window.partitionBy(*keys, "y"))
+    n = F.dayofyear(F.make_date("y", F.lit(12), F.lit(31))) if not typical else F.max("i").over(Window.partitionBy(*keys, "y"))
     rows = rows.withColumn("n", n).withColumn("x", 2 * math.pi * (F.col("i") - 1) / F.col("n"))
     part = lambda v, f: (2 * F.avg(F.col(v) * f("x"))).alias(f"{f.__name__}_{v}")
     y = rows.groupBy(*keys, "y").agg(F.count("p").alias("c"), F.count("t").alias("ct"), F.max("n").alias("n"), F.avg("p").alias("m"), part("p", F.sin), part("p", F.cos), part("t", F.sin), part("t", F.cos))

@@ -1,12 +1,14 @@
-"""Polygons and lines as vertex arrays: geometry ARRAY<STRUCT<ring INT, x DOUBLE, y DOUBLE>>, rings not closed.
+"""Polygons and lines as vertex arrays: geometry ARRAY<STRUCT<ring INT, x DOUBLE, y DOUBLE>>, rings not closed; holes
+run the other way round than the ring around them.
 
-Polygons meet points, cells and each other on a fixed grid of buckets; only pairs in one bucket are tested exactly.
-Areas, lengths and distances are column expressions; clipping to a rectangle and the ray test are small numpy helpers
-on Arrow batches.
+Polygons are cut along a fixed grid of buckets first, so a giant polygon is dealt over many rows and only the part in a
+bucket travels further. Points, cells and other polygons meet those parts by bucket; only such pairs are tested exactly.
+Areas, lengths and distances are column expressions; clipping and the ray test are small numpy helpers on batches.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,24 +32,48 @@ def bucketed(df: DataFrame, size: float) -> DataFrame:
     return _bounds(df).withColumn("bx", span("_x0", "_x1")).withColumn("by", span("_y0", "_y1"))
 
 
+def keep_side(ring: np.ndarray, normal: tuple[float, float], bound: float) -> np.ndarray:
+    """The part of a ring where normal . point >= bound."""
+    if not len(ring):
+        return ring
+    d = ring @ np.array(normal, float) - bound
+    q, e = np.roll(ring, 1, 0), np.roll(d, 1)
+    inside = d >= 0
+    cross = inside != (e >= 0)
+    t = np.divide(e, e - d, out=np.zeros_like(d), where=cross)
+    both = np.stack([q + t[:, None] * (ring - q), ring], 1).reshape(-1, 2)
+    return both[np.stack([cross, inside], 1).ravel()]
+
+
 def clip(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
-    """The part of a ring inside a rectangle, side by side (a convex clip region)."""
-    for axis, bound, keep_above in ((0, x0, True), (0, x1, False), (1, y0, True), (1, y1, False)):
-        if not len(ring):
-            break
-        inside = ring[:, axis] >= bound if keep_above else ring[:, axis] <= bound
-        out = []
-        for i, p in enumerate(ring):
-            q, was = ring[i - 1], inside[i - 1]
-            if inside[i] != was:
-                t = (bound - q[axis]) / (p[axis] - q[axis])
-                out.append(q + t * (p - q))
-            if inside[i]:
-                out.append(p)
-        ring = np.array(out, float).reshape(-1, 2)
+    """The part of a ring inside a rectangle."""
+    for normal, bound in (((1, 0), x0), ((-1, 0), -x1), ((0, 1), y0), ((0, -1), -y1)):
+        ring = keep_side(ring, normal, bound)
     return ring
 
 
+def overlap_area(a: list[np.ndarray], b: list[np.ndarray]) -> float:
+    """The area that two polygons share, of any shape: the first one is the signed sum of the triangles that each of its
+    rings' sides makes with the ring's first corner; a triangle is convex, so the second one is clipped by it."""
+    total = 0.0
+    for ring in a:
+        for p, q in zip(ring[1:], ring[2:], strict=False):
+            corners = np.array([ring[0], p, q])
+            signed = ring_area(corners)
+            if signed == 0:
+                continue
+            if signed < 0:
+                corners = corners[::-1]
+            part = 0.0
+            for other in b:
+                for u, v in zip(corners, np.roll(corners, -1, 0), strict=True):
+                    normal = (u[1] - v[1], v[0] - u[0])  # to the left of a side
+                    other = keep_side(other, normal, normal[0] * u[0] + normal[1] * u[1])
+                part += ring_area(other)
+            total += part if signed > 0 else -part
+    return abs(total)
+
+
 def ring_area(ring: np.ndarray) -> float:
     """Signed: positive if counter-clockwise; holes run the other way."""
     if len(ring) < 3:
@@ -73,78 +99,135 @@ def inside_rings(x: float, y: float, rings: list[np.ndarray]) -> bool:
     return hit
 
 
+def split(polys: DataFrame, key: str, size: float) -> DataFrame:
+    """key, bx, by, geometry, and its bounds: the part of each polygon in each bucket that it reaches."""
+    rows = bucketed(polys.select(key, "geometry"), size).select(key, "bx", "by", "geometry")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for d in batches:
+            parts = []
+            for g, x, y in zip(d["geometry"], d["bx"], d["by"], strict=True):
+                rings = [clip(r, x * size, y * size, (x + 1) * size, (y + 1) * size) for r in rings_of(g)]
+                parts.append([{"ring": i, "x": p[0], "y": p[1]} for i, r in enumerate(rings) for p in r.tolist()])
+            yield d.assign(geometry=parts)
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return _bounds(rows.mapInPandas(cut, kinds).where(F.size("geometry") > 0))
+
+
+def _parsed(d: pd.DataFrame, keys: list[str], geometry: str = "geometry") -> Iterator[list[np.ndarray]]:
+    """The rings of each row; a part that comes again in a batch is parsed once."""
+    known: dict = {}
+    for g, *k in zip(d[geometry], *(d[c] for c in keys), strict=True):
+        if (at := tuple(k)) not in known:
+            known[at] = rings_of(g)
+        yield known[at]
+
+
 def point_in_polygon(points: DataFrame, polys: DataFrame, bucket: float = 1.0) -> DataFrame:
     """(point columns, poly_id) of each point in each polygon that contains it. points: id, x, y; polys: poly_id, geometry."""
-    b = bucketed(polys.select("poly_id", "geometry"), bucket).select("poly_id", "geometry", "bx", "by", "_x0", "_x1", "_y0", "_y1")
     p = points.withColumns({"bx": F.floor(F.col("x") / bucket), "by": F.floor(F.col("y") / bucket)})
-    near = p.join(b, ["bx", "by"]).where("x between _x0 and _x1 and y between _y0 and _y1").select(*points.columns, "poly_id", "geometry")
+    near = p.join(split(polys, "poly_id", bucket), ["bx", "by"]).where("x between _x0 and _x1 and y between _y0 and _y1")
+    near = near.select(*points.columns, "poly_id", "bx", "by", "geometry")
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
-            rings = {}
-            keep = [inside_rings(x, y, rings.setdefault(k, None) or rings.__setitem__(k, rings_of(g)) or rings[k]) for x, y, k, g in zip(d["x"], d["y"], d["poly_id"], d["geometry"], strict=True)]
-            yield d[keep].drop(columns="geometry")
+            keep = [inside_rings(x, y, rings) for x, y, rings in zip(d["x"], d["y"], _parsed(d, ["poly_id", "bx", "by"]), strict=True)]
+            yield d[np.array(keep, bool)].drop(columns=["geometry", "bx", "by"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in near.schema if f.name != "geometry")
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in near.schema if f.name not in ("geometry", "bx", "by"))
     return near.mapInPandas(test, kinds)
 
 
-def _clip_areas(pairs: DataFrame, keys: list[str]) -> DataFrame:
-    """keys and area of the polygon inside each row's rectangle (rx0, ry0, rx1, ry1)."""
+def cut_areas(polys: DataFrame, key: str, rects: DataFrame, rect: str, bucket: float) -> DataFrame:
+    """key, rect, area of each polygon inside each rectangle (rect, rx0, ry0, rx1, ry1) that it shares area with."""
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor(F.col(b) / bucket)))
+    r = rects.withColumn("bx", span("rx0", "rx1")).withColumn("by", span("ry0", "ry1"))
+    pairs = split(polys, key, bucket).join(r, ["bx", "by"]).where("_x0 < rx1 and _x1 > rx0 and _y0 < ry1 and _y1 > ry0")
 
     def areas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
-            a = [abs(sum(ring_area(clip(r, *box)) for r in rings_of(g))) for g, *box in zip(d["geometry"], d["rx0"], d["ry0"], d["rx1"], d["ry1"], strict=True)]
-            yield d[keys].assign(area=a)
+            boxes = zip(d["rx0"], d["ry0"], d["rx1"], d["ry1"], strict=True)
+            a = [abs(sum(ring_area(clip(r, *box)) for r in rings)) for rings, box in zip(_parsed(d, [key, "bx", "by"]), boxes, strict=True)]
+            yield d[[key, rect]].assign(area=a)
 
-    kinds = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in keys)
-    return pairs.select(*keys, "geometry", "rx0", "ry0", "rx1", "ry1").mapInPandas(areas, f"{kinds}, area double")
+    kinds = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in (key, rect))
+    parts = pairs.select(key, rect, "bx", "by", "geometry", "rx0", "ry0", "rx1", "ry1").mapInPandas(areas, f"{kinds}, area double")
+    return parts.groupBy(key, rect).agg(F.sum("area").alias("area")).where("area > 0")
 
 
 def make_weights(cells: DataFrame, polys: DataFrame, half: float, bucket: float = 1.0) -> DataFrame:
     """hru, cell, weight: the share of each polygon's covered area in each grid cell (centre x, y and half spacing)."""
     c = cells.select("cell", (F.col("x") - half).alias("rx0"), (F.col("y") - half).alias("ry0"), (F.col("x") + half).alias("rx1"), (F.col("y") + half).alias("ry1"))
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor(F.col(b) / bucket)))
-    c = c.withColumn("bx", span("rx0", "rx1")).withColumn("by", span("ry0", "ry1"))
-    b = bucketed(polys.select(F.col("poly_id").alias("hru"), "geometry"), bucket)
-    # A pair that shares several buckets is tested in the first only.
-    first = (F.col("bx") == F.floor(F.greatest("rx0", "_x0") / bucket)) & (F.col("by") == F.floor(F.greatest("ry0", "_y0") / bucket))
-    pairs = b.join(c, ["bx", "by"]).where("_x0 < rx1 and _x1 > rx0 and _y0 < ry1 and _y1 > ry0").where(first)
-    areas = _clip_areas(pairs, ["hru", "cell"]).where("area > 0")
+    areas = cut_areas(polys.select(F.col("poly_id").alias("hru"), "geometry"), "hru", c, "cell", bucket)
     return areas.withColumn("weight", F.col("area") / F.sum("area").over(Window.partitionBy("hru"))).select("hru", "cell", "weight")
 
 
+def assign_zones(pixels: DataFrame, polys: DataFrame, half_x: float, half_y: float, all_touched: bool = True, bucket: float = 1.0) -> DataFrame:
+    """pixel, zone: each pixel (pixel, x, y: its centre) in the zone of each polygon (poly_id) that its square shares
+    area with, or else that holds its centre. A pixel on a border belongs to several zones; one of none is left out."""
+    if not all_touched:
+        return point_in_polygon(pixels.select(F.col("pixel").alias("id"), "x", "y"), polys, bucket).select(F.col("id").alias("pixel"), F.col("poly_id").alias("zone"))
+    squares = pixels.select("pixel", (F.col("x") - half_x).alias("rx0"), (F.col("y") - half_y).alias("ry0"), (F.col("x") + half_x).alias("rx1"), (F.col("y") + half_y).alias("ry1"))
+    return cut_areas(polys, "poly_id", squares, "pixel", bucket).select("pixel", F.col("poly_id").alias("zone"))
+
+
+def crop_window(polys: DataFrame, key: str, half_x: float, half_y: float, buffer: bool = True) -> DataFrame:
+    """key and the box (west, south, east, north) to which rasters are cropped for a polygon: its bounds, widened by half
+    a pixel's diagonal unless buffer is off."""
+    d = math.hypot(half_x, half_y) if buffer else 0.0
+    b = _bounds(polys.select(key, "geometry"))
+    return b.select(key, (F.col("_x0") - d).alias("west"), (F.col("_y0") - d).alias("south"), (F.col("_x1") + d).alias("east"), (F.col("_y1") + d).alias("north"))
+
+
 def clip_layer(layer: DataFrame, boxes: DataFrame, bucket: float = 1.0) -> DataFrame:
-    """poly_id, box_id, area of each layer polygon inside each box (box_id, rx0, ry0, rx1, ry1): the pieces of a grid
-    over which general overlaps are summed."""
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor(F.col(b) / bucket)))
-    c = boxes.withColumn("bx", span("rx0", "rx1")).withColumn("by", span("ry0", "ry1"))
-    first = (F.col("bx") == F.floor(F.greatest("rx0", "_x0") / bucket)) & (F.col("by") == F.floor(F.greatest("ry0", "_y0") / bucket))
-    pairs = bucketed(layer.select("poly_id", "geometry"), bucket).join(c, ["bx", "by"]).where("_x0 < rx1 and _x1 > rx0 and _y0 < ry1 and _y1 > ry0").where(first)
-    return _clip_areas(pairs, ["poly_id", "box_id"]).where("area > 0")
+    """poly_id, box_id, area of each layer polygon inside each box (box_id, rx0, ry0, rx1, ry1)."""
+    return cut_areas(layer, "poly_id", boxes, "box_id", bucket)
 
 
-def intersecting(layer: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Layer polygons kept whole, with each box that they intersect."""
-    return layer.join(clip_layer(layer, boxes).select("poly_id", "box_id"), "poly_id")
+def overlaps(layer: DataFrame, basins: DataFrame, bucket: float = 1.0, same: bool = False) -> DataFrame:
+    """poly_id, basin_id, area that each layer polygon (poly_id) shares with each basin polygon (basin_id), of any shape,
+    holes included; pairs without a common area are left out. same: only pairs of equal ids."""
+    a = split(layer, "poly_id", bucket)
+    b = split(basins, "basin_id", bucket).select("basin_id", "bx", "by", F.col("geometry").alias("other"), *[F.col(f"_{c}").alias(f"o{c}") for c in ("x0", "x1", "y0", "y1")])
+    pairs = a.join(b, ["bx", "by"]) if not same else a.join(b, (a["bx"] == b["bx"]) & (a["by"] == b["by"]) & (a["poly_id"] == b["basin_id"])).drop(b["bx"], b["by"])
+    pairs = pairs.where("_x0 < ox1 and _x1 > ox0 and _y0 < oy1 and _y1 > oy0").select("poly_id", "basin_id", "bx", "by", "geometry", "other")
 
+    def areas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for d in batches:
+            both = zip(_parsed(d, ["poly_id", "bx", "by"]), _parsed(d, ["basin_id", "bx", "by"], "other"), strict=True)
+            yield d[["poly_id", "basin_id"]].assign(area=[overlap_area(x, y) for x, y in both])
 
-def overlap_fraction(a: DataFrame, b: DataFrame, cell: float) -> DataFrame:
-    """poly_id, fraction: min(A and B / A, A and B / B) of equal ids, over a grid of cells.
+    kinds = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in ("poly_id", "basin_id"))
+    parts = pairs.mapInPandas(areas, f"{kinds}, area double").groupBy("poly_id", "basin_id").agg(F.sum("area").alias("area"))
+    return parts.where(F.col("area") > 1e-12)
 
-    In a cell the overlap is taken as the smaller of both parts, so the error is at most half of the cells that both
-    outlines cross: halve the cell to halve it.
-    """
 
-    def parts(polys: DataFrame, name: str) -> DataFrame:
-        g = _bounds(polys.select("poly_id", "geometry"))
-        span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell)))
-        g = g.withColumn("i", span("_x0", "_x1")).withColumn("j", span("_y0", "_y1"))
-        g = g.withColumns({"rx0": F.col("i") * cell, "ry0": F.col("j") * cell, "rx1": (F.col("i") + 1) * cell, "ry1": (F.col("j") + 1) * cell})
-        return _clip_areas(g, ["poly_id", "i", "j"]).withColumnRenamed("area", name)
+def intersecting(layer: DataFrame, basins: DataFrame, bucket: float = 1.0) -> DataFrame:
+    """Layer polygons kept whole, with each basin polygon (basin_id) that they share area with."""
+    return layer.join(overlaps(layer, basins, bucket).select("poly_id", "basin_id"), "poly_id")
+
+
+def clip_lakes(lakes: DataFrame, parts: DataFrame) -> DataFrame:
+    """poly_id, basin_id, area, volume of lakes (poly_id, area, volume) cut to sub-basins, from `overlaps` of their
+    outlines in km: areas to two decimals, volumes in proportion to the area."""
+    rows = parts.select("poly_id", "basin_id", F.round("area", 2).alias("_new")).join(lakes.select("poly_id", "area", "volume"), "poly_id")
+    return rows.select("poly_id", "basin_id", F.col("_new").alias("area"), (F.col("volume") * F.col("_new") / F.nullif("area", F.lit(0.0))).alias("volume"))
+
+
+def projected(df: DataFrame) -> DataFrame:
+    """The geometry's degrees as km in the equal-area projection."""
+    xy = lambda v: albers(v["x"], v["y"])
+    return df.withColumn("geometry", F.transform("geometry", lambda v: F.struct(v["ring"].alias("ring"), (xy(v)[0] / 1000).alias("x"), (xy(v)[1] / 1000).alias("y"))))
+
 
-    both = parts(a, "pa").join(parts(b, "pb"), ["poly_id", "i", "j"], "full_outer").groupBy("poly_id").agg(F.sum(F.least(F.coalesce("pa", F.lit(0.0)), F.coalesce("pb", F.lit(0.0)))).alias("o"), F.sum("pa").alias("a"), F.sum("pb").alias("b"))
-    return both.select("poly_id", F.least(F.col("o") / F.col("a"), F.col("o") / F.col("b")).alias("fraction"))
+def overlap_fraction(a: DataFrame, b: DataFrame, bucket: float) -> DataFrame:
+    """poly_id, fraction: min(A and B / A, A and B / B) of equal ids, in the plane of the coordinates; 0 without overlap."""
+    both = overlaps(a, b.select(F.col("poly_id").alias("basin_id"), "geometry"), bucket, same=True)
+    area = lambda df, name: plane_area(df, "poly_id").select("poly_id", F.col("area").alias(name))
+    rows = area(a, "_a").join(area(b, "_b"), "poly_id").join(both.select("poly_id", "area"), "poly_id", "left")
+    shared = F.coalesce("area", F.lit(0.0))
+    return rows.select("poly_id", F.least(shared / F.nullif("_a", F.lit(0.0)), shared / F.nullif("_b", F.lit(0.0))).alias("fraction"))
 
 
 def snap_to_line(points: DataFrame, lines: DataFrame, key: str) -> DataFrame:
@@ -165,17 +248,20 @@ def snap_to_line(points: DataFrame, lines: DataFrame, key: str) -> DataFrame:
     return best.select("id", F.col("b.px").alias("x"), F.col("b.py").alias("y"), F.col("b.d").alias("distance"))
 
 
-def poly_area(polys: DataFrame, key: str) -> DataFrame:
-    """key, area_km2 and the centroid in the equal-area projection: vertices, lead and a shoelace sum."""
+def plane_area(polys: DataFrame, key: str) -> DataFrame:
+    """key, area and centroid (cx, cy) in the plane of the coordinates: vertices, lead and a shoelace sum."""
     v = polys.select(key, F.posexplode("geometry").alias("i", "v")).select(key, "i", "v.*")
-    x, y = albers(F.col("x"), F.col("y"))
-    v = v.select(key, "ring", "i", (x / 1000).alias("x"), (y / 1000).alias("y"))
     w = Window.partitionBy(key, "ring").orderBy("i")
-    whole = Window.partitionBy(key, "ring").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     v = v.withColumns({"x2": F.coalesce(F.lead("x").over(w), F.first("x").over(whole)), "y2": F.coalesce(F.lead("y").over(w), F.first("y").over(whole))})
     c = F.col("x") * F.col("y2") - F.col("x2") * F.col("y")
     out = v.groupBy(key).agg((F.sum(c) / 2).alias("_a"), F.sum((F.col("x") + F.col("x2")) * c).alias("_cx"), F.sum((F.col("y") + F.col("y2")) * c).alias("_cy"))
-    return out.select(key, F.abs("_a").alias("area_km2"), (F.col("_cx") / (6 * F.col("_a"))).alias("cx"), (F.col("_cy") / (6 * F.col("_a"))).alias("cy"))
+    return out.select(key, F.abs("_a").alias("area"), (F.col("_cx") / (6 * F.col("_a"))).alias("cx"), (F.col("_cy") / (6 * F.col("_a"))).alias("cy"))
+
+
+def poly_area(polys: DataFrame, key: str) -> DataFrame:
+    """key, area_km2 and the centroid in the equal-area projection."""
+    return plane_area(projected(polys.select(key, "geometry")), key).withColumnRenamed("area", "area_km2")
 
 
 def line_length(lines: DataFrame, key: str) -> DataFrame:
@@ -195,3 +281,9 @@ def drop_tiny(areas: DataFrame, least: float = TINY_KM2) -> DataFrame:
 def dissolve(parts: DataFrame, key: str) -> DataFrame:
     """One row per id: the area of its parts and how many there were."""
     return parts.groupBy(key).agg(F.sum("area").alias("area"), F.count("*").alias("n_parts"))
+
+
+def first_of(rows: DataFrame, key: str, order: str) -> DataFrame:
+    """Of rows with one id, such as repeated river segments, the first in the given order."""
+    rest = [c for c in rows.columns if c != key]
+    return rows.groupBy(key).agg(F.min_by(F.struct(*rest), order).alias("_x")).select(key, "_x.*")

@@ -2,23 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-UPS = ("up1", "up2", "up3", "up4")
-
+from rillflow.operators.shared import discard, written
 
-def _written(df: DataFrame) -> DataFrame:
-    """df behind a short lineage, in the folder that all executors see."""
-    context = df.sparkSession.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = f"/tmp/rillflow-{context.applicationId}"
-    path = f"{folder.rstrip('/')}/network-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+UPS = ("up1", "up2", "up3", "up4")
 
 
 def find_outlets(net: DataFrame) -> DataFrame:
@@ -27,15 +16,21 @@ def find_outlets(net: DataFrame) -> DataFrame:
     return net.join(ids, ["basin", "next_down"], "left_anti").select("basin", "comid", "next_down")
 
 
-def stream_lengths(net: DataFrame, rounds: int = 40) -> DataFrame:
+def rounds_of(net: DataFrame) -> int:
+    """So many doublings pass every segment of a path; pointers that are left after them lead into a cycle."""
+    return max(1, net.count()).bit_length() + 1
+
+
+def stream_lengths(net: DataFrame) -> DataFrame:
     """basin, comid, stream_length: from every headwater (a segment that nothing flows into) down until the path leaves
-    the network. Pointers double in every round, so a path of n segments takes log2(n) joins; a cycle, which never
-    leaves, gets a null."""
+    the network. Pointers double in every round, so a path of n segments takes log2(n) joins; a path into a cycle,
+    which never leaves, gets a null."""
     first = net.select("basin", "comid", F.nullif("next_down", F.lit(0)).alias("to"), F.col("length").cast("double").alias("sum"))
-    current = first.join(first.select("basin", F.col("comid").alias("to"), F.lit(1).alias("in")), ["basin", "to"], "left").select("basin", "comid", F.when(F.col("in") == 1, F.col("to")).alias("to"), "sum")
-    for _ in range(rounds):
+    current = written(first.join(first.select("basin", F.col("comid").alias("to"), F.lit(1).alias("in")), ["basin", "to"], "left").select("basin", "comid", F.when(F.col("in") == 1, F.col("to")).alias("to"), "sum"), "lengths")
+    for _ in range(rounds_of(net)):
         step = current.select("basin", F.col("comid").alias("to"), F.col("to").alias("to2"), F.col("sum").alias("sum2"))
-        current = _written(current.join(step, ["basin", "to"], "left").select("basin", "comid", F.col("to2").alias("to"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum")))
+        old, current = current, written(current.join(step, ["basin", "to"], "left").select("basin", "comid", F.col("to2").alias("to"), (F.col("sum") + F.coalesce("sum2", F.lit(0.0))).alias("sum")), "lengths")
+        discard(old)
         if current.where("to is not null").isEmpty():
             break
     fed = net.select("basin", F.col("next_down").alias("comid")).distinct()
@@ -48,17 +43,43 @@ def upstream(net: DataFrame, ids: DataFrame) -> DataFrame:
     jumps = net.select("basin", F.col("next_down").alias("member"), F.col("comid").alias("up")).where("member is not null and member <> 0").distinct()
     reached = ids.join(net.select("basin", "comid"), ["basin", "comid"], "left_semi").select("basin", "comid", F.col("comid").alias("member")).distinct()
     while True:
-        newest = _written(reached.join(jumps, ["basin", "member"]).select("basin", "comid", F.col("up").alias("member")).distinct().join(reached, ["basin", "comid", "member"], "left_anti"))
+        newest = written(reached.join(jumps, ["basin", "member"]).select("basin", "comid", F.col("up").alias("member")).distinct().join(reached, ["basin", "comid", "member"], "left_anti"))
         if newest.isEmpty():
             return reached
-        reached = _written(reached.unionByName(newest))
-        jumps = _written(jumps.withColumnRenamed("up", "by").join(jumps.withColumnRenamed("member", "by"), ["basin", "by"]).select("basin", "member", "up").distinct())
+        reached = written(reached.unionByName(newest))
+        jumps = written(jumps.withColumnRenamed("up", "by").join(jumps.withColumnRenamed("member", "by"), ["basin", "by"]).select("basin", "member", "up").distinct())
+
+
+def accumulated(net: DataFrame, values: dict[str, Column]) -> DataFrame:
+    """basin, comid and each value summed over the segment and all that drains to it, for every segment.
+
+    After k rounds a segment has the sum over all segments less than 2^k steps above it; each round adds the sums of
+    those that are 2^k steps above. So the tables keep one row per segment, whatever the depth. Segments on a cycle,
+    which have no end of steps above them, take the sum over the set of segments above instead.
+    """
+    first = net.select("basin", "comid", F.nullif("next_down", F.lit(0)).alias("to"), *[c.alias(k) for k, c in values.items()])
+    known = net.select("basin", F.col("comid").alias("to"), F.lit(1).alias("in"))
+    current = written(first.join(known, ["basin", "to"], "left").select("basin", "comid", F.when(F.col("in") == 1, F.col("to")).alias("to"), *values), "sums")
+    for _ in range(rounds_of(net)):
+        above = current.where("to is not null").groupBy("basin", F.col("to").alias("comid")).agg(*[F.sum(k).alias(f"_{k}") for k in values])
+        jump = current.select("basin", F.col("comid").alias("to"), F.col("to").alias("to2"))
+        step = current.join(jump, ["basin", "to"], "left").join(above, ["basin", "comid"], "left")
+        old, current = current, written(step.select("basin", "comid", F.col("to2").alias("to"), *[F.when(F.col(f"_{k}").isNull(), F.col(k)).otherwise(F.col(k) + F.col(f"_{k}")).alias(k) for k in values]), "sums")
+        discard(old)
+        if (done := current.where("to is not null").isEmpty()):
+            break
+    if done:
+        return current.drop("to")
+    ring = written(current.where("to is not null").select("basin", F.col("to").alias("comid")).distinct(), "cycle")
+    own = net.select("basin", F.col("comid").alias("member"), *[c.alias(k) for k, c in values.items()])
+    sets = upstream(net, ring).join(own, ["basin", "member"]).groupBy("basin", "comid").agg(*[F.sum(k).alias(k) for k in values])
+    return current.drop("to").join(ring, ["basin", "comid"], "left_anti").unionByName(sets)
 
 
 def upstream_area(net: DataFrame, ids: DataFrame) -> DataFrame:
     """basin, comid, n_up, area: the sum of unit areas of each given segment and all that drains to it."""
-    own = net.select("basin", F.col("comid").alias("member"), "unitarea")
-    return upstream(net, ids).join(own, ["basin", "member"]).groupBy("basin", "comid").agg(F.count("*").alias("n_up"), F.sum("unitarea").alias("area"))
+    sums = accumulated(net, {"n_up": F.lit(1).cast("long"), "area": F.col("unitarea").cast("double")})
+    return sums.join(ids.select("basin", "comid").distinct(), ["basin", "comid"], "left_semi")
 
 
 def repair_links(net: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -82,10 +103,10 @@ def add_missing_segments(net: DataFrame, basins: DataFrame) -> DataFrame:
     segments that list it as next_down (all upstream of those included)."""
     missing = basins.join(net.select("basin", "comid"), ["basin", "comid"], "left_anti").select("basin", "comid", "unitarea")
     direct = net.select("basin", F.col("next_down").alias("comid"), F.col("comid").alias("feeder")).join(missing.select("basin", "comid"), ["basin", "comid"], "left_semi")
-    fed = upstream_area(net, direct.select("basin", F.col("feeder").alias("comid"))).select("basin", F.col("comid").alias("feeder"), "area")
+    own = written(accumulated(net, {"uparea": F.col("unitarea").cast("double")}), "areas")
+    fed = own.select("basin", F.col("comid").alias("feeder"), F.col("uparea").alias("area"))
     above = direct.join(fed, ["basin", "feeder"]).groupBy("basin", "comid").agg(F.sum("area").alias("above"))
     rows = missing.join(above, ["basin", "comid"], "left").select("basin", "comid", "unitarea", (F.col("unitarea") + F.coalesce("above", F.lit(0.0))).alias("uparea"), F.lit(1).alias("added"))
-    own = upstream_area(net, net.select("basin", "comid")).select("basin", "comid", F.col("area").alias("uparea"))
     old = net.select("basin", "comid", "unitarea").join(own, ["basin", "comid"]).withColumn("added", F.lit(0))
     return old.unionByName(rows)
 

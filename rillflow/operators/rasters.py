@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,21 +11,32 @@ from pyspark.sql import functions as F
 from rillflow.functions.scalars import FREEZING, conductivity, porosity
 
 
-def zonal_stats(pixels: DataFrame, keys: list[str], value: str = "value", extra: dict[str, Column] | None = None, empty: float | None = None) -> DataFrame:
-    """min, mean, max, std, harmonic mean and count per zone and layer, and the named extra aggregates (built-in ones
-    or grouped pandas functions); a zone without valid pixels gets `empty`."""
+def zonal_stats(pixels: DataFrame, keys: list[str], value: str = "value", extra: dict[str, Column] | None = None, functions: dict[str, Callable] | None = None, empty: float | None = None) -> DataFrame:
+    """min, mean, max, std, harmonic mean and count per zone and layer, and what a user adds: aggregate expressions
+    (extra), or functions from the zone's values as a pandas Series to a number; a zone without valid pixels gets
+    `empty`. A function sees a whole zone in one task: give an expression where there is one."""
     v = F.col(value)
     stats = {"min": F.min(v), "mean": F.avg(v), "max": F.max(v), "std": F.stddev_pop(v), "harmonic_mean": F.count(v) / F.nullif(F.sum(1 / F.nullif(v, F.lit(0.0))), F.lit(0.0))} | (extra or {})
     filled = [(F.coalesce(c, F.lit(empty)) if empty is not None else c).alias(k) for k, c in stats.items()]
-    return pixels.groupBy(*keys).agg(*filled, F.count(v).alias("n"))
+    out = pixels.groupBy(*keys).agg(*filled, F.count(v).alias("n"))
+    if not functions:
+        return out
+    made = [F.pandas_udf(f, "double", F.PandasUDFType.GROUPED_AGG)(v.cast("double")).alias(k) for k, f in functions.items()]
+    own = pixels.where(v.isNotNull()).groupBy(*keys).agg(*made)
+    return out.join(own, keys, "left").withColumns({k: F.coalesce(k, F.lit(empty)) for k in functions} if empty is not None else {})
 
 
-def class_fractions(pixels: DataFrame, zone: str, legend: list[int], value: str = "value") -> DataFrame:
-    """zone, class, fraction for every class of the legend, absent ones 0; values outside it count in the total."""
+def class_fractions(pixels: DataFrame, zone: str, legend: list[int] | dict[int, str], value: str = "value", prefix: str = "") -> DataFrame:
+    """zone, class, fraction for every class of the legend, absent ones 0; values outside it count in the total. A
+    legend with names adds attribute: <prefix><name>_fraction."""
     counts = pixels.where(F.col(value).isNotNull()).groupBy(zone, F.col(value).cast("int").alias("class")).agg(F.count("*").alias("n"))
     total = counts.groupBy(zone).agg(F.sum("n").alias("t"))
     grid = total.withColumn("class", F.explode(F.array(*[F.lit(c) for c in legend])))
-    return grid.join(counts, [zone, "class"], "left").select(zone, "class", (F.coalesce("n", F.lit(0)) / F.col("t")).alias("fraction"))
+    out = grid.join(counts, [zone, "class"], "left").select(zone, "class", (F.coalesce("n", F.lit(0)) / F.col("t")).alias("fraction"))
+    if not isinstance(legend, dict):
+        return out
+    names = F.create_map(*[F.lit(x) for k, n in legend.items() for x in (k, f"{prefix}{n}_fraction")])
+    return out.withColumn("attribute", F.element_at(names, F.col("class")))
 
 
 def stack_composite(pixels: DataFrame, how: str, keys: list[str], value: str = "value", low: float | None = None, high: float | None = None) -> DataFrame:

@@ -59,8 +59,9 @@ def flow_quantiles(q: DataFrame, keys: list[str], at=QUANTILES) -> DataFrame:
 def baseflow_eckhardt(q: DataFrame, keys: list[str], a: float = 0.98, bfi_max: float = 0.8) -> DataFrame:
     """q with b, the recursive digital filter's baseflow; gaps of q are interpolated for the recursion and masked.
 
-    Each step needs the last one's result: the one recursion of this library, run per site with numpy. A site's daily
-    series is bounded by its record; sites are dealt over all tasks.
+    Each step needs the last one's result and every step's result is wanted: the one recursion of this library. SQL's
+    folds return a last state, and one that grows by a day a step copies itself each time, so it is run per site with
+    numpy. A site's daily series is bounded by its record (a century is 36,525 days); sites are dealt over all tasks.
     """
     rows = interpolate_time(q.select(*keys, "day", "q").withColumn("_q", F.col("q")), keys, "day", ["_q"])
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.functions.scalars import mapped
+from rillflow.functions.legends import FLAGS
+from rillflow.functions.scalars import cubic_metres, mapped
+from rillflow.operators.shared import in_order, written
 
 
 def drop_unusable(df: DataFrame, unusable: DataFrame, missing: str | None = None) -> DataFrame:
@@ -50,8 +52,7 @@ def filter_dates(df: DataFrame, day: str, months: int | None = None, year: list[
     """Layers of the last `months` months before the newest, and of the listed years, months and days."""
     rows = df
     if months is not None:
-        newest = df.agg(F.add_months(F.max(day), -months).alias("m")).first().m  # one value
-        rows = rows.where(F.col(day) > F.lit(newest))
+        rows = rows.where(F.col(day) > F.add_months(df.agg(F.max(day)).scalar(), -months))
     for f, some in ((F.year, year), (F.month, month), (F.dayofmonth, dom)):
         rows = rows.where(f(day).isin(*some)) if some else rows
     return rows
@@ -134,7 +135,10 @@ def availability(meta: DataFrame, key: str, start: str, end: str, missing: str)
     """duration in days, missing share, net years, and the share of stations with no more net years."""
     d = F.datediff(end, start) + 1
     rows = meta.select(key, d.alias("duration"), (F.col(missing) / d).alias("missing_share"), ((d - F.col(missing)) / 365.25).alias("net_years"))
-    return rows.withColumn("cdf", F.cume_dist().over(Window.orderBy("net_years")))
+    counts = rows.groupBy("net_years").agg(F.count("*").alias("_c"))
+    upto = in_order(counts, ["net_years"], "_i", {"_upto": F.col("_c")})
+    whole = rows.agg(F.count("*")).scalar()
+    return rows.join(upto.select(F.col("net_years").alias("_y"), "_upto"), F.col("net_years").eqNullSafe(F.col("_y"))).withColumn("cdf", F.col("_upto") / whole).drop("_y", "_upto")
 
 
 def year_histogram(av: DataFrame, width: int = 5) -> DataFrame:
@@ -157,15 +161,16 @@ def update_meta(meta: DataFrame, series: DataFrame, key: str, ts: str, value: st
 def size_tradeoff(sizes: DataFrame, key: str, area: str, size: str) -> DataFrame:
     """Basins by area with cumulative size and its second difference; cut is the last place where that changes sign.
 
-    One row per basin: the running sum is over the station table, not over data.
+    Rows are numbered in a global order without a window over all of them; neighbours meet by their numbers.
     """
-    w = Window.orderBy(area, key)
-    rows = sizes.select(key, area, F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("cumulative"))
-    second = F.lead("cumulative").over(w) - 2 * F.col("cumulative") + F.lag("cumulative").over(w)
-    rows = rows.withColumn("second", second)
-    change = F.signum("second") * F.lag(F.signum("second")).over(w) < 0
-    rows = rows.withColumn("change", change)
-    return rows.withColumn("cut", F.max(F.when(F.col("change"), F.col(area))).over(Window.partitionBy())).drop("change")
+    rows = written(in_order(sizes.select(key, area, F.col(size).alias("_size")), [area, key], "_i", {"cumulative": F.col("_size")}), "sizes")
+    after = rows.select((F.col("_i") - 1).alias("_i"), F.col("_size").alias("_after"))
+    # Sums differ by the sizes themselves: the second difference is the next size less this one.
+    rows = rows.join(after, "_i", "left").withColumn("second", F.when(F.col("_i") > 0, F.col("_after") - F.col("_size")))
+    last = rows.select((F.col("_i") + 1).alias("_i"), F.signum("second").alias("_sign"))
+    rows = written(rows.join(last, "_i", "left").withColumn("_change", F.signum("second") * F.col("_sign") < 0), "size-changes")
+    cut = rows.where("_change").agg(F.max(area)).scalar()
+    return rows.withColumn("cut", cut).select(key, area, "cumulative", "second", "cut")
 
 
 def area_thresholds(sizes: DataFrame, thresholds: list[float], area: str, size: str) -> DataFrame:
@@ -174,14 +179,38 @@ def area_thresholds(sizes: DataFrame, thresholds: list[float], area: str, size:
     return sizes.withColumn("threshold", t).groupBy("threshold").agg(F.count("*").alias("n"), F.sum(size).alias("total"))
 
 
-def to_flow_product(hourly: DataFrame, keys: list[str], flags: dict[str, Column]) -> DataFrame:
-    """The published columns: q_obs, its quality and flags with the prefix q_obs_, and time bounds."""
-    return hourly.select(*keys, "hour", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("bounds_end"), F.col("value").alias("q_obs"), F.col("quality").alias("q_obs_data_quality"), *[c.alias(f"q_obs_{k}") for k, c in flags.items()])
+#: Flags that a country's product doesn't have.
+WITHOUT = {"USA": ("is_below_sensor_level",), "CAN": ("is_malfunction_affected", "is_backwater_affected")}
+
+
+def to_flow_product(hourly: DataFrame, keys: list[str], flags: dict[str, Column], country: str | None = None) -> DataFrame:
+    """The published columns: q_obs, its quality and flags with the prefix q_obs_, and time bounds. For a country: without
+    the flags that it doesn't have, and for the USA with ft3/s as m3/s."""
+    kept = {k: c for k, c in flags.items() if k not in WITHOUT.get(country, ())}
+    value = cubic_metres(F.col("value")) if country == "USA" else F.col("value")
+    return hourly.select(*keys, "hour", (F.col("hour") + F.expr("INTERVAL 1 HOUR")).alias("bounds_end"), value.alias("q_obs"), F.col("quality").alias("q_obs_data_quality"), *[c.alias(f"q_obs_{k}") for k, c in kept.items()])
+
+
+def flag_meanings(product: DataFrame, country: str) -> DataFrame:
+    """q_obs_data_quality, meaning of the flags that a product holds; null for one that isn't known."""
+    found = product.select("q_obs_data_quality").distinct()
+    return found.withColumn("meaning", mapped(F.col("q_obs_data_quality"), FLAGS[country]))
+
+
+def write_product(product: DataFrame, path: str, by: list[str]) -> None:
+    """Parquet files by country, basin or the like; each of them in time order."""
+    product.repartitionByRange(*by, "hour").sortWithinPartitions(*by, "hour").write.partitionBy(*by).parquet(path)
+
+
+def write_wide(wide: DataFrame, path: str) -> None:
+    """The wide attribute table as one CSV with a header: a few thousand rows, one per attribute."""
+    wide.coalesce(1).write.option("header", True).csv(path)
 
 
 def merge_periods(df: DataFrame, key: str, ts: str) -> DataFrame:
-    """Pieces of a basin's series together and in order, ready to be written by basin."""
-    return df.repartition(key).sortWithinPartitions(key, ts)
+    """Pieces of a basin's series together and in order, ready to be written: parts are ranges of (basin, time), so a
+    long series is dealt over several, one after another."""
+    return df.repartitionByRange(key, ts).sortWithinPartitions(key, ts)
 
 
 def season_counts_top(df: DataFrame, keys: list[str], label: Column) -> DataFrame:

@@ -16,8 +16,10 @@ STATUS_FLAGS = {"ice": "Ice", "malfunction": "Eqp", "backwater": "Bkw"}
 # USGS quality codes from worst to best.
 USGS_ORDER = ("nan", "A:[0]", "A:<", "A:>", "A:[4]", "P:[4]", "P:e", "P", "A:R", "A:e", "A", "A:[93]", "A:[92]", "A:[91]", "A:[90]")
 
+#: Half an hour in microseconds.
+HALF = 1_800_000_000
+
 _UP = (Window.unboundedPreceding, Window.currentRow)
-_DOWN = (Window.currentRow, Window.unboundedFollowing)
 
 
 def micros(ts: Column) -> Column:
@@ -53,26 +55,39 @@ def utc_to_lst(df: DataFrame, ts: str, offset_hours: Column, whole_hours: bool =
     return df.withColumn(ts, F.timestamp_micros(micros(F.col(ts)) + (hours * 3600).cast("long") * 1_000_000))
 
 
+def half_hour_marks(df: DataFrame, keys: list[str], ts: str, value: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, spans): keys, _t (microseconds), _v, _obs of the observations and of every half hour between a site's first
+    and last one; keys, _first, _last."""
+    obs = df.select(*keys, micros(F.col(ts)).alias("_t"), F.col(value).cast("double").alias("_v"), F.lit(1).alias("_obs"))
+    first, last = F.ceil(F.min("_t") / HALF).cast("long") * HALF, F.floor(F.max("_t") / HALF).cast("long") * HALF
+    span = obs.groupBy(*keys).agg(first.alias("_a"), last.alias("_z"), F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    marks = span.where("_a <= _z").select(*keys, F.explode(F.sequence("_a", "_z", F.lit(HALF))).alias("_t"), F.lit(None).cast("double").alias("_v"), F.lit(0).alias("_obs"))
+    return obs.unionByName(marks).groupBy(*keys, "_t").agg(F.max("_v").alias("_v"), F.sum("_obs").alias("_obs")), span.select(*keys, "_first", "_last")
+
+
+def fill_edges(rows: DataFrame, keys: list[str], center: bool = False) -> DataFrame:
+    """Marks on an hour's edge (minute 0, or 30 if centred) with observations only in the hour before take the last one of
+    them, with ones only in the hour after the last of that hour; others stay."""
+    w = Window.partitionBy(*keys).orderBy("_t")
+    seen = (F.col("_obs") > 0) & (F.col("_v") >= 0)
+    before, after = (F.last(F.when(seen, F.col("_v")), ignorenulls=True).over(w.rangeBetween(*r)) for r in ((-2 * HALF, 0), (0, 2 * HALF)))
+    edge = F.col("_t") % (2 * HALF) == (HALF if center else 0)
+    filled = F.when(F.col("_v").isNotNull(), F.col("_v")).when(edge & before.isNotNull() & after.isNull(), before).when(edge & before.isNull() & after.isNotNull(), after)
+    return rows.withColumn("_v", filled)
+
+
 def resample_hourly(df: DataFrame, keys: list[str], ts: str, value: str, center: bool = False) -> DataFrame:
     """Volume-preserving hourly means of irregular observations: keys, hour, value, n_obs, n_obs_right, based_on_obs.
 
-    Half-hour marks are added between the first and the last observation. A mark on an hour's edge with observations
-    only in the hour before (after) takes the last one of them; other gaps are interpolated in time. Trapezoids
-    between neighbouring times are summed by hour and divided by 3600. An hour without an observation inside or on
-    either edge is null. Hours lie between a site's first and last observation.
+    Half-hour marks are added between the first and the last observation and filled at the edges of hours (fill_edges);
+    other gaps are interpolated in time. Trapezoids between neighbouring times are summed by hour and divided by 3600.
+    An hour without an observation inside or on either edge is null. Hours lie between a site's first and last
+    observation.
     """
-    obs = df.select(*keys, micros(F.col(ts)).alias("_t"), F.col(value).cast("double").alias("_v"), F.lit(1).alias("_obs"))
-    half = 1_800_000_000
-    first, last = F.ceil(F.min("_t") / half).cast("long") * half, F.floor(F.max("_t") / half).cast("long") * half
-    span = obs.groupBy(*keys).agg(first.alias("_a"), last.alias("_z"), F.min("_t").alias("_first"), F.max("_t").alias("_last"))
-    marks = span.where("_a <= _z").select(*keys, F.explode(F.sequence("_a", "_z", F.lit(half))).alias("_t"), F.lit(None).cast("double").alias("_v"), F.lit(0).alias("_obs"))
-    rows = obs.unionByName(marks).groupBy(*keys, "_t").agg(F.max("_v").alias("_v"), F.sum("_obs").alias("_obs"))
+    half = HALF
+    rows, span = half_hour_marks(df, keys, ts, value)
     w = Window.partitionBy(*keys).orderBy("_t")
-    seen = F.when((F.col("_obs") > 0) & (F.col("_v") >= 0), F.col("_v"))
-    before, after = (F.last(seen, ignorenulls=True).over(w.rangeBetween(*r)) for r in ((-2 * half, 0), (0, 2 * half)))
-    edge = F.col("_t") % (2 * half) == (half if center else 0)
-    filled = F.when(F.col("_v").isNotNull(), F.col("_v")).when(edge & before.isNotNull() & after.isNull(), before).when(edge & before.isNull() & after.isNotNull(), after)
-    rows = interpolate_time(rows.withColumn("_v", filled), keys, "_t", ["_v"])
+    rows = interpolate_time(fill_edges(rows, keys, center), keys, "_t", ["_v"])
     volume = (F.col("_v") + F.lead("_v").over(w)) / 2 * (F.lead("_t").over(w) - F.col("_t")) / 1e6
     at = F.col("_t") + (half if center else 0)
     rows = rows.select(*keys, "_obs", volume.alias("_vol"), at.alias("_at"), F.floor(at / (2 * half)).alias("_h"))
@@ -80,37 +95,42 @@ def resample_hourly(df: DataFrame, keys: list[str], ts: str, value: str, center:
     right = F.array(F.struct(F.col("_h").alias("h"), F.col("_vol").alias("vol"), F.col("_obs").alias("l"), F.when(F.col("_at") % (2 * half) != 0, F.col("_obs")).otherwise(0).alias("r")), F.struct((F.col("_h") - 1).alias("h"), F.lit(None).cast("double").alias("vol"), F.lit(0).cast("long").alias("l"), F.col("_obs").alias("r")))
     both = F.when((F.col("_at") % (2 * half) == 0) & (F.col("_obs") > 0), right).otherwise(F.slice(right, 1, 1))
     hours = rows.select(*keys, F.explode(both).alias("x")).groupBy(*keys, F.col("x.h").alias("_h")).agg(F.coalesce(F.sum("x.vol"), F.lit(0.0)).alias("_vol"), F.sum("x.l").alias("n_obs"), F.sum("x.r").alias("n_obs_right"))
-    hours = hours.join(span.select(*keys, "_first", "_last"), keys).where((F.col("_h") * 2 * half).between(F.col("_first"), F.col("_last")))
+    hours = hours.join(span, keys).where((F.col("_h") * 2 * half).between(F.col("_first"), F.col("_last")))
     based = (F.col("n_obs") + F.col("n_obs_right")) > 0
     return hours.select(*keys, F.timestamp_micros((F.col("_h") * 2 * half).cast("long")).alias("hour"), F.when(based, F.col("_vol") / 3600).alias("value"), F.col("n_obs").cast("long").alias("n_obs"), F.col("n_obs_right").cast("long").alias("n_obs_right"), based.cast("int").alias("based_on_obs"))
 
 
+def hour_windows(df: DataFrame, ts: str, center: bool = False) -> DataFrame:
+    """df with hour, the hour whose window holds the row, both ends included: [hour, hour + 1 h], or half an hour to
+    either side if centred. A row on an edge is dealt to both hours, so no range join is needed."""
+    at = micros(F.col(ts)) + (HALF if center else 0)
+    h = F.floor(at / (2 * HALF))
+    rows = df.withColumn("_h", F.explode(F.when(at % (2 * HALF) == 0, F.array(h - 1, h)).otherwise(F.array(h))))
+    return rows.withColumn("hour", F.timestamp_micros((F.col("_h") * 2 * HALF).cast("long"))).drop("_h")
+
+
 def hourly_quality(df: DataFrame, keys: list[str], ts: str, code: str, order: tuple[str, ...] = USGS_ORDER, flags: dict[str, Column] | None = None, center: bool = False) -> DataFrame:
     """keys, hour, quality (worst code in the hour, both ends included), one 0/1 column per flag.
 
-    An observation on an edge counts in both hours: it is dealt to at most two hour keys, so no range join is needed.
-    A null code is 'nan'; codes that aren't listed are reported as such, ranked before all others.
+    An observation on an edge counts in both hours (hour_windows). A null code is 'nan'; codes that aren't listed are reported as such, ranked before all others.
     """
-    hour = 3_600_000_000
-    at = micros(F.col(ts)) + (hour // 2 if center else 0)
-    h = F.floor(at / hour)
     name = F.coalesce(F.col(code), F.lit("nan"))
     rank = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for i, c in enumerate(order) for x in (c, i)]), name), F.lit(-1))
     made = {k: F.max(F.coalesce(c.cast("int"), F.lit(0))).alias(k) for k, c in (flags or {}).items()}
-    rows = df.withColumn("_h", F.explode(F.when(at % hour == 0, F.array(h - 1, h)).otherwise(F.array(h))))
-    out = rows.groupBy(*keys, "_h").agg(F.min_by(name, F.struct(rank, name)).alias("quality"), *made.values())
-    return out.select(*keys, F.timestamp_micros((F.col("_h") * hour).cast("long")).alias("hour"), "quality", *made)
+    out = hour_windows(df, ts, center).groupBy(*keys, "hour").agg(F.min_by(name, F.struct(rank, name)).alias("quality"), *made.values())
+    return out.select(*keys, "hour", "quality", *made)
 
 
 def interpolate_time(df: DataFrame, keys: list[str], ts: str, cols: list[str]) -> DataFrame:
-    """Linear in time between the valid values on both sides; nothing is extrapolated. ts: a number or a date."""
-    w = Window.partitionBy(*keys).orderBy(ts)
+    """Linear in time between the valid values on both sides; nothing is extrapolated. ts: a number or a date, once per
+    key. Both sides are running values, the next one over the descending order, so a site takes linear time."""
+    up, down = (Window.partitionBy(*keys).orderBy(o).rowsBetween(*_UP) for o in (F.col(ts).asc(), F.col(ts).desc()))
     t = F.unix_date(ts) if dict(df.dtypes)[ts] == "date" else micros(F.col(ts)) if dict(df.dtypes)[ts].startswith("timestamp") else F.col(ts)
     made = {}
     for c in cols:
         at = F.when(F.col(c).isNotNull(), t)
-        v0, t0 = (F.last(x, ignorenulls=True).over(w.rowsBetween(*_UP)) for x in (F.col(c), at))
-        v1, t1 = (F.first(x, ignorenulls=True).over(w.rowsBetween(*_DOWN)) for x in (F.col(c), at))
+        v0, t0 = (F.last(x, ignorenulls=True).over(up) for x in (F.col(c), at))
+        v1, t1 = (F.last(x, ignorenulls=True).over(down) for x in (F.col(c), at))
         made[c] = F.coalesce(F.col(c), v0 + (v1 - v0) * (t - t0) / (t1 - t0))
     return df.withColumns(made)
 

@@ -13,24 +13,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-OBS = "obs AS (SELECT user_id % 4 AS site, ts, avg(value) AS value, min(event_type) AS code FROM events GROUP BY ALL)"
-FLOW = "flow AS (SELECT o_custkey % 8 AS site, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) / 99991 AS q FROM orders GROUP BY ALL)"
-RAIN = "rain AS (SELECT l_suppkey % 8 AS site, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) / 100 AS p, avg(l_extendedprice) / 137 AS t, avg(l_extendedprice) / 9973 AS pet FROM lineitem GROUP BY ALL)"
+SITE_SQL = "user_id % (SELECT count(*) // 50000 + 4 FROM events)"
+OBS = f"obs AS (SELECT {SITE_SQL} AS site, ts, avg(value) AS value, min(event_type) AS code FROM events GROUP BY ALL)"
+FLOW = "flow AS (SELECT o_custkey % (SELECT count(*) // 30000 + 8 FROM orders) AS site, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) / 99991 AS q FROM orders GROUP BY ALL)"
+RAIN = "rain AS (SELECT l_suppkey % (SELECT count(*) // 120000 + 8 FROM lineitem) AS site, CAST(l_shipdate AS DATE) AS day, sum(l_quantity) / 100 AS p, avg(l_extendedprice) / 137 AS t, avg(l_extendedprice) / 9973 AS pet FROM lineitem GROUP BY ALL)"
 PIXELS = "pix AS (SELECT vec_id AS row, CAST(i AS INTEGER) AS col, CAST(embedding[i + 1] AS DOUBLE) AS value, label AS zone FROM embeddings, unnest(range(0, len(embedding))) AS u(i))"
 NET = "net AS (SELECT c_nationkey * 0 AS basin, c_custkey AS comid, c_custkey // 2 AS next_down, abs(c_acctbal) / 97 AS length, 1.0 + c_custkey % 7 AS unitarea, CAST(c_custkey % 5 AS INTEGER) AS ord FROM customer WHERE c_custkey > 0)"
 
 
+def sites(s, d, name: str, rows: int, least: int) -> int:
+    """The number of sites that a table is dealt to: it grows with the table, so that a site's series stays dense."""
+    return table(s, d, name).count() // rows + least
+
+
+def events(s, d) -> DataFrame:
+    return table(s, d, "events").withColumn("site", F.col("user_id") % sites(s, d, "events", 50000, 4))
+
+
 def obs(s, d) -> DataFrame:
-    e = table(s, d, "events")
-    return e.groupBy((F.col("user_id") % 4).alias("site"), "ts").agg(F.avg("value").alias("value"), F.min("event_type").alias("code"))
+    return events(s, d).groupBy("site", "ts").agg(F.avg("value").alias("value"), F.min("event_type").alias("code"))
 
 
 def flow(s, d) -> DataFrame:
-    return table(s, d, "orders").groupBy((F.col("o_custkey") % 8).alias("site"), F.to_date("o_orderdate").alias("day")).agg((F.sum("o_totalprice") / 99991).alias("q"))
+    site = F.col("o_custkey") % sites(s, d, "orders", 30000, 8)
+    return table(s, d, "orders").groupBy(site.alias("site"), F.to_date("o_orderdate").alias("day")).agg((F.sum("o_totalprice") / 99991).alias("q"))
 
 
 def rain(s, d) -> DataFrame:
-    return table(s, d, "lineitem").groupBy((F.col("l_suppkey") % 8).alias("site"), F.to_date("l_shipdate").alias("day")).agg((F.sum("l_quantity") / 100).alias("p"), (F.avg("l_extendedprice") / 137).alias("t"), (F.avg("l_extendedprice") / 9973).alias("pet"))
+    site = F.col("l_suppkey") % sites(s, d, "lineitem", 120000, 8)
+    return table(s, d, "lineitem").groupBy(site.alias("site"), F.to_date("l_shipdate").alias("day")).agg((F.sum("l_quantity") / 100).alias("p"), (F.avg("l_extendedprice") / 137).alias("t"), (F.avg("l_extendedprice") / 9973).alias("pet"))
 
 
 def pixels(s, d) -> DataFrame:

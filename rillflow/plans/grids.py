@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rillflow.functions import scalars as S
+from rillflow.functions.legends import LEGENDS
 from rillflow.operators import forcing as O
 from rillflow.operators import geometry as X
 from rillflow.operators import network as N
 from rillflow.operators import rasters as R
-from rillflow.plans.adapters import NET, PIXELS, RAIN, add, net, pixels, rain, table
+from rillflow.plans.adapters import FLOW, NET, PIXELS, RAIN, add, flow, net, pixels, rain, table
 
 COL = F.col
 
@@ -20,6 +22,12 @@ add("a10_harmonic_mean", lambda s, d: R.zonal_stats(pixels(s, d).withColumn("val
 add("a11_class_fractions", lambda s, d: R.class_fractions(pixels(s, d).withColumn("value", F.floor(F.abs("value") * 20)), "zone", [0, 1, 2, 3, 4, 99]), f"""{PIXELS}, c AS (SELECT zone, CAST(floor(abs(value) * 20) AS INTEGER) AS class FROM pix)
 --
 SELECT z.zone, l.class, count(c.class) FILTER (c.class = l.class) / any_value(z.n) AS fraction FROM (SELECT zone, count(*) AS n FROM c GROUP BY zone) z, (SELECT CAST(unnest([0, 1, 2, 3, 4, 99]) AS INTEGER) AS class) l LEFT JOIN c ON c.zone = z.zone AND c.class = l.class GROUP BY z.zone, l.class""", "zone class", "fraction")
+for _name, _legend in (("glclu", "GLCLU 2019"), ("mcd12q1", "MCD12Q1.061"), ("lgrip30", "LGRIP30")):
+    _names = ", ".join(f"({k}, 'x_{n}_fraction')" for k, n in LEGENDS[_legend].items())
+    add(f"a11_{_name}", lambda s, d, g=_legend: R.class_fractions(pixels(s, d).withColumn("value", F.floor(F.abs("value") * 40)), "zone", LEGENDS[g], prefix="x_"), f"""{PIXELS}, c AS (SELECT zone, CAST(floor(abs(value) * 40) AS INTEGER) AS class FROM pix), n AS (SELECT zone, count(*) AS n FROM c GROUP BY zone), k AS (SELECT zone, class, count(*) AS k FROM c GROUP BY ALL), l(class, attribute) AS (VALUES {_names})
+--
+SELECT n.zone, l.attribute, coalesce(k, 0) / n AS fraction FROM n CROSS JOIN l LEFT JOIN k ON k.zone = n.zone AND k.class = l.class""", "zone attribute", "fraction")
+add("f1_user_stats", lambda s, d: R.zonal_stats(pixels(s, d), ["zone"], extra={"positive": F.count_if(COL("value") > 0)}, functions={"to_median": lambda v: float(v.max() - v.median())}), f"{PIXELS}\n--\nSELECT zone, count(*) FILTER (value > 0) AS positive, max(value) - median(value) AS to_median FROM pix GROUP BY zone", "zone positive", "to_median")
 add("a12_weighted_stats", lambda s, d: R.weighted_stats(pixels(s, d).withColumn("w", 1 + COL("col") % 5), ["zone"], "value", "w"), f"""{PIXELS}, w AS (SELECT zone, value AS v, 1 + col % 5 AS w FROM pix)
 --
 SELECT zone, min(v) AS min, sum(v * w) / sum(w) AS mean, max(v) AS max, sqrt(sum(w * v * v) / sum(w) - (sum(v * w) / sum(w)) * (sum(v * w) / sum(w))) AS std FROM w GROUP BY zone""", "zone", "min mean max std")
@@ -52,7 +60,7 @@ add("w8_terrain", lambda s, d: R.terrain(pixels(s, d), []), f"""{PIXELS}, {HORN}
 --
 SELECT row, col, degrees(atan(sqrt(dx * dx + dy * dy))) AS slope, (degrees(atan2(-dx, dy)) + 360) % 360 AS aspect FROM g""", "row col", "slope aspect", 5)
 add("m8_soil_properties", lambda s, d: R.soil_properties(pixels(s, d).withColumns({"sand": F.abs("value") * 1000, "clay": F.abs("value") * 500})), f"{PIXELS}\n--\nSELECT row, col, (50.5 - 0.142 * (abs(value) * 100) - 0.037 * (abs(value) * 50)) / 100 AS porosity, 2.54 * power(10, -0.6 + 0.0126 * (abs(value) * 100) - 0.0064 * (abs(value) * 50)) AS conductivity FROM pix", "row col", "porosity conductivity")
-add("m7_gridded_climate", lambda s, d: R.gridded_climate(pixels(s, d).where("row % 100 < 12").groupBy("col", (COL("row") % 100 + 1).alias("month")).agg((F.avg(F.abs("value")) * 100).alias("p"), (F.avg(F.abs("value")) * 50).alias("pet"), (F.avg("value") * 1000).alias("t")), ["col"]), f"""{PIXELS}, m AS (SELECT col, row % 100 + 1 AS month, avg(abs(value)) * 100 AS p, avg(abs(value)) * 50 AS pet, avg(value) * 1000 AS t, 2 * pi() * (row % 100) / 12 AS x FROM pix WHERE row % 100 < 12 GROUP BY ALL),
+add("m7_gridded_climate", lambda s, d: R.gridded_climate(pixels(s, d).groupBy("col", (COL("row") % 12 + 1).alias("month")).agg((F.avg(F.abs("value")) * 100).alias("p"), (F.avg(F.abs("value")) * 50).alias("pet"), (F.avg("value") * 1000).alias("t")), ["col"]), f"""{PIXELS}, m AS (SELECT col, row % 12 + 1 AS month, avg(abs(value)) * 100 AS p, avg(abs(value)) * 50 AS pet, avg(value) * 1000 AS t, 2 * pi() * (row % 12) / 12 AS x FROM pix GROUP BY ALL),
     a AS (SELECT col, CASE WHEN sum(p) = 0 THEN 1 ELSE sum(p) END AS sp, sum(pet) AS pet, sum(CASE WHEN t < 0 THEN p ELSE 0 END) AS snow, avg(p) AS m, 2 * avg(p * sin(x)) AS ps, 2 * avg(p * cos(x)) AS pc, 2 * avg(t * sin(x)) AS ts, 2 * avg(t * cos(x)) AS tc FROM m GROUP BY col)
 --
 SELECT col, pet / sp AS aridity, snow, snow / sp AS fsnow, (ps * ts + pc * tc) / (m * sqrt(ts * ts + tc * tc)) AS seasonality FROM a""", "col", "aridity snow fsnow seasonality")
@@ -96,17 +104,22 @@ def cells(s, d):
 
 
 def boxes(s, d):
-    k = COL("n_nationkey")
-    return table(s, d, "nation").select(k.alias("nation"), (-140 + k * 3.0).cast("double").alias("west"), (20 + k * 1.5).cast("double").alias("south"), (-133 + k * 3.0).cast("double").alias("east"), (27.05 + k * 1.5).cast("double").alias("north"))
+    """A rectangle of 7 by 7.05 degrees for each supplier."""
+    k = COL("s_suppkey")
+    west, south = (-140 + k * 3 % 70).cast("double"), (20 + k * 7 % 40).cast("double")
+    return table(s, d, "supplier").select(k.alias("nation"), west.alias("west"), south.alias("south"), (west + 7).alias("east"), (south + 7.05).alias("north"))
 
 
-BOXES = "boxes AS (SELECT n_nationkey AS nation, -140 + n_nationkey * 3.0 AS west, 20 + n_nationkey * 1.5 AS south, -133 + n_nationkey * 3.0 AS east, 27.05 + n_nationkey * 1.5 AS north FROM nation)"
+BOXES = "boxes AS (SELECT s_suppkey AS nation, CAST(-140 + s_suppkey * 3 % 70 AS DOUBLE) AS west, CAST(20 + s_suppkey * 7 % 40 AS DOUBLE) AS south, -133 + s_suppkey * 3 % 70 AS east, CAST(20 + s_suppkey * 7 % 40 AS DOUBLE) + 7.05 AS north FROM supplier)"
 add("j3_align_coords", lambda s, d: O.align_coords(cells(s, d).withColumns({"lon": COL("lon") + 1e-6, "lat": COL("lat") - 1e-6}), cells(s, d).where("cell % 3 = 0"), ["lon", "lat"]), f"{CELLS}, r AS (SELECT DISTINCT lon, lat FROM cells WHERE cell % 3 = 0)\n--\nSELECT cell, lon, lat FROM cells SEMI JOIN r USING (lon, lat)", "cell", "lon lat", 3)
 add("j6_add_elevation", lambda s, d: O.add_elevation(cells(s, d), cells(s, d).where("cell % 2 = 0").groupBy("lon", "lat").agg(F.max("cell").cast("double").alias("z")), ["lon", "lat"]), f"{CELLS}, z AS (SELECT lon, lat, max(cell) AS z FROM cells WHERE cell % 2 = 0 GROUP BY ALL)\n--\nSELECT cell, z / 9.80665 AS elevation FROM cells LEFT JOIN z USING (lon, lat)", "cell", "elevation")
 add("p10_snap_bbox", lambda s, d: O.snap_bbox(boxes(s, d).withColumns({c: COL(c) + 0.03 for c in ("west", "south", "east", "north")}), "ERA5"), f"{BOXES}\n--\nSELECT nation, floor((west + 0.03 - 0.125) / 0.25) * 0.25 AS west, floor((south + 0.03 - 0.125) / 0.25) * 0.25 AS south, ceil((east + 0.03 + 0.125) / 0.25) * 0.25 AS east, ceil((north + 0.03 + 0.125) / 0.25) * 0.25 AS north FROM boxes", "nation", "west south east north")
 add("p10_bbox_filter", lambda s, d: O.bbox_filter(cells(s, d), boxes(s, d), "nation"), f"{CELLS}, {BOXES}\n--\nSELECT nation, cell, lon, lat FROM cells JOIN boxes ON lon BETWEEN west AND east AND lat BETWEEN south AND north", "nation cell", "lon lat")
 add("p10_wrap_longitude", lambda s, d: O.wrap_longitude(cells(s, d).withColumn("lon", COL("lon") + 300), "lon"), f"{CELLS}\n--\nSELECT cell, CASE WHEN lon + 300 > 180 THEN lon - 60 ELSE lon + 300 END AS lon FROM cells", "cell", "lon")
 add("p5_convert_units", lambda s, d: O.convert_units(rain(s, d).select("site", "day", COL("t").alias("tmean"), COL("p").alias("prcp")), O.RULES["EM-Earth"]), f"{RAIN}\n--\nSELECT site, day, t + 273.15 AS tmean, p / 3600 AS prcp FROM rain", "site day", "tmean prcp", 9)
+add("p5_flow_units", lambda s, d: flow(s, d).select("site", "day", S.cubic_metres(COL("q")).alias("m3s"), S.flow_depth(S.cubic_metres(COL("q")), 1.0 + COL("site")).alias("mm")), f"{FLOW}\n--\nSELECT site, day, q * 0.0283168466 AS m3s, q * 0.0283168466 * 86400 / ((1 + site) * 1e6) * 1000 AS mm FROM flow", "site day", "m3s mm", 7)
+add("p5_flux_units", lambda s, d: rain(s, d).select("site", "day", *[S.flux_depth(COL("p") / 1e5, S.seconds_in(k, COL("day"))).alias(k) for k in ("hour", "month", "year")], S.flux_depth(COL("p") / 1e5, S.seconds_in("day", COL("day"))).alias("daily")), f"{RAIN}\n--\nSELECT site, day, p / 1e5 * 3600 AS hour, p / 1e5 * 86400 AS daily, p / 1e5 * 86400 * day(last_day(day)) AS month, p / 1e5 * 86400 * 365.25 AS year FROM rain", "site day", "hour daily month year", 6)
+add("p5_daymet_units", lambda s, d: O.convert_units(rain(s, d).select("site", "day", COL("t").alias("srad")), O.RULES["Daymet"]), f"{RAIN}\n--\nSELECT site, day, t * 1000 / 86400 AS srad FROM rain", "site day", "srad", 6)
 add("p17_month_periods", lambda s, d: O.month_periods(table(s, d, "orders").groupBy((COL("o_custkey") % 50).alias("site")).agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z")), "a", "z"), """r AS (SELECT o_custkey % 50 AS site, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z FROM orders GROUP BY ALL), m AS (SELECT site, a, z, CAST(unnest(generate_series(date_trunc('month', a)::TIMESTAMP, date_trunc('month', z)::TIMESTAMP, INTERVAL 1 MONTH)) AS DATE) AS m FROM r)
 --
 SELECT site, greatest(m, a) AS month_start, least(last_day(m), z) AS month_end FROM m""", "site month_start month_end")
@@ -157,24 +170,36 @@ def grid_boxes(s, d):
 
 
 add("j11_clip_layer", lambda s, d: X.clip_layer(polys(s, d), grid_boxes(s, d)), f"{CUT}\n--\nSELECT nation AS poly_id, cell AS box_id, area FROM cut", "poly_id box_id", "area")
-add("j11_intersecting", lambda s, d: X.intersecting(polys(s, d), grid_boxes(s, d)).groupBy("poly_id").agg(F.count("*").alias("n")), f"{CUT}\n--\nSELECT nation AS poly_id, count(*) AS n FROM cut GROUP BY nation", "poly_id n")
 add("a34_dissolve", lambda s, d: X.dissolve(X.clip_layer(polys(s, d), grid_boxes(s, d)), "poly_id"), f"{CUT}\n--\nSELECT nation AS poly_id, sum(area) AS area, count(*) AS n_parts FROM cut GROUP BY nation", "poly_id n_parts", "area")
 
 
 def moved(s, d):
+    """Another rectangle for each supplier, an hour of longitude to the east."""
     return boxes(s, d).select(COL("nation").alias("poly_id"), RING(COL("west") + 1, COL("south"), COL("east") + 1, COL("north")).alias("geometry"))
 
 
-add("j12_overlap_fraction", lambda s, d: X.overlap_fraction(polys(s, d), moved(s, d), 1.0), f"{BOXES}\n--\nSELECT nation AS poly_id, (east - west - 1) / (east - west) AS fraction FROM boxes", "poly_id", "fraction")
+def basins(s, d):
+    return moved(s, d).where("poly_id % 3 = 1").withColumnRenamed("poly_id", "basin_id")
+
+
+SHARED = f"{BOXES}, shr AS (SELECT a.nation AS poly_id, b.nation AS basin_id, (least(a.east, b.east + 1) - greatest(a.west, b.west + 1)) * (least(a.north, b.north) - greatest(a.south, b.south)) AS area, (a.east - a.west) * (a.north - a.south) AS whole FROM boxes a JOIN boxes b ON b.nation % 3 = 1 AND a.west < b.east + 1 AND a.east > b.west + 1 AND a.south < b.north AND a.north > b.south)"
+add("j11_overlaps", lambda s, d: X.overlaps(polys(s, d), basins(s, d), 2.0), f"{SHARED}\n--\nSELECT poly_id, basin_id, area FROM shr", "poly_id basin_id", "area")
+add("j11_intersecting", lambda s, d: X.intersecting(polys(s, d), basins(s, d), 2.0).groupBy("basin_id").agg(F.count("*").alias("n"), F.sum(F.size("geometry")).alias("corners")), f"{SHARED}\n--\nSELECT basin_id, count(*) AS n, 4 * count(*) AS corners FROM shr GROUP BY basin_id", "basin_id n corners")
+add("j11_clip_lakes", lambda s, d: X.clip_lakes(boxes(s, d).select(COL("nation").alias("poly_id"), ((COL("east") - COL("west")) * (COL("north") - COL("south"))).alias("area"), (COL("nation") * 1.5).cast("double").alias("volume")), X.overlaps(polys(s, d), basins(s, d), 2.0)), f"{SHARED}\n--\nSELECT poly_id, basin_id, round(area, 2) AS area, poly_id * 1.5 * round(area, 2) / whole AS volume FROM shr", "poly_id basin_id", "area volume", 5)
+add("j12_overlap_fraction", lambda s, d: X.overlap_fraction(polys(s, d), moved(s, d), 2.0), f"{BOXES}\n--\nSELECT nation AS poly_id, (east - west - 1) / (east - west) AS fraction FROM boxes", "poly_id", "fraction")
+add("j14_assign_zones", lambda s, d: X.assign_zones(grid(s, d).withColumnRenamed("cell", "pixel"), polys(s, d), 0.5, 0.5, bucket=2.0), f"{CUT}\n--\nSELECT cell AS pixel, nation AS zone FROM cut", "pixel zone")
+add("j14_assign_zones_centres", lambda s, d: X.assign_zones(grid(s, d).withColumnRenamed("cell", "pixel"), polys(s, d), 0.5, 0.5, all_touched=False, bucket=2.0), f"{CELLS}, {BOXES}, {GRID}\n--\nSELECT i * 1000 + j AS pixel, nation AS zone FROM grid JOIN boxes ON i + 0.5 BETWEEN west AND east AND j + 0.5 BETWEEN south AND north", "pixel zone")
+add("j14_crop_window", lambda s, d: X.crop_window(polys(s, d), "poly_id", 0.3, 0.4), f"{BOXES}\n--\nSELECT nation AS poly_id, west - 0.5 AS west, south - 0.5 AS south, east + 0.5 AS east, north + 0.5 AS north FROM boxes", "poly_id", "west south east north")
+add("a34_first_segments", lambda s, d: X.first_of(table(s, d, "orders").select(COL("o_custkey").alias("comid"), "o_orderkey", "o_totalprice"), "comid", "o_orderkey"), "SELECT o_custkey AS comid, min(o_orderkey) AS o_orderkey, arg_min(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY o_custkey", "comid o_orderkey", "o_totalprice", 2)
 
 
 def _snapped(s, d):
     line = F.array(*[F.struct(F.lit(0).alias("ring"), x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in ((COL("west"), COL("south")), (COL("east"), COL("south")), (COL("east"), COL("north")))])
     lines = boxes(s, d).where("nation % 5 <> 0").select("nation", line.alias("geometry"))
-    return X.snap_to_line(cells(s, d).select(COL("cell").alias("id"), COL("lon").alias("x"), COL("lat").alias("y"), (COL("cell") % 25).cast("int").alias("nation")), lines, "nation")
+    return X.snap_to_line(cells(s, d).select(COL("cell").alias("id"), COL("lon").alias("x"), COL("lat").alias("y"), (COL("cell") % 100).cast("long").alias("nation")), lines, "nation")
 
 
-add("j8_snap_to_line", _snapped, f"""{CELLS}, {BOXES}, p AS (SELECT cell AS id, lon AS x, lat AS y, boxes.* FROM cells LEFT JOIN boxes ON cell % 25 = nation AND nation % 5 <> 0),
+add("j8_snap_to_line", _snapped, f"""{CELLS}, {BOXES}, p AS (SELECT cell AS id, lon AS x, lat AS y, boxes.* FROM cells LEFT JOIN boxes ON cell % 100 = nation AND nation % 5 <> 0),
     c AS (SELECT id, greatest(least(x, east), west) AS px, south AS py, x, y FROM p WHERE nation IS NOT NULL UNION ALL SELECT id, east, greatest(least(y, north), south), x, y FROM p WHERE nation IS NOT NULL),
     e AS (SELECT id, px, py, sqrt((px - x) * (px - x) + (py - y) * (py - y)) AS d FROM c), b AS (SELECT id, min_by({{'px': px, 'py': py, 'd': d}}, {{'d': d, 'x': px, 'y': py}}) AS b FROM e GROUP BY id)
 --
@@ -203,9 +228,9 @@ add("a33_poly_area", lambda s, d: X.drop_tiny(X.poly_area(polys(s, d), "poly_id"
 add("a33_line_length", lambda s, d: X.line_length(polys(s, d), "poly_id"), f"{VERTS}\n--\nSELECT a.nation AS poly_id, sum(sqrt((b.x - a.x) * (b.x - a.x) + (b.y - a.y) * (b.y - a.y))) AS length_km FROM a JOIN a b ON a.nation = b.nation AND b.i = a.i + 1 GROUP BY a.nation", "poly_id", "length_km", 4)
 
 # River network of customers: comid flows into comid div 2.
-UPSQL = "up AS (SELECT comid, comid AS member FROM net WHERE comid % 10 = 3 UNION ALL SELECT up.comid, net.comid FROM up JOIN net ON net.next_down = up.member)"
+UPSQL = "up AS (SELECT comid, comid AS member FROM net UNION ALL SELECT up.comid, net.comid FROM up JOIN net ON net.next_down = up.member)"
 add("g1_stream_lengths", lambda s, d: N.stream_lengths(net(s, d)), f"RECURSIVE {NET}, w AS (SELECT comid AS head, next_down AS at, length AS len FROM net WHERE comid NOT IN (SELECT next_down FROM net) UNION ALL SELECT head, net.next_down, len + length FROM w JOIN net ON net.comid = w.at)\n--\nSELECT CAST(0 AS INTEGER) AS basin, head AS comid, max(len) AS stream_length FROM w GROUP BY head", "basin comid", "stream_length")
-add("g2_upstream_area", lambda s, d: N.upstream_area(net(s, d), net(s, d).where("comid % 10 = 3").select("basin", "comid")), f"RECURSIVE {NET}, {UPSQL}\n--\nSELECT CAST(0 AS INTEGER) AS basin, up.comid, count(*) AS n_up, sum(unitarea) AS area FROM up JOIN net ON net.comid = up.member GROUP BY up.comid", "basin comid n_up", "area")
+add("g2_upstream_area", lambda s, d: N.upstream_area(net(s, d), net(s, d).select("basin", "comid")), f"RECURSIVE {NET}, {UPSQL}\n--\nSELECT CAST(0 AS INTEGER) AS basin, up.comid, count(*) AS n_up, sum(unitarea) AS area FROM up JOIN net ON net.comid = up.member GROUP BY up.comid", "basin comid n_up", "area")
 add("g3_find_outlets", lambda s, d: N.find_outlets(net(s, d).where("comid % 7 <> 0")), f"{NET}, k AS (SELECT * FROM net WHERE comid % 7 <> 0)\n--\nSELECT CAST(0 AS INTEGER) AS basin, comid, next_down FROM k WHERE next_down NOT IN (SELECT comid FROM k)", "basin comid next_down")
 
 

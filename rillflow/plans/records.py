@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rillflow.functions import legends as L
 from rillflow.functions import scalars as S
 from rillflow.operators import tables as B
 from rillflow.operators import timeseries as T
-from rillflow.plans.adapters import FLOW, OBS, RAIN, add, flow, obs, rain, table
+from rillflow.operators.shared import new_path
+from rillflow.plans.adapters import FLOW, OBS, RAIN, SITE_SQL, add, events, flow, obs, rain, table
 from rillflow.plans.series import EVENT_ORDER, hourly_sql
 from rillflow.sources import gauges as G
 
@@ -56,19 +58,44 @@ add("s5_select_vars", lambda s, d: G.select_vars(rain(s, d), ["site", "day"], ["
 
 
 def _product(s, d):
-    e = table(s, d, "events").withColumn("site", COL("user_id") % 4)
-    q = T.hourly_quality(e, ["site"], "ts", "event_type", EVENT_ORDER, {"ice": COL("event_type") == "view"})
+    q = T.hourly_quality(events(s, d), ["site"], "ts", "event_type", EVENT_ORDER, {"ice": COL("event_type") == "view"})
     hours = T.resample_hourly(obs(s, d), ["site"], "ts", "value").join(q, ["site", "hour"], "left")
     return B.to_flow_product(hours.withColumns({"quality": F.coalesce("quality", F.lit("n/a")), "ice": F.coalesce("ice", F.lit(0))}), ["site"], {"is_ice_affected": COL("ice")})
 
 
 _HOURS, _, _RESULT = hourly_sql(False).rpartition("\n--\n")
-add("s6_flow_product", _product, f"""{_HOURS}, hr AS ({_RESULT}),
-    e2 AS (SELECT user_id % 4 AS site, epoch_us(ts) AS t, event_type AS c FROM events),
+_PRODUCT = f"""{_HOURS}, hr AS ({_RESULT}),
+    e2 AS (SELECT {SITE_SQL} AS site, epoch_us(ts) AS t, event_type AS c FROM events),
     r2 AS (SELECT site, t // 3600000000 AS h, c FROM e2 UNION ALL SELECT site, t // 3600000000 - 1, c FROM e2 WHERE t % 3600000000 = 0),
-    q2 AS (SELECT site, make_timestamp(h * 3600000000) AS hour, min_by(c, {{'rk': coalesce(list_position(['view', 'click', 'cart', 'purchase', 'refund'], c), 0), 'c': c}}) AS quality, max(CAST(c = 'view' AS INTEGER)) AS ice FROM r2 GROUP BY site, h)
---
-SELECT hr.site, hr.hour, hr.hour + INTERVAL 1 HOUR AS bounds_end, coalesce(quality, 'n/a') AS q_obs_data_quality, coalesce(ice, 0) AS q_obs_is_ice_affected, value AS q_obs FROM hr LEFT JOIN q2 ON hr.site = q2.site AND hr.hour = q2.hour""", "site hour bounds_end q_obs_data_quality q_obs_is_ice_affected", "q_obs")
+    q2 AS (SELECT site, make_timestamp(h * 3600000000) AS hour, min_by(c, {{'rk': coalesce(list_position(['view', 'click', 'cart', 'purchase', 'refund'], c), 0), 'c': c}}) AS quality, max(CAST(c = 'view' AS INTEGER)) AS ice FROM r2 GROUP BY site, h)"""
+_PRODUCT_ROWS = "SELECT hr.site, hr.hour, hr.hour + INTERVAL 1 HOUR AS bounds_end, coalesce(quality, 'n/a') AS q_obs_data_quality, coalesce(ice, 0) AS q_obs_is_ice_affected, value AS q_obs FROM hr LEFT JOIN q2 ON hr.site = q2.site AND hr.hour = q2.hour"
+add("s6_flow_product", _product, f"{_PRODUCT}\n--\n{_PRODUCT_ROWS}", "site hour bounds_end q_obs_data_quality q_obs_is_ice_affected", "q_obs")
+
+
+def _written_product(s, d):
+    """The product of two countries, written by country and read again."""
+    path = new_path(s, "product")
+    country = F.when(COL("site") % 2 == 0, "CAN").otherwise("USA")
+    B.write_product(_product(s, d).withColumn("country", country).withColumn("q_obs", F.when(COL("country") == "USA", S.cubic_metres(COL("q_obs"))).otherwise(COL("q_obs"))), path, ["country"])
+    return s.read.parquet(path)
+
+
+add("s6_write_product", _written_product, f"{_PRODUCT}, pr AS ({_PRODUCT_ROWS})\n--\nSELECT site, hour, CASE WHEN site % 2 = 0 THEN 'CAN' ELSE 'USA' END AS country, q_obs_data_quality, q_obs_is_ice_affected, CASE WHEN site % 2 = 0 THEN q_obs ELSE q_obs * 0.0283168466 END AS q_obs FROM pr", "site hour country q_obs_data_quality q_obs_is_ice_affected", "q_obs")
+
+
+def pick(names, key: str, size: int):
+    """The name at a key's remainder; null beyond the last one."""
+    return F.get(F.array(*[F.lit(n) for n in names]), (COL(key) % size).cast("int"))
+
+
+def said(names) -> str:
+    return "[" + ", ".join("NULL" if n is None else "'" + n.replace("'", "''") + "'" for n in names) + "]"
+
+
+_USA, _CAN = list(L.FLAGS["USA"]), list(L.FLAGS["CAN"])
+for _country, _codes in (("USA", _USA), ("CAN", _CAN)):
+    _n = len(_codes) + 1
+    add(f"s6_flag_meanings_{_country.lower()}", lambda s, d, c=_country, codes=_codes, n=_n: B.flag_meanings(table(s, d, "events").select(F.coalesce(pick(codes, "event_id", n), F.lit("odd")).alias("q_obs_data_quality")), c), f"x AS (SELECT DISTINCT CAST(event_id % {_n} AS INTEGER) AS i FROM events)\n--\nSELECT {said([*_codes, 'odd'])}[i + 1] AS q_obs_data_quality, {said([*L.FLAGS[_country].values(), None])}[i + 1] AS meaning FROM x", "q_obs_data_quality meaning")
 
 
 def attributes(s, d):
@@ -89,6 +116,14 @@ def wide(s, d):
 
 
 add("s7_write_attributes", wide, f"{ATTR}\n--\nSELECT 'Climate' AS category, attribute, 'mm' AS unit, 'x' AS source, {PIVOT} FROM att GROUP BY attribute", "category attribute unit source", " ".join(WIDE))
+def _written_wide(s, d):
+    path = new_path(s, "attributes")
+    w = wide(s, d)
+    B.write_wide(w, path)
+    return s.read.option("header", True).schema(w.schema).csv(path)
+
+
+add("s7_write_wide", _written_wide, f"{ATTR}\n--\nSELECT 'Climate' AS category, attribute, 'mm' AS unit, 'x' AS source, {PIVOT} FROM att GROUP BY attribute", "category attribute unit source", " ".join(WIDE))
 add("r2_unpivot_attributes", lambda s, d: B.unpivot_attributes(wide(s, d).withColumnRenamed("attribute", "name"), ["name"], WIDE), f"{ATTR}\n--\nSELECT attribute AS name, 'b' || basin AS attribute, value FROM att", "name attribute", "value")
 add("r3_correct_units", lambda s, d: B.correct_units(attributes(s, d), {"a_00": "K"}, {"a": "W"}), f"{ATTR}\n--\nSELECT basin, attribute, CASE attribute WHEN 'a_00' THEN 'K' WHEN 'a_13' THEN 'mm' ELSE 'W' END AS unit, value FROM att", "basin attribute unit", "value")
 add("s8_merge_periods", lambda s, d: B.merge_periods(B.stack_tables(flow(s, d).where("day < '1997-01-01'"), flow(s, d).where("day >= '1997-01-01'")), "site", "day"), f"{FLOW}\n--\nSELECT * FROM flow", "site day", "q")
@@ -185,7 +220,16 @@ SELECT c_custkey, cumulative, second, area, max(CASE WHEN ch THEN area END) OVER
 add("w9_area_thresholds", lambda s, d: B.area_thresholds(sizes(s, d), [100, 1000, 5000], "area", "size"), "x AS (SELECT abs(c_acctbal) + c_custkey / 1e6 AS area, c_custkey * 7919 % 1000 AS size FROM customer)\n--\nSELECT t AS threshold, count(*) AS n, sum(size)::BIGINT AS total FROM x, (SELECT unnest([100, 1000, 5000]) AS t) WHERE area <= t GROUP BY t", "n total", "threshold")
 add("t2_top_season", lambda s, d: B.season_counts_top(rain(s, d).where("p > 2"), ["site"], S.season(F.month("day"))), f"{RAIN}, c AS (SELECT site, CASE WHEN month(day) IN (12, 1, 2) THEN 'djf' WHEN month(day) IN (3, 4, 5) THEN 'mam' WHEN month(day) IN (6, 7, 8) THEN 'jja' ELSE 'son' END AS l, count(*) AS n FROM rain WHERE p > 2 GROUP BY ALL)\n--\nSELECT site, min_by(l, {{'n': -n, 'l': l}}) AS label, max(n) AS n FROM c GROUP BY site", "site label n")
 add("t3_sorted_series", lambda s, d: T.dst_to_lst(obs(s, d).withColumn("tz_cd", F.when(F.hour("ts") < 12, "EDT").otherwise("EST")), ["site"], "ts", "tz_cd").repartition("site").sortWithinPartitions("site", "ts"), f"{OBS}\n--\nSELECT site, CASE WHEN hour(ts) < 12 THEN ts - INTERVAL 1 HOUR ELSE ts END AS ts, value FROM obs", "site ts", "value")
-add("m11_codes", lambda s, d: table(s, d, "customer").select("c_custkey", S.mapped(F.element_at(F.array(F.lit("AB"), F.lit("QC"), F.lit("ZZ")), (COL("c_custkey") % 3 + 1).cast("int")), S.PROVINCES).alias("province"), S.mapped(F.element_at(F.array(F.lit("NST"), F.lit("PST"), F.lit("UTC")), (COL("c_custkey") % 3 + 1).cast("int")), S.UTC_OFFSETS).alias("utc")), "SELECT c_custkey, ['Alberta', 'Quebec', NULL][CAST(c_custkey % 3 + 1 AS INTEGER)] AS province, ['-3.5', '-8', NULL][CAST(c_custkey % 3 + 1 AS INTEGER)] AS utc FROM customer", "c_custkey province utc")
+_TZ, _PROV = list(L.TIME_ZONES), list(L.PROVINCES)
+
+
+def _codes(s, d):
+    """Codes by event, each set with one that isn't known."""
+    e = table(s, d, "events")
+    return e.select("event_id", S.mapped(F.coalesce(pick(_PROV, "event_id", 14), F.lit("ZZ")), L.PROVINCES).alias("province"), S.mapped(F.coalesce(pick(_TZ, "user_id", 12), F.lit("XST")), L.TIME_ZONES).alias("utc"), S.mapped(F.coalesce(pick(list(S.UTC_OFFSETS), "event_id", 9), F.lit("UTC")), S.UTC_OFFSETS).alias("standard"))
+
+
+add("m11_codes", _codes, f"SELECT event_id, {said([*L.PROVINCES.values(), None])}[CAST(event_id % 14 AS INTEGER) + 1] AS province, {said([*L.TIME_ZONES.values(), None])}[CAST(user_id % 12 AS INTEGER) + 1] AS utc, {said([*S.UTC_OFFSETS.values(), None])}[CAST(event_id % 9 AS INTEGER) + 1] AS standard FROM events", "event_id province utc standard")
 
 
 def _names(s, d):

@@ -8,7 +8,7 @@ from rillflow.functions import scalars as S
 from rillflow.operators import climate as C
 from rillflow.operators import signatures as G
 from rillflow.operators import timeseries as T
-from rillflow.plans.adapters import FLOW, OBS, RAIN, add, flow, obs, rain, table
+from rillflow.plans.adapters import FLOW, OBS, RAIN, SITE_SQL, add, events, flow, obs, rain, table
 
 SITE = ["site"]
 EVENT_ORDER = ("view", "click", "cart", "purchase", "refund")
@@ -44,15 +44,21 @@ for _name, _center in (("a1_resample_hourly", False), ("a1_resample_hourly_centr
 
 
 def _quality(s, d):
-    e = table(s, d, "events").withColumn("site", F.col("user_id") % 4)
-    return T.hourly_quality(e, SITE, "ts", "event_type", EVENT_ORDER, {"is_view": F.col("event_type") == "view"})
+    return T.hourly_quality(events(s, d), SITE, "ts", "event_type", EVENT_ORDER, {"is_view": F.col("event_type") == "view"})
 
 
-add("a2_hourly_quality", _quality, """e AS (SELECT user_id % 4 AS site, epoch_us(ts) AS t, event_type AS c FROM events),
+add("a2_hourly_quality", _quality, f"""e AS (SELECT {SITE_SQL} AS site, epoch_us(ts) AS t, event_type AS c FROM events),
     r AS (SELECT site, t // 3600000000 AS h, c FROM e UNION ALL SELECT site, t // 3600000000 - 1, c FROM e WHERE t % 3600000000 = 0),
     k AS (SELECT site, h, c, coalesce(list_position(['view', 'click', 'cart', 'purchase', 'refund'], c), 0) AS rk FROM r)
 --
-SELECT site, make_timestamp(h * 3600000000) AS hour, min_by(c, {'rk': rk, 'c': c}) AS quality, max(CAST(c = 'view' AS INTEGER)) AS is_view FROM k GROUP BY site, h""", "site hour quality is_view")
+SELECT site, make_timestamp(h * 3600000000) AS hour, min_by(c, {{'rk': rk, 'c': c}}) AS quality, max(CAST(c = 'view' AS INTEGER)) AS is_view FROM k GROUP BY site, h""", "site hour quality is_view")
+
+add("j10_hour_windows", lambda s, d: T.hour_windows(events(s, d), "ts"), f"""e AS (SELECT event_id, {SITE_SQL} AS site, epoch_us(ts) AS t FROM events)
+--
+SELECT event_id, site, make_timestamp(t // 3600000000 * 3600000000) AS hour FROM e UNION ALL SELECT event_id, site, make_timestamp((t // 3600000000 - 1) * 3600000000) FROM e WHERE t % 3600000000 = 0""", "event_id site hour")
+for _name, _center in (("w4_fill_edges", False), ("w4_fill_edges_centred", True)):
+    _head = hourly_sql(_center).rpartition("\n--\n")[0]
+    add(_name, lambda s, d, c=_center: T.fill_edges(T.half_hour_marks(obs(s, d), SITE, "ts", "value")[0], SITE, c).select("site", F.timestamp_micros("_t").alias("ts"), F.col("_obs").alias("n_obs"), F.col("_v").alias("value")), f"{_head}\n--\nSELECT site, make_timestamp(t) AS ts, ob AS n_obs, v AS value FROM g", "site ts n_obs", "value")
 
 add("a3_resample_month", lambda s, d: T.resample(flow(s, d), SITE, "day", "month", {"mean": F.avg("q"), "min": F.min("q"), "max": F.max("q"), "total": F.sum("q"), "high": F.bool_or(F.col("q") > 3)}), f"""{FLOW}
 --

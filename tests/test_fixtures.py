@@ -2,10 +2,13 @@
 
 import datetime as dt
 import math
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from rillflow.functions import legends as L
 from rillflow.functions import scalars as S
 from rillflow.operators import climate as C
 from rillflow.operators import forcing as O
@@ -15,6 +18,7 @@ from rillflow.operators import rasters as R
 from rillflow.operators import signatures as G
 from rillflow.operators import tables as B
 from rillflow.operators import timeseries as T
+from rillflow.operators.shared import in_order
 from rillflow.sources import gauges
 
 
@@ -140,7 +144,7 @@ def test_network(spark):
     fixed, log = N.repair_links(split)
     assert {float(r.comid): float(r.next_down) for r in fixed.collect()} == {1: 3.1, 2: 3.1, 3.1: 99} and log.count() == 2
     loop = spark.createDataFrame([("b", 1, 2, 1.0), ("b", 2, 3, 1.0), ("b", 3, 2, 1.0)], "basin string, comid long, next_down long, length double")
-    assert [(r.comid, r.stream_length) for r in N.stream_lengths(loop, rounds=5).collect()] == [(1, None)]
+    assert [(r.comid, r.stream_length) for r in N.stream_lengths(loop).collect()] == [(1, None)]
 
 
 def ring(*points, number=0):
@@ -199,3 +203,106 @@ def test_upstream_of_a_long_chain(spark):
     assert {r.comid: (r.n_up, r.area) for r in N.upstream_area(net, ids).collect()} == {1: (1, 1), n: (n, n)}
     ring = net.withColumn("next_down", F.expr(f"comid % {n} + 1"))
     assert {r.comid: r.n_up for r in N.upstream_area(ring, ids).collect()} == {1: n, n: n}
+
+
+def test_gaps_in_linear_time(spark):
+    """A site of twice the length takes about twice the time, not four times."""
+    took = []
+    for n in (20_000, 200_000, 400_000):
+        df = spark.range(n).selectExpr("1 AS site", "id AS t", "if(id % 7 = 0, id * 2.0, null) AS v").repartition(1)
+        began = time.time()
+        r = T.interpolate_time(df, ["site"], "t", ["v"]).agg(F.count("v").alias("n"), F.max(F.abs(F.col("v") - 2 * F.col("t"))).alias("d")).first()
+        took.append(time.time() - began)
+        assert r.n == (n - 1) // 7 * 7 + 1 and r.d < 1e-6
+    assert took[2] < 3 * took[1] + 2
+
+
+def test_upstream_of_branches_and_rings(spark):
+    """Sums of every segment of a deep branching network, of a ring, and of what feeds the ring."""
+    rng, down = random.Random(3), {}
+    for i in range(2, 400):
+        down[i] = rng.randrange(1, i) if i % 5 else i - 1
+    down |= {1: 0, 500: 501, 501: 502, 502: 500, 503: 500, 504: 503}
+    net = spark.createDataFrame([(0, i, d, float(i % 9)) for i, d in down.items()], "basin int, comid long, next_down long, unitarea double")
+    up = {i: {i} for i in down}
+    for i in down:
+        at, seen = i, set()
+        while at in down and at not in seen:
+            seen.add(at)
+            up[at].add(i)
+            at = down[at]
+    got = {r.comid: (r.n_up, r.area) for r in N.upstream_area(net, net.select("basin", "comid")).collect()}
+    assert got == {i: (len(u), float(sum(j % 9 for j in u))) for i, u in up.items()}
+
+
+def test_order_across_parts(spark):
+    """Numbers and running sums over rows that are dealt to many ranges, and merged series in order."""
+    rows = [(i * 7919 % 1000, i % 13, f"b{i % 3}") for i in range(1000)]
+    df = spark.createDataFrame(rows, "a int, size int, basin string").repartition(5)
+    got = [(r.a, r.i, r.total) for r in in_order(df, ["a"], "i", {"total": F.col("size")}).orderBy("a").collect()]
+    want, total = [], 0
+    for i, (a, size, _) in enumerate(sorted(rows)):
+        total += size
+        want.append((a, i, total))
+    assert got == want
+    merged = [(r.basin, r.a) for r in B.merge_periods(df, "basin", "a").collect()]
+    assert merged == sorted(merged)
+    out = B.size_tradeoff(df.selectExpr("a AS id", "a AS area", "size"), "id", "area", "size").orderBy("id").collect()
+    sizes = [s for _, s, _ in sorted(rows)]
+    second = [None] + [sizes[i + 1] - sizes[i] for i in range(1, 999)] + [None]
+    changes = [i for i in range(2, 999) if second[i] * second[i - 1] < 0]
+    assert [r.second for r in out] == second and {r.cut for r in out} == {changes[-1]}
+
+
+def test_leap_centuries(spark):
+    rows = [("s", dt.date(1900, 1, 1) + dt.timedelta(i), 3 * (1 + 0.5 * math.sin(2 * math.pi * (i / 365 - 0.3))), 10 + 8 * math.sin(2 * math.pi * (i / 365 - 0.3))) for i in range(365)]
+    df = spark.createDataFrame(rows, "site string, day date, p double, t double")
+    assert C.seasonality(df, ["site"]).first().seasonality_mean == pytest.approx(0.5)
+
+
+def test_overlaps_of_any_shape(spark):
+    """Hand-worked areas: disjoint triangles in one box, slanted clips, a hole, a concave basin, and many buckets."""
+    lower, upper = ring((0, 0), (1, 0), (0, 1)), ring((1, 1), (0, 1), (1, 0))
+    a, b = spark.createDataFrame([(1, lower), (2, lower)], GEO), spark.createDataFrame([(1, upper), (2, ring((0, 0), (1, 0), (1, 1)))], GEO)
+    assert {r.poly_id: round(r.fraction, 9) for r in X.overlap_fraction(a, b, 1.0).collect()} == {1: 0, 2: 0.5}
+    diamond = ring((5, 0), (10, 5), (5, 10), (0, 5))
+    holed = ring((0, 0), (10, 0), (10, 10), (0, 10)) + ring((4, 4), (4, 6), (6, 6), (6, 4), number=1)
+    hook = ring((0, 0), (10, 0), (10, 10), (6, 10), (6, 4), (4, 4), (4, 10), (0, 10))
+    layer = spark.createDataFrame([(1, diamond), (2, holed), (3, diamond[::-1])], GEO)
+    basins = spark.createDataFrame([(7, ring((5, -1), (11, -1), (11, 11), (5, 11))), (8, hook), (9, ring((20, 20), (21, 20), (20, 21)))], GEO.replace("poly_id", "basin_id"))
+    for bucket in (1.0, 3.7, 50.0):
+        got = {(r.poly_id, r.basin_id): round(r.area, 9) for r in X.overlaps(layer, basins, bucket).collect()}
+        slot = 11.0  # of the diamond, between x 4 and 6 above y 4: to y 9 at the sides and to 10 in the middle
+        assert got == {(1, 7): 25, (2, 7): 48, (1, 8): 50 - slot, (2, 8): 88, (3, 7): 25, (3, 8): 50 - slot}
+    lakes = spark.createDataFrame([(1, 60.0, 12.0), (2, 99.0, 7.0)], "poly_id int, area double, volume double")
+    cut = {(r.poly_id, r.basin_id): (r.area, r.volume) for r in X.clip_lakes(lakes, X.overlaps(layer, basins)).collect()}
+    assert cut[1, 7] == (25, pytest.approx(5)) and (3, 7) not in cut
+    assert {(r.poly_id, r.basin_id) for r in X.intersecting(layer, basins).collect()} == {(p, q) for p in (1, 2, 3) for q in (7, 8)}
+    degree = spark.createDataFrame([(1, ring((-96, 39.5), (-95, 39.5), (-95, 40.5), (-96, 40.5)))], GEO)
+    whole = X.overlaps(X.projected(degree), X.projected(degree).withColumnRenamed("poly_id", "basin_id"), 37.0).first().area
+    assert whole == pytest.approx(X.poly_area(degree, "poly_id").first().area_km2)
+
+
+def test_zones_of_pixels(spark):
+    """Pixels that a slanted polygon touches, and those whose centre it holds."""
+    pixels = spark.createDataFrame([(i * 4 + j, i + 0.5, j + 0.5) for i in range(4) for j in range(4)], "pixel int, x double, y double")
+    polys = spark.createDataFrame([(1, ring((0, 0), (3, 0), (0, 3))), (2, ring((2, 2), (4, 2), (4, 4), (2, 4))), (3, ring((3.2, 0.2), (3.3, 0.2), (3.3, 0.3)))], GEO)
+    touched = {(r.zone, r.pixel) for r in X.assign_zones(pixels, polys, 0.5, 0.5, bucket=2.0).collect()}
+    assert touched == {(1, i * 4 + j) for i in range(3) for j in range(3) if i + j < 3} | {(2, i * 4 + j) for i in (2, 3) for j in (2, 3)} | {(3, 12)}
+    centres = {(r.zone, r.pixel) for r in X.assign_zones(pixels, polys, 0.5, 0.5, all_touched=False).collect()}
+    assert centres == {(1, i * 4 + j) for i in range(3) for j in range(3) if i + j < 2} | {(2, i * 4 + j) for i in (2, 3) for j in (2, 3)}
+    box = X.crop_window(polys.where("poly_id = 1"), "poly_id", 0.3, 0.4).first()
+    assert (box.west, box.south, box.east, box.north) == (-0.5, -0.5, 3.5, 3.5)
+
+
+def test_flags_and_units(spark):
+    assert (L.FLAGS["CAN"]["Final/Finales:50"], L.FLAGS["CAN"]["nan:50"], L.FLAGS["CAN"]["Reviewed:20"], L.FLAGS["CAN"]["Preliminary:20"]) == ("Approved, but revised", "Unknown, revised", "Reviewed, but estimated", "Provisional, estimated")
+    assert [len(x) for x in L.LEGENDS.values()] == [20, 18, 4] and len(L.FLAGS["CAN"]) == 54
+    hourly = spark.createDataFrame([("s", at("1:00"), 1000.0, "A", 1, 0)], "site string, hour timestamp_ntz, value double, quality string, a int, b int")
+    flags = {"is_below_sensor_level": F.col("a"), "is_backwater_affected": F.col("b")}
+    usa, can = (B.to_flow_product(hourly, ["site"], flags, c) for c in ("USA", "CAN"))
+    assert usa.columns[-1] == "q_obs_is_backwater_affected" and usa.first().q_obs == pytest.approx(28.3168466)
+    assert can.columns[-1] == "q_obs_is_below_sensor_level" and can.first().q_obs == 1000
+    assert [tuple(r) for r in B.flag_meanings(usa, "USA").collect()] == [("A", "Approved, with unknown data grade code")]
+    row = spark.range(1).select(S.flow_depth(F.lit(10.0), F.lit(864.0)).alias("mm"), S.flux_depth(F.lit(1e-5), S.seconds_in("month", F.lit(dt.date(2000, 2, 3)))).alias("feb")).first()
+    assert row.mm == pytest.approx(1.0) and row.feb == pytest.approx(29 * 0.864)
