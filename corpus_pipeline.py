@@ -1,7 +1,9 @@
 """A corpus in five stages: quality, near duplicates, benchmark passages, source mix, shards.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next
-stage's docs. All but the last return the columns of documents.
+stage's docs. All but the last return the columns of documents, in their order and whatever their names. A stage reads
+doc_id, text and (mix, shards) source and lang; other columns go through. Nulls in any column, texts of any length,
+repeated rows and empty tables are allowed; what becomes of them is said at each stage.
 """
 
 from __future__ import annotations
@@ -14,7 +16,11 @@ from rillflow.llm.common import staged
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier accepts. Labels and documents of the whole corpus train it."""
+    """Documents that the classifier accepts: score 0.3 or more. It is fitted on labelled documents of the corpus.
+
+    A null text is scored as an empty one; equal texts have equal scores, so repeated rows stay or go together. Without
+    labels every score is 0.5 and all documents stay; labels of one class only accept or reject all.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     net = quality_cnn.train(docs, labels)
     return quality_cnn.score(docs, net, threshold=0.3, prefix="_stage_").where("_stage_predicted = 1").select(*docs.columns)
@@ -23,7 +29,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group: the one of smallest doc_id (nulls last), among equal ones of smallest text hash.
 
-    The hash is what the whole text is told apart by; of rows equal in doc_id and text one stays.
+    The hash is what the whole text is told apart by; of rows equal in doc_id and text one stays. Null and empty texts
+    are one group. Groups are op8's: fingerprints of four-word shingles that differ in 4 bits or fewer link.
     """
     keyed = docs.withColumn("_stage_h", F.xxhash64("text"))
     found = simhash.near_duplicates(keyed, ["doc_id", "_stage_h"])
@@ -34,18 +41,24 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
+    """Documents without any benchmark window. Null and empty texts have no words and stay; repeated rows are judged one
+    by one; without a benchmark all documents stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.decontaminate(docs, benchmark, prefix="_stage_").where("_stage_n_hit = 0").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix by source weights: documents as often, and as far, as the schedule takes them."""
+    """The mix by source weights: documents as often, and as far, as the schedule takes them.
+
+    A null source is a source. Documents without words, null texts among them, leave no row; what is taken of rows equal
+    in all columns is taken of them together. Only text and n_chars of a document that a pass ends in are cut.
+    """
     return mixing.mixed_rows(docs).select(*docs.columns)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of every row of the mix."""
+    """doc_id, size, text_crc32, shard and slot of every row of the mix. Null lang and source count as empty, a null text
+    has no bytes; repeated rows are separate rows of one shard."""
     return sharding.shard(docs)
 
 
