@@ -98,7 +98,7 @@ def shard(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     items = whole.unionByName(pieces)
     keys = {"_size": sort_key(F.log2("size"), totals.low or 0.0, totals.high or 0.0)}
     for c in metadata:
-        ranks = ranked(grouped, f"_{c}")
+        ranks = ranked(rows, f"_{c}")
         items = items.join(ranks.select(F.col("value").alias(f"_{c}"), F.col("rank").alias(f"_r{c}")), f"_{c}")
         keys[f"_{c}"] = sort_key(F.col(f"_r{c}"), 0, max(ranks.count() - 1, 0))
     items = items.withColumn("tie", F.shiftrightunsigned(F.xxhash64("h", "piece", "text_crc32"), 64 - TIE_BITS))

@@ -129,6 +129,57 @@ def test_sources_with_a_common_start(spark):
     assert all(len(x) <= 8 and x == list(range(x[0], x[-1] + 1)) for x in per.values())
 
 
+def brute_tree(items, room, first=0):
+    """(item, shard) by exact weighted medians. items: (id, bytes, keys)."""
+    n, half = len(room), len(room) // 2
+    if n == 1 or not items:
+        return [(i, first) for i, _, _ in items]
+    bits = sharding.TIE_BITS
+    spread = [(max(k[d] for _, _, k in items) >> bits) - (min(k[d] for _, _, k in items) >> bits) for d in range(len(items[0][2]))]
+    d = spread.index(max(spread))
+    goal, below, left = sum(b for _, b, _ in items) * sum(room[:half]) / sum(room), 0, []
+    order = sorted({k[d] for _, _, k in items})
+    for key in order:
+        own = sum(b for _, b, k in items if k[d] == key)
+        if below + own >= goal:
+            if goal - below > below + own - goal:
+                left.append(key)
+            break
+        below += own
+        left.append(key)
+    left = set(left)
+    return brute_tree([x for x in items if x[2][d] in left], room[:half], first) + brute_tree([x for x in items if x[2][d] not in left], room[half:], first + half)
+
+
+@pytest.mark.parametrize("room", [[1.0] * 24, [1.0, 0.2, 0.7, 1.0, 0.0, 0.5, 0.9], [1.0]])
+def test_tree_against_brute_force(spark, room):
+    rng = random.Random(len(room))
+    bits = sharding.TIE_BITS
+    items = [(i, rng.choice([8, 9, 50, 400, 3000]), (rng.randrange(1 << 20) << bits | rng.randrange(1 << bits), rng.choice([0, 5, 9, 1 << 19]) << bits | rng.randrange(1 << bits))) for i in range(900)]
+    items += [(900 + i, 70, items[0][2]) for i in range(30)]
+    df = spark.createDataFrame([(i, b, *k) for i, b, k in items], "i int, bytes long, a long, b long").repartition(3)
+    got = {r.i: r.shard for r in sharding.tree(df, ["a", "b"], room, 0.0).collect()}
+    assert got == dict(brute_tree(items, room))
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{i % 9973}" for i in range(600_000))
+    texts = [long, "a short one of five words", long, long + " end", None]
+    assert [simhash.fingerprint(t) for t in texts[:2]] == [brute_fingerprint_of_long(long), brute_fingerprint(texts[1])]
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs_of(spark, texts)).collect()}
+    assert got == {0: 0, 1: 1, 2: 0, 3: 0, 4: 4}
+    rows = {r.doc_id: (r["size"], r.text_crc32) for r in sharding.shard(docs_of(spark, texts), 3).collect()}
+    assert rows == {i: (len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in enumerate(texts)}
+
+
+def brute_fingerprint_of_long(text):
+    ws, ones = text.encode().split(), np.zeros(64, np.int64)
+    for i in range(len(ws) - 3):
+        h = xxhash.xxh64_intdigest(b" ".join(ws[i : i + 4]), 42)
+        ones += np.array(list(f"{h:064b}"[::-1]), np.int64)
+    return sum(1 << b for b in range(64) if 2 * ones[b] > len(ws) - 3)
+
+
 def test_large_groups_are_placed():
     group = lambda n, h: type("G", (), {"bytes": n, "h": h, "text_crc32": 0})
     placed, left = sharding.place_large([group(50, 1), group(100, 2), group(60, 3), group(101, 4)], 2, 100.0)
@@ -293,6 +344,22 @@ def test_pipeline_edges(spark):
         assert out.columns == clashing.columns and {(r.score, r.n_hit, r.predicted) for r in out.collect()} <= {(7, 8, "p")}, name
 
 
+def test_pipeline_of_nothing(spark, tmp_path):
+    """Empty tables go through every stage and the whole run."""
+    sf = "/root/testdata/sf0.001"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{sf}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, f in corpus_pipeline.STAGES:
+        out = f(spark, docs, str(tmp_path))
+        assert out.count() == 0 and (name == "sharded" or out.columns == docs.columns), name
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    few = spark.createDataFrame([(1, None, None, None, None), (None, "", "en", "a", 0), (2, "x " * 900, None, "b", 1800)], DOCS)
+    for name, f in corpus_pipeline.STAGES:
+        out = f(spark, few, str(tmp_path))
+        assert out.count() == {"quality": 3, "near_duplicates": 2, "decontaminated": 3, "mixed": 2, "sharded": 3}[name], name
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_sql(spark, name):
     import duckdb
