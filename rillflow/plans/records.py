@@ -28,6 +28,17 @@ def rdb_lines(s, d):
 
 
 add("s1_read_rdb", lambda s, d: G.read_rdb(rdb_lines(s, d)), "SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, lpad(CAST(user_id AS VARCHAR), 8, '0') AS site, strftime(ts, '%Y-%m-%d %H:%M') AS datetime, 'EST' AS tz_cd, CAST(event_id AS VARCHAR) AS obs, event_type AS obs_cd FROM events", "file site datetime tz_cd obs obs_cd")
+
+
+def _from_files(s, d):
+    """The same lines, written as one text file per user and read again."""
+    path = new_path(s, "rdb")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
+    rdb_lines(s, d).groupBy("file").agg(F.array_join(ordered, "\n").alias("value")).write.partitionBy("file").text(path)
+    return G.read_rdb(G.lines(s, path))
+
+
+add("s1_read_files", _from_files, "SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS site, strftime(ts, '%Y-%m-%d %H:%M') AS datetime, CAST(event_id AS VARCHAR) AS obs, event_type AS obs_cd FROM events", "site datetime obs obs_cd")
 add("s2_check_header", lambda s, d: G.check_header(rdb_lines(s, d), {"variable": "Discharge", "comment": "^#"}), "SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, 'variable' AS missing FROM events WHERE user_id % 2 = 1", "file missing")
 
 
@@ -219,7 +230,7 @@ add("w9_size_tradeoff", lambda s, d: B.size_tradeoff(sizes(s, d), "c_custkey", "
 SELECT c_custkey, cumulative, second, area, max(CASE WHEN ch THEN area END) OVER () AS cut FROM c""", "c_custkey cumulative second", "area cut")
 add("w9_area_thresholds", lambda s, d: B.area_thresholds(sizes(s, d), [100, 1000, 5000], "area", "size"), "x AS (SELECT abs(c_acctbal) + c_custkey / 1e6 AS area, c_custkey * 7919 % 1000 AS size FROM customer)\n--\nSELECT t AS threshold, count(*) AS n, sum(size)::BIGINT AS total FROM x, (SELECT unnest([100, 1000, 5000]) AS t) WHERE area <= t GROUP BY t", "n total", "threshold")
 add("t2_top_season", lambda s, d: B.season_counts_top(rain(s, d).where("p > 2"), ["site"], S.season(F.month("day"))), f"{RAIN}, c AS (SELECT site, CASE WHEN month(day) IN (12, 1, 2) THEN 'djf' WHEN month(day) IN (3, 4, 5) THEN 'mam' WHEN month(day) IN (6, 7, 8) THEN 'jja' ELSE 'son' END AS l, count(*) AS n FROM rain WHERE p > 2 GROUP BY ALL)\n--\nSELECT site, min_by(l, {{'n': -n, 'l': l}}) AS label, max(n) AS n FROM c GROUP BY site", "site label n")
-add("t3_sorted_series", lambda s, d: T.dst_to_lst(obs(s, d).withColumn("tz_cd", F.when(F.hour("ts") < 12, "EDT").otherwise("EST")), ["site"], "ts", "tz_cd").repartition("site").sortWithinPartitions("site", "ts"), f"{OBS}\n--\nSELECT site, CASE WHEN hour(ts) < 12 THEN ts - INTERVAL 1 HOUR ELSE ts END AS ts, value FROM obs", "site ts", "value")
+add("t3_sorted_series", lambda s, d: T.dst_to_lst(obs(s, d).withColumn("tz_cd", F.when(F.hour("ts") < 12, "EDT").otherwise("EST")), ["site"], "ts", "tz_cd").transform(B.merge_periods, "site", "ts"), f"{OBS}\n--\nSELECT site, CASE WHEN hour(ts) < 12 THEN ts - INTERVAL 1 HOUR ELSE ts END AS ts, value FROM obs", "site ts", "value")
 _TZ, _PROV = list(L.TIME_ZONES), list(L.PROVINCES)
 
 
