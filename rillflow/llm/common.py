@@ -1,36 +1,22 @@
-"""What several operators share: the shared folder, staged tables and distributed running totals."""
+"""What several operators share: staged tables in the shared folder, mounted paths and distributed running totals."""
 
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillflow.operators.shared import discard, new_path
+from rillflow.operators.shared import written as staged
+
+__all__ = ["BLANKS", "LOWER", "UPPER", "WORDS", "bucket_bits", "discard", "hash_bucket", "mounted", "new_path", "running_total", "staged"]
+
 #: ASCII white space, as every contract on words splits on it.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORDS = r"[^\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_own: dict[str, str] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or in local mode (tests) a new one."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not found:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors see")
-        app = spark.sparkContext.applicationId
-        found = _own.setdefault(app, tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp"))
-    return found.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
 
 def mounted(uri: str) -> str:
     """A shared folder's path for open() and memory maps; only mounted folders have one."""
@@ -40,22 +26,6 @@ def mounted(uri: str) -> str:
     return "/" + rest.lstrip("/")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df, written to the shared folder and read again: its lineage ends there and lost executors can't take it away."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Deletes the files of a staged table that nothing will read again."""
-    jvm = df.sparkSession._jvm
-    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def bucket_bits(n: int) -> int:
     """Bits of a hash that deal n rows to about sqrt(n) buckets of about sqrt(n) rows."""
     return max(1, (max(n, 1).bit_length() + 1) // 2)
