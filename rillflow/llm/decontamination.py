@@ -26,8 +26,9 @@ from rillflow.llm import digests
 from rillflow.llm.common import LOWER, UPPER, staged
 
 WINDOW, SHINGLE = 10, 5
-#: Shingles found that a counting task holds before it adds them up; parsed prefixes that a judging task keeps.
-HELD, KEPT = 1 << 20, 1 << 16
+#: Words of the texts that are probed at once (of one text at least); shingles found that a counting task holds before
+#: it adds them up; parsed prefixes that a judging task keeps.
+PROBED, HELD, KEPT = 1 << 16, 1 << 20, 1 << 16
 
 #: Bytes to word bytes: A-Z lower-cased; all that isn't 0-9, a-z or outside ASCII becomes a space.
 _FOLD = bytes(b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
@@ -52,6 +53,31 @@ def hashed(ids: np.ndarray, n: int) -> np.ndarray:
     return h * _P
 
 
+def grouped(texts: pa.Array) -> Iterator[list[list[bytes]]]:
+    """The texts' words, some texts at a time."""
+    group, size = [], 0
+    for text in texts:
+        group.append(words(text.as_py()))
+        size += len(group[-1])
+        if size >= PROBED:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def probed(group: list[list[bytes]], lengths: list[int], keys: digests.Index) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, position, digest) arrays of the shingles of each length that the index has, one search for all texts."""
+    ids = [numbers(ws) for ws in group]
+    for n in lengths:
+        parts = [hashed(x, n).view(np.int64) for x in ids]
+        ends = np.cumsum([len(h) for h in parts])
+        h = np.concatenate(parts)
+        at = keys.found(h)
+        text = np.searchsorted(ends, at, "right")
+        yield text, at - (ends - [len(p) for p in parts])[text], h[at]
+
+
 def window_items(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """window, items: each distinct window (its words joined by spaces) with the JSON list of the items that have it,
     as strings; a null stands for items without an id. Items without words have no window."""
@@ -94,17 +120,14 @@ def frequencies(documents: DataFrame, index: str, lengths: list[int]) -> DataFra
             return pa.RecordBatch.from_arrays([pa.array(h), pa.array(n.astype(np.int64))], names=["digest", "count"])
 
         for batch in batches:
-            for text in batch.column("text"):
-                ids = numbers(words(text.as_py()))
-                for n in lengths:
-                    h = hashed(ids, n).view(np.int64)
-                    if len(at := keys.found(h)):
-                        held.append(h[at])
-                        n_held += len(at)
-            if n_held >= HELD:
-                yield added()
-                held, n_held = [], 0
-        if held:
+            for group in grouped(batch.column("text")):
+                for _, _, h in probed(group, lengths, keys):
+                    held.append(h)
+                    n_held += len(h)
+                if n_held >= HELD:
+                    yield added()
+                    held, n_held = [], 0
+        if n_held:
             yield added()
 
     return documents.select("text").mapInArrow(count, "digest long, count long").groupBy("digest").agg(F.sum("count").alias("count"))
@@ -147,22 +170,22 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW
 
         for batch in batches:
             n_words, n_hit, found = [], [], []
-            for text in batch.column("text"):
-                ws = words(text.as_py())
-                ids, covered, items = numbers(ws), None, set()
-                for n in lengths:
-                    h = hashed(ids, n).view(np.int64)
-                    at = keys.found(h)
-                    for p, digest in zip(at.tolist(), h[at].tolist(), strict=True):
+            for group in grouped(batch.column("text")):
+                covered: list[np.ndarray | None] = [None] * len(group)
+                items: list[set] = [set() for _ in group]
+                for texts, positions, found_digests in probed(group, lengths, keys):
+                    for i, p, digest in zip(texts.tolist(), positions.tolist(), found_digests.tolist(), strict=True):
+                        ws = group[i]
                         for offset, window, some in parsed(digest):
                             start = p - offset
                             if start >= 0 and start + len(window) <= len(ws) and ws[start : start + len(window)] == window:
-                                covered = np.zeros(len(ws), bool) if covered is None else covered
-                                covered[start : start + len(window)] = True
-                                items.update(some)
-                n_words.append(len(ws))
-                n_hit.append(0 if covered is None else int(covered.sum()))
-                found.append(list(items))
+                                if covered[i] is None:
+                                    covered[i] = np.zeros(len(ws), bool)
+                                covered[i][start : start + len(window)] = True
+                                items[i].update(some)
+                n_words += [len(ws) for ws in group]
+                n_hit += [0 if c is None else int(c.sum()) for c in covered]
+                found += [list(x) for x in items]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(found, pa.list_(pa.string()))], names=[*columns, *made])
 
     rows = documents.select(*columns) if "text" in columns else documents.select(*columns, "text")

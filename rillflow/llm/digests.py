@@ -62,31 +62,50 @@ def write(rows: DataFrame, n: int, name: str = "digests") -> str:
 
 
 class Index:
-    """The shards of one index, memory-mapped."""
+    """The shards of one index, memory-mapped, in the order of their keys."""
 
     def __init__(self, folder: str):
-        root, self.shards, self.longest = mounted(folder), [], 0
+        root, shards, self.longest = mounted(folder), [], 0
         for name in sorted(x[:-5] for x in os.listdir(root) if x.endswith(".keys") and x.count(".") == 1):
             if os.path.getsize(f"{root}/{name}.keys"):
                 self.longest = max(self.longest, int(np.fromfile(f"{root}/{name}.longest", "<i8")[0]))
-                self.shards.append(tuple(np.memmap(f"{root}/{name}.{kind}", dtype, "r") for kind, dtype in (("keys", "<i8"), ("offsets", "<i8"), ("bits", np.uint8))) + (f"{root}/{name}.strings",))
-        self.strings = [np.memmap(s[3], np.uint8, "r") if os.path.getsize(s[3]) else np.zeros(0, np.uint8) for s in self.shards]
+                keys, offsets, bits = (np.memmap(f"{root}/{name}.{kind}", dtype, "r") for kind, dtype in (("keys", "<i8"), ("offsets", "<i8"), ("bits", np.uint8)))
+                size = os.path.getsize(f"{root}/{name}.strings")
+                shards.append((keys, offsets, bits, np.memmap(f"{root}/{name}.strings", np.uint8, "r") if size else np.zeros(0, np.uint8)))
+        self.shards = sorted(shards, key=lambda s: s[0][0])
+        self.first = np.array([s[0][0] for s in self.shards], np.int64)
 
     def found(self, digests: np.ndarray) -> np.ndarray:
-        """The places, in order, of the signed digests that are keys: the bitmap first, then a binary search."""
-        hits = []
-        for keys, _, bits, _ in self.shards:
-            low = digests.view(np.uint64) & np.uint64(8 * len(bits) - 1)
-            at = np.flatnonzero((bits[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1)
-            if len(at):
-                p = np.minimum(np.searchsorted(keys, digests[at]), len(keys) - 1)
-                hits.append(at[keys[p] == digests[at]])
-        return hits[0] if len(hits) == 1 else np.sort(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
+        """The places, in order, of the signed digests that are keys: the bitmap first, then a binary search. Digests are
+        dealt to the shards by their ranges, so many shards cost little if many digests are asked at once."""
+        if not len(self.shards) or not len(digests):
+            return np.zeros(0, np.int64)
+        if len(self.shards) == 1:
+            return self._in(0, digests)
+        order = np.argsort(digests, kind="stable")
+        ends = [*np.searchsorted(digests[order], self.first[1:]).tolist(), len(order)]
+        hits, at = [], 0
+        for i, end in enumerate(ends):
+            if end > at:
+                own = order[at:end]
+                hits.append(own[self._in(i, digests[own])])
+            at = end
+        return np.sort(np.concatenate(hits))
+
+    def _in(self, shard: int, digests: np.ndarray) -> np.ndarray:
+        keys, _, bits, _ = self.shards[shard]
+        low = digests.view(np.uint64) & np.uint64(8 * len(bits) - 1)
+        at = np.flatnonzero((bits[(low >> np.uint64(3)).astype(np.int64)] >> (low & np.uint64(7)).astype(np.uint8)) & 1)
+        p = np.minimum(np.searchsorted(keys, digests[at]), len(keys) - 1)
+        return at[keys[p] == digests[at]]
 
     def entries(self, digest: int) -> Iterator[bytes]:
-        """The strings stored with a digest."""
-        for (keys, offsets, _, _), strings in zip(self.shards, self.strings, strict=True):
-            p = int(np.searchsorted(keys, np.int64(digest)))
-            while p < len(keys) and keys[p] == digest:
-                yield strings[offsets[p] : offsets[p + 1]].tobytes()
-                p += 1
+        """The strings stored with a digest; equal ones are in one shard."""
+        i = int(np.searchsorted(self.first, np.int64(digest), "right")) - 1
+        if i < 0:
+            return
+        keys, offsets, _, strings = self.shards[i]
+        p = int(np.searchsorted(keys, np.int64(digest)))
+        while p < len(keys) and keys[p] == digest:
+            yield strings[offsets[p] : offsets[p + 1]].tobytes()
+            p += 1
