@@ -148,11 +148,12 @@ def cut_areas(polys: DataFrame, key: str, rects: DataFrame, rect: str, bucket: f
     def areas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for d in batches:
             boxes = zip(d["rx0"], d["ry0"], d["rx1"], d["ry1"], strict=True)
-            a = [abs(sum(ring_area(clip(r, *box)) for r in rings)) for rings, box in zip(_parsed(d, [key, "bx", "by"]), boxes, strict=True)]
+            whole = (d["rx0"] <= d["_x0"]) & (d["_x1"] <= d["rx1"]) & (d["ry0"] <= d["_y0"]) & (d["_y1"] <= d["ry1"])  # nothing to clip
+            a = [abs(sum(ring_area(r if w else clip(r, *box)) for r in rings)) for rings, box, w in zip(_parsed(d, [key, "bx", "by"]), boxes, whole, strict=True)]
             yield d[[key, rect]].assign(area=a)
 
     kinds = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in (key, rect))
-    parts = pairs.select(key, rect, "bx", "by", "geometry", "rx0", "ry0", "rx1", "ry1").mapInPandas(areas, f"{kinds}, area double")
+    parts = pairs.select(key, rect, "bx", "by", "geometry", "rx0", "ry0", "rx1", "ry1", "_x0", "_x1", "_y0", "_y1").mapInPandas(areas, f"{kinds}, area double")
     return parts.groupBy(key, rect).agg(F.sum("area").alias("area")).where("area > 0")
 
 

@@ -104,13 +104,13 @@ def cells(s, d):
 
 
 def boxes(s, d):
-    """A rectangle of 7 by 7.05 degrees for each supplier."""
+    """A rectangle of 1.5 by 1.55 degrees for each supplier: so many basins side by side, with some overlaps."""
     k = COL("s_suppkey")
     west, south = (-140 + k * 3 % 70).cast("double"), (20 + k * 7 % 40).cast("double")
-    return table(s, d, "supplier").select(k.alias("nation"), west.alias("west"), south.alias("south"), (west + 7).alias("east"), (south + 7.05).alias("north"))
+    return table(s, d, "supplier").select(k.alias("nation"), west.alias("west"), south.alias("south"), (west + 1.5).alias("east"), (south + 1.55).alias("north"))
 
 
-BOXES = "boxes AS (SELECT s_suppkey AS nation, CAST(-140 + s_suppkey * 3 % 70 AS DOUBLE) AS west, CAST(20 + s_suppkey * 7 % 40 AS DOUBLE) AS south, -133 + s_suppkey * 3 % 70 AS east, CAST(20 + s_suppkey * 7 % 40 AS DOUBLE) + 7.05 AS north FROM supplier)"
+BOXES = "boxes AS (SELECT s_suppkey AS nation, CAST(-140 + s_suppkey * 3 % 70 AS DOUBLE) AS west, CAST(20 + s_suppkey * 7 % 40 AS DOUBLE) AS south, CAST(-140 + s_suppkey * 3 % 70 AS DOUBLE) + 1.5 AS east, CAST(20 + s_suppkey * 7 % 40 AS DOUBLE) + 1.55 AS north FROM supplier)"
 add("j3_align_coords", lambda s, d: O.align_coords(cells(s, d).withColumns({"lon": COL("lon") + 1e-6, "lat": COL("lat") - 1e-6}), cells(s, d).where("cell % 3 = 0"), ["lon", "lat"]), f"{CELLS}, r AS (SELECT DISTINCT lon, lat FROM cells WHERE cell % 3 = 0)\n--\nSELECT cell, lon, lat FROM cells SEMI JOIN r USING (lon, lat)", "cell", "lon lat", 3)
 add("j6_add_elevation", lambda s, d: O.add_elevation(cells(s, d), cells(s, d).where("cell % 2 = 0").groupBy("lon", "lat").agg(F.max("cell").cast("double").alias("z")), ["lon", "lat"]), f"{CELLS}, z AS (SELECT lon, lat, max(cell) AS z FROM cells WHERE cell % 2 = 0 GROUP BY ALL)\n--\nSELECT cell, z / 9.80665 AS elevation FROM cells LEFT JOIN z USING (lon, lat)", "cell", "elevation")
 add("p10_snap_bbox", lambda s, d: O.snap_bbox(boxes(s, d).withColumns({c: COL(c) + 0.03 for c in ("west", "south", "east", "north")}), "ERA5"), f"{BOXES}\n--\nSELECT nation, floor((west + 0.03 - 0.125) / 0.25) * 0.25 AS west, floor((south + 0.03 - 0.125) / 0.25) * 0.25 AS south, ceil((east + 0.03 + 0.125) / 0.25) * 0.25 AS east, ceil((north + 0.03 + 0.125) / 0.25) * 0.25 AS north FROM boxes", "nation", "west south east north")
