@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontamination, mixing, quality_cnn, sanitise, sharding, simhash, target_ratio, tokens, url_filter
+from rillflow.llm import decontamination, mixing, quality_cnn, sanitise, setsketch, sharding, simhash, target_ratio, tokens, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,13 +78,17 @@ def op10_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[number(k) for k in sanitise.BASE], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
 
+def op12_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality_cnn, op3_mix, op4_kd_shards, op5_decontaminate, op6_token_counts, op7_target_ratio, op8_simhash, op9_token_files, op10_sanitise, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality_cnn, op3_mix, op4_kd_shards, op5_decontaminate, op6_token_counts, op7_target_ratio, op8_simhash, op9_token_files, op10_sanitise, op12_setsketch, pipeline)}
 
 ORACLE_SQL = {
     "op1_url_filter": r"""
@@ -108,4 +112,13 @@ ORACLE_SQL = {
             items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY doc_id)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op12_setsketch": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+            sets AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
+            sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+            pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sets a JOIN sets b USING (s) GROUP BY ALL),
+            links AS (SELECT x, y FROM pairs JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * c >= 85 * (p.n + q.n - c)),
+            reached AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x),
+            lowest AS (SELECT x AS doc_id, min(y) AS low FROM reached GROUP BY x)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(low, doc_id) AS component_id, doc_id = coalesce(low, doc_id) AS kept FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest USING (doc_id)""",
 }
