@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import decontamination, mixing, quality_cnn, sanitise, setsketch, sharding, simhash, target_ratio, tokens, url_filter
+from rillflow.llm import alignment, decontamination, mixing, quality_cnn, sanitise, setsketch, sharding, simhash, target_ratio, tokens, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,13 +82,18 @@ def op12_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op13_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.align_documents(documents, vocabulary(), vocabulary("piece_bpe_32k.model")).withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality_cnn, op3_mix, op4_kd_shards, op5_decontaminate, op6_token_counts, op7_target_ratio, op8_simhash, op9_token_files, op10_sanitise, op12_setsketch, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality_cnn, op3_mix, op4_kd_shards, op5_decontaminate, op6_token_counts, op7_target_ratio, op8_simhash, op9_token_files, op10_sanitise, op12_setsketch, op13_align_tokens, pipeline)}
 
 ORACLE_SQL = {
     "op1_url_filter": r"""
