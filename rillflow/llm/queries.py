@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.llm import alignment, decontamination, mixing, quality_cnn, sanitise, setsketch, sharding, simhash, target_ratio, tokens, url_filter
+from rillflow.llm import alignment, collocations, decontamination, mixing, quality_cnn, sanitise, setsketch, sharding, simhash, target_ratio, tokens, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,10 @@ def op10_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[number(k) for k in sanitise.BASE], F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op12_setsketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -93,7 +97,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality_cnn, op3_mix, op4_kd_shards, op5_decontaminate, op6_token_counts, op7_target_ratio, op8_simhash, op9_token_files, op10_sanitise, op12_setsketch, op13_align_tokens, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_quality_cnn, op3_mix, op4_kd_shards, op5_decontaminate, op6_token_counts, op7_target_ratio, op8_simhash, op9_token_files, op10_sanitise, op11_collocations, op12_setsketch, op13_align_tokens, pipeline)}
 
 ORACLE_SQL = {
     "op1_url_filter": r"""
@@ -117,6 +121,18 @@ ORACLE_SQL = {
             items AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hits) GROUP BY doc_id)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang,
+                unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+            f AS (SELECT lang, m, array_to_string(g, ' ') AS phrase, any_value(g) AS g, count(*) AS c FROM (SELECT lang, m, w[i : i + m - 1] AS g FROM p, (VALUES (1), (2), (3)) AS s(m), unnest(range(1, len(w) - m + 2)) AS t(i)) GROUP BY ALL),
+            totals AS (SELECT lang, sum(c) AS n FROM f WHERE m = 1 GROUP BY lang),
+            found AS (SELECT * FROM f WHERE m > 1 AND c >= 10),
+            cuts AS (SELECT x.lang, x.phrase, x.m, x.g, x.c AS a, k, array_to_string(x.g[1 : k], ' ') AS lp, array_to_string(x.g[k + 1 :], ' ') AS rp FROM found x, (VALUES (1), (2)) AS s(k) WHERE k < x.m),
+            scored AS (SELECT cuts.*, l.c AS l, r.c AS r, CAST(1000000::HUGEINT * a * a // (l.c::HUGEINT * r.c) AS BIGINT) AS score FROM cuts JOIN f l ON l.lang = cuts.lang AND l.phrase = lp JOIN f r ON r.lang = cuts.lang AND r.phrase = rp),
+            lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+            longer AS (SELECT lang, array_to_string(g[i : i + 1], ' ') AS phrase, max(c) AS most FROM found, unnest([1, 2]) AS t(i) WHERE m = 3 GROUP BY ALL)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+        FROM lowest LEFT JOIN longer USING (lang, phrase) JOIN totals USING (lang) WHERE m = 3 OR most IS NULL OR 100 * most < 50 * a QUALIFY rank <= 2000""",
     "op12_setsketch": r"""
         WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
             sets AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(i) WHERE len(w) > 0),
