@@ -1,22 +1,19 @@
 """Polygons and lines as vertex arrays: geometry ARRAY<STRUCT<ring INT, x DOUBLE, y DOUBLE>>, rings not closed; holes
 run the other way round than the ring around them.
 
-Polygons are cut along a fixed grid of buckets first, so a giant polygon is dealt over many rows and only the part in a
-bucket travels further. Points, cells and other polygons meet those parts by bucket; only such pairs are tested exactly.
-Areas, lengths and distances are column expressions; clipping and the ray test are small numpy helpers on batches.
+Polygons meet points, cells and each other as leaves of a quadtree (`quadtree`), and pixels as runs of scan lines
+(`scanline`). Areas, lengths and distances are column expressions.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.scalars import albers
+from rillflow.operators import quadtree, scanline
 
 TINY_KM2 = 0.0005
 
@@ -26,151 +23,25 @@ def _bounds(df: DataFrame) -> DataFrame:
     return df.withColumns({"_x0": F.array_min(xs), "_x1": F.array_max(xs), "_y0": F.array_min(ys), "_y1": F.array_max(ys)})
 
 
-def bucketed(df: DataFrame, size: float) -> DataFrame:
-    """One row per bucket (bx, by) that the polygon's bounding box touches: a giant polygon is dealt over many."""
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size)))
-    return _bounds(df).withColumn("bx", span("_x0", "_x1")).withColumn("by", span("_y0", "_y1"))
-
-
-def keep_side(ring: np.ndarray, normal: tuple[float, float], bound: float) -> np.ndarray:
-    """The part of a ring where normal . point >= bound."""
-    if not len(ring):
-        return ring
-    d = ring @ np.array(normal, float) - bound
-    q, e = np.roll(ring, 1, 0), np.roll(d, 1)
-    inside = d >= 0
-    cross = inside != (e >= 0)
-    t = np.divide(e, e - d, out=np.zeros_like(d), where=cross)
-    both = np.stack([q + t[:, None] * (ring - q), ring], 1).reshape(-1, 2)
-    return both[np.stack([cross, inside], 1).ravel()]
-
-
-def clip(ring: np.ndarray, x0: float, y0: float, x1: float, y1: float) -> np.ndarray:
-    """The part of a ring inside a rectangle."""
-    for normal, bound in (((1, 0), x0), ((-1, 0), -x1), ((0, 1), y0), ((0, -1), -y1)):
-        ring = keep_side(ring, normal, bound)
-    return ring
-
-
-def overlap_area(a: list[np.ndarray], b: list[np.ndarray]) -> float:
-    """The area that two polygons share, of any shape: the first one is the signed sum of the triangles that each of its
-    rings' sides makes with the ring's first corner; a triangle is convex, so the second one is clipped by it."""
-    total = 0.0
-    for ring in a:
-        for p, q in zip(ring[1:], ring[2:], strict=False):
-            corners = np.array([ring[0], p, q])
-            signed = ring_area(corners)
-            if signed == 0:
-                continue
-            if signed < 0:
-                corners = corners[::-1]
-            part = 0.0
-            for other in b:
-                for u, v in zip(corners, np.roll(corners, -1, 0), strict=True):
-                    normal = (u[1] - v[1], v[0] - u[0])  # to the left of a side
-                    other = keep_side(other, normal, normal[0] * u[0] + normal[1] * u[1])
-                part += ring_area(other)
-            total += part if signed > 0 else -part
-    return abs(total)
-
-
-def ring_area(ring: np.ndarray) -> float:
-    """Signed: positive if counter-clockwise; holes run the other way."""
-    if len(ring) < 3:
-        return 0.0
-    x, y = ring[:, 0], ring[:, 1]
-    return float(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y)) / 2
-
-
-def rings_of(geometry) -> list[np.ndarray]:
-    rows = [(g["ring"], g["x"], g["y"]) for g in geometry]
-    a = np.array(rows, float).reshape(-1, 3)
-    return [a[a[:, 0] == r][:, 1:] for r in dict.fromkeys(a[:, 0].tolist())]
-
-
-def inside_rings(x: float, y: float, rings: list[np.ndarray]) -> bool:
-    """Even-odd ray test over all rings, so holes are outside."""
-    hit = False
-    for r in rings:
-        px, py, qx, qy = r[:, 0], r[:, 1], np.roll(r[:, 0], -1), np.roll(r[:, 1], -1)
-        cross = (py > y) != (qy > y)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            hit ^= bool(np.count_nonzero(cross & (x < (qx - px) * (y - py) / (qy - py) + px)) % 2)
-    return hit
-
-
-def split(polys: DataFrame, key: str, size: float) -> DataFrame:
-    """key, bx, by, geometry, and its bounds: the part of each polygon in each bucket that it reaches."""
-    rows = bucketed(polys.select(key, "geometry"), size).select(key, "bx", "by", "geometry")
-
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for d in batches:
-            parts = []
-            for g, x, y in zip(d["geometry"], d["bx"], d["by"], strict=True):
-                rings = [clip(r, x * size, y * size, (x + 1) * size, (y + 1) * size) for r in rings_of(g)]
-                parts.append([{"ring": i, "x": p[0], "y": p[1]} for i, r in enumerate(rings) for p in r.tolist()])
-            yield d.assign(geometry=parts)
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return _bounds(rows.mapInPandas(cut, kinds).where(F.size("geometry") > 0))
-
-
-def _parsed(d: pd.DataFrame, keys: list[str], geometry: str = "geometry") -> Iterator[list[np.ndarray]]:
-    """The rings of each row; a part that comes again in a batch is parsed once."""
-    known: dict = {}
-    for g, *k in zip(d[geometry], *(d[c] for c in keys), strict=True):
-        if (at := tuple(k)) not in known:
-            known[at] = rings_of(g)
-        yield known[at]
-
-
 def point_in_polygon(points: DataFrame, polys: DataFrame, bucket: float = 1.0) -> DataFrame:
-    """(point columns, poly_id) of each point in each polygon that contains it. points: id, x, y; polys: poly_id, geometry."""
-    p = points.withColumns({"bx": F.floor(F.col("x") / bucket), "by": F.floor(F.col("y") / bucket)})
-    near = p.join(split(polys, "poly_id", bucket), ["bx", "by"]).where("x between _x0 and _x1 and y between _y0 and _y1")
-    near = near.select(*points.columns, "poly_id", "bx", "by", "geometry")
-
-    def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for d in batches:
-            keep = [inside_rings(x, y, rings) for x, y, rings in zip(d["x"], d["y"], _parsed(d, ["poly_id", "bx", "by"]), strict=True)]
-            yield d[np.array(keep, bool)].drop(columns=["geometry", "bx", "by"])
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in near.schema if f.name not in ("geometry", "bx", "by"))
-    return near.mapInPandas(test, kinds)
-
-
-def cut_areas(polys: DataFrame, key: str, rects: DataFrame, rect: str, bucket: float) -> DataFrame:
-    """key, rect, area of each polygon inside each rectangle (rect, rx0, ry0, rx1, ry1) that it shares area with."""
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor(F.col(b) / bucket)))
-    r = rects.withColumn("bx", span("rx0", "rx1")).withColumn("by", span("ry0", "ry1"))
-    pairs = split(polys, key, bucket).join(r, ["bx", "by"]).where("_x0 < rx1 and _x1 > rx0 and _y0 < ry1 and _y1 > ry0")
-
-    def areas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for d in batches:
-            boxes = zip(d["rx0"], d["ry0"], d["rx1"], d["ry1"], strict=True)
-            whole = (d["rx0"] <= d["_x0"]) & (d["_x1"] <= d["rx1"]) & (d["ry0"] <= d["_y0"]) & (d["_y1"] <= d["ry1"])  # nothing to clip
-            a = [abs(sum(ring_area(r if w else clip(r, *box)) for r in rings)) for rings, box, w in zip(_parsed(d, [key, "bx", "by"]), boxes, whole, strict=True)]
-            yield d[[key, rect]].assign(area=a)
-
-    kinds = ", ".join(f"`{k}` {pairs.schema[k].dataType.simpleString()}" for k in (key, rect))
-    parts = pairs.select(key, rect, "bx", "by", "geometry", "rx0", "ry0", "rx1", "ry1", "_x0", "_x1", "_y0", "_y1").mapInPandas(areas, f"{kinds}, area double")
-    return parts.groupBy(key, rect).agg(F.sum("area").alias("area")).where("area > 0")
+    """(point columns, poly_id) of each point in each polygon that contains it. points: id, x, y; polys: poly_id, geometry.
+    A point on a west or south side is in, on an east or north side out."""
+    return quadtree.in_polygons(points, polys, "poly_id", bucket)
 
 
 def make_weights(cells: DataFrame, polys: DataFrame, half: float, bucket: float = 1.0) -> DataFrame:
     """hru, cell, weight: the share of each polygon's covered area in each grid cell (centre x, y and half spacing)."""
     c = cells.select("cell", (F.col("x") - half).alias("rx0"), (F.col("y") - half).alias("ry0"), (F.col("x") + half).alias("rx1"), (F.col("y") + half).alias("ry1"))
-    areas = cut_areas(polys.select(F.col("poly_id").alias("hru"), "geometry"), "hru", c, "cell", bucket)
+    areas = quadtree.rectangle_areas(polys.select(F.col("poly_id").alias("hru"), "geometry"), "hru", c, "cell", bucket)
     return areas.withColumn("weight", F.col("area") / F.sum("area").over(Window.partitionBy("hru"))).select("hru", "cell", "weight")
 
 
-def assign_zones(pixels: DataFrame, polys: DataFrame, half_x: float, half_y: float, all_touched: bool = True, bucket: float = 1.0) -> DataFrame:
-    """pixel, zone: each pixel (pixel, x, y: its centre) in the zone of each polygon (poly_id) that its square shares
-    area with, or else that holds its centre. A pixel on a border belongs to several zones; one of none is left out."""
-    if not all_touched:
-        return point_in_polygon(pixels.select(F.col("pixel").alias("id"), "x", "y"), polys, bucket).select(F.col("id").alias("pixel"), F.col("poly_id").alias("zone"))
-    squares = pixels.select("pixel", (F.col("x") - half_x).alias("rx0"), (F.col("y") - half_y).alias("ry0"), (F.col("x") + half_x).alias("rx1"), (F.col("y") + half_y).alias("ry1"))
-    return cut_areas(polys, "poly_id", squares, "pixel", bucket).select("pixel", F.col("poly_id").alias("zone"))
+def assign_zones(pixels: DataFrame, polys: DataFrame, half_x: float, half_y: float, all_touched: bool = True) -> DataFrame:
+    """pixel, zone: each pixel (pixel, x, y: its centre) in the zone of each polygon (poly_id) that holds its centre, or
+    (all_touched) that has a part of its square. Centres on a west or south side are in, on an east or north side out, so
+    polygons side by side share no centre; a side along a square's border doesn't touch it. A pixel of none is left out.
+    Pixels lie whole steps apart."""
+    return scanline.zones(pixels, polys, "poly_id", half_x, half_y, all_touched).withColumnRenamed("poly_id", "zone")
 
 
 def crop_window(polys: DataFrame, key: str, half_x: float, half_y: float, buffer: bool = True) -> DataFrame:
@@ -183,25 +54,13 @@ def crop_window(polys: DataFrame, key: str, half_x: float, half_y: float, buffer
 
 def clip_layer(layer: DataFrame, boxes: DataFrame, bucket: float = 1.0) -> DataFrame:
     """poly_id, box_id, area of each layer polygon inside each box (box_id, rx0, ry0, rx1, ry1)."""
-    return cut_areas(layer, "poly_id", boxes, "box_id", bucket)
+    return quadtree.rectangle_areas(layer, "poly_id", boxes, "box_id", bucket)
 
 
 def overlaps(layer: DataFrame, basins: DataFrame, bucket: float = 1.0, same: bool = False) -> DataFrame:
     """poly_id, basin_id, area that each layer polygon (poly_id) shares with each basin polygon (basin_id), of any shape,
     holes included; pairs without a common area are left out. same: only pairs of equal ids."""
-    a = split(layer, "poly_id", bucket)
-    b = split(basins, "basin_id", bucket).select("basin_id", "bx", "by", F.col("geometry").alias("other"), *[F.col(f"_{c}").alias(f"o{c}") for c in ("x0", "x1", "y0", "y1")])
-    pairs = a.join(b, ["bx", "by"]) if not same else a.join(b, (a["bx"] == b["bx"]) & (a["by"] == b["by"]) & (a["poly_id"] == b["basin_id"])).drop(b["bx"], b["by"])
-    pairs = pairs.where("_x0 < ox1 and _x1 > ox0 and _y0 < oy1 and _y1 > oy0").select("poly_id", "basin_id", "bx", "by", "geometry", "other")
-
-    def areas(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for d in batches:
-            both = zip(_parsed(d, ["poly_id", "bx", "by"]), _parsed(d, ["basin_id", "bx", "by"], "other"), strict=True)
-            yield d[["poly_id", "basin_id"]].assign(area=[overlap_area(x, y) for x, y in both])
-
-    kinds = ", ".join(f"{k} {pairs.schema[k].dataType.simpleString()}" for k in ("poly_id", "basin_id"))
-    parts = pairs.mapInPandas(areas, f"{kinds}, area double").groupBy("poly_id", "basin_id").agg(F.sum("area").alias("area"))
-    return parts.where(F.col("area") > 1e-12)
+    return quadtree.polygon_areas(layer, "poly_id", basins, "basin_id", bucket, same)
 
 
 def intersecting(layer: DataFrame, basins: DataFrame, bucket: float = 1.0) -> DataFrame:
@@ -211,8 +70,9 @@ def intersecting(layer: DataFrame, basins: DataFrame, bucket: float = 1.0) -> Da
 
 def clip_lakes(lakes: DataFrame, parts: DataFrame) -> DataFrame:
     """poly_id, basin_id, area, volume of lakes (poly_id, area, volume) cut to sub-basins, from `overlaps` of their
-    outlines in km: areas to two decimals, volumes in proportion to the area."""
-    rows = parts.select("poly_id", "basin_id", F.round("area", 2).alias("_new")).join(lakes.select("poly_id", "area", "volume"), "poly_id")
+    outlines in km: areas to two decimals (after nine, so that the last bits of a sum don't decide a tie), volumes in
+    proportion to the area."""
+    rows = parts.select("poly_id", "basin_id", F.round(F.round("area", 9), 2).alias("_new")).join(lakes.select("poly_id", "area", "volume"), "poly_id")
     return rows.select("poly_id", "basin_id", F.col("_new").alias("area"), (F.col("volume") * F.col("_new") / F.nullif("area", F.lit(0.0))).alias("volume"))
 
 

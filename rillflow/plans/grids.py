@@ -185,10 +185,10 @@ def basins(s, d):
 SHARED = f"{BOXES}, shr AS (SELECT a.nation AS poly_id, b.nation AS basin_id, (least(a.east, b.east + 1) - greatest(a.west, b.west + 1)) * (least(a.north, b.north) - greatest(a.south, b.south)) AS area, (a.east - a.west) * (a.north - a.south) AS whole FROM boxes a JOIN boxes b ON b.nation % 3 = 1 AND a.west < b.east + 1 AND a.east > b.west + 1 AND a.south < b.north AND a.north > b.south)"
 add("j11_overlaps", lambda s, d: X.overlaps(polys(s, d), basins(s, d), 2.0), f"{SHARED}\n--\nSELECT poly_id, basin_id, area FROM shr", "poly_id basin_id", "area")
 add("j11_intersecting", lambda s, d: X.intersecting(polys(s, d), basins(s, d), 2.0).groupBy("basin_id").agg(F.count("*").alias("n"), F.sum(F.size("geometry")).alias("corners")), f"{SHARED}\n--\nSELECT basin_id, count(*) AS n, 4 * count(*) AS corners FROM shr GROUP BY basin_id", "basin_id n corners")
-add("j11_clip_lakes", lambda s, d: X.clip_lakes(boxes(s, d).select(COL("nation").alias("poly_id"), ((COL("east") - COL("west")) * (COL("north") - COL("south"))).alias("area"), (COL("nation") * 1.5).cast("double").alias("volume")), X.overlaps(polys(s, d), basins(s, d), 2.0)), f"{SHARED}\n--\nSELECT poly_id, basin_id, round(area, 2) AS area, poly_id * 1.5 * round(area, 2) / whole AS volume FROM shr", "poly_id basin_id", "area volume", 5)
+add("j11_clip_lakes", lambda s, d: X.clip_lakes(boxes(s, d).select(COL("nation").alias("poly_id"), ((COL("east") - COL("west")) * (COL("north") - COL("south"))).alias("area"), (COL("nation") * 1.5).cast("double").alias("volume")), X.overlaps(polys(s, d), basins(s, d), 2.0)), f"{SHARED}\n--\nSELECT poly_id, basin_id, round(round(area, 9), 2) AS area, poly_id * 1.5 * round(round(area, 9), 2) / whole AS volume FROM shr", "poly_id basin_id", "area volume", 5)
 add("j12_overlap_fraction", lambda s, d: X.overlap_fraction(polys(s, d), moved(s, d), 2.0), f"{BOXES}\n--\nSELECT nation AS poly_id, (east - west - 1) / (east - west) AS fraction FROM boxes", "poly_id", "fraction")
-add("j14_assign_zones", lambda s, d: X.assign_zones(grid(s, d).withColumnRenamed("cell", "pixel"), polys(s, d), 0.5, 0.5, bucket=2.0), f"{CUT}\n--\nSELECT cell AS pixel, nation AS zone FROM cut", "pixel zone")
-add("j14_assign_zones_centres", lambda s, d: X.assign_zones(grid(s, d).withColumnRenamed("cell", "pixel"), polys(s, d), 0.5, 0.5, all_touched=False, bucket=2.0), f"{CELLS}, {BOXES}, {GRID}\n--\nSELECT i * 1000 + j AS pixel, nation AS zone FROM grid JOIN boxes ON i + 0.5 BETWEEN west AND east AND j + 0.5 BETWEEN south AND north", "pixel zone")
+add("j14_assign_zones", lambda s, d: X.assign_zones(grid(s, d).withColumnRenamed("cell", "pixel"), polys(s, d), 0.5, 0.5), f"{CUT}\n--\nSELECT cell AS pixel, nation AS zone FROM cut", "pixel zone")
+add("j14_assign_zones_centres", lambda s, d: X.assign_zones(grid(s, d).withColumnRenamed("cell", "pixel"), polys(s, d), 0.5, 0.5, all_touched=False), f"{CELLS}, {BOXES}, {GRID}\n--\nSELECT i * 1000 + j AS pixel, nation AS zone FROM grid JOIN boxes ON i + 0.5 >= west AND i + 0.5 < east AND j + 0.5 >= south AND j + 0.5 < north", "pixel zone")
 add("j14_crop_window", lambda s, d: X.crop_window(polys(s, d), "poly_id", 0.3, 0.4), f"{BOXES}\n--\nSELECT nation AS poly_id, west - 0.5 AS west, south - 0.5 AS south, east + 0.5 AS east, north + 0.5 AS north FROM boxes", "poly_id", "west south east north")
 add("a34_first_segments", lambda s, d: X.first_of(table(s, d, "orders").select(COL("o_custkey").alias("comid"), "o_orderkey", "o_totalprice"), "comid", "o_orderkey"), "SELECT o_custkey AS comid, min(o_orderkey) AS o_orderkey, arg_min(o_totalprice, o_orderkey) AS o_totalprice FROM orders GROUP BY o_custkey", "comid o_orderkey", "o_totalprice", 2)
 

@@ -287,7 +287,7 @@ def test_zones_of_pixels(spark):
     """Pixels that a slanted polygon touches, and those whose centre it holds."""
     pixels = spark.createDataFrame([(i * 4 + j, i + 0.5, j + 0.5) for i in range(4) for j in range(4)], "pixel int, x double, y double")
     polys = spark.createDataFrame([(1, ring((0, 0), (3, 0), (0, 3))), (2, ring((2, 2), (4, 2), (4, 4), (2, 4))), (3, ring((3.2, 0.2), (3.3, 0.2), (3.3, 0.3)))], GEO)
-    touched = {(r.zone, r.pixel) for r in X.assign_zones(pixels, polys, 0.5, 0.5, bucket=2.0).collect()}
+    touched = {(r.zone, r.pixel) for r in X.assign_zones(pixels, polys, 0.5, 0.5).collect()}
     assert touched == {(1, i * 4 + j) for i in range(3) for j in range(3) if i + j < 3} | {(2, i * 4 + j) for i in (2, 3) for j in (2, 3)} | {(3, 12)}
     centres = {(r.zone, r.pixel) for r in X.assign_zones(pixels, polys, 0.5, 0.5, all_touched=False).collect()}
     assert centres == {(1, i * 4 + j) for i in range(3) for j in range(3) if i + j < 2} | {(2, i * 4 + j) for i in (2, 3) for j in (2, 3)}
