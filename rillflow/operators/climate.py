@@ -52,12 +52,17 @@ def seasonality(df: DataFrame, keys: list[str], typical: bool = False) -> DataFr
     return y.groupBy(*keys).agg(F.avg("s").alias("seasonality_mean"), F.stddev_pop("s").alias("seasonality_std"), F.count("s").alias("n_years"))
 
 
-def climate_periods(df: DataFrame, keys: list[str]) -> DataFrame:
-    """period_stats of frost (t < 0 C), heat (over the day's mean maximum plus 5 K), dry (p < 1) and wet (p >= 5 times
-    the mean) steps, in rows (kind, ...); without any run the four statistics are null."""
-    rows = mean_daily_max(df, keys, "day", "t").withColumn("_mp", F.avg("p").over(Window.partitionBy(*keys)))
-    kinds = {"frost": F.col("t") < FREEZING, "heat": F.col("t") > F.col("mean_max") + 5, "dry": F.col("p") < 1, "wet": F.col("p") >= 5 * F.col("_mp")}
-    return period_stats(rows, keys, "day", kinds, empty=None)
+def climate_periods(df: DataFrame, keys: list[str], ts: str = "day", steps_per_day: int = 1) -> DataFrame:
+    """period_stats in rows (kind, ...): frost (steps with t < 0 C), heat (all steps of a day any of which is over the
+    day's mean maximum plus 5 K), dry (days with p < 1) and wet (days with p >= 5 times their mean); p is summed by day.
+    Without any run the four statistics are null. Lengths are in days whatever the step."""
+    day = F.to_date(ts).alias("_day")
+    daily = df.groupBy(*keys, day).agg(F.sum("p").alias("_p"), F.max("t").alias("_t"))
+    mean = F.avg("_p").over(Window.partitionBy(*keys))
+    dry = period_stats(daily.withColumn("_mp", mean), keys, "_day", {"dry": F.col("_p") < 1, "wet": F.col("_p") >= 5 * F.col("_mp")}, empty=None)
+    hot = mean_daily_max(daily, keys, "_day", "_t").select(*keys, "_day", (F.col("_t") > F.col("mean_max") + 5).alias("_hot"))
+    rows = df.select(*keys, ts, "t", day).join(hot, [*keys, "_day"])
+    return period_stats(rows, keys, ts, {"frost": F.col("t") < FREEZING, "heat": F.col("_hot")}, steps_per_day, None).unionByName(dry)
 
 
 def pet_comparison(sources: dict[str, DataFrame], keys: list[str]) -> DataFrame:

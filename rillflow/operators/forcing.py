@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 # Fixed values: (variable, factor, offset) of each data set's conversion to kg m-2 s-1, Pa, K and m s-1.
 RULES = {
-    "RDRS": (("RDRS_v2.1_A_PR0_SFC", 1000 / 3600, 0.0), ("RDRS_v2.1_P_P0_SFC", 100.0, 0.0), ("RDRS_v2.1_P_TT_1.5m", 1.0, 273.15), ("RDRS_v2.1_P_UVC_10m", 0.514, 0.0)),
+    "RDRS": (("RDRS_v2.1_A_PR0_SFC", 1000 / 3600, 0.0), ("RDRS_v2.1_P_P0_SFC", 100.0, 0.0), ("RDRS_v2.1_P_TT_1.5m", 1.0, 273.15), ("RDRS_v2.1_P_UUC_10m", 0.514, 0.0), ("RDRS_v2.1_P_VVC_10m", 0.514, 0.0), ("RDRS_v2.1_P_UVC_10m", 0.514, 0.0)),
     "EM-Earth": (("tmean", 1.0, 273.15), ("prcp", 1 / 3600, 0.0)),
     "Daymet": (("srad", 1000 / 86400, 0.0),),
 }
@@ -46,11 +46,25 @@ def merge_vars(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.join(b, keys)
 
 
-def align_coords(df: DataFrame, ref: DataFrame, coords: list[str], digits: int = 4) -> DataFrame:
-    """Coordinates equal to those of ref after rounding take ref's value; rows without partner go."""
-    r = ref.select(*coords).distinct().select(*[F.round(c, digits).alias(f"_{c}") for c in coords], *[F.col(c).alias(f"ref_{c}") for c in coords])
-    rows = df.withColumns({f"_{c}": F.round(c, digits) for c in coords}).join(r, [f"_{c}" for c in coords])
-    return rows.withColumns({c: F.col(f"ref_{c}") for c in coords}).drop(*[f"{p}{c}" for c in coords for p in ("_", "ref_")])
+def align_coords(df: DataFrame, ref: DataFrame, coords: list[str], tolerance: float = 1e-4) -> DataFrame:
+    """Coordinates take those of the nearest reference that is within the tolerance in each of them (ties: the smallest);
+    rows without one go, every other row stays one row.
+
+    Both sides meet in cells as wide as the tolerance. References are in the cells around theirs too, so no pair is lost
+    at a cell's edge. Each coordinate of df is looked up once, however many rows have it.
+    """
+    cell = lambda c: F.floor(F.col(c) / tolerance)
+    r = ref.select(*[F.col(c).alias(f"ref_{c}") for c in coords]).distinct()
+    for c in coords:
+        r = r.withColumn(f"_{c}", F.explode(F.array(*[cell(f"ref_{c}") + i for i in (-1, 0, 1)])))
+    own = df.select(*coords).distinct().withColumns({f"_{c}": cell(c) for c in coords}).join(r, [f"_{c}" for c in coords])
+    off = {c: F.abs(F.col(c) - F.col(f"ref_{c}")) for c in coords}
+    for d in off.values():
+        own = own.where(d <= tolerance)
+    squares = sum((d * d for d in off.values()), F.lit(0.0))
+    to = F.struct(*[F.col(f"ref_{c}").alias(c) for c in coords])
+    best = own.groupBy(*coords).agg(F.min_by(to, F.struct(squares, to)).alias("_to"))
+    return df.join(best, coords).withColumns({c: F.col(f"_to.{c}") for c in coords}).drop("_to").select(*df.columns)
 
 
 def remap(forcing: DataFrame, weights: DataFrame, variables: list[str], time: list[str]) -> DataFrame:
@@ -76,6 +90,11 @@ def snap_bbox(df: DataFrame, product: str) -> DataFrame:
     return df.withColumns({"west": down("west"), "south": down("south"), "east": up("east"), "north": up("north")})
 
 
+def wrap_latitude(df: DataFrame, lat: str) -> DataFrame:
+    """Latitudes over 90 less 180, as files with another origin count them."""
+    return df.withColumn(lat, F.when(F.col(lat) > 90, F.col(lat) - 180).otherwise(F.col(lat)))
+
+
 def wrap_longitude(df: DataFrame, lon: str) -> DataFrame:
     """0..360 to -180..180."""
     return df.withColumn(lon, F.when(F.col(lon) > 180, F.col(lon) - 360).otherwise(F.col(lon)))
@@ -95,14 +114,20 @@ def month_periods(df: DataFrame, start: str, end: str) -> DataFrame:
     return rows.withColumns({"month_start": F.greatest(F.col("_m"), F.col(start)), "month_end": F.least(F.last_day("_m"), F.col(end))}).drop("_m")
 
 
-def check_forcing(df: DataFrame, keys: list[str], ts: str, required: list[str], step_seconds: int = 3600, null_ratio: float = 1e-4, lumped: bool = False, hru: str | None = None) -> DataFrame:
+def check_forcing(df: DataFrame, keys: list[str], ts: str, required: list[str], step_seconds: int = 3600, null_ratio: float = 1e-4, lumped: bool = False, hru: str | None = None, months: bool = False) -> DataFrame:
     """(keys, reason) of every check that a series fails: no data, missing values, several hrus, time gaps, start at
-    midnight (still UTC)."""
+    midnight (still UTC), a required variable that the table lacks, and (months) a month without data between the first
+    and the last one."""
+    absent, required = [c for c in required if c not in df.columns], [c for c in required if c in df.columns]
     at = F.unix_seconds(F.col(ts).cast("timestamp"))
     order = Window.partitionBy(*keys, *([hru] if hru else [])).orderBy(ts)
     rows = df.withColumn("_gap", (at - F.lag(at).over(order) != step_seconds).cast("int"))
     checks = {f"nulls in {c}": F.avg(F.col(c).isNull().cast("double")) >= null_ratio for c in required}
     checks |= {f"no data in {c}": F.count(c) == 0 for c in required}
+    checks |= {f"absent {c}": F.count("*") > 0 for c in absent}
+    if months:
+        month = F.trunc(F.col(ts).cast("date"), "month")
+        checks |= {"missing months": F.count_distinct(month) <= F.months_between(F.max(month), F.min(month))}
     checks |= {"time steps": F.coalesce(F.max("_gap"), F.lit(0)) == 1, "starts at midnight": F.hour(F.min(ts)) == 0}
     if lumped and hru:
         checks |= {"more than one hru": F.count_distinct(hru) > 1}
@@ -121,6 +146,13 @@ def reason_counts(log: DataFrame, basin: str) -> DataFrame:
     return log.groupBy("reason").agg(F.count("*").alias("n"), F.count_distinct(basin).alias("n_basins"))
 
 
+def compare_categories(old: DataFrame, new: DataFrame, keys: list[str], ts: str, value: str) -> DataFrame:
+    """Per key: how many times both have, and at how many of them the text differs (null is the empty text)."""
+    text = lambda c: F.coalesce(F.col(value).cast("string"), F.lit("")).alias(c)
+    both = old.select(*keys, ts, text("a")).join(new.select(*keys, ts, text("b")), [*keys, ts])
+    return both.groupBy(*keys).agg(F.count("*").alias("n_common"), F.count_if(F.col("a") != F.col("b")).alias("n_different"))
+
+
 def compare_series(old: DataFrame, new: DataFrame, keys: list[str], ts: str, value: str, absolute: float = 0.1, relative: float = 0.01) -> DataFrame:
     """Per key: common, missing and added times; counts above the thresholds; mean, maximum and 95th percentile of the
     exceeding differences; ratios of means and stds; correlation."""

@@ -48,11 +48,16 @@ def count_replaced(before: DataFrame, after: DataFrame, keys: list[str], col: st
     return both.where(~F.col("a").eqNullSafe(F.col("b"))).groupBy(F.col("a").cast("string").alias("old"), F.col("b").cast("string").alias("new")).agg(F.count("*").alias("n"))
 
 
-def filter_dates(df: DataFrame, day: str, months: int | None = None, year: list[int] | None = None, month: list[int] | None = None, dom: list[int] | None = None) -> DataFrame:
-    """Layers of the last `months` months before the newest, and of the listed years, months and days."""
-    rows = df
-    if months is not None:
-        rows = rows.where(F.col(day) > F.add_months(df.agg(F.max(day)).scalar(), -months))
+def filter_dates(df: DataFrame, day: str, last_years: int | None = None, last_months: int | None = None, last_days: int | None = None, year: list[int] | None = None, month: list[int] | None = None, dom: list[int] | None = None) -> DataFrame:
+    """Layers from so many years, months or days (one of the three) before the newest one on, that day included, and of
+    the listed years, months and days."""
+    if sum(bool(n) for n in (last_years, last_months, last_days)) > 1:
+        raise ValueError("only one of last_years, last_months and last_days")
+    rows, newest = df, df.agg(F.max(day)).scalar()
+    if last_years or last_months:
+        rows = rows.where(F.col(day) >= F.add_months(newest, -(12 * (last_years or 0) + (last_months or 0))))
+    elif last_days:
+        rows = rows.where(F.col(day) >= F.date_sub(newest, last_days))
     for f, some in ((F.year, year), (F.month, month), (F.dayofmonth, dom)):
         rows = rows.where(f(day).isin(*some)) if some else rows
     return rows
@@ -141,6 +146,15 @@ def availability(meta: DataFrame, key: str, start: str, end: str, missing: str)
     return rows.join(upto.select(F.col("net_years").alias("_y"), "_upto"), F.col("net_years").eqNullSafe(F.col("_y"))).withColumn("cdf", F.col("_upto") / whole).drop("_y", "_upto")
 
 
+def availability_counts(av: DataFrame, shares: tuple[float, ...] = (0.01, 0.1), years: tuple[float, ...] = (10.0, 20.0)) -> DataFrame:
+    """measure, threshold, n: stations that miss nothing, that miss less than each share, and that have fewer net years."""
+    under = [("missing_share", t, F.col("missing_share") < t) for t in shares] + [("net_years", t, F.col("net_years") < t) for t in years]
+    rows = [("missing_share", 0.0, F.col("missing_share") == 0), *under]
+    counts = av.agg(*[F.count_if(c).alias(f"c{i}") for i, (*_, c) in enumerate(rows)])
+    made = F.array(*[F.struct(F.lit(k).alias("measure"), F.lit(float(t)).alias("threshold"), F.col(f"c{i}").alias("n")) for i, (k, t, _) in enumerate(rows)])
+    return counts.select(F.inline(made))
+
+
 def year_histogram(av: DataFrame, width: int = 5) -> DataFrame:
     return av.groupBy((F.floor(F.col("net_years") / width) * width).cast("long").alias("bin")).agg(F.count("*").alias("n"))
 

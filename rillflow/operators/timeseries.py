@@ -13,9 +13,21 @@ from rillflow.functions.scalars import season
 # Status codes that gauges report in place of a flow.
 STATUS_CODES = ("***", "Bkw", "Dis", "Eqp", "Ice", "Rat", "Ssn")
 STATUS_FLAGS = {"ice": "Ice", "malfunction": "Eqp", "backwater": "Bkw"}
+# Symbols of daily flows in Canada.
+CAN_SYMBOLS = {"partial_day": "A", "ice_affected": "B", "dry_day": "D", "estimated_value": "E"}
 # USGS quality codes from worst to best.
 USGS_ORDER = ("nan", "A:[0]", "A:<", "A:>", "A:[4]", "P:[4]", "P:e", "P", "A:R", "A:e", "A", "A:[93]", "A:[92]", "A:[91]", "A:[90]")
 
+# Canadian approval:grade codes from worst to best.
+WSC_ORDER = (
+    "Provisional/Provisoire:0", "Provisional/Provisoire:40", "Provisional/Provisoire:10", "Provisional/Provisoire:20", "Provisional/Provisoire:30", "Provisional/Provisoire:nan", "Provisional/Provisoire:-1", "Provisional/Provisoire:50",
+    "Final/Finales:0", "Final/Finales:40", "Final/Finales:10", "Final/Finales:50", "Final/Finales:20", "Final/Finales:30", "Final/Finales:nan", "Final/Finales:-1",
+    "nan:0", "nan:10", "nan:20", "nan:30", "nan:40", "nan:50", "nan:nan", "nan:-1",
+    "Preliminary:0", "Preliminary:40", "Preliminary:10", "Preliminary:20", "Preliminary:30", "Preliminary:nan", "Preliminary:-1", "Preliminary:50",
+    "Reviewed:0", "Reviewed:10", "Reviewed:20", "Reviewed:30", "Reviewed:40", "Reviewed:50", "Reviewed:nan", "Reviewed:-1",
+    "Approved:0", "Approved:40", "Approved:10", "Approved:50", "Approved:20", "Approved:30", "Approved:nan", "Approved:-1",
+)
+
 #: Half an hour in microseconds.
 HALF = 1_800_000_000
 
@@ -121,6 +133,17 @@ def hourly_quality(df: DataFrame, keys: list[str], ts: str, code: str, order: tu
     return out.select(*keys, "hour", "quality", *made)
 
 
+def wsc_code(approval: Column, grade: Column) -> Column:
+    """approval:grade, the Canadian code; a null is nan in either place."""
+    return F.concat_ws(":", F.coalesce(approval.cast("string"), F.lit("nan")), F.coalesce(grade.cast("string"), F.lit("nan")))
+
+
+def hourly_quality_can(df: DataFrame, keys: list[str], ts: str, approval: str, grade: str, center: bool = False) -> DataFrame:
+    """hourly_quality of Canadian codes, with is_ice (grade 10 in the hour)."""
+    rows = df.withColumn("_code", wsc_code(F.col(approval), F.col(grade)))
+    return hourly_quality(rows, keys, ts, "_code", WSC_ORDER, {"is_ice": F.col(grade) == 10}, center)
+
+
 def interpolate_time(df: DataFrame, keys: list[str], ts: str, cols: list[str]) -> DataFrame:
     """Linear in time between the valid values on both sides; nothing is extrapolated. ts: a number or a date, once per
     key. Both sides are running values, the next one over the descending order, so a site takes linear time."""
@@ -135,11 +158,35 @@ def interpolate_time(df: DataFrame, keys: list[str], ts: str, cols: list[str]) -
     return df.withColumns(made)
 
 
+def reindex(df: DataFrame, keys: list[str], ts: str, step: str = "1 DAY", value: str | None = None, flags: list[str] = (), text: list[str] = ()) -> DataFrame:
+    """Every step between a site's first and last time; new rows have nulls and is_new 1. With a value column, wherever
+    it is null (in old rows too) the flags are 0 and the text columns, such as the quality, null."""
+    span = df.groupBy(*keys).agg(F.min(ts).alias("_a"), F.max(ts).alias("_z"))
+    axis = span.select(*keys, F.explode(F.sequence("_a", "_z", F.expr(f"INTERVAL {step}"))).alias(ts))
+    rows = axis.join(df.withColumn("_old", F.lit(1)), [*keys, ts], "left").withColumn("is_new", F.col("_old").isNull().cast("int")).drop("_old")
+    if value is None:
+        return rows
+    known = F.col(value).isNotNull()
+    return rows.withColumns({c: F.when(known, F.col(c)).otherwise(F.lit(0)) for c in flags} | {c: F.when(known, F.col(c)) for c in text})
+
+
 def reindex_daily(df: DataFrame, keys: list[str], day: str) -> DataFrame:
     """Every day between a site's first and last; new rows have nulls and is_new 1."""
+    return reindex(df, keys, day)
+
+
+def add_leap_days(df: DataFrame, keys: list[str], day: str, cols: list[str]) -> DataFrame:
+    """Adds the 31st of December of leap years where a series of 365-day years lacks it, inside its span: the columns by
+    interpolation, and yearday 366; is_new tells these rows. Other gaps stay."""
     span = df.groupBy(*keys).agg(F.min(day).alias("_a"), F.max(day).alias("_z"))
-    axis = span.select(*keys, F.explode(F.sequence("_a", "_z")).alias(day))
-    return axis.join(df.withColumn("_old", F.lit(1)), [*keys, day], "left").withColumn("is_new", F.col("_old").isNull().cast("int")).drop("_old")
+    years = span.select(*keys, "_a", "_z", F.explode(F.sequence(F.year("_a"), F.year("_z"))).alias("_y"))
+    last = F.make_date("_y", F.lit(12), F.lit(31))
+    wanted = years.where((F.dayofyear(last) == 366) & (last > F.col("_a")) & (last < F.col("_z"))).select(*keys, last.alias(day))
+    new = wanted.join(df.select(*keys, day), [*keys, day], "left_anti").withColumn("is_new", F.lit(1))
+    rows = df.withColumn("is_new", F.lit(0)).unionByName(new, allowMissingColumns=True)
+    filled = interpolate_time(rows.withColumns({f"_{c}": F.col(c) for c in cols}), keys, day, [f"_{c}" for c in cols])
+    made = {c: F.when(F.col("is_new") == 1, F.col(f"_{c}")).otherwise(F.col(c)) for c in cols}
+    return filled.withColumns(made | {"yearday": F.dayofyear(day)}).drop(*[f"_{c}" for c in cols])
 
 
 def full_years(df: DataFrame, keys: list[str], day: str, by_water_year: bool = False) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rillflow.plans import grids, records, series  # noqa: F401  they register their queries
+from rillflow.plans import grids, records, rules, series  # noqa: F401  they register their queries
 from rillflow.plans.adapters import ORACLE_SQL, QUERIES  # noqa: F401
 
 FLAGSHIP = "a1_resample_hourly"

@@ -181,7 +181,7 @@ def coded(s, d):
 NORM = "c AS (SELECT event_id, CAST(event_id % 7 * 10 AS INTEGER) AS g, CASE event_id % 5 WHEN 0 THEN 'Checked' WHEN 1 THEN 'Undefined' WHEN 2 THEN 'Ready for Approval' ELSE 'Approved' END AS a FROM events), n AS (SELECT *, CASE WHEN g IN (10, 20, 30, 40, 50) THEN g ELSE 0 END AS grade, CASE WHEN a IN ('Checked', 'Ready for Approval') THEN 'Reviewed' WHEN a = 'Undefined' THEN 'nan' ELSE a END AS approval FROM c)"
 add("p12_normalise_codes", lambda s, d: B.normalise_wsc_codes(coded(s, d)), f"{NORM}\n--\nSELECT event_id, grade, approval FROM n", "event_id grade approval")
 add("p12_count_replaced", lambda s, d: B.count_replaced(coded(s, d), B.normalise_wsc_codes(coded(s, d)), ["event_id"], "approval"), f"{NORM}\n--\nSELECT a AS old, approval AS new, count(*) AS n FROM n WHERE a <> approval GROUP BY ALL", "old new n")
-add("p13_filter_dates", lambda s, d: B.filter_dates(rain(s, d), "day", months=24, month=[1, 7], dom=[1, 15]), f"{RAIN}, m AS (SELECT max(day) - INTERVAL 24 MONTH AS m FROM rain)\n--\nSELECT site, day, p FROM rain, m WHERE day > m AND month(day) IN (1, 7) AND day(day) IN (1, 15)", "site day", "p")
+add("p13_filter_dates", lambda s, d: B.filter_dates(rain(s, d), "day", last_months=24, month=[1, 7], dom=[1, 15]), f"{RAIN}, m AS (SELECT max(day) - INTERVAL 24 MONTH AS m FROM rain)\n--\nSELECT site, day, p FROM rain, m WHERE day >= m AND month(day) IN (1, 7) AND day(day) IN (1, 15)", "site day", "p")
 add("p14_subset_category", lambda s, d: B.subset_category(table(s, d, "customer").withColumns({"area": F.abs("c_acctbal") * 2, "n_sub": COL("c_custkey") % 10}), "c_custkey", "area", "n_sub"), "SELECT c_custkey, CASE WHEN c_custkey % 10 = 1 THEN 'headwater' WHEN abs(c_acctbal) * 2 <= 1000 THEN 'meso' WHEN abs(c_acctbal) * 2 <= 10000 THEN 'macro' ELSE 'excluded' END AS category FROM customer", "c_custkey category")
 
 
