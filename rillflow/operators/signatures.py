@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.scalars import circular_mean, circular_std, water_year
+from rillflow.operators import scan
+from rillflow.operators.shared import written
 from rillflow.operators.timeseries import interpolate_time, period_stats
 
 QUANTILES = (0.01, 0.05, 0.10, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
@@ -56,31 +58,61 @@ def flow_quantiles(q: DataFrame, keys: list[str], at=QUANTILES) -> DataFrame:
     return out.select(*keys, F.get(F.array(*[F.lit(x) for x in at]), F.col("i")).alias("quantile"), "mean", "std")
 
 
+def composed(a: np.ndarray, c: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The composition of the maps 0..i, for every i: each map is b -> min(a b + c, d), with a >= 0, and two of them in turn
+    are one of the same form. Doubling: after k rounds an entry holds the last 2^k maps."""
+    a, c, d = a.copy(), c.copy(), d.copy()
+    step = 1
+    while step < len(a):
+        late, soon = slice(step, None), slice(None, -step)
+        top = np.minimum(np.where(a[late] == 0, 0.0, a[late] * d[soon]) + c[late], d[late])
+        a[late], c[late], d[late] = a[late] * a[soon], a[late] * c[soon] + c[late], top
+        step *= 2
+    return a, c, d
+
+
 def baseflow_eckhardt(q: DataFrame, keys: list[str], a: float = 0.98, bfi_max: float = 0.8) -> DataFrame:
     """q with b, the recursive digital filter's baseflow; gaps of q are interpolated for the recursion and masked.
 
-    Each step needs the last one's result and every step's result is wanted: the one recursion of this library. SQL's
-    folds return a last state, and one that grows by a day a step copies itself each time, so it is run per site with
-    numpy. A site's daily series is bounded by its record (a century is 36,525 days); sites are dealt over all tasks.
+    A step is b -> min(a b + c, d). Such maps compose, so a site's days are composed block by block; one map per block is
+    composed along the site, and the days of each block are filled from what its block starts with, all in parallel.
     """
-    rows = interpolate_time(q.select(*keys, "day", "q").withColumn("_q", F.col("q")), keys, "day", ["_q"])
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-
-    def filtered(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("day")
-        flow = part["_q"].to_numpy(float)
-        out = np.full(len(flow), np.nan)
-        last = np.nan
-        for i, x in enumerate(flow):
-            if np.isnan(x):
-                continue
-            b = x * bfi_max if np.isnan(last) else ((1 - bfi_max) * a * last + (1 - a) * bfi_max * x) / (1 - a * bfi_max)
-            last = out[i] = min(b, x)
-        part["b"] = np.where(part["q"].isna(), np.nan, out)
-        return part.drop(columns="_q")
-
-    out = rows.groupBy(*keys).applyInPandas(filtered, ", ".join([*(f"{k} {kinds[k]}" for k in keys), "day date", "q double", "b double"]))
-    return out.withColumn("b", F.when(F.isnan("b"), None).otherwise(F.col("b")))
+    kinds = {f.name: f.dataType.simpleString() for f in q.schema}
+    by = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
+    t, width = scan.number_of(q, "day")
+    x = F.col("_q").cast("double")
+    rows = interpolate_time(q.select(*keys, "day", F.col("q").cast("double").alias("q")).withColumn("_q", F.col("q")), keys, "day", ["_q"]).where(x.isNotNull())
+    rows = rows.select(*keys, "day", "q", "_q", t.alias("_at")).withColumn("_b", scan.block_of(F.col("_at"), width))
+    first = rows.groupBy(*keys).agg(F.min("_at").alias("_first"))
+    rows = written(rows.join(first, keys).withColumn("_first", F.col("_at") == F.col("_first")), "days")
+    keep, gain = (1 - bfi_max) * a / (1 - a * bfi_max), (1 - a) * bfi_max / (1 - a * bfi_max)
+
+    def maps(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        flow, first = part["_q"].to_numpy(float), part["_first"].to_numpy(bool)
+        return composed(np.where(first, 0.0, keep), np.where(first, bfi_max, gain) * flow, flow)
+
+    def whole(part: pd.DataFrame) -> pd.DataFrame:
+        last = [m[-1:] for m in maps(part.sort_values("_at"))]
+        return part[[*keys, "_b"]].head(1).assign(**dict(zip("acd", last, strict=True)))
+
+    def starts(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_b")
+        _, c, d = composed(*(part[k].to_numpy(float) for k in "acd"))  # the first map is constant, so a is 0
+        return part[[*keys, "_b"]].assign(_in=np.concatenate([[0.0], np.minimum(c, d)[:-1]]))
+
+    def filled(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_at")
+        m, c, d = maps(part)
+        b = np.minimum(m * part["_in"].to_numpy(float) + c, d)
+        return part[[*keys, "day", "q"]].assign(b=np.where(part["q"].isna(), np.nan, b))
+
+    one = rows.groupBy(*keys, "_b").applyInPandas(whole, f"{by}, _b long, a double, c double, d double")
+    carry = one.groupBy(*keys).applyInPandas(starts, f"{by}, _b long, _in double")
+    out = rows.join(carry, [*keys, "_b"]).groupBy(*keys, "_b").applyInPandas(filled, f"{by}, day {kinds['day']}, q double, b double")
+    # Days before the first and after the last flow have none.
+    outside = q.select(*keys, "day", F.col("q").cast("double").alias("q")).where("q is null")
+    outside = outside.join(rows.where("q is null").select(*keys, "day"), [*keys, "day"], "left_anti")
+    return out.withColumn("b", F.when(F.isnan("b"), None).otherwise(F.col("b"))).unionByName(outside.withColumn("b", F.lit(None).cast("double")))
 
 
 def baseflow_index(q: DataFrame, keys: list[str], a: float = 0.98, bfi_max: float = 0.8) -> DataFrame:

@@ -1,6 +1,6 @@
 """Time series per site: cleaning, resampling, gaps, runs and whole years.
 
-All windows are partitioned by the site's keys; nothing is collected, and a site's rows are sorted once.
+Windows are partitioned by the site's keys and a block of time (`scan`), so a site of any length is spread over tasks.
 """
 
 from __future__ import annotations
@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.scalars import season
+from rillflow.operators import scan
+from rillflow.operators.shared import written
 
 # Status codes that gauges report in place of a flow.
 STATUS_CODES = ("***", "Bkw", "Dis", "Eqp", "Ice", "Rat", "Ssn")
@@ -77,15 +79,24 @@ def half_hour_marks(df: DataFrame, keys: list[str], ts: str, value: str) -> tupl
     return obs.unionByName(marks).groupBy(*keys, "_t").agg(F.max("_v").alias("_v"), F.sum("_obs").alias("_obs")), span.select(*keys, "_first", "_last")
 
 
-def fill_edges(rows: DataFrame, keys: list[str], center: bool = False) -> DataFrame:
-    """Marks on an hour's edge (minute 0, or 30 if centred) with observations only in the hour before take the last one of
-    them, with ones only in the hour after the last of that hour; others stay."""
-    w = Window.partitionBy(*keys).orderBy("_t")
+def _filled(rows: DataFrame, keys: list[str], center: bool) -> DataFrame:
+    """fill_edges in blocks (_b): rows within an hour of a block's border are in both blocks. Kept of the foreign ones
+    (_own is false) is the mark on the border, the last row of the block before it."""
+    edges = F.array_distinct(F.array(*[scan.block_of(F.col("_t") + d, scan.MICROS) for d in (0, -2 * HALF - 1, 2 * HALF)]))
+    dealt = rows.withColumn("_b", F.explode(edges))
+    dealt = dealt.withColumn("_own", F.col("_b") == scan.block_of(F.col("_t"), scan.MICROS))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t")
     seen = (F.col("_obs") > 0) & (F.col("_v") >= 0)
     before, after = (F.last(F.when(seen, F.col("_v")), ignorenulls=True).over(w.rangeBetween(*r)) for r in ((-2 * HALF, 0), (0, 2 * HALF)))
     edge = F.col("_t") % (2 * HALF) == (HALF if center else 0)
-    filled = F.when(F.col("_v").isNotNull(), F.col("_v")).when(edge & before.isNotNull() & after.isNull(), before).when(edge & before.isNull() & after.isNotNull(), after)
-    return rows.withColumn("_v", filled)
+    value = F.when(F.col("_v").isNotNull(), F.col("_v")).when(edge & before.isNotNull() & after.isNull(), before).when(edge & before.isNull() & after.isNotNull(), after)
+    return dealt.withColumn("_v", value).where(F.col("_own") | (F.col("_t") == (F.col("_b") + 1) * scan.MICROS))
+
+
+def fill_edges(rows: DataFrame, keys: list[str], center: bool = False) -> DataFrame:
+    """Marks on an hour's edge (minute 0, or 30 if centred) with observations only in the hour before take the last one of
+    them, with ones only in the hour after the last of that hour; others stay."""
+    return _filled(rows, keys, center).where("_own").drop("_b", "_own")
 
 
 def resample_hourly(df: DataFrame, keys: list[str], ts: str, value: str, center: bool = False) -> DataFrame:
@@ -98,11 +109,13 @@ def resample_hourly(df: DataFrame, keys: list[str], ts: str, value: str, center:
     """
     half = HALF
     rows, span = half_hour_marks(df, keys, ts, value)
-    w = Window.partitionBy(*keys).orderBy("_t")
-    rows = interpolate_time(fill_edges(rows, keys, center), keys, "_t", ["_v"])
+    # A block's last trapezoid ends at the mark on its border, which is a row of it too.
+    rows = scan.neighbours(written(_filled(rows, keys, center), "marks"), keys, "_t", ["_v"])
+    rows = rows.withColumn("_v", scan.between("_v", "_t"))
+    w = Window.partitionBy(*keys, "_b").orderBy("_t")
     volume = (F.col("_v") + F.lead("_v").over(w)) / 2 * (F.lead("_t").over(w) - F.col("_t")) / 1e6
     at = F.col("_t") + (half if center else 0)
-    rows = rows.select(*keys, "_obs", volume.alias("_vol"), at.alias("_at"), F.floor(at / (2 * half)).alias("_h"))
+    rows = rows.select(*keys, "_own", "_obs", volume.alias("_vol"), at.alias("_at"), F.floor(at / (2 * half)).alias("_h")).where("_own")
     # An observation on an hour's edge counts for the hour that ends there too.
     right = F.array(F.struct(F.col("_h").alias("h"), F.col("_vol").alias("vol"), F.col("_obs").alias("l"), F.when(F.col("_at") % (2 * half) != 0, F.col("_obs")).otherwise(0).alias("r")), F.struct((F.col("_h") - 1).alias("h"), F.lit(None).cast("double").alias("vol"), F.lit(0).cast("long").alias("l"), F.col("_obs").alias("r")))
     both = F.when((F.col("_at") % (2 * half) == 0) & (F.col("_obs") > 0), right).otherwise(F.slice(right, 1, 1))
@@ -145,17 +158,12 @@ def hourly_quality_can(df: DataFrame, keys: list[str], ts: str, approval: str, g
 
 
 def interpolate_time(df: DataFrame, keys: list[str], ts: str, cols: list[str]) -> DataFrame:
-    """Linear in time between the valid values on both sides; nothing is extrapolated. ts: a number or a date, once per
-    key. Both sides are running values, the next one over the descending order, so a site takes linear time."""
-    up, down = (Window.partitionBy(*keys).orderBy(o).rowsBetween(*_UP) for o in (F.col(ts).asc(), F.col(ts).desc()))
-    t = F.unix_date(ts) if dict(df.dtypes)[ts] == "date" else micros(F.col(ts)) if dict(df.dtypes)[ts].startswith("timestamp") else F.col(ts)
-    made = {}
-    for c in cols:
-        at = F.when(F.col(c).isNotNull(), t)
-        v0, t0 = (F.last(x, ignorenulls=True).over(up) for x in (F.col(c), at))
-        v1, t1 = (F.last(x, ignorenulls=True).over(down) for x in (F.col(c), at))
-        made[c] = F.coalesce(F.col(c), v0 + (v1 - v0) * (t - t0) / (t1 - t0))
-    return df.withColumns(made)
+    """Linear in time between the valid values on both sides; nothing is extrapolated. ts: microseconds, a time or a date,
+    once per key. Both sides are running values within a block and what other blocks carry over."""
+    t, width = scan.number_of(df, ts)
+    rows = df.withColumn("_at", t).withColumn("_b", scan.block_of(F.col("_at"), width))
+    rows = scan.neighbours(rows, keys, "_at", cols)
+    return rows.withColumns({c: scan.between(c, "_at") for c in cols}).select(*df.columns)
 
 
 def reindex(df: DataFrame, keys: list[str], ts: str, step: str = "1 DAY", value: str | None = None, flags: list[str] = (), text: list[str] = ()) -> DataFrame:
@@ -194,13 +202,12 @@ def full_years(df: DataFrame, keys: list[str], day: str, by_water_year: bool = F
     Dec-31 (Sep-30) that exists in a year after that of the start (one whole calendar year by itself is not
     enough). None: all rows stay."""
     (m0, d0), (m1, d1) = ((10, 1), (9, 30)) if by_water_year else ((1, 1), (12, 31))
-    w = Window.partitionBy(*keys)
-    last_year = F.max(F.year(day)).over(w)
-    start = F.min(F.when((F.month(day) == m0) & (F.dayofmonth(day) == d0) & (F.year(day) < last_year), F.col(day))).over(w)
-    rows = df.withColumn("_start", start)
-    end = F.max(F.when((F.month(day) == m1) & (F.dayofmonth(day) == d1) & (F.year(day) > F.year("_start")), F.col(day))).over(w)
-    rows = rows.withColumn("_end", end)
-    return rows.where(F.col("_end").isNull() | F.col(day).between(F.col("_start"), F.col("_end"))).drop("_start", "_end")
+    on = lambda m, d: F.when((F.month(day) == m) & (F.dayofmonth(day) == d), F.col(day))
+    per = df.groupBy(*keys).agg(F.collect_set(on(m0, d0)).alias("_s"), F.max(on(m1, d1)).alias("_end"), F.max(F.year(day)).alias("_ly"))  # one day a year
+    start = F.array_min(F.filter("_s", lambda x: F.year(x) < F.col("_ly")))
+    per = per.withColumn("_start", start).select(*keys, "_start", F.when(F.year("_end") > F.year("_start"), F.col("_end")).alias("_end"))
+    rows = df.join(per, keys).where(F.col("_end").isNull() | F.col(day).between(F.col("_start"), F.col("_end")))
+    return rows.select(*df.columns)
 
 
 def resample(df: DataFrame, keys: list[str], ts: str, freq: str, aggs: dict[str, Column]) -> DataFrame:
@@ -217,10 +224,9 @@ def add_time_bounds(df: DataFrame, ts: str, kind: str) -> DataFrame:
 
 def run_lengths(df: DataFrame, keys: list[str], ts: str, cond: Column, include_open: bool = False) -> DataFrame:
     """keys, run_start, length of each run of true; null counts as false; a run still open at the end isn't counted."""
-    w = Window.partitionBy(*keys).orderBy(ts)
-    rows = df.select(*keys, ts, F.coalesce(cond, F.lit(False)).alias("_c"))
-    rows = rows.withColumn("_new", (F.col("_c") != F.coalesce(F.lag("_c").over(w), ~F.col("_c"))).cast("int"))
-    rows = rows.withColumn("_run", F.sum("_new").over(w.rowsBetween(*_UP))).withColumn("_last", F.lead(ts).over(w).isNull())
+    t, width = scan.number_of(df, ts)
+    rows = df.select(*keys, ts, F.coalesce(cond, F.lit(False)).alias("_c"), t.alias("_at"))
+    rows = scan.runs(rows.withColumn("_b", scan.block_of(F.col("_at"), width)), keys, "_at", "_c")
     runs = rows.where("_c").groupBy(*keys, "_run").agg(F.min(ts).alias("run_start"), F.count("*").alias("length"), F.max("_last").alias("_open"))
     return (runs if include_open else runs.where("not _open")).drop("_run", "_open")
 
@@ -229,15 +235,14 @@ def period_stats(df: DataFrame, keys: list[str], ts: str, conds: dict[str, Colum
     """keys and kind of each condition: frequency (days a year), mean, median, skew and kurtosis of run lengths in
     days, season with most true steps (ties: the first by name; none without a true step).
 
-    Missing steps count as false; a run still open at the end isn't counted; without any run the four are `empty`. All
-    conditions share one shuffle: the window's partitioning serves both aggregations.
+    Missing steps count as false; a run still open at the end isn't counted; without any run the four are `empty`. Runs are
+    numbered block by block, and counted before they are shuffled.
     """
     pairs = F.array(*[F.struct(F.lit(k).alias("kind"), F.coalesce(c, F.lit(False)).alias("c")) for k, c in conds.items()])
-    rows = df.select(*keys, ts, F.explode(pairs).alias("_x")).select(*keys, F.col(ts).alias("_t"), "_x.kind", "_x.c")
+    t, width = scan.number_of(df, ts)
+    rows = df.select(*keys, season(F.month(ts)).alias("_s"), t.alias("_t"), F.explode(pairs).alias("_x")).select(*keys, "_s", "_t", scan.block_of(F.col("_t"), width).alias("_b"), "_x.kind", "_x.c")
     by, names = [*keys, "kind"], ("djf", "jja", "mam", "son")
-    w = Window.partitionBy(*by).orderBy("_t")
-    rows = rows.withColumn("_new", (F.col("c") != F.coalesce(F.lag("c").over(w), ~F.col("c"))).cast("int"))
-    rows = rows.withColumns({"_run": F.sum("_new").over(w.rowsBetween(*_UP)), "_last": F.lead("_t").over(w).isNull(), "_s": season(F.month("_t"))})
+    rows = scan.runs(rows, by, "_t", "c")
     runs = rows.groupBy(*by, "_run").agg(F.count("*").alias("n"), F.bool_or("c").alias("c"), F.bool_or("_last").alias("open"), *[F.count_if(F.col("c") & (F.col("_s") == x)).alias(x) for x in names])
     days = F.when(F.col("c") & ~F.col("open"), F.col("n") / float(steps_per_day))
     stats = {"mean": F.avg(days), "median": F.median(days), "skew": F.skewness(days), "kurtosis": F.kurtosis(days)}
