@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.scalars import albers
-from rillflow.operators import quadtree, scanline
+from rillflow.operators import nearest, quadtree, scanline
 
 TINY_KM2 = 0.0005
 
@@ -99,14 +99,8 @@ def snap_to_line(points: DataFrame, lines: DataFrame, key: str) -> DataFrame:
     segs = lines.select(key, F.posexplode("geometry").alias("i", "v")).select(key, "i", "v.*")
     w = Window.partitionBy(key, "ring").orderBy("i")
     segs = segs.withColumns({"x2": F.lead("x").over(w), "y2": F.lead("y").over(w)}).where("x2 is not null").select(key, F.col("x").alias("x1"), F.col("y").alias("y1"), "x2", "y2")
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    t = F.least(F.greatest(((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    t = F.coalesce(t, F.lit(0.0))
-    px, py = F.col("x1") + t * dx, F.col("y1") + t * dy
-    d = F.sqrt((px - F.col("x")) * (px - F.col("x")) + (py - F.col("y")) * (py - F.col("y")))
-    on = points.join(segs, key, "left").select("id", px.alias("px"), py.alias("py"), d.alias("d"))
-    best = on.groupBy("id").agg(F.min_by(F.struct("px", "py", "d"), F.struct("d", "px", "py")).alias("b"))
-    return best.select("id", F.col("b.px").alias("x"), F.col("b.py").alias("y"), F.col("b.d").alias("distance"))
+    best = nearest.nearest(points, segs, key)
+    return points.select("id").distinct().join(best, "id", "left")
 
 
 def plane_area(polys: DataFrame, key: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.operators.shared import discard, written
@@ -76,6 +76,50 @@ def accumulated(net: DataFrame, values: dict[str, Column]) -> DataFrame:
     return current.drop("to").join(ring, ["basin", "comid"], "left_anti").unionByName(sets)
 
 
+#: Numbers of a tour that share a bucket of the range join.
+SPAN = 4096
+
+
+def tour(net: DataFrame) -> DataFrame:
+    """basin, comid, root, entry, exit: the interval labels of a depth-first tour up the network, from each outlet (root).
+    What drains to a segment has the entries from its entry to its exit. Segments on a cycle, or that drain into one, are
+    reported with nulls.
+
+    A segment's place behind the one below it is one more than what its earlier neighbours (by comid) drain; pointers
+    double to add these places up along the way to the outlet.
+    """
+    sizes = accumulated(net, {"size": F.lit(1).cast("long")})
+    known = net.select("basin", F.col("comid").alias("to"), F.lit(1).alias("in"))
+    first = net.select("basin", "comid", F.nullif("next_down", F.lit(0)).alias("to")).join(known, ["basin", "to"], "left").join(sizes, ["basin", "comid"])
+    first = first.withColumn("to", F.when(F.col("in") == 1, F.col("to")))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("basin", "to").orderBy("comid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inner = first.where("to is not null").select("basin", "comid", "to", "size", (before + 1).alias("place"))
+    roots = first.where("to is null").select("basin", "comid", "to", "size", F.lit(0).cast("long").alias("place"))
+    current = written(inner.unionByName(roots).withColumn("root", F.coalesce("to", "comid")), "tour")
+    for _ in range(rounds_of(net)):
+        step = current.select("basin", F.col("comid").alias("to"), F.col("to").alias("to2"), F.col("place").alias("place2"), F.col("root").alias("root2"))
+        next_ = current.join(step, ["basin", "to"], "left").select("basin", "comid", F.col("to2").alias("to"), "size", (F.col("place") + F.coalesce("place2", F.lit(0))).alias("place"), F.coalesce("root2", "root").alias("root"))
+        old, current = current, written(next_, "tour")
+        discard(old)
+        if current.where("to is not null").isEmpty():
+            break
+    ends = F.col("to").isNull()
+    return current.select("basin", "comid", F.when(ends, F.col("root")).alias("root"), F.when(ends, F.col("place")).alias("entry"), F.when(ends, F.col("place") + F.col("size") - 1).alias("exit"))
+
+
+def upstream_sets(net: DataFrame, ids: DataFrame) -> DataFrame:
+    """basin, comid, member: each given segment (basin, comid) with all that drains to it, itself included, by the ranges
+    of a tour, in buckets of SPAN numbers. Segments on a cycle, or below none of the tour, take the sets step by step."""
+    labels = written(tour(net), "labels")
+    asked = labels.join(ids.select("basin", "comid").distinct(), ["basin", "comid"], "left_semi")
+    bucket = lambda c: F.floor(F.col(c) / SPAN)
+    ranges = asked.where("root is not null").withColumn("_k", F.explode(F.sequence(bucket("entry"), bucket("exit"))))
+    members = labels.where("root is not null").select("basin", "root", F.col("comid").alias("member"), F.col("entry").alias("_e"), bucket("entry").alias("_k"))
+    found = ranges.join(members, ["basin", "root", "_k"]).where("_e between entry and exit").select("basin", "comid", "member")
+    rest = asked.where("root is null").select("basin", "comid")
+    return found if rest.isEmpty() else found.unionByName(upstream(net, rest))
+
+
 def upstream_area(net: DataFrame, ids: DataFrame) -> DataFrame:
     """basin, comid, n_up, area: the sum of unit areas of each given segment and all that drains to it."""
     sums = accumulated(net, {"n_up": F.lit(1).cast("long"), "area": F.col("unitarea").cast("double")})

@@ -2,23 +2,32 @@
 
 from __future__ import annotations
 
+import functools
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rillflow.functions.scalars import FREEZING, conductivity, porosity
+from rillflow.operators import mergeable as M
 
 
-def zonal_stats(pixels: DataFrame, keys: list[str], value: str = "value", extra: dict[str, Column] | None = None, functions: dict[str, Callable] | None = None, empty: float | None = None) -> DataFrame:
+def zonal_stats(pixels: DataFrame, keys: list[str], value: str = "value", extra: dict[str, Column] | None = None, functions: dict[str, Callable] | None = None, empty: float | None = None, mergeable: dict[str, M.Mergeable] | None = None) -> DataFrame:
     """min, mean, max, std, harmonic mean and count per zone and layer, and what a user adds: aggregate expressions
     (extra), or functions from the zone's values as a pandas Series to a number; a zone without valid pixels gets
-    `empty`. A function sees a whole zone in one task: give an expression where there is one."""
+    `empty`. A function sees a whole zone in one task: give an expression where there is one, or a mergeable aggregate,
+    of which only states travel."""
     v = F.col(value)
     stats = {"min": F.min(v), "mean": F.avg(v), "max": F.max(v), "std": F.stddev_pop(v), "harmonic_mean": F.count(v) / F.nullif(F.sum(1 / F.nullif(v, F.lit(0.0))), F.lit(0.0))} | (extra or {})
     filled = [(F.coalesce(c, F.lit(empty)) if empty is not None else c).alias(k) for k, c in stats.items()]
     out = pixels.groupBy(*keys).agg(*filled, F.count(v).alias("n"))
+    for k, f in (mergeable or {}).items():
+        own = M.aggregate(pixels.where(v.isNotNull()), keys, value, {k: f})
+        out = out.join(own, keys, "left").withColumns({k: F.coalesce(k, F.lit(empty))} if empty is not None else {})
     if not functions:
         return out
     made = [F.pandas_udf(f, "double", F.PandasUDFType.GROUPED_AGG)(v.cast("double")).alias(k) for k, f in functions.items()]
@@ -64,25 +73,58 @@ def mosaic(tiles: DataFrame, rank: str, window: tuple[int, int, int, int]) -> Da
     return inside.groupBy("row", "col").agg(F.max_by("value", rank).alias("value"))
 
 
-def terrain(pixels: DataFrame, keys: list[str], cell_x: float = 1.0, cell_y: float = 1.0) -> DataFrame:
+def halo_blocks(pixels: DataFrame, keys: list[str], side: int) -> DataFrame:
+    """keys, br, bc, rows, cols, values: one row per square block of pixels, with a border of one pixel from the blocks
+    around it. A pixel inside a block is in it alone; one on its border also in those it borders on, so there are some
+    1 + 4 / side copies of a pixel."""
+    at = {c: F.array_distinct(F.array(*[F.floor((F.col(c) + d) / side) for d in (-1, 0, 1)])) for c in ("row", "col")}
+    dealt = pixels.where("value is not null").withColumn("br", F.explode(at["row"])).withColumn("bc", F.explode(at["col"]))
+    return dealt.groupBy(*keys, "br", "bc").agg(F.collect_list(F.struct(F.col("row").cast("long"), F.col("col").cast("long"), F.col("value").cast("double"))).alias("p"))
+
+
+def horn(z: np.ndarray, cell_x: float, cell_y: float) -> tuple[np.ndarray, np.ndarray]:
+    """Slope and aspect of the inner pixels of an array with a border of one; nan is missing."""
+    n, m = z.shape[0] - 2, z.shape[1] - 2
+    own = {(dr, dc): z[1 + dr : 1 + dr + n, 1 + dc : 1 + dc + m] for dr in (-1, 0, 1) for dc in (-1, 0, 1)}
+    first = lambda *some: functools.reduce(lambda a, b: np.where(np.isnan(a), b, a), some)
+    c, v = own[0, 0], {}
+    for o in ((-1, 0), (1, 0), (0, -1), (0, 1)):
+        v[o] = first(own[o], 2 * c - own[-o[0], -o[1]], c)
+    for dr, dc in ((-1, -1), (-1, 1), (1, -1), (1, 1)):
+        v[dr, dc] = first(own[dr, dc], v[dr, 0] + v[0, dc] - c)
+    dx = (v[-1, 1] + 2 * v[0, 1] + v[1, 1] - v[-1, -1] - 2 * v[0, -1] - v[1, -1]) / (8 * cell_x)
+    dy = (v[1, -1] + 2 * v[1, 0] + v[1, 1] - v[-1, -1] - 2 * v[-1, 0] - v[-1, 1]) / (8 * cell_y)
+    aspect = np.where((dx != 0) | (dy != 0), np.mod(np.degrees(np.arctan2(-dx, dy)), 360.0), np.nan)
+    return np.degrees(np.arctan(np.sqrt(dx * dx + dy * dy))), aspect
+
+
+def terrain(pixels: DataFrame, keys: list[str], cell_x: float = 1.0, cell_y: float = 1.0, side: int = 64) -> DataFrame:
     """Slope and aspect in degrees by Horn's 3 x 3 window (aspect: the downhill direction from north).
 
-    Each pixel is sent to its eight neighbours and summed there: linear, any raster size. A missing side neighbour is
-    extrapolated from the centre and the opposite one (2 c - o; where that is missing too, it takes the centre), a
-    missing corner from the two sides next to it.
+    Pixels travel as blocks with a border of one pixel, and a block is one array. A missing side neighbour is extrapolated
+    from the centre and the opposite one (2 c - o; where that is missing too, it takes the centre), a missing corner from
+    the two sides next to it. Of a pixel that comes twice the largest value counts.
     """
-    offsets = [(dr, dc) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
-    moved = pixels.where("value is not null").withColumn("_o", F.explode(F.array(*[F.struct(F.lit(dr).alias("dr"), F.lit(dc).alias("dc")) for dr, dc in offsets])))
-    at = {(dr, dc): F.max(F.when((F.col("_o.dr") == dr) & (F.col("_o.dc") == dc), F.col("value"))).alias(f"z{dr + 1}{dc + 1}") for dr, dc in offsets}
-    near = moved.groupBy(*keys, (F.col("row") - F.col("_o.dr")).alias("row"), (F.col("col") - F.col("_o.dc")).alias("col")).agg(*at.values()).where("z11 is not null")
-    c, own = F.col("z11"), lambda dr, dc: F.col(f"z{dr + 1}{dc + 1}")
-    z = {o: F.coalesce(own(*o), 2 * c - own(-o[0], -o[1]), c) for o in offsets if 0 in o}
-    z |= {(dr, dc): F.coalesce(own(dr, dc), z[dr, 0] + z[0, dc] - c) for dr, dc in offsets if dr and dc}
-    dx = (z[-1, 1] + 2 * z[0, 1] + z[1, 1] - z[-1, -1] - 2 * z[0, -1] - z[1, -1]) / (8 * cell_x)
-    dy = (z[1, -1] + 2 * z[1, 0] + z[1, 1] - z[-1, -1] - 2 * z[-1, 0] - z[-1, 1]) / (8 * cell_y)
-    slope = F.degrees(F.atan(F.sqrt(dx * dx + dy * dy)))
-    aspect = F.when((dx != 0) | (dy != 0), F.pmod(F.degrees(F.atan2(-dx, dy)), F.lit(360.0)))
-    return near.select(*keys, "row", "col", F.col("z11").alias("value"), slope.alias("slope"), aspect.alias("aspect"))
+    blocks = halo_blocks(pixels, keys, side)
+    kinds = [f"`{k}` {pixels.schema[k].dataType.simpleString()}" for k in [*keys, "row", "col"]]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p, starts = batch.column("p"), [batch.column(c).to_pylist() for c in ("br", "bc")]
+            offsets, (row, col, value) = p.offsets.to_numpy(), (c.to_numpy() for c in p.values.flatten())
+            for i, (br, bc) in enumerate(zip(*starts, strict=True)):
+                a, e = offsets[i], offsets[i + 1]
+                z = np.full((side + 2, side + 2), np.nan)
+                np.fmax.at(z, (row[a:e] - br * side + 1, col[a:e] - bc * side + 1), value[a:e])
+                slope, aspect = horn(z, cell_x, cell_y)
+                r, c = np.nonzero(~np.isnan(z[1:-1, 1:-1]))
+                if len(r):
+                    made = [pa.array(r + br * side), pa.array(c + bc * side), pa.array(z[r + 1, c + 1]), pa.array(slope[r, c]), pa.array(aspect[r, c], from_pandas=True)]
+                    made = [x.cast(t) for x, t in zip(made, types, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(np.full(len(r), i))) for k in keys), *made], names=[*keys, "row", "col", "value", "slope", "aspect"])
+
+    types = [*(to_arrow_type(pixels.schema[c].dataType) for c in ("row", "col")), *[pa.float64()] * 3]
+    return blocks.mapInArrow(apply, ", ".join([*kinds, "value double", "slope double", "aspect double"]))
 
 
 def soil_properties(pixels: DataFrame) -> DataFrame:

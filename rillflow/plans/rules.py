@@ -9,8 +9,11 @@ from rillflow.operators import climate as C
 from rillflow.operators import forcing as O
 from rillflow.operators import tables as B
 from rillflow.operators import timeseries as T
-from rillflow.plans.adapters import FLOW, RAIN, SITE_SQL, add, events, flow, rain, table
-from rillflow.plans.grids import CELLS, cells
+from rillflow.plans.adapters import FLOW, NET, PIXELS, RAIN, SITE_SQL, add, events, flow, net, pixels, rain, table
+from rillflow.operators import network as N
+from rillflow.operators import rasters as R
+from rillflow.operators.mergeable import Mergeable
+from rillflow.plans.grids import CELLS, UPSQL, cells
 from rillflow.plans.records import AVAIL, availability
 from rillflow.plans.series import RUNS, STATS
 
@@ -122,3 +125,9 @@ def _months(s, d):
 
 
 add("a28_absent_and_months", _months, f"{RAIN}, m AS (SELECT site, count(DISTINCT date_trunc('month', day)) AS n, date_diff('month', min(day), max(day)) + 1 AS w FROM rain WHERE NOT (site % 2 = 0 AND year(day) = 1996 AND month(day) = 5) GROUP BY site)\n--\nSELECT site, 'absent phi' AS reason FROM m UNION ALL SELECT site, 'missing months' FROM m WHERE n < w", "site reason")
+
+# G2: sets by interval labels. F1: states that merge.
+add("g2_upstream_sets", lambda s, d: N.upstream_sets(net(s, d), net(s, d).select("basin", "comid")), f"RECURSIVE {NET}, {UPSQL}\n--\nSELECT CAST(0 AS INTEGER) AS basin, comid, member FROM up", "basin comid member")
+add("g2_tour", lambda s, d: N.tour(net(s, d)).withColumn("n_up", COL("exit") - COL("entry") + 1), f"RECURSIVE {NET}, {UPSQL}\n--\nSELECT CAST(0 AS INTEGER) AS basin, comid, CAST(1 AS BIGINT) AS root, count(*) AS n_up FROM up GROUP BY comid", "basin comid root n_up")
+MOMENTS = Mergeable(lambda: (0, 0.0, 0.0, 0.0), lambda s, v: (s[0] + len(v), s[1] + v.sum(), s[2] + (v**2).sum(), s[3] + (v**3).sum()), lambda a, b: tuple(x + y for x, y in zip(a, b, strict=True)), lambda s: None if not s[0] else (s[3] / s[0] - 3 * s[1] / s[0] * s[2] / s[0] + 2 * (s[1] / s[0]) ** 3) / (s[2] / s[0] - (s[1] / s[0]) ** 2) ** 1.5)
+add("f1_mergeable_stats", lambda s, d: R.zonal_stats(pixels(s, d), ["zone"], mergeable={"skew": MOMENTS}), f"{PIXELS}, m AS (SELECT zone, avg(value) AS m FROM pix GROUP BY zone)\n--\nSELECT zone, count(value) AS n, avg(power(value - m, 3)) / power(avg(power(value - m, 2)), 1.5) AS skew FROM pix JOIN m USING (zone) GROUP BY zone", "zone n", "skew")
