@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.common import discard, mounted, new_path, staged
 from rillflow.llm.simhash import components
+from rillflow.llm.target_ratio import marked
 
 WORDS_PER_SHINGLE, PERCENT, SEED = 5, 85, 12
 #: Base and rate of the truncation: 255 steps of a tenth, from one shingle to some 10^9 of them.
@@ -200,13 +201,14 @@ def sketches(documents: DataFrame, columns: list[str], m: int, k: int) -> DataFr
 def stored(documents: DataFrame, needed: DataFrame, m: int, k: int) -> tuple[str, DataFrame]:
     """Writes the sets of the needed nodes (node, low, hi, lo) to files; the folder, and (node, file, at, n).
 
-    A file has the name of the task attempt that wrote it, and rows of an attempt that isn't committed are dropped, so a
-    task that runs again never changes what another one has read.
+    A node's document is found by its doc_id, as a bitmap where ids allow it, so that texts aren't shuffled; those without
+    a doc_id are all stored. A file has the name of the task attempt that wrote it, and rows of an attempt that isn't
+    committed are dropped, so a task that runs again never changes what another one has read.
     """
     folder = new_path(documents.sparkSession, "sets")
     root = mounted(folder)
     os.makedirs(root, exist_ok=True)
-    rows = documents.select("doc_id", "text").join(needed, F.col("doc_id").eqNullSafe(F.col("low"))).select("node", "hi", "lo", "text")
+    rows = marked(documents, needed.select(F.col("low").alias("doc_id"))).where("_trusted or doc_id is null").select("text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -216,19 +218,20 @@ def stored(documents: DataFrame, needed: DataFrame, m: int, k: int) -> tuple[str
         with open(f"{root}/{name}", "wb") as out:
             for batch in batches:
                 found = []
-                for node, hi, lo, text in zip(*(batch.column(c) for c in ("node", "hi", "lo", "text")), strict=True):
-                    h = shingles(text.as_py(), k)
-                    if xxhash.xxh3_128_digest(h.tobytes()) == np.array([hi.as_py(), lo.as_py()], "<i8").tobytes():
+                for text in batch.column("text"):
+                    if len(h := shingles(text.as_py(), k)):
                         out.write(registers(h, m).tobytes() + h.tobytes())
-                        found.append((node.as_py(), name, at, len(h)))
+                        digest = np.frombuffer(xxhash.xxh3_128_digest(h.tobytes()), "<i8").tolist()
+                        found.append((*digest, name, at, len(h)))
                         at += m + 8 * len(h)
                 out.flush()
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found, strict=True)], names=["node", "file", "at", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*found, strict=True)], names=["hi", "lo", "file", "at", "n"])
 
-    index = rows.mapInArrow(write, "node long, file string, at long, n long")
-    # A doc_id that stands in several rows has its set stored several times; one place is enough.
-    return folder, staged(index.groupBy("node").agg(F.min(F.struct("file", "at", "n")).alias("p")).select("node", "p.*"), "set-places")
+    index = staged(rows.mapInArrow(write, "hi long, lo long, file string, at long, n long"), "set-files")
+    # A set that stands in several rows may be stored several times; one place is enough.
+    places = index.groupBy("hi", "lo").agg(F.min(F.struct("file", "at", "n")).alias("p")).join(needed, ["hi", "lo"])
+    return folder, staged(places.select("node", "p.*"), "set-places")
 
 
 def links(documents: DataFrame, distinct: DataFrame, percent: int, k: int, group: int = GROUP) -> DataFrame:
@@ -264,7 +267,9 @@ def links(documents: DataFrame, distinct: DataFrame, percent: int, k: int, group
                 out = np.array(edges, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(out.min(1)), pa.array(out.max(1))], names=["a", "b"])
 
-    dealt = few.unionByName(many).repartition(*keys).sortWithinPartitions(*keys, "node")
+    # A fixed number: rows are small but their comparison isn't, so partitions aren't to be put together by size.
+    n = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = few.unionByName(many).repartition(n, *keys).sortWithinPartitions(*keys, "node")
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
