@@ -6,8 +6,8 @@ are the links: each stretch between two neighbouring ends lies in one token of e
 one such stretch. Where both end, a group ends. Arrow's group_by counts in how many documents a pair of ids is linked,
 and Spark adds up these partial counts.
 
-Both sides encode a text unit by unit (cut before a space that follows another character) and keep what common units
-give, if the vocabulary allows it: `tokens.proven` says so for the first, `cuttable` for the second.
+Both sides encode a text unit by unit (cut as in `tokens`) and keep what common units give, if
+the vocabularies allow it: `tokens.proven` says so for the first, `cuttable` for the second.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +27,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.common import mounted, new_path, staged
-from rillflow.llm.tokens import LONGEST, MEMO, Memo, byte_characters, pieces, proven
+from rillflow.llm.tokens import _WORD as WORD
+from rillflow.llm.tokens import LONGEST, byte_characters, pieces, proven, tokenizer, units
 
 #: Characters that are aligned at a time; longer texts are aligned in several parts.
-PART = 1 << 20
+PART = 1 << 19
+#: Units that a worker keeps, about (some 200 bytes each).
+KEPT = 400_000
 #: Pairs of ids that a task counts before it hands them over, and in a file of counts.
 PAIRS = 1 << 21
-_CUT = re.compile("(?<=[^ ])(?= )")
+_CROSSED = re.compile("[A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff][,.]")
 #: A space that follows a non-blank: both sides may be cut there.
 _PLACE = re.compile(r"(?<=\S)(?= )")
 
@@ -47,8 +50,8 @@ def pieces_model(path: str):
 
 @lru_cache
 def cuttable(path: str) -> bool:
-    """Whether a text may be cut before each space that follows another character: the text is taken as it is, no piece
-    holds a space after another character, and the units' own leading space is the one that the model adds."""
+    """Whether a text may be cut where `tokens.units` cuts it: the text is taken as it is, and no piece holds a space after
+    another character, a comma or full stop after a letter or digit, or a line end beside anything."""
     from sentencepiece import sentencepiece_model_pb2
 
     model, file = pieces_model(path), sentencepiece_model_pb2.ModelProto()
@@ -56,97 +59,134 @@ def cuttable(path: str) -> bool:
         file.ParseFromString(f.read())
     spec = file.normalizer_spec
     plain = not spec.precompiled_charsmap and spec.add_dummy_prefix and not spec.remove_extra_whitespaces and spec.escape_whitespaces
-    inside = any("▁" in p.piece.lstrip("▁") for p in file.pieces)
+    normal = [p.piece for p in file.pieces if p.type == 1]
+    inside = any("▁" in p.lstrip("▁") or ("\n" in p and len(p) > 1) or _CROSSED.search(p) for p in normal)
     own = all(p.type in (1, 2, 3, 6) for p in file.pieces)  # normal, unknown, control and byte pieces only
     return bool(plain and own and not inside and not file.trainer_spec.treat_whitespace_as_suffix and file.trainer_spec.model_type == 2 and model.piece_to_id("▁") > 0)
 
 
-class Pieces:
-    """Encodes texts that start with a space by a sentencepiece model, each common unit once as long as it is kept."""
-
-    def __init__(self, path: str):
-        self.model, self.cuttable = pieces_model(path), cuttable(path)
-        self.space = [self.model.piece_to_id("▁")]
-        self.kept: dict[str, bytes] = {"": b""}
-        self.old: dict[str, bytes] = {}
-
-    def encode(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """The ids (32 bits each) of all texts' units in order, and where each text's units start (and the last ends)."""
-        if not self.cuttable:
-            ids = self.model.encode([t[1:] for t in texts.to_pylist()], num_threads=1)
-            return pa.array([array("I", x).tobytes() for x in ids], pa.large_binary()), np.arange(len(texts) + 1)
-        odd = pc.match_substring_regex(texts, "\\x00|  ").to_numpy(zero_copy_only=False)
-        cut = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
-        if odd.any():
-            slow = pa.array([_CUT.split(t) for t in texts.filter(pa.array(odd)).to_pylist()], cut.type)
-            order = np.empty(len(texts), np.int64)
-            order[np.concatenate([np.flatnonzero(~odd), np.flatnonzero(odd)])] = np.arange(len(texts))
-            cut = pa.concat_arrays([cut.filter(pa.array(~odd)), slow]).take(pa.array(order))
-        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
-        coded = cut.flatten().dictionary_encode()
-        values = pa.array(self.learn(coded.dictionary.to_pylist()), pa.large_binary())
-        return values.take(coded.indices), bounds
-
-    def learn(self, distinct: list[str]) -> list[bytes]:
-        if len(self.kept) > MEMO:
-            self.old, self.kept = self.kept, {"": b""}
-        kept, asked = self.kept, []
-        for u in distinct:
-            if u not in kept:
-                if (v := self.old.get(u)) is not None:
-                    kept[u] = v
-                else:
-                    asked.append(u)
-        # The model adds the space that a unit starts with; a lone one would vanish, and is its own piece.
-        for i in range(0, len(asked), 4096):
-            few = asked[i : i + 4096]
-            for u, ids in zip(few, self.model.encode([u[1:] for u in few], num_threads=1), strict=True):
-                kept[u] = array("I", self.space if u == " " else ids).tobytes()
-        out = [kept[u] for u in distinct]
-        for u in asked:
-            if len(u) > LONGEST:
-                del kept[u]
-        return out
-
-
 @dataclass
 class Side:
-    """What a vocabulary's ids stand for: their bytes, by id, and the encoder of texts that start with a space."""
+    """A vocabulary: its ids' bytes and their lengths, by id, and the encoder of texts that start with a space."""
 
     written: pa.Array
     lengths: pa.Array
-    encoder: Memo | Pieces
-    kind: str
+    encode: Callable[[list[str]], list[list[int]]]
 
-    def ids(self, texts: pa.Array) -> pa.LargeListArray:
-        values, bounds = self.encoder.encode(texts)
-        _, offsets, data = values.buffers()
-        ends = np.frombuffer(offsets, np.int64, len(values) + 1, values.offset * 8)
-        ids = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(self.kind).astype(np.int32) if data is not None else np.zeros(0, np.int32)
-        return pa.LargeListArray.from_arrays(pa.array((ends[bounds] - ends[0]) // np.dtype(self.kind).itemsize), pa.array(ids))
 
-
-def side_of(written: list[bytes], encoder: Memo | Pieces, kind: str) -> Side:
-    return Side(pa.array(written, pa.large_binary()), pa.array([len(w) for w in written], pa.int64()), encoder, kind)
+def side_of(written: list[bytes], encode: Callable[[list[str]], list[list[int]]]) -> Side:
+    return Side(pa.array(written, pa.large_binary()), pa.array([len(w) for w in written], pa.int64()), encode)
 
 
 @lru_cache
 def byte_level(path: str) -> Side:
-    """The first side: a byte-level vocabulary; special strings in a text are plain text."""
-    memo = Memo(path, lambda ids: array("I", ids).tobytes(), b"")
-    memo.tok.encode_special_tokens = True
-    letters = {c: b for b, c in byte_characters().items()}
-    written = [memo.tok.id_to_token(i) or "" for i in range(memo.tok.get_vocab_size())]
-    return side_of([bytes(letters[c] for c in w) if all(c in letters for c in w) else w.encode() for w in written], memo, "<u4")
+    """The first side: a byte-level vocabulary; special strings in a text are plain text. Where units are known to be
+    pieces of the splitting pattern, words of letters go to its merges directly."""
+    tok = tokenizer(path)
+    tok.encode_special_tokens = True
+    letters, cut = byte_characters(), proven(path)
+    space, merge = letters[ord(" ")], tok.model.tokenize
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        out: list = [None] * len(texts)
+        rest = []
+        for i, t in enumerate(texts):
+            if cut and WORD.fullmatch(t):
+                out[i] = [x.id for x in merge((space + t[1:] if t[0] == " " else t) if t.isascii() else t.encode().decode("latin-1").translate(letters))]
+            else:
+                rest.append(i)
+        for i, e in zip(rest, tok.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True):
+            out[i] = e.ids
+        return out
+
+    bytes_of_letter = {c: x for x, c in letters.items()}
+    written = [tok.id_to_token(i) or "" for i in range(tok.get_vocab_size())]
+    return side_of([bytes(bytes_of_letter[c] for c in w) if all(c in bytes_of_letter for c in w) else w.encode() for w in written], encode)
 
 
 @lru_cache
 def piece_level(path: str) -> Side:
-    """The second side: a sentencepiece vocabulary; byte pieces stand for their byte."""
-    encoder = Pieces(path)
-    model = encoder.model
+    """The second side: a sentencepiece vocabulary; byte pieces stand for their byte. The model adds the space that a text
+    starts with; one that is nothing else would vanish, and is its own piece. A unit without a space is encoded behind a
+    line end, which stays apart in a cuttable vocabulary, and the ids of both go."""
+    model = pieces_model(path)
+    space, before = [model.piece_to_id("▁")], len(model.encode("\n"))
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        ids = model.encode([t[1:] if t[:1] == " " else "\n" + t for t in texts], num_threads=1)
+        return [space if t == " " else x if t[:1] == " " else x[before:] for t, x in zip(texts, ids, strict=True)]
+
     written = [bytes([int(p[3:5], 16)]) if model.is_byte(i) else p.replace("▁", " ").encode() for i, p in ((i, model.id_to_piece(i)) for i in range(model.get_piece_size()))]
-    return side_of(written, encoder, "<u4")
+    return side_of(written, encode)
+
+
+class Units:
+    """Both sides' ids of texts, unit by unit; each distinct unit is encoded once as long as it is kept.
+
+    Ids of all kept units lie in one array per side; a text's ids are gathered from there. When there are too many units,
+    all are let go.
+    """
+
+    def __init__(self, path_a: str, path_b: str):
+        self.sides = byte_level(path_a), piece_level(path_b)
+        self.whole = not (proven(path_a) and cuttable(path_b))
+        self.forget()
+
+    def forget(self) -> None:
+        self.kept: dict[str, int] = {}
+        self.flat = [np.zeros(0, np.int32)] * 2
+        self.ends = [np.zeros(1, np.int64)] * 2
+
+    def cut(self, texts: pa.Array) -> pa.Array:
+        if self.whole:
+            return pa.LargeListArray.from_arrays(pa.array(np.arange(len(texts) + 1)), texts)
+        return units(texts)
+
+    def ids(self, texts: pa.Array) -> tuple[pa.LargeListArray, pa.LargeListArray]:
+        cut = self.cut(texts)
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.kept) > KEPT:
+            self.forget()
+        place = np.fromiter(map(self.kept.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(place < 0)
+        flat, ends = list(self.flat), list(self.ends)
+        if len(new):
+            asked = [distinct[i] for i in new.tolist()]
+            place[new] = np.arange(len(new)) + len(ends[0]) - 1
+            for s, side in enumerate(self.sides):
+                ids = [x for i in range(0, len(asked), 4096) for x in side.encode(asked[i : i + 4096])]
+                sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+                flat[s] = np.concatenate([flat[s], np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum()))])
+                ends[s] = np.concatenate([ends[s], ends[s][-1] + np.cumsum(sizes)])
+            if max(map(len, asked)) <= LONGEST:
+                self.kept.update(zip(asked, place[new].tolist(), strict=True))
+                self.flat, self.ends = flat, ends
+            else:  # long units aren't kept: the arrays of this call go, and short ones are learnt again
+                short = [u for u in asked if len(u) <= LONGEST]
+                self._learn(short, [dict(zip(asked, place[new].tolist(), strict=True))[u] for u in short], flat, ends)
+        at = place[coded.indices.to_numpy()]
+        out = []
+        for f, e in zip(flat, ends, strict=True):
+            sizes = np.diff(e)[at]
+            upto = np.concatenate([[0], np.cumsum(sizes)])
+            ids = f[np.arange(upto[-1]) + np.repeat(e[at] - upto[:-1], sizes)]
+            out.append(pa.LargeListArray.from_arrays(pa.array(upto[bounds]), pa.array(ids)))
+        return out[0], out[1]
+
+    def _learn(self, units: list[str], at: list[int], flat: list[np.ndarray], ends: list[np.ndarray]) -> None:
+        self.kept.update(zip(units, range(len(self.ends[0]) - 1, len(self.ends[0]) - 1 + len(units)), strict=True))
+        for s in (0, 1):
+            own = [flat[s][ends[s][i] : ends[s][i + 1]] for i in at]
+            self.flat[s] = np.concatenate([self.flat[s], *own])
+            self.ends[s] = np.concatenate([self.ends[s], self.ends[s][-1] + np.cumsum([len(x) for x in own], dtype=np.int64)])
+
+
+@lru_cache(maxsize=2)
+def units_of(path_a: str, path_b: str) -> Units:
+    """This worker's units."""
+    return Units(path_a, path_b)
 
 
 @lru_cache
@@ -231,10 +271,10 @@ class Aligned:
     code: np.ndarray
 
 
-def align(texts: list[str], last: list[bool], a: Side, b: Side, say: bool) -> Aligned:
+def align(texts: list[str], last: list[bool], own: Units, say: bool) -> Aligned:
     """Aligns texts that start with a space, or parts of texts. Parts that a side doesn't spell count nothing."""
-    spaced = pa.array(texts, pa.large_string())
-    ids_a, ids_b = a.ids(spaced), b.ids(spaced)
+    spaced, (a, b) = pa.array(texts, pa.large_string()), own.sides
+    ids_a, ids_b = own.ids(spaced)
     ok = true_parts(spaced, a, b, ids_a, ids_b)
     if not ok.all():  # they keep their place as empty lists
         ids_a, ids_b = (pc.if_else(pa.array(ok), x, pa.scalar([], x.type)) for x in (ids_a, ids_b))
@@ -274,15 +314,16 @@ def align(texts: list[str], last: list[bool], a: Side, b: Side, say: bool) -> Al
     return Aligned(ok, n_a, n_b, count(part[both]), count(part), said, part, code)
 
 
-def documents_of(texts: pa.Array, a: Side, b: Side, whole: bool, say: bool) -> Iterator[tuple[list[tuple], pa.Table]]:
+def documents_of(texts: pa.Array, by: Units, say: bool) -> Iterator[tuple[list[tuple], pa.Table]]:
     """For the texts with tokens, some at a time: (row, n_a, n_b, n_groups, n_links, sha256), and the table (doc, code, n)
     of their links, where doc counts these documents and n how often one holds the link.
 
     A text of several parts ends in the slice of its last part; what its earlier parts gave waits for that.
     """
     held: list | None = None  # [row, ok, four sums, sha256, links (code, n) so far]
-    for rows, some, last in slices(texts, whole):
-        found = align(some, last, a, b, say)
+    for rows, some, last in slices(texts, by.whole):
+        found = align(some, last, by, say)
+        pa.default_memory_pool().release_unused()
         sums = np.stack([found.n_a, found.n_b, found.n_groups, found.n_links], 1)
         linked = pa.table({"doc": found.part, "code": found.code}).group_by(["doc", "code"], use_threads=False).aggregate([([], "count_all")]).rename_columns(["doc", "code", "n"])
         if held is None and all(last) and found.ok.all():
@@ -316,18 +357,17 @@ def documents_of(texts: pa.Array, a: Side, b: Side, whole: bool, say: bool) -> I
 def pair_counts(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """(code, n, best): in how many documents each pair of ids is linked, and whether no pair of its first id has more.
     A code is the first id times the size of the second vocabulary, plus the second id."""
-    size = piece_level(path_b).encoder.model.get_piece_size()
+    size = len(piece_level(path_b).written)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = byte_level(path_a), piece_level(path_b)
-        whole, kept, waiting = not (proven(path_a) and cuttable(path_b)), [], 0
+        by, kept, waiting = units_of(path_a, path_b), [], 0
 
         def summed() -> pa.Table:
             return pa.concat_tables(kept).group_by("code", use_threads=False).aggregate([("n", "sum")]).rename_columns(["code", "n"]).combine_chunks()
 
         for batch in batches:
             for texts in pieces(batch.column("text")):
-                for _, linked in documents_of(texts, a, b, whole, say=False):
+                for _, linked in documents_of(texts, by, say=False):
                     kept.append(linked.group_by("code", use_threads=False).aggregate([([], "count_all")]).rename_columns(["code", "n"]))
                     waiting += len(kept[-1])
                     if waiting > PAIRS:
@@ -404,13 +444,12 @@ def align_documents(documents: DataFrame, path_a: str, path_b: str, columns: lis
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b, counts = byte_level(path_a), piece_level(path_b), Counts(folder, files)
-        whole = not (proven(path_a) and cuttable(path_b))
+        by, counts = units_of(path_a, path_b), Counts(folder, files)
         for batch in batches:
             at = 0
             for texts in pieces(batch.column("text")):
                 out, said = np.zeros((len(texts), 6), np.int64), [""] * len(texts)
-                for done, linked in documents_of(texts, a, b, whole, say=True):
+                for done, linked in documents_of(texts, by, say=True):
                     doc, times = linked.column("doc").to_numpy(), linked.column("n").to_numpy()
                     n, best = counts.of(linked.column("code").to_numpy())
                     order = np.argsort(doc, kind="stable")

@@ -50,18 +50,20 @@ def brute(texts):
     return [(*r[:4], sum(n for k, n in x.items() if held[k] == best[k[0]]), sum(n * held[k] for k, n in x.items()), r[4]) for r, x in zip(rows, links, strict=True)]
 
 
-@pytest.mark.parametrize("part", [1 << 20, 300])
-def test_aligned(spark, monkeypatch, part):
-    """Every value, with texts in one part and in many (the parts' size is the worker's, so it is tried here)."""
+@pytest.mark.parametrize(("part", "kept", "longest"), [(1 << 20, 400_000, 64), (300, 20, 4)])
+def test_aligned(monkeypatch, part, kept, longest):
+    """Every value, with texts in one part and in many, and units that are kept and let go."""
+    monkeypatch.setattr(alignment, "KEPT", kept)
+    monkeypatch.setattr(alignment, "LONGEST", longest)
     rng = random.Random(4)
     words = ["the", "of", "naïve", "straße", "x1", "12,5", "(a)", "co-op", "üß", "end.\nNew", "tab\there"]
     texts = ODD + [" ".join(rng.choice(words) for _ in range(rng.choice([1, 5, 900]))) for _ in range(40)] + ["twice here"] * 2
     want = brute(texts)
     monkeypatch.setattr(alignment, "PART", part)
-    a, b, got, links = alignment.byte_level(A), alignment.piece_level(B), {}, {}
+    units, got, links = alignment.Units(A, B), {}, {}
     import pyarrow as pa
 
-    for done, linked in alignment.documents_of(pa.array(texts, pa.large_string()).fill_null(""), a, b, False, True):
+    for done, linked in alignment.documents_of(pa.array(texts, pa.large_string()).fill_null(""), units, True):
         for i, (row, *four, sha) in enumerate(done):
             got[row] = (*four, sha)
             mine = linked.filter(pa.compute.equal(linked.column("doc"), i))
