@@ -20,7 +20,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    index = url_filter.write_index(url_filter.unwanted(spark), "entry")
+    index = url_filter.write_index(url_filter.unwanted(pages), "entry")
     return url_filter.filter_urls(pages, index).drop("listed")
 
 

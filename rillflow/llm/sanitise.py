@@ -24,7 +24,8 @@ KINDS = BASE + PROTECTED
 #: Documents that must hold term and entity together; the share of the entity's information that discloses it; and
 #: the share of a term's documents that hold the entity from which on the term is removed.
 SUPPORT, DISCLOSED, REMOVED = 3, 0.95, 0.9
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}"
+#: Runs of letters, digits and characters beyond ASCII, of any length: short names and numbers disclose, too.
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 # The contract's patterns in a form that takes linear time and constant stack: possessive runs, no start inside a run
 # that has just failed (unless a match has just ended there), and repetition by single characters with a look ahead.
@@ -96,13 +97,13 @@ def occurrences(rows: DataFrame) -> DataFrame:
 
 
 def outside(terms: DataFrame, matches: DataFrame) -> DataFrame:
-    """The occurrences that overlap no match. Only emails and secrets hold letters; terms don't overlap each other."""
-    lettered = matches.where("kind in ('email', 'secret')").select("rid", F.lit(None).cast("string").alias("term"), "start", "end")
+    """The occurrences that overlap no match; terms don't overlap each other."""
+    taken = matches.select("rid", F.lit(None).cast("string").alias("term"), "start", "end")
     by = Window.partitionBy("rid").orderBy("start", F.col("term").isNotNull())
     match = F.col("term").isNull()
     before = F.max(F.when(match, F.col("end"))).over(by.rowsBetween(Window.unboundedPreceding, 0))
     after = F.lead(F.when(match, F.col("start"))).over(by)
-    rows = terms.unionByName(lettered).withColumns({"before": before, "after": after})
+    rows = terms.unionByName(taken).withColumns({"before": before, "after": after})
     return rows.where(~match & (F.coalesce("before", F.lit(0)) <= F.col("start")) & (F.col("after").isNull() | (F.col("after") >= F.col("end")))).select("rid", "term", "start", "end")
 
 

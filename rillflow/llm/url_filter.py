@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm import digests
@@ -19,7 +19,7 @@ from rillflow.llm.common import LOWER, UPPER
 
 #: Allow and block rules (verdict, host, path); the longest that fits decides before the digest list does.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
-#: The list of the query: unwanted sites, each under three domains; their subdomains are listed with them.
+#: The unwanted sites of the query's list, each under three domains; their subdomains are listed with them.
 SITES, DOMAINS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm"), ("example.com", "example.net", "example.org")
 
 
@@ -43,10 +43,15 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def unwanted(spark: SparkSession, sites=SITES, domains=DOMAINS) -> DataFrame:
-    """entry: the listed hosts."""
+def unwanted(pages: DataFrame, sites=SITES, domains=DOMAINS, rules=RULES, url: str = "url") -> DataFrame:
+    """entry: the unwanted sites, the hosts of pages under them, and the full urls (host plus path) of pages that a rule
+    blocks: a list that grows with the pages."""
     hosts = [f"{s}.{d}" for s in sites for d in domains]
-    return spark.range(1).select(F.explode(F.array(*[F.lit(h) for h in hosts])).alias("entry"))
+    own = pages.select(host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
+    under = F.exists(F.array(*[F.lit(h) for h in hosts]), lambda h: (F.col("host") == h) | F.col("host").endswith(F.concat(F.lit("."), h)))
+    _, verdict = rule_columns(F.col("host"), F.col("path"), rules)
+    seen = own.select(F.when(verdict == "block", F.concat("host", "path")).when(under, F.col("host")).alias("entry")).where("entry is not null")
+    return pages.sparkSession.range(1).select(F.explode(F.array(*[F.lit(h) for h in hosts])).alias("entry")).unionByName(seen).distinct()
 
 
 def write_index(entries: DataFrame, column: str) -> str:

@@ -53,6 +53,17 @@ def test_urls_of_many_labels(spark):
     assert url_filter.candidates(b".a.b", b"/p", 9) == [b".a.b", b"a.b", b"b", b".a.b/p"] and url_filter.candidates(b"", b"", 9) == []
 
 
+def test_list_of_millions(spark):
+    """Two million entries, hosts and full urls, over several shards; every 500,000th is asked for, and its neighbours."""
+    entries = spark.range(2_000_000).selectExpr("CASE WHEN id % 2 = 0 THEN concat('h', id, '.bad.io') ELSE concat('s.io/p', id) END AS entry")
+    index = url_filter.write_index(entries, "entry")
+    urls = [u for i in range(0, 2_000_000, 500_000) for u in (f"http://www.h{i}.bad.io/x", f"http://s.io/p{i + 1}?q", f"http://s.io/p{i}", f"http://h{i + 1}.bad.io/", f"http://s.io/p{i + 1}/x")]
+    got = url_filter.filter_urls(spark.createDataFrame(list(enumerate(urls)), "page_id int, url string"), index).orderBy("page_id").collect()
+    assert [r.listed for r in got] == [x for i in range(0, 2_000_000, 500_000) for x in (f"h{i}.bad.io", f"s.io/p{i + 1}", None, None, None)]
+    pages = spark.createDataFrame([("http://a.ads-track.example.com/1",), ("http://b.example.org/es/x?y",), ("http://fine.io/",), (None,)], "url string")
+    assert {r.entry for r in url_filter.unwanted(pages).collect()} - {f"{s}.{d}" for s in url_filter.SITES for d in url_filter.DOMAINS} == {"a.ads-track.example.com", "b.example.org/es/x"}
+
+
 def test_digest_index(spark, monkeypatch):
     monkeypatch.setattr(digests, "SHARD_KEYS", 40)
     rng = random.Random(17)
@@ -245,7 +256,7 @@ def test_pii_base(spark):
 
 def test_pii_terms(spark):
     told = ["the crew of Ravenholm wrote to crew@sea.example.org about the ship today"] * 4
-    other = ["the crew of the ship wrote about the sea today"] * 40
+    other = ["the crew of the ship wrote to all about the sea today"] * 40
     docs = docs_of(spark, told + other)
     for r in sanitise.find(docs).collect():
         terms = [docs_text[s["start"] : s["end"]] for s in r.spans if s["rank"] >= 5 for docs_text in [(told + other)[r.doc_id]]]
@@ -263,14 +274,22 @@ def test_pii_terms_anywhere(spark):
     assert got == {i: {8: ["Ravenholm", "RAVENHOLM"], 9: ["Ravenholm"]}.get(i, ["Ravenholm"] * 2 if i < 8 else []) for i in range(len(texts))}
 
 
+def test_pii_short_and_numeric_terms(spark):
+    """A two-letter name, a house number and a date disclose; the same digits inside a base span are no term."""
+    told = ["write to Xu at 4417 born 19830512 via q@sea.example.org or +49 30 4417 190"] * 4
+    texts = told + ["write to the crew about the ship today in 1999"] * 60
+    got = {r.doc_id: [texts[r.doc_id][s["start"] : s["end"]] for s in r.spans if s["rank"] >= 5] for r in sanitise.find(docs_of(spark, texts)).collect()}
+    assert all({"Xu", "4417", "19830512"} <= set(got[i]) and got[i].count("4417") == 1 for i in range(4)) and not any(got[i] for i in range(4, 64))
+
+
 def brute_spans(texts):
     """Spans by plain Python: base kinds, secrets, and the terms that disclose a value or a kind."""
-    term = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}")
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
     found, free, entities = [], [], []
     for t in texts:
         spans = brute_pii(t) + [(m.start(), 4, "secret", m.end()) for m in re.finditer(r"(?<![0-9A-Za-z])[0-9a-fA-F]{32,}(?![0-9A-Za-z])", t or "") if re.search("[0-9]", m[0]) and re.search("[A-Fa-f]", m[0])]
         found.append(spans)
-        free.append([(m.start(), m.end(), m[0].lower()) for m in term.finditer(t or "") if not any(a < m.end() and m.start() < z for a, _, k, z in spans if k in ("email", "secret"))])
+        free.append([(m.start(), m.end(), m[0].lower()) for m in term.finditer(t or "") if not any(a < m.end() and m.start() < z for a, _, k, z in spans)])
         entities.append({f"{k}:{t[a:z].lower()}" for a, _, k, z in spans} | {k for _, _, k, _ in spans})
     n = len(texts)
     n_entity, n_term = Counter(e for es in entities for e in es), Counter(w for f in free for w in {x[2] for x in f})
@@ -290,7 +309,7 @@ def test_pii_against_brute_force(spark):
     for i in range(240):
         some = [rng.choice(words) for _ in range(rng.randrange(4, 30))]
         if i % 12 == 0:
-            some += [f"user{i % 36}@mail.example.org", rng.choice(["Quillon", "quillon", "kaban"]), "vessel"]
+            some += [f"user{i % 36}@mail.example.org", rng.choice(["Quillon", "quillon", "kaban"]), "vessel", "Wu", f"7{i % 36}b", "0"]
         if i % 15 == 0:
             some += ["token", "=", f'"{rng.getrandbits(160):040x}"']
         if i % 40 == 7:
