@@ -22,6 +22,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def mounted_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder for files that Python opens itself; the folder has to be a mounted one."""
+    path = new_path(spark, name)
+    scheme, _, rest = path.partition(":") if ":/" in path else ("file", "", path)
+    if scheme != "file":
+        raise ValueError(f"files need a mounted shared folder, not {path}")
+    return "/" + rest.lstrip("/")
+
+
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """df behind a short lineage: written to the shared folder and read again."""
     path = new_path(df.sparkSession, name)

@@ -231,3 +231,25 @@ def season_counts_top(df: DataFrame, keys: list[str], label: Column) -> DataFram
     """The most frequent label per key; of equally frequent ones the first by name."""
     counts = df.groupBy(*keys, label.alias("label")).agg(F.count("*").alias("n"))
     return counts.groupBy(*keys).agg(F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("label"), F.max("n").alias("n"))
+
+
+def series_bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def write_series(df: DataFrame, path: str, key: str, buckets: int = 64) -> None:
+    """Writes series by buckets of their key: one folder each, which `replace_series` can replace."""
+    df.withColumn("bucket", series_bucket(key, buckets)).repartition("bucket").write.partitionBy("bucket").parquet(path)
+
+
+def replace_series(path: str, new: DataFrame, key: str, buckets: int = 64) -> list[int]:
+    """Series of the stations in new replace those written at path; the buckets that were written anew. Others aren't read
+    or touched. What replaces a bucket is written aside first and then takes its place by rename; after a failure in
+    between, the same call gives the same table."""
+    spark = new.sparkSession
+    rows = written(new.withColumn("bucket", series_bucket(key, buckets)), "new-series")
+    touched = sorted(r.bucket for r in rows.select("bucket").distinct().collect())  # at most `buckets`
+    old = spark.read.schema(rows.schema).parquet(path).where(F.col("bucket").isin(touched))
+    kept = written(old.join(rows.select(key).distinct(), key, "left_anti").select(*rows.columns).unionByName(rows), "replaced-series")
+    kept.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return touched

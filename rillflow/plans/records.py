@@ -8,10 +8,12 @@ from rillflow.functions import legends as L
 from rillflow.functions import scalars as S
 from rillflow.operators import tables as B
 from rillflow.operators import timeseries as T
-from rillflow.operators.shared import new_path
+from rillflow.operators.shared import mounted_path, new_path, written
 from rillflow.plans.adapters import FLOW, OBS, RAIN, SITE_SQL, add, events, flow, obs, rain, table
 from rillflow.plans.series import EVENT_ORDER, hourly_sql
 from rillflow.sources import gauges as G
+from rillflow.sources.hydat import read_sqlite, write_sqlite
+from rillflow.sources.records import read_records
 
 COL = F.col
 
@@ -30,15 +32,27 @@ def rdb_lines(s, d):
 add("s1_read_rdb", lambda s, d: G.read_rdb(rdb_lines(s, d)), "SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, lpad(CAST(user_id AS VARCHAR), 8, '0') AS site, strftime(ts, '%Y-%m-%d %H:%M') AS datetime, 'EST' AS tz_cd, CAST(event_id AS VARCHAR) AS obs, event_type AS obs_cd FROM events", "file site datetime tz_cd obs obs_cd")
 
 
-def _from_files(s, d):
-    """The same lines, written as one text file per user and read again."""
+def _written_lines(s, d):
+    """The same lines, as one text file per user."""
     path = new_path(s, "rdb")
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
     rdb_lines(s, d).groupBy("file").agg(F.array_join(ordered, "\n").alias("value")).write.partitionBy("file").text(path)
-    return G.read_rdb(G.lines(s, path))
+    return path
+
+
+def _from_files(s, d):
+    return read_records(s, f"{_written_lines(s, d)}/*/part-*", bytes_of_range=16384)
+
+
+def _wsc_files(s, d):
+    path = new_path(s, "wsc")
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
+    wsc_lines(s, d).groupBy("file").agg(F.array_join(ordered, "\n").alias("value")).write.partitionBy("file").text(path)
+    return read_records(s, f"{path}/*/part-*", "wsc", bytes_of_range=16384)
 
 
 add("s1_read_files", _from_files, "SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS site, strftime(ts, '%Y-%m-%d %H:%M') AS datetime, CAST(event_id AS VARCHAR) AS obs, event_type AS obs_cd FROM events", "site datetime obs obs_cd")
+add("s2_check_files", lambda s, d: G.check_header(G.lines(s, _written_lines(s, d)), {"variable": "Discharge"}).select(F.regexp_extract("file", "file=([0-9]+)", 1).alias("file"), "missing"), "SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, 'variable' AS missing FROM events WHERE user_id % 2 = 1", "file missing")
 add("s2_check_header", lambda s, d: G.check_header(rdb_lines(s, d), {"variable": "Discharge", "comment": "^#"}), "SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, 'variable' AS missing FROM events WHERE user_id % 2 = 1", "file missing")
 
 
@@ -51,6 +65,7 @@ def wsc_lines(s, d):
 
 
 add("s3_read_wsc_csv", lambda s, d: G.read_wsc_csv(wsc_lines(s, d))[0], "SELECT CAST(user_id % 50 AS VARCHAR) AS file, strftime(ts, '%Y-%m-%d %H:%M') AS ts, CAST(event_id AS VARCHAR) AS value, CAST(event_id % 60 AS VARCHAR) AS grade, event_type AS approval FROM events", "file ts value grade approval")
+add("s3_read_files", _wsc_files, "SELECT strftime(ts, '%Y-%m-%d %H:%M') AS ts, CAST(event_id AS VARCHAR) AS value, CAST(event_id % 60 AS VARCHAR) AS grade, event_type AS approval FROM events", "ts value grade approval")
 add("s3_wsc_fields", lambda s, d: G.read_wsc_csv(wsc_lines(s, d))[1], "SELECT DISTINCT CAST(user_id % 50 AS VARCHAR) AS file, 'Station' AS key, CAST(user_id % 50 AS VARCHAR) AS value FROM events", "file key value")
 
 
@@ -65,6 +80,16 @@ def months(s, d):
 AXIS = f"{FLOW}, mo AS (SELECT DISTINCT site, date_trunc('month', day)::DATE AS m FROM flow), ax AS (SELECT site, unnest(generate_series(m::TIMESTAMP, last_day(m)::TIMESTAMP, INTERVAL 1 DAY))::DATE AS day FROM mo)"
 add("r1_hydat_to_daily", lambda s, d: B.hydat_to_daily(months(s, d)), f"{AXIS}\n--\nSELECT ax.site AS station, ax.day, CASE WHEN q > 3 THEN 'E' END AS symbol, q AS flow FROM ax LEFT JOIN flow f ON ax.site = f.site AND ax.day = f.day", "station day symbol", "flow")
 add("s4_hydat_select", lambda s, d: B.hydat_to_daily(G.hydat_select(months(s, d), months(s, d).where("station % 3 = 0").select("station"))), f"{AXIS}\n--\nSELECT ax.site AS station, ax.day, q AS flow FROM ax LEFT JOIN flow f ON ax.site = f.site AND ax.day = f.day WHERE ax.site % 3 = 0", "station day", "flow")
+
+
+def _hydat(s, d):
+    """The months as SQLite files, of which only the listed stations are read back, of some years."""
+    files = written(write_sqlite(months(s, d).repartition(4, "station"), mounted_path(s, "hydat"), "DLY_FLOWS", "station"), "hydat-files").collect()
+    rows = read_sqlite(s, ",".join(r.file for r in files), "DLY_FLOWS", "station", parts=3)
+    return B.hydat_to_daily(rows.where(COL("station").isin(0, 3, 6, 999) & (COL("year") >= 1997)))
+
+
+add("s4_read_sqlite", _hydat, f"{AXIS}\n--\nSELECT ax.site AS station, ax.day, CASE WHEN q > 3 THEN 'E' END AS symbol, q AS flow FROM ax LEFT JOIN flow f ON ax.site = f.site AND ax.day = f.day WHERE ax.site IN (0, 3, 6, 999) AND year(ax.day) >= 1997", "station day symbol", "flow")
 add("s5_select_vars", lambda s, d: G.select_vars(rain(s, d), ["site", "day"], ["p", "pet", "missing"]), f"{RAIN}\n--\nSELECT site, day, p, pet FROM rain", "site day", "p pet")
 
 
@@ -196,6 +221,16 @@ add("p16_harmonise_stations", lambda s, d: B.harmonise_stations(table(s, d, "sup
 add("u1_stack_tables", lambda s, d: B.stack_tables(flow(s, d), rain(s, d).select("site", "day", "p")), f"{FLOW}, {RAIN}\n--\nSELECT site, day, q, NULL AS p FROM flow UNION ALL SELECT site, day, NULL, p FROM rain", "site day", "q p")
 add("u2_merge_blocks", lambda s, d: B.merge_blocks([attributes(s, d), attributes(s, d).withColumn("category", F.lit("Soil"))], "basin"), f"{ATTR}\n--\nSELECT basin, attribute, unnest(['Climate', 'Soil']) AS category, value FROM att", "basin attribute category", "value")
 add("u3_upsert_series", lambda s, d: B.upsert_series(flow(s, d), flow(s, d).where("site % 2 = 0 and day > '1999-01-01'").withColumn("q", COL("q") * 2), "site"), f"{FLOW}\n--\nSELECT site, day, CASE WHEN site % 2 = 0 THEN q * 2 ELSE q END AS q FROM flow WHERE site % 2 = 1 OR day > DATE '1999-01-01'", "site day", "q")
+
+
+def _replaced(s, d):
+    path = new_path(s, "series")
+    B.write_series(flow(s, d), path, "site", 16)
+    B.replace_series(path, flow(s, d).where("site % 3 = 0 and day > '1999-01-01'").withColumn("q", COL("q") * 2), "site", 16)
+    return s.read.parquet(path)
+
+
+add("u3_replace_series", _replaced, f"{FLOW}\n--\nSELECT site, day, CASE WHEN site % 3 = 0 THEN q * 2 ELSE q END AS q FROM flow WHERE site % 3 <> 0 OR day > DATE '1999-01-01'", "site day", "q")
 add("u4_common_times", lambda s, d: B.common_times(flow(s, d), rain(s, d), ["site", "day"]), f"{FLOW}, {RAIN}\n--\nSELECT site, day FROM flow INTERSECT SELECT site, day FROM rain", "site day")
 add("u4_id_differences", lambda s, d: B.id_differences(flow(s, d), rain(s, d), ["site", "day"]), f"{FLOW}, {RAIN}\n--\nSELECT site, day, 'left' AS side FROM (SELECT site, day FROM flow EXCEPT SELECT site, day FROM rain) UNION ALL SELECT site, day, 'right' FROM (SELECT site, day FROM rain EXCEPT SELECT site, day FROM flow)", "site day side")
 

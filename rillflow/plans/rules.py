@@ -13,7 +13,8 @@ from rillflow.plans.adapters import FLOW, NET, PIXELS, RAIN, SITE_SQL, add, even
 from rillflow.operators import network as N
 from rillflow.operators import rasters as R
 from rillflow.operators.mergeable import Mergeable
-from rillflow.plans.grids import CELLS, UPSQL, cells
+from rillflow.operators import cubes as Q
+from rillflow.plans.grids import CELLS, FORC, UPSQL, WEIGHTS, cells, forc, wts
 from rillflow.plans.records import AVAIL, availability
 from rillflow.plans.series import RUNS, STATS
 
@@ -131,3 +132,14 @@ add("g2_upstream_sets", lambda s, d: N.upstream_sets(net(s, d), net(s, d).select
 add("g2_tour", lambda s, d: N.tour(net(s, d)).withColumn("n_up", COL("exit") - COL("entry") + 1), f"RECURSIVE {NET}, {UPSQL}\n--\nSELECT CAST(0 AS INTEGER) AS basin, comid, CAST(1 AS BIGINT) AS root, count(*) AS n_up FROM up GROUP BY comid", "basin comid root n_up")
 MOMENTS = Mergeable(lambda: (0, 0.0, 0.0, 0.0), lambda s, v: (s[0] + len(v), s[1] + v.sum(), s[2] + (v**2).sum(), s[3] + (v**3).sum()), lambda a, b: tuple(x + y for x, y in zip(a, b, strict=True)), lambda s: None if not s[0] else (s[3] / s[0] - 3 * s[1] / s[0] * s[2] / s[0] + 2 * (s[1] / s[0]) ** 3) / (s[2] / s[0] - (s[1] / s[0]) ** 2) ** 1.5)
 add("f1_mergeable_stats", lambda s, d: R.zonal_stats(pixels(s, d), ["zone"], mergeable={"skew": MOMENTS}), f"{PIXELS}, m AS (SELECT zone, avg(value) AS m FROM pix GROUP BY zone)\n--\nSELECT zone, count(value) AS n, avg(power(value - m, 3)) / power(avg(power(value - m, 2)), 1.5) AS skew FROM pix JOIN m USING (zone) GROUP BY zone", "zone n", "skew")
+
+# J2, J4: three cubes of one variable each, in buckets of cells, merged and remapped where they lie.
+THREE = {"t": "true", "p": "day(day) <> 5", "pet": "cell % 13 <> 0"}
+
+
+def _cubes(s, d):
+    own = forc(s, d).withColumn("pet", COL("t") / COL("p"))
+    return [own.where(w).select("cell", "day", v) for v, w in THREE.items()]
+
+
+add("j4_remap_cubes", lambda s, d: Q.remap_cubes(_cubes(s, d), wts(s, d), ["cell", "day"], list(THREE), 8), f"{FORC}, {WEIGHTS}\n--\nSELECT hru, day, sum(w * t) / sum(w) AS t, sum(w * p) / sum(w) AS p, sum(w * t / p) / sum(w) AS pet FROM forc JOIN wts USING (cell) WHERE day(day) <> 5 AND cell % 13 <> 0 GROUP BY ALL", "hru day", "t p pet")

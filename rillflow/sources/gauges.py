@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, n (from 0) and line of text files. Each file is read whole, so lines keep their numbers."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("n", "line"))
+    """file and line of text files, for what doesn't need the lines' order (check_header); see `records` for the rest."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "\r$", "").alias("line"))
 
 
 def read_rdb(rows: DataFrame, site_col: str = "site_no", param: str = "00060") -> DataFrame:

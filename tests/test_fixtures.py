@@ -177,7 +177,8 @@ def test_geometry(spark):
 def test_sources(spark, tmp_path):
     (tmp_path / "a.txt").write_text("# USGS 02395120\n# 00060 Discharge\nagency_cd\tsite_no\tdatetime\ttz_cd\t9_00060\t9_00060_cd\n5s\t15s\t20d\t6s\t14n\t10s\nUSGS\t02395120\t1989-10-01 01:30\tEDT\t864\tA:[91]\nUSGS\t02395120\t1989-10-01 02:00\tEST\tIce\tP\n")
     lines = gauges.lines(spark, str(tmp_path))
-    rows = sorted((r.site, r.datetime, r.tz_cd, r.obs, r.obs_cd) for r in gauges.read_rdb(lines).collect())
+    numbered = spark.createDataFrame([("a", n, x) for n, x in enumerate((tmp_path / "a.txt").read_text().split("\n"))], "file string, n long, line string")
+    rows = sorted((r.site, r.datetime, r.tz_cd, r.obs, r.obs_cd) for r in gauges.read_rdb(numbered).collect())
     assert rows == [("02395120", "1989-10-01 01:30", "EDT", "864", "A:[91]"), ("02395120", "1989-10-01 02:00", "EST", "Ice", "P")]
     assert [r.missing for r in gauges.check_header(lines, {"station": "02395120", "stage": "00065"}).collect()] == ["stage"]
 
