@@ -101,6 +101,47 @@ def merged(pooled: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.nda
     return np.concatenate([np.maximum.reduceat(pooled, starts), np.add.reduceat(pooled, starts) / counts[:, None], np.minimum.reduceat(pooled, starts)], 1)
 
 
+def gradients(net: Network, texts: list, y: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean cross entropy of the texts' scores and y, by each of the network's arrays. GROUP chunks are held at a
+    time, and for the others their pooled vectors."""
+    counts = np.array([n_chunks(len(t)) for t in texts])
+    starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    groups = list(packed(counts.tolist()))
+    held = lambda spans: np.concatenate([cut(texts[i], a, z) for i, a, z in spans])
+    args, pools = [], []
+    for spans in groups:
+        w = np.ascontiguousarray(net.windows(held(spans)))
+        r = (w.reshape(-1, WIDTH * EMBED) @ net.filters).reshape(*w.shape[:2], FILTERS)
+        args.append(r.argmax(1))
+        pools.append(np.maximum(np.take_along_axis(r, args[-1][:, None], 1)[:, 0] + net.filter_bias, 0))
+    pooled = np.concatenate(pools)
+    docs = merged(pooled, starts, counts)
+    h = np.maximum(docs @ net.hidden + net.hidden_bias, 0)
+    p = 1 / (1 + np.exp(-np.clip((h @ net.out + net.out_bias)[:, 0], -30, 30)))
+    g = ((p - y) / len(y)).astype(np.float32)[:, None]
+    grads = {"out": h.T @ g, "out_bias": g.sum(0)}
+    gh = (g @ net.out.T) * (h > 0)
+    grads |= {"hidden": docs.T @ gh, "hidden_bias": gh.sum(0)}
+    gd, owner = gh @ net.hidden.T, np.repeat(np.arange(len(texts)), counts)
+    top, mid, low = np.split(gd[owner], 3, 1)
+    hi, _, lo = np.split(docs[owner], 3, 1)
+    largest, least = (e / np.add.reduceat(e, starts)[owner] for e in ((pooled == hi).astype(np.float32), (pooled == lo).astype(np.float32)))  # ties share
+    gp = (top * largest + mid / counts[owner][:, None] + low * least) * (pooled > 0)
+    grads["filter_bias"] = gp.sum(0)
+    grads["filters"], grads["embed"], at = np.zeros_like(net.filters), np.zeros_like(net.embed), 0
+    for spans, arg in zip(groups, args, strict=True):
+        chunks, g = held(spans), gp[at : at + len(arg)]
+        at += len(arg)
+        places = (arg[:, :, None] * STEP + np.arange(WIDTH)).reshape(len(arg), -1)
+        seen = np.take_along_axis(chunks, places, 1)
+        best = net.embed[seen].reshape(len(arg), FILTERS, WIDTH * EMBED)
+        grads["filters"] += np.einsum("cf,cfw->wf", g, best, optimize=True)
+        ge = (g[:, :, None] * net.filters.T[None]).reshape(-1, EMBED)
+        grads["embed"] += np.stack([np.bincount(seen.ravel(), ge[:, j], 256) for j in range(EMBED)], 1).astype(np.float32)
+    grads["embed"][0] = 0
+    return grads
+
+
 def fit(texts: list, labels: np.ndarray) -> Network:
     """Adam on the cross entropy, over all chunks of each text (bytes or a mapped stretch of a file); of a batch, GROUP
     chunks at a time are held, and for the others their pooled vectors. The same rows in the same order give the same network; without both classes the
@@ -111,7 +152,6 @@ def fit(texts: list, labels: np.ndarray) -> Network:
         net.out[:] = 0
         net.out_bias[:] = 0 if not len(labels) else (3 if labels[0] else -3)
         return net
-    sizes = [n_chunks(len(t)) for t in texts]
     names = [f.name for f in fields(Network)]
     moments = {n: [np.zeros_like(getattr(net, n)), np.zeros_like(getattr(net, n))] for n in names}
     step, rounds = 0, max(EPOCHS, -(-400 * BATCH // len(texts)))
@@ -119,41 +159,7 @@ def fit(texts: list, labels: np.ndarray) -> Network:
         order = rng.permutation(len(texts))
         for k in range(0, len(order), BATCH):
             pick = order[k : k + BATCH]
-            counts = np.array([sizes[i] for i in pick])
-            starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-            y = labels[pick].astype(np.float32)
-            groups = list(packed(counts.tolist()))
-            held = lambda spans: np.concatenate([cut(texts[pick[i]], a, z) for i, a, z in spans])
-            args, pools = [], []
-            for spans in groups:
-                w = np.ascontiguousarray(net.windows(held(spans)))
-                r = (w.reshape(-1, WIDTH * EMBED) @ net.filters).reshape(*w.shape[:2], FILTERS)
-                args.append(r.argmax(1))
-                pools.append(np.maximum(np.take_along_axis(r, args[-1][:, None], 1)[:, 0] + net.filter_bias, 0))
-            pooled = np.concatenate(pools)
-            docs = merged(pooled, starts, counts)
-            h = np.maximum(docs @ net.hidden + net.hidden_bias, 0)
-            p = 1 / (1 + np.exp(-np.clip((h @ net.out + net.out_bias)[:, 0], -30, 30)))
-            g = ((p - y) / len(y)).astype(np.float32)[:, None]
-            grads = {"out": h.T @ g, "out_bias": g.sum(0)}
-            gh = (g @ net.out.T) * (h > 0)
-            grads |= {"hidden": docs.T @ gh, "hidden_bias": gh.sum(0)}
-            gd, owner = gh @ net.hidden.T, np.repeat(np.arange(len(pick)), counts)
-            top, mid, low = np.split(gd[owner], 3, 1)
-            hi, _, lo = np.split(docs[owner], 3, 1)
-            gp = (top * (pooled == hi) + mid / counts[owner][:, None] + low * (pooled == lo)) * (pooled > 0)
-            grads["filter_bias"] = gp.sum(0)
-            grads["filters"], grads["embed"], at = np.zeros_like(net.filters), np.zeros_like(net.embed), 0
-            for spans, arg in zip(groups, args, strict=True):
-                chunks, g = held(spans), gp[at : at + len(arg)]
-                at += len(arg)
-                places = (arg[:, :, None] * STEP + np.arange(WIDTH)).reshape(len(arg), -1)
-                seen = np.take_along_axis(chunks, places, 1)
-                best = net.embed[seen].reshape(len(arg), FILTERS, WIDTH * EMBED)
-                grads["filters"] += np.einsum("cf,cfw->wf", g, best, optimize=True)
-                ge = (g[:, :, None] * net.filters.T[None]).reshape(-1, EMBED)
-                grads["embed"] += np.stack([np.bincount(seen.ravel(), ge[:, j], 256) for j in range(EMBED)], 1).astype(np.float32)
-            grads["embed"][0] = 0
+            grads = gradients(net, [texts[i] for i in pick], labels[pick].astype(np.float32))
             step += 1
             rate = RATE * min(1, step / 20) * (1 - 0.8 * epoch / max(1, min(rounds, 40)))
             for n in names:
@@ -164,6 +170,15 @@ def fit(texts: list, labels: np.ndarray) -> Network:
     return net
 
 
+def scores(net: Network, texts: list[bytes]) -> np.ndarray:
+    """The score of each text; GROUP chunks are laid out at a time, whatever a text's length."""
+    counts = [n_chunks(len(t)) for t in texts]
+    if not counts:
+        return np.zeros(0)
+    pooled = np.concatenate([net.pool(np.concatenate([cut(texts[i], a, z) for i, a, z in spans])) for spans in packed(counts)])
+    return net.combine(merged(pooled, np.concatenate([[0], np.cumsum(counts)[:-1]]), np.array(counts)))
+
+
 def held_out(doc_id):
     """Whether crc32 of doc_id as text leaves 0 by 5; false for a null doc_id."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -225,24 +240,7 @@ def score(documents: DataFrame, net: Network, columns: list[str] | None = None,
         for whole in batches:
             for at in range(0, max(1, whole.num_rows), 512):
                 batch = whole.slice(at, 512)
-                vectors, pending, size = [], [], 0
-
-                def flush():
-                    nonlocal pending, size
-                    if pending:
-                        counts = np.array([len(c) for c in pending])
-                        starts = np.concatenate([[0], np.cumsum(counts)[:-1]])
-                        vectors.append(merged(net.pool(np.concatenate(pending)), starts, counts))
-                    pending, size = [], 0
-
-                for text in batch.column("text"):
-                    chunks = cut((text.as_py() or "").encode())
-                    pending.append(chunks)
-                    size += len(chunks)
-                    if size >= GROUP:
-                        flush()
-                flush()
-                p = net.combine(np.concatenate(vectors)) if vectors else np.zeros(0)
+                p = scores(net, [(t.as_py() or "").encode() for t in batch.column("text")])
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32), pa.int32())], names=[*columns, *made])
 
     schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)

@@ -88,6 +88,65 @@ def test_chunks_cover_every_byte():
         assert bytes(seen[:n]) == data
 
 
+def double_network():
+    """A small network in double precision, with biases that aren't zero."""
+    rng = np.random.default_rng(5)
+    net = quality_cnn.Network.new(rng)
+    for name, v in vars(net).items():
+        setattr(net, name, v.astype(float) + (rng.normal(0, 0.1, v.shape) if "bias" in name else 0))
+    return net
+
+
+def plain_score(net, data):
+    """The forward pass, byte by byte."""
+    q, step, vectors = quality_cnn, quality_cnn.CHUNK - quality_cnn.OVERLAP, []
+    for at in range(0, max(1, len(data) - q.OVERLAP), step):
+        chunk = data[at : at + q.CHUNK].ljust(q.CHUNK, b"\0")
+        best = np.full(q.FILTERS, -np.inf)
+        for p in range(0, q.CHUNK - q.WIDTH + 1, q.STEP):
+            response = np.zeros(q.FILTERS)
+            for i in range(q.WIDTH):
+                for e in range(q.EMBED):
+                    response += net.embed[chunk[p + i], e] * net.filters[i * q.EMBED + e]
+            best = np.maximum(best, response)
+        vectors.append(np.maximum(best + net.filter_bias, 0))
+    doc = np.concatenate([np.max(vectors, 0), np.mean(vectors, 0), np.min(vectors, 0)])
+    hidden = np.maximum(doc @ net.hidden + net.hidden_bias, 0)
+    return 1 / (1 + math.exp(-float(hidden @ net.out[:, 0] + net.out_bias[0])))
+
+
+def test_quality_network(monkeypatch):
+    """Convolution, pooling and scores against plain loops, and all gradients against differences, with texts of one and of
+    several chunks, whatever the group."""
+    rng, net = random.Random(8), double_network()
+    texts = [b"", b"short", bytes(rng.randrange(1, 256) for _ in range(1500)), bytes(rng.randrange(32, 127) for _ in range(2100)), b"ab " * 400]
+    want = [plain_score(net, t) for t in texts]
+    for group in (128, 2):
+        monkeypatch.setattr(quality_cnn, "GROUP", group)
+        monkeypatch.setattr(quality_cnn.packed, "__defaults__", (group,))
+        assert quality_cnn.scores(net, texts) == pytest.approx(want, rel=1e-6)
+        y = np.array([1, 0, 1, 0, 1.0])
+        grads = quality_cnn.gradients(net, texts, y)
+
+        def loss():
+            p = quality_cnn.scores(net, texts)
+            return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+        assert grads.keys() == vars(net).keys()
+        for name, g in grads.items():
+            v = getattr(net, name)
+            places = [np.unravel_index(i, v.shape) for i in np.argsort(-np.abs(g), axis=None)[:4].tolist() + rng.sample(range(v.size), 1) if not (name == "embed" and i < quality_cnn.EMBED)]
+            for at in places:
+                old, eps = v[at], 1e-6
+                v[at] = old + eps
+                up = loss()
+                v[at] = old - eps
+                down = loss()
+                v[at] = old
+                assert g[at] == pytest.approx((up - down) / (2 * eps), rel=2e-3, abs=1e-7), (name, at)
+    assert quality_cnn.scores(net, []).tolist() == []
+
+
 @pytest.mark.parametrize("sf", ["/root/testdata/sf0.01"])
 def test_quality_held_out(spark, sf):
     got = queries.op2_quality_cnn(spark, sf).toPandas().merge(spark.read.parquet(f"{sf}/labels.parquet").toPandas(), on="doc_id")
