@@ -28,10 +28,63 @@ USA_FLAGS = {
     "A:[90]": "Approved, with IV verification DV <= 0.01 orig DV = 0",
 }
 
-# The Canadian approval states, grades and daily symbols, and what they mean.
-CAN_STATES = {"Provisional/Provisoire": "Provisional", "Final/Finales": "Approved", "nan": "Unknown", "Preliminary": "Provisional", "Reviewed": "Reviewed", "Approved": "Approved"}
-CAN_GRADES = {"0": "flag unknown (not described in WSC docs)", "40": "dry (water level below sensor)", "10": "ice-affected", "20": "estimated", "30": "partial day (relevant only for daily means)", "nan": "no qualifier specified", "-1": "no special conditions", "50": "revised"}
-CAN_DAILY = {"A": "Partial day", "B": "Ice Conditions", "D": "Dry", "E": "Estimated", "S": "Sample(s) collected this day"}
+# Meanings of the Canadian approval:grade codes and of the daily symbols.
+CAN_FLAGS = {
+    "nan": "Unknown",
+    "Provisional/Provisoire:0": "Provisional, flag unknown (not described in WSC docs)",
+    "Provisional/Provisoire:40": "Provisional, dry (water level below sensor)",
+    "Provisional/Provisoire:10": "Provisional, ice-affected",
+    "Provisional/Provisoire:20": "Provisional, estimated",
+    "Provisional/Provisoire:30": "Provisional, partial day (relevant only for daily means)",
+    "Provisional/Provisoire:nan": "Provisional, no qualifier specified",
+    "Provisional/Provisoire:-1": "Provisional, no special conditions",
+    "Provisional/Provisoire:50": "Provisional, revised",
+    "Final/Finales:0": "Approved, flag unknown (not described in WSC docs)",
+    "Final/Finales:40": "Approved, dry (water level below sensor)",
+    "Final/Finales:10": "Approved, ice-affected",
+    "Final/Finales:20": "Approved, but estimated",
+    "Final/Finales:30": "Approved, partial day (relevant only for daily means)",
+    "Final/Finales:nan": "Approved, no qualifier specified",
+    "Final/Finales:-1": "Approved, no special conditions",
+    "Final/Finales:50": "Approved, but revised",
+    "nan:0": "Unknown, flag unknown (not described in WSC docs)",
+    "nan:40": "Unknown, dry (water level below sensor)",
+    "nan:10": "Unknown, ice-affected",
+    "nan:20": "Unknown, estimated",
+    "nan:30": "Unknown, partial day (relevant only for daily means)",
+    "nan:nan": "Unknown, no qualifier specified",
+    "nan:-1": "Unknown, no special conditions",
+    "nan:50": "Unknown, revised",
+    "Preliminary:0": "Provisional, flag unknown (not described in WSC docs)",
+    "Preliminary:40": "Provisional, dry (water level below sensor)",
+    "Preliminary:10": "Provisional, ice-affected",
+    "Preliminary:20": "Provisional, estimated",
+    "Preliminary:30": "Provisional, partial day (relevant only for daily means)",
+    "Preliminary:nan": "Provisional, no qualifier specified",
+    "Preliminary:-1": "Provisional, no special conditions",
+    "Preliminary:50": "Provisional, revised",
+    "Reviewed:0": "Reviewed, flag unknown (not described in WSC docs)",
+    "Reviewed:40": "Reviewed, dry (water level below sensor)",
+    "Reviewed:10": "Reviewed, ice-affected",
+    "Reviewed:20": "Reviewed, but estimated",
+    "Reviewed:30": "Reviewed, partial day (relevant only for daily means)",
+    "Reviewed:nan": "Reviewed, no qualifier specified",
+    "Reviewed:-1": "Reviewed, no special conditions",
+    "Reviewed:50": "Reviewed, but revised",
+    "Approved:0": "Approved, flag unknown (not described in WSC docs)",
+    "Approved:40": "Approved, dry (water level below sensor)",
+    "Approved:10": "Approved, ice-affected",
+    "Approved:20": "Approved, but estimated",
+    "Approved:30": "Approved, partial day (relevant only for daily means)",
+    "Approved:nan": "Approved, no qualifier specified",
+    "Approved:-1": "Approved, no special conditions",
+    "Approved:50": "Approved, but revised",
+    "A": "Partial day",
+    "B": "Ice Conditions",
+    "D": "Dry",
+    "E": "Estimated",
+    "S": "Sample(s) collected this day",
+}
 
 # Offsets of the time zone codes that gauges report, standard and daylight time.
 TIME_ZONES = {"AST": "UTC-04", "CDT": "UTC-05", "CST": "UTC-06", "EDT": "UTC-04", "EST": "UTC-05", "LST": "UTC-09", "MDT": "UTC-06", "MST": "UTC-07", "NST": "UTC-0330", "PDT": "UTC-07", "PST": "UTC-08"}
@@ -39,13 +92,4 @@ TIME_ZONES = {"AST": "UTC-04", "CDT": "UTC-05", "CST": "UTC-06", "EDT": "UTC-04"
 # Names of the Canadian provinces and territories.
 PROVINCES = {"AB": "Alberta", "BC": "British Columbia", "MB": "Manitoba", "NB": "New Brunswick", "NL": "Newfoundland and Labrador", "NS": "Nova Scotia", "NT": "Northwest Territories", "NU": "Nunavut", "ON": "Ontario", "PE": "Prince Edward Island", "QC": "Quebec", "SK": "Saskatchewan", "YT": "Yukon"}
 
-
-def can_flags() -> dict[str, str]:
-    """Meanings of <state>:<grade> and of the daily symbols: the state, then the grade; what has been checked "but" is
-    estimated or revised."""
-    checked = ("Final/Finales", "Reviewed", "Approved")
-    but = lambda state, grade: "but " if state in checked and grade in ("20", "50") else ""
-    return {"nan": "Unknown"} | {f"{s}:{g}": f"{name}, {but(s, g)}{text}" for s, name in CAN_STATES.items() for g, text in CAN_GRADES.items()} | CAN_DAILY
-
-
-FLAGS = {"USA": USA_FLAGS, "CAN": can_flags()}
+FLAGS = {"USA": USA_FLAGS, "CAN": CAN_FLAGS}
