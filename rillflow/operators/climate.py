@@ -58,8 +58,8 @@ def climate_periods(df: DataFrame, keys: list[str], ts: str = "day", steps_per_d
     Without any run the four statistics are null. Lengths are in days whatever the step."""
     day = F.to_date(ts).alias("_day")
     daily = df.groupBy(*keys, day).agg(F.sum("p").alias("_p"), F.max("t").alias("_t"))
-    mean = F.avg("_p").over(Window.partitionBy(*keys))
-    dry = period_stats(daily.withColumn("_mp", mean), keys, "_day", {"dry": F.col("_p") < 1, "wet": F.col("_p") >= 5 * F.col("_mp")}, empty=None)
+    mean = daily.groupBy(*keys).agg(F.avg("_p").alias("_mp"))
+    dry = period_stats(daily.join(mean, keys), keys, "_day", {"dry": F.col("_p") < 1, "wet": F.col("_p") >= 5 * F.col("_mp")}, empty=None)
     hot = mean_daily_max(daily, keys, "_day", "_t").select(*keys, "_day", (F.col("_t") > F.col("mean_max") + 5).alias("_hot"))
     rows = df.select(*keys, ts, "t", day).join(hot, [*keys, "_day"])
     return period_stats(rows, keys, ts, {"frost": F.col("t") < FREEZING, "heat": F.col("_hot")}, steps_per_day, None).unionByName(dry)

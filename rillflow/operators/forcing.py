@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillflow.operators import scan
+
 # Fixed values: (variable, factor, offset) of each data set's conversion to kg m-2 s-1, Pa, K and m s-1.
 RULES = {
     "RDRS": (("RDRS_v2.1_A_PR0_SFC", 1000 / 3600, 0.0), ("RDRS_v2.1_P_P0_SFC", 100.0, 0.0), ("RDRS_v2.1_P_TT_1.5m", 1.0, 273.15), ("RDRS_v2.1_P_UUC_10m", 0.514, 0.0), ("RDRS_v2.1_P_VVC_10m", 0.514, 0.0), ("RDRS_v2.1_P_UVC_10m", 0.514, 0.0)),
@@ -114,25 +116,36 @@ def month_periods(df: DataFrame, start: str, end: str) -> DataFrame:
     return rows.withColumns({"month_start": F.greatest(F.col("_m"), F.col(start)), "month_end": F.least(F.last_day("_m"), F.col(end))}).drop("_m")
 
 
+def time_steps(df: DataFrame, keys: list[str], ts: str, step_seconds: int, hru: str | None = None) -> DataFrame:
+    """keys and _gap, whether two times of a series (of any of its hrus) that follow each other are not one step apart.
+    Blocks of a series are looked at by themselves, and then the steps between blocks."""
+    by = [*keys, *([hru] if hru else [])]
+    rows = df.select(*by, F.unix_seconds(F.col(ts).cast("timestamp")).alias("_t"))
+    rows = rows.withColumn("_b", scan.block_of(F.col("_t") * 1_000_000, scan.MICROS))
+    inside = F.col("_t") - F.lag("_t").over(Window.partitionBy(*by, "_b").orderBy("_t")) != step_seconds
+    blocks = rows.withColumn("_gap", inside).groupBy(*by, "_b").agg(F.coalesce(F.bool_or("_gap"), F.lit(False)).alias("_gap"), F.min("_t").alias("_a"), F.max("_t").alias("_z"))
+    between = F.coalesce(F.col("_a") - F.lag("_z").over(Window.partitionBy(*by).orderBy("_b")) != step_seconds, F.lit(False))
+    return blocks.withColumn("_gap", F.col("_gap") | between).groupBy(*keys).agg(F.bool_or("_gap").alias("_gap"))
+
+
 def check_forcing(df: DataFrame, keys: list[str], ts: str, required: list[str], step_seconds: int = 3600, null_ratio: float = 1e-4, lumped: bool = False, hru: str | None = None, months: bool = False) -> DataFrame:
     """(keys, reason) of every check that a series fails: no data, missing values, several hrus, time gaps, start at
     midnight (still UTC), a required variable that the table lacks, and (months) a month without data between the first
     and the last one."""
     absent, required = [c for c in required if c not in df.columns], [c for c in required if c in df.columns]
-    at = F.unix_seconds(F.col(ts).cast("timestamp"))
-    order = Window.partitionBy(*keys, *([hru] if hru else [])).orderBy(ts)
-    rows = df.withColumn("_gap", (at - F.lag(at).over(order) != step_seconds).cast("int"))
     checks = {f"nulls in {c}": F.avg(F.col(c).isNull().cast("double")) >= null_ratio for c in required}
     checks |= {f"no data in {c}": F.count(c) == 0 for c in required}
     checks |= {f"absent {c}": F.count("*") > 0 for c in absent}
     if months:
         month = F.trunc(F.col(ts).cast("date"), "month")
         checks |= {"missing months": F.count_distinct(month) <= F.months_between(F.max(month), F.min(month))}
-    checks |= {"time steps": F.coalesce(F.max("_gap"), F.lit(0)) == 1, "starts at midnight": F.hour(F.min(ts)) == 0}
+    checks |= {"starts at midnight": F.hour(F.min(ts)) == 0}
     if lumped and hru:
         checks |= {"more than one hru": F.count_distinct(hru) > 1}
-    per = rows.groupBy(*keys).agg(F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in checks.items()])).alias("reasons"))
-    return per.select(*keys, F.explode("reasons").alias("reason"))
+    per = df.groupBy(*keys).agg(*[c.alias(f"_c{i}") for i, c in enumerate(checks.values())])
+    reasons = [F.when(F.col(f"_c{i}"), F.lit(k)) for i, k in enumerate(checks)] + [F.when(F.col("_gap"), F.lit("time steps"))]
+    rows = per.join(time_steps(df, keys, ts, step_seconds, hru), keys, "left")
+    return rows.select(*keys, F.explode(F.array_compact(F.array(*reasons))).alias("reason"))
 
 
 def unequal_periods(parts: DataFrame, basin: str, part: str, ts: str) -> DataFrame:
