@@ -13,7 +13,7 @@ from rillflow.plans.adapters import FLOW, OBS, RAIN, SITE_SQL, add, events, flow
 from rillflow.plans.series import EVENT_ORDER, hourly_sql
 from rillflow.sources import gauges as G
 from rillflow.sources.hydat import read_sqlite, write_sqlite
-from rillflow.sources.records import read_records
+from rillflow.sources.records import read_records, write_lines
 
 COL = F.col
 
@@ -34,25 +34,23 @@ add("s1_read_rdb", lambda s, d: G.read_rdb(rdb_lines(s, d)), "SELECT lpad(CAST(u
 
 def _written_lines(s, d):
     """The same lines, as one text file per user."""
-    path = new_path(s, "rdb")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
-    rdb_lines(s, d).groupBy("file").agg(F.array_join(ordered, "\n").alias("value")).write.partitionBy("file").text(path)
+    path = mounted_path(s, "rdb")
+    write_lines(rdb_lines(s, d).withColumn("file", F.concat(F.lit("file="), "file")), path)
     return path
 
 
 def _from_files(s, d):
-    return read_records(s, f"{_written_lines(s, d)}/*/part-*", bytes_of_range=16384)
+    return read_records(s, f"{_written_lines(s, d)}/*/file=*", bytes_of_range=16384)
 
 
 def _wsc_files(s, d):
-    path = new_path(s, "wsc")
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("n", "line"))), lambda x: x["line"])
-    wsc_lines(s, d).groupBy("file").agg(F.array_join(ordered, "\n").alias("value")).write.partitionBy("file").text(path)
-    return read_records(s, f"{path}/*/part-*", "wsc", bytes_of_range=16384)
+    path = mounted_path(s, "wsc")
+    write_lines(wsc_lines(s, d).withColumn("file", F.concat(F.lit("file="), "file")), path)
+    return read_records(s, f"{path}/*/file=*", "wsc", bytes_of_range=16384)
 
 
 add("s1_read_files", _from_files, "SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS site, strftime(ts, '%Y-%m-%d %H:%M') AS datetime, CAST(event_id AS VARCHAR) AS obs, event_type AS obs_cd FROM events", "site datetime obs obs_cd")
-add("s2_check_files", lambda s, d: G.check_header(G.lines(s, _written_lines(s, d)), {"variable": "Discharge"}).select(F.regexp_extract("file", "file=([0-9]+)", 1).alias("file"), "missing"), "SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, 'variable' AS missing FROM events WHERE user_id % 2 = 1", "file missing")
+add("s2_check_files", lambda s, d: G.check_header(G.lines(s, f"file://{_written_lines(s, d)}/*"), {"variable": "Discharge"}).select(F.regexp_extract("file", "file=([0-9]+)", 1).alias("file"), "missing"), "SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, 'variable' AS missing FROM events WHERE user_id % 2 = 1", "file missing")
 add("s2_check_header", lambda s, d: G.check_header(rdb_lines(s, d), {"variable": "Discharge", "comment": "^#"}), "SELECT DISTINCT lpad(CAST(user_id AS VARCHAR), 8, '0') AS file, 'variable' AS missing FROM events WHERE user_id % 2 = 1", "file missing")
 
 

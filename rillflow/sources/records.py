@@ -8,17 +8,21 @@ columns of RDB text, the first data line of self-describing CSV) is read from it
 from __future__ import annotations
 
 import glob
+import itertools
 import os
 import re
+import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-#: Bytes of a range, and lines of a batch.
-RANGE, LINES = 64 << 20, 8192
+#: Bytes of a range, lines of a batch, partitions up to which small ranges are spread out, and folders of written files.
+RANGE, LINES, SPREAD, FOLDERS = 64 << 20, 8192, 256, 256
 SCHEMAS = {"rdb": "file string, site string, datetime string, tz_cd string, obs string, obs_cd string", "wsc": "file string, ts string, value string, grade string, approval string"}
 
 
@@ -77,12 +81,15 @@ class RecordReader(DataSourceReader):
         self.names = [c.split()[0] for c in SCHEMAS[self.kind].split(", ")]
 
     def partitions(self) -> list[Pieces]:
+        """Ranges one after another, up to a range's bytes each; where that makes more than SPREAD partitions, as many
+        ranges as SPREAD needs, up to RANGE bytes: small files would take a task each few of them."""
+        lengths = {file: os.path.getsize(file) for file in files_of(self.path)}
+        most = max(self.bytes, min(RANGE, -(-sum(lengths.values()) // SPREAD)))
         out, size = [Pieces([])], 0
-        for file in files_of(self.path):
-            length = os.path.getsize(file)
+        for file, length in lengths.items():
             for start in range(0, length, self.bytes):
                 end = min(start + self.bytes, length)
-                if out[-1].ranges and size + end - start > self.bytes:
+                if out[-1].ranges and size + end - start > most:
                     out.append(Pieces([]))
                     size = 0
                 out[-1].ranges.append((file, start, end))
@@ -139,3 +146,37 @@ def read_records(spark: SparkSession, path: str, kind: str = "rdb", param: str =
     approval (wsc). Cells that are empty or that a file's head doesn't name are null."""
     spark.dataSource.register(GaugeRecords)
     return spark.read.format("gauge_records").option("path", path).option("kind", kind).option("param", param).option("bytes", str(bytes_of_range)).load()
+
+
+def write_lines(rows: DataFrame, path: str) -> int:
+    """Writes lines (file, n, line) as one text file per file name, in the order of n, to folders under a path of a mounted
+    folder; the number of files. A null line is left out. A file appears whole, by rename, so a task that runs again
+    leaves one copy; it is written as its lines come, however many they are."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, out, number = None, None, 0
+        for batch in batches:
+            pairs = zip(batch.column("file").to_pylist(), batch.column("line").to_pylist(), strict=True)
+            for file, some in itertools.groupby(pairs, lambda p: p[0]):
+                if out is None or file != at:
+                    if out is not None:
+                        put(out, at)
+                    if not file or "/" in file or file[0] in "._":
+                        raise ValueError(f"not a file name: {file!r}")
+                    at, number = file, number + 1
+                    os.makedirs(folder(file), exist_ok=True)
+                    out = open(f"{folder(file)}/.{uuid.uuid4().hex}", "w", encoding="utf-8", newline="")
+                out.writelines(f"{line}\n" for _, line in some if line is not None)
+        if out is not None:
+            put(out, at)
+        yield pa.RecordBatch.from_arrays([pa.array([number])], names=["files"])
+
+    def folder(file: str) -> str:
+        return f"{path}/{zlib.crc32(file.encode()) % FOLDERS:03d}"
+
+    def put(out, file: str) -> None:
+        out.close()
+        os.replace(out.name, f"{folder(file)}/{file}")
+
+    ordered = rows.select("file", "n", "line").repartition("file").sortWithinPartitions("file", "n")
+    return ordered.mapInArrow(write, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]

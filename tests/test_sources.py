@@ -11,7 +11,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rillflow.operators import cubes, tables
 from rillflow.sources import hydat
-from rillflow.sources.records import RecordReader, read_records
+from rillflow.sources.records import RecordReader, read_records, write_lines
 
 
 def rdb_file(path, site, n, swapped=False, end="\n"):
@@ -144,3 +144,26 @@ def test_replaced_series(spark, tmp_path):
         after = times()
         kept = {f for f in before if int(f.split("bucket=")[1].split("/")[0]) not in touched}
         assert kept and all(after[f] == before[f] for f in kept) and set(after) - kept
+
+
+def test_written_lines(spark, tmp_path):
+    """One file per name, its lines in order however rows lie, null lines left out; nothing else beside the files."""
+    rows = spark.range(0, 3000, 1, 7).selectExpr("concat('file=', id % 50) AS file", "(id * 7919) % 3000 AS n", "CASE WHEN id % 11 > 0 THEN concat('é', (id * 7919) % 3000) END AS line")
+    assert write_lines(rows, str(tmp_path / "out")) == 50
+    want = {}
+    for r in sorted(rows.collect(), key=lambda r: r.n):
+        want.setdefault(r.file, []).extend([r.line] if r.line else [])
+    got = {p.name: p.read_text(encoding="utf-8").splitlines() for p in (tmp_path / "out").rglob("*") if p.is_file()}
+    assert got == want and write_lines(rows.limit(0), str(tmp_path / "none")) == 0
+    with pytest.raises(Exception, match="not a file name"):
+        write_lines(rows.selectExpr("'../x' AS file", "n", "line"), str(tmp_path / "bad"))
+
+
+def test_many_small_files(tmp_path):
+    """Tens of thousands of small files make a few hundred tasks, and each byte is in one of them; a few files stay apart."""
+    for i in range(3000):
+        (tmp_path / f"{i}.rdb").write_text("x" * (3000 + i % 7))
+    parts = RecordReader({"path": str(tmp_path), "bytes": "4000"}).partitions()
+    assert len(parts) <= 300 and sorted(r for p in parts for r in p.ranges) == sorted((str(f), 0, f.stat().st_size) for f in tmp_path.iterdir())
+    few = RecordReader({"path": f"{tmp_path}/1?.rdb", "bytes": "4000"}).partitions()
+    assert len(few) == 10
