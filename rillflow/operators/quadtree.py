@@ -6,6 +6,9 @@ bucket / 2^k) and its place (ix, iy) on that level. Two squares share area only
 leaves meet points, rectangles and other leaves by equal keys on the levels that occur; nothing is paired that lies in
 different squares, and no row ever carries a whole ring beside the leaves cut from it.
 
+Polygons and points that are copies of each other are cut and met once, as one shape or place; only what was found is then
+spread over the copies, as a stream.
+
 Of whole squares only bounds are needed, which are column expressions. Other leaves carry their sides (ARRAY<DOUBLE> each
 of x1, y1, x2, y2), and numpy takes all pairs of a batch at once.
 """
@@ -23,6 +26,8 @@ from rillflow.operators.shared import written
 
 #: Corners of a leaf at most, halvings below a bucket at most, and pairs of sides that numpy holds at a time.
 VERTICES, DEPTH, PAIRS = 32, 24, 1 << 20
+#: Rows that a task makes of pairs of shapes, about.
+DEALT = 1 << 22
 #: Parts with less than this share of their square (or of the smaller polygon's leaf) are rounding, not area.
 NOTHING = 1e-12
 _SIDES = ("x1", "y1", "x2", "y2")
@@ -118,6 +123,32 @@ def cut(rings: list[np.ndarray], bucket: float, most: int = VERTICES) -> Iterato
             todo += [(level + 1, i, 2 * iy, south), (level + 1, i, 2 * iy + 1, north)]
 
 
+def shapes(polys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(_shape, geometry) of the different geometries, and the polygons as (key, _shape). Both are written tables."""
+    different = polys.select("geometry").where("geometry is not null").distinct()
+    kinds = written(different.withColumn("_shape", F.monotonically_increasing_id()), "shapes")
+    return kinds, written(polys.select(key, "geometry").join(kinds, "geometry").select(key, "_shape"), "members")
+
+
+def spread(pairs: DataFrame, left: DataFrame, left_on: list[str], right: DataFrame, right_on: list[str]) -> DataFrame:
+    """Each pair with each row of left and of right that it stands for. Rows are made as they are read, never held; where
+    there are many, the left side is dealt so that each task makes about DEALT of them."""
+    count = lambda df, on, name: df.groupBy(*on).agg(F.count("*").cast("double").alias(name))
+    sizes = pairs.join(count(left, left_on, "_n"), left_on).join(count(right, right_on, "_m"), right_on)
+    made = sizes.agg(F.coalesce(F.sum(F.col("_n") * F.col("_m")), F.lit(0.0))).first()[0]
+    rows = pairs.join(left, left_on)
+    if made > DEALT:
+        rows = rows.repartition(int(min(made // DEALT + 1, 1 << 14)))
+    return rows.join(right, right_on)
+
+
+def once(df: DataFrame, keys: list[str], members: list[tuple[DataFrame, str]]) -> DataFrame:
+    """df's areas added up by its keys, unless no polygon has several rows; then they are sums already."""
+    if all(m.groupBy(k).count().where("count > 1").isEmpty() for m, k in members):
+        return df.select(*keys, "area")
+    return df.groupBy(*keys).agg(F.sum("area").alias("area"))
+
+
 def leaves(polys: DataFrame, key: str, bucket: float) -> DataFrame:
     """key, level, ix, iy, whole, area, the bounds (px0, py0, px1, py1) and the sides of each leaf, as a written table.
     Polygons without area, and null or empty ones, have no leaves."""
@@ -179,9 +210,10 @@ def points_at(points: DataFrame, bucket: float, on: list[int]) -> DataFrame:
 
 def in_polygons(points: DataFrame, polys: DataFrame, key: str, bucket: float) -> DataFrame:
     """The points' columns with the key of each polygon that holds the point; x and y are its coordinates."""
-    own = leaves(polys, key, bucket)
-    met = points_at(points, bucket, levels(own)).join(own, ["level", "ix", "iy"])
-    columns = [*points.columns, key]
+    kinds, members = shapes(polys, key)
+    own, rows = leaves(kinds, "_shape", bucket), written(points, "points")
+    met = points_at(rows.select("x", "y").distinct(), bucket, levels(own)).join(own, ["level", "ix", "iy"])
+    columns = ["x", "y", "_shape"]
     near = met.where("not whole and x between px0 and px1 and y between py0 and py1").select(*columns, *_SIDES)
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +224,8 @@ def in_polygons(points: DataFrame, polys: DataFrame, key: str, bucket: float) ->
             yield batch.select(columns).filter(pa.array(keep))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in near.schema if f.name not in _SIDES)
-    return met.where("whole").select(*columns).unionByName(near.mapInArrow(test, schema))
+    pairs = written(met.where("whole").select(*columns).unionByName(near.mapInArrow(test, schema)), "points-in-shapes")
+    return spread(pairs, rows, ["x", "y"], members, ["_shape"]).select(*points.columns, key)
 
 
 def inside(x: np.ndarray, y: np.ndarray, n: np.ndarray, x1: np.ndarray, y1: np.ndarray, x2: np.ndarray, y2: np.ndarray) -> np.ndarray:
@@ -302,24 +335,41 @@ def _overlap(*bounds: tuple[str, str, str, str]) -> Column:
 
 def rectangle_areas(polys: DataFrame, key: str, rects: DataFrame, rect: str, bucket: float) -> DataFrame:
     """key, rect, area of each polygon inside each rectangle (rect, rx0, ry0, rx1, ry1) that it shares area with."""
-    own = leaves(polys, key, bucket)
+    kinds, members = shapes(polys, key)
+    own = leaves(kinds, "_shape", bucket)
     r = rects.select(rect, "rx0", "ry0", "rx1", "ry1")
     fine = rectangles_at(r, bucket)
     r_levels = levels(fine)
     near = "px0 < rx1 and px1 > rx0 and py0 < ry1 and py1 > ry0"
-    columns = [key, rect, "whole", "area", "px0", "py0", "px1", "py1", "rx0", "ry0", "rx1", "ry1", *_SIDES]
+    columns = ["_shape", rect, "whole", "area", "px0", "py0", "px1", "py1", "rx0", "ry0", "rx1", "ry1", *_SIDES]
     square = ["level", "ix", "iy"]
     met = own.join(rectangles_at(r, bucket, levels(own)), square).where(near).select(*columns)
     met = met.unionByName(above(own, r_levels, strictly=True).join(fine, square).where(near).select(*columns))
     part, box = ("px0", "py0", "px1", "py1"), ("rx0", "ry0", "rx1", "ry1")
     covered = (F.col("rx0") <= F.col("px0")) & (F.col("px1") <= F.col("rx1")) & (F.col("ry0") <= F.col("py0")) & (F.col("py1") <= F.col("ry1"))
-    simple = met.where(F.col("whole") | covered).select(key, rect, F.when(covered, F.col("area")).otherwise(_overlap(part, box)).alias("area"))
+    simple = met.where(F.col("whole") | covered).select("_shape", rect, F.when(covered, F.col("area")).otherwise(_overlap(part, box)).alias("area"))
     rest = met.where(~(F.col("whole") | covered)).withColumns(square_sides(*[F.col(c) for c in box]))
-    return _summed(simple.unionByName(pair_areas(rest, [key, rect])), [key, rect], bucket)
+    areas = written(_summed(simple.unionByName(pair_areas(rest, ["_shape", rect])), ["_shape", rect], bucket), "shape-areas")
+    return once(areas.join(members, "_shape"), [key, rect], [(members, key)])
 
 
 def polygon_areas(a: DataFrame, key_a: str, b: DataFrame, key_b: str, bucket: float, same: bool = False) -> DataFrame:
     """key_a, key_b, area of each two polygons that share area. same: only pairs of equal keys."""
+    if same:
+        both = a.select(key_a, F.col("geometry").alias("_a")).join(b.select(key_b, F.col("geometry").alias("_b")), F.col(key_a) == F.col(key_b))
+        kinds = written(both.select("_a", "_b").distinct().withColumn("_shape", F.monotonically_increasing_id()), "shapes")
+        members = written(both.join(kinds, ["_a", "_b"]).select(key_a, key_b, "_shape"), "members")
+        sides = [kinds.select(F.col("_shape").alias(k), F.col(g).alias("geometry")) for k, g in (("_shape", "_a"), ("_other", "_b"))]
+        areas = _shape_areas(sides[0], "_shape", sides[1], "_other", bucket, same=True)
+        return once(areas.join(members, "_shape"), [key_a, key_b], [(members, key_a)])
+    (kinds_a, own), (kinds_b, theirs) = shapes(a, key_a), shapes(b, key_b)
+    kinds_b, other = (df.withColumnRenamed("_shape", "_other") for df in (kinds_b, theirs))
+    areas = written(_shape_areas(kinds_a, "_shape", kinds_b, "_other", bucket), "shape-areas")
+    return once(spread(areas, own, ["_shape"], other, ["_other"]), [key_a, key_b], [(own, key_a), (other, key_b)])
+
+
+def _shape_areas(a: DataFrame, key_a: str, b: DataFrame, key_b: str, bucket: float, same: bool = False) -> DataFrame:
+    """The same, whatever the polygons."""
     own = leaves(a, key_a, bucket)
     named = {c: f"o_{c}" for c in ("whole", "area", "px0", "py0", "px1", "py1", *_SIDES)}
     other = leaves(b, key_b, bucket).withColumnsRenamed(named)

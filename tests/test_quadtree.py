@@ -136,3 +136,27 @@ def test_scan_lines(spark, monkeypatch):
     boxes = df.selectExpr("pixel AS box_id", "x - 0.25 AS rx0", "y - 0.125 AS ry0", "x + 0.25 AS rx1", "y + 0.125 AS ry1")
     assert len(touched) == len(set(touched)) and set(touched) == {(r.box_id, r.poly_id) for r in X.clip_layer(polys, boxes).collect()}
     assert X.assign_zones(df.limit(0), polys, 0.5, 0.5).count() == 0
+
+
+def test_copies_are_met_once(spark):
+    """Copies of polygons and points: each shape is cut once, no sum holds all pairs, and a polygon of several rows is one."""
+    square = lambda x: [(0, x, 0.0), (0, x + 1, 0.0), (0, x + 1, 1.0), (0, x, 1.0)]
+    geo = "geometry array<struct<ring int, x double, y double>>"
+    a = spark.createDataFrame([(i, square((i % 3) / 4)) for i in range(60)] + [(99, None), (98, [])], f"a int, {geo}")
+    b = spark.createDataFrame([(i, square((i % 2) / 2 + 0.5)) for i in range(40)], f"b int, {geo}")
+    kinds, members = Q.shapes(a, "a")
+    assert kinds.where("size(geometry) > 0").count() == 3 and members.where("a < 60").select("_shape").distinct().count() == 3 and members.where("a < 60").count() == 60
+    got = Q.polygon_areas(a, "a", b, "b", 1.0)
+    want = {(i, j): s for i in range(60) for j in range(40) if (s := 1 - abs((i % 3) / 4 - (j % 2) / 2 - 0.5)) > 0}
+    assert {(r.a, r.b): r.area for r in got.collect()} == pytest.approx(want)
+    assert "Aggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    points = spark.createDataFrame([(i, (i % 4) / 4 + 0.1, 0.5, "p") for i in range(80)], "id int, x double, y double, more string")
+    inside = Q.in_polygons(points, a, "a", 1.0)
+    assert inside.columns == ["id", "x", "y", "more", "a"]
+    assert sorted((r.id, r.a) for r in inside.collect()) == sorted((p.id, i) for p in points.collect() for i in range(60) if (i % 3) / 4 <= p.x < (i % 3) / 4 + 1)
+    parts = spark.createDataFrame([(1, square(0.0)), (1, square(5.0)), (2, square(0.0))], f"a int, {geo}")
+    other = spark.createDataFrame([(1, [(0, 0.5, 0.0), (0, 6.0, 0.0), (0, 6.0, 1.0), (0, 0.5, 1.0)])], f"b int, {geo}")
+    assert {r.a: r.area for r in Q.polygon_areas(parts, "a", other, "b", 1.0).collect()} == pytest.approx({1: 1.5, 2: 0.5})
+    assert [(r.a, r.b, r.area) for r in Q.polygon_areas(parts, "a", other, "b", 1.0, same=True).collect()] == [(1, 1, pytest.approx(1.5))]
+    box = spark.createDataFrame([(7, 0.5, 0.0, 6.0, 1.0)], "box int, rx0 double, ry0 double, rx1 double, ry1 double")
+    assert {r.a: r.area for r in Q.rectangle_areas(parts, "a", box, "box", 1.0).collect()} == pytest.approx({1: 1.5, 2: 0.5})
