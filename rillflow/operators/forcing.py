@@ -5,10 +5,16 @@ Forcing tables are wide (one row per cell and time, one column per variable), so
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.operators import scan
+from rillflow.operators.shared import written
+
+#: Keys that a task compares, about.
+KEYS = 1 << 19
 
 # Fixed values: (variable, factor, offset) of each data set's conversion to kg m-2 s-1, Pa, K and m s-1.
 RULES = {
@@ -37,10 +43,17 @@ def mask_values(df: DataFrame, cols: list[str], nodata: float | None = None, low
 
 
 def missing_partners(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Keys that only one side has, with the side: empty if the two may be merged."""
-    left = a.select(*keys).distinct().withColumn("_a", F.lit(1))
-    both = left.join(b.select(*keys).distinct().withColumn("_b", F.lit(1)), keys, "full_outer")
-    return both.where("_a is null or _b is null").select(*keys, F.when(F.col("_a").isNull(), "right").otherwise("left").alias("side"))
+    """Keys that only one side has, with the side: empty if the two may be merged. A null in a key matches nothing.
+
+    Keys of both sides are dealt to parts of about KEYS rows and counted there once, so a task holds no more of them however
+    many there are."""
+    side = lambda df, left: df.select(*keys, F.lit(left).alias("_left"))
+    rows = written(side(a, True).unionByName(side(b, False)), "keys")
+    dealt = rows.repartition(min(rows.count() // KEYS + 1, 1 << 14), *keys)
+    both = dealt.groupBy(*keys).agg(F.max("_left").alias("_a"), F.max(~F.col("_left")).alias("_b"))
+    known = functools.reduce(lambda x, y: x & y, [F.col(k).isNotNull() for k in keys])
+    sides = F.array_compact(F.array(F.when(F.col("_a") & ~(known & F.col("_b")), F.lit("left")), F.when(F.col("_b") & ~(known & F.col("_a")), F.lit("right"))))
+    return both.select(*keys, F.explode(sides).alias("side"))
 
 
 def merge_vars(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, IsNotNull, StringContains
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from rillflow.operators import cubes, tables
+from rillflow.operators import cubes, forcing, tables
 from rillflow.sources import hydat
 from rillflow.sources.records import RecordReader, read_records, write_lines
 
@@ -167,3 +167,14 @@ def test_many_small_files(tmp_path):
     assert len(parts) <= 300 and sorted(r for p in parts for r in p.ranges) == sorted((str(f), 0, f.stat().st_size) for f in tmp_path.iterdir())
     few = RecordReader({"path": f"{tmp_path}/1?.rdb", "bytes": "4000"}).partitions()
     assert len(few) == 10
+
+
+def test_partners_are_counted(spark, monkeypatch):
+    """Keys of one side, nulls and repeated keys, in several parts; no join that sorts both sides whole."""
+    monkeypatch.setattr(forcing, "KEYS", 100)
+    a = spark.range(0, 1000).selectExpr("id AS cell", "CAST(id % 7 AS int) AS day").union(spark.sql("SELECT 5L, 5")).union(spark.sql("SELECT NULL, 1"))
+    b = spark.range(500, 1200).selectExpr("id AS cell", "CAST(id % 7 AS int) AS day").union(spark.sql("SELECT NULL, 1"))
+    got = forcing.missing_partners(a, b, ["cell", "day"])
+    want = [(i, i % 7, "left") for i in range(500)] + [(i, i % 7, "right") for i in range(1000, 1200)] + [(None, 1, "left"), (None, 1, "right")]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
