@@ -14,8 +14,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.operators.shared import new_path, written
+from rillflow.operators.shared import discard, new_path, written
 
+#: Rows of a cube that a bucket holds, about: a task sorts a bucket of each cube.
+ROWS = 1 << 20
 _ALL_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
 
 
@@ -55,8 +57,13 @@ def remapped(cubes: list[DataFrame], weights: DataFrame, keys: list[str], variab
 
 
 def remap_cubes(cubes: list[DataFrame], weights: DataFrame, keys: list[str], variables: list[str], buckets: int = 64) -> DataFrame:
-    """`remapped` of cubes that aren't bucketed yet, as a written table; bucketed ones are used again and again."""
+    """`remapped` of cubes that aren't bucketed yet, as a written table; bucketed ones are used again and again. There are
+    at least so many buckets, and more for larger cubes (ROWS of the largest one in each)."""
     spark = weights.sparkSession
-    own, w = [bucketed(c, buckets) for c in cubes], bucketed(weights, buckets, name="weights")
+    plain = [written(c, "plain-cube") for c in cubes]
+    number = min(max(buckets, -(-max(c.count() for c in plain) // ROWS)), 1 << 14)
+    own, w = [bucketed(c, number) for c in plain], bucketed(weights, number, name="weights")
+    for c in plain:
+        discard(c)
     with by_bucket(spark):
         return written(remapped(own, w, keys, variables), "remapped")

@@ -178,3 +178,15 @@ def test_partners_are_counted(spark, monkeypatch):
     want = [(i, i % 7, "left") for i in range(500)] + [(i, i % 7, "right") for i in range(1000, 1200)] + [(None, 1, "left"), (None, 1, "right")]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_buckets_grow_with_cubes(spark, monkeypatch):
+    """A bucket is sorted by one task, so larger cubes get more of them."""
+    numbers, plain = [], cubes.bucketed
+    monkeypatch.setattr(cubes, "ROWS", 50)
+    monkeypatch.setattr(cubes, "bucketed", lambda df, buckets, *more, **named: numbers.append(buckets) or plain(df, buckets, *more, **named))
+    cube = spark.range(0, 1000).selectExpr("id % 40 AS cell", "id DIV 40 AS day", "CAST(id AS double) AS t")
+    weights = spark.range(0, 40).selectExpr("id % 3 AS hru", "id AS cell", "1.0 AS w")
+    got = {(r.hru, r.day): r.t for r in cubes.remap_cubes([cube], weights, ["cell", "day"], ["t"], 4).collect()}
+    want = {(h, d): d * 40 + sum(range(h, 40, 3)) / len(range(h, 40, 3)) for h in range(3) for d in range(25)}
+    assert numbers == [20, 20] and got == pytest.approx(want)
