@@ -3,8 +3,9 @@
 A batch of texts becomes two list arrays of ids, which are flattened with their parents' indices. Segmented cumulative
 sums of the tokens' lengths give their ends; an Acero join on (document, end) lines both up. Filled backwards, its rows
 are the links: each stretch between two neighbouring ends lies in one token of either side, and each overlapping pair has
-one such stretch. Where both end, a group ends. Arrow's group_by counts in how many documents a pair of ids is linked,
-and Spark adds up these partial counts.
+one such stretch. Where both end, a group ends. Each document's links are written beside its sums, so texts are encoded and
+aligned once; Arrow's group_by then counts in how many documents a pair of ids is linked, Spark adds up these partial
+counts, and the written links are looked up in them.
 
 Both sides encode a text unit by unit (cut as in `tokens`) and keep what common units give, if
 the vocabularies allow it: `tokens.proven` says so for the first, `cuttable` for the second.
@@ -36,6 +37,8 @@ PART = 1 << 19
 KEPT = 400_000
 #: Pairs of ids that a task counts before it hands them over, and in a file of counts.
 PAIRS = 1 << 21
+#: Links that a task reads at a time.
+LINKS = 1 << 20
 _CROSSED = re.compile("[A-Za-z0-9\xc0-\xd6\xd8-\xf6\xf8-\xff][,.]")
 #: A space that follows a non-blank: both sides may be cut there.
 _PLACE = re.compile(r"(?<=\S)(?= )")
@@ -65,6 +68,10 @@ def cuttable(path: str) -> bool:
     return bool(plain and own and not inside and not file.trainer_spec.treat_whitespace_as_suffix and file.trainer_spec.model_type == 2 and model.piece_to_id("▁") > 0)
 
 
+#: The numbers of a document; the last two need the counts of the whole corpus.
+SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+
+
 @dataclass
 class Side:
     """A vocabulary: its ids' bytes and their lengths, by id, and the encoder of texts that start with a space."""
@@ -146,7 +153,7 @@ class Units:
         cut = self.cut(texts)
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False))])
         coded = cut.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.kept) > KEPT:
             self.forget()
         place = np.fromiter(map(self.kept.get, distinct, repeat(-1)), np.int64, len(distinct))
@@ -354,32 +361,86 @@ def documents_of(texts: pa.Array, by: Units, say: bool) -> Iterator[tuple[list[t
             yield done, pa.concat_tables(tables)
 
 
-def pair_counts(documents: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """(code, n, best): in how many documents each pair of ids is linked, and whether no pair of its first id has more.
-    A code is the first id times the size of the second vocabulary, plus the second id."""
-    size = len(piece_level(path_b).written)
+def binaries(values: list[np.ndarray], rows: list[int], n: int) -> pa.Array:
+    """The bytes of each array at its row, of n rows; rows ascend, the others are empty."""
+    sizes = np.zeros(n, np.int64)
+    sizes[rows] = [x.nbytes for x in values]
+    data = np.concatenate(values) if values else np.zeros(0, np.uint8)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)])), pa.py_buffer(data)])
+
+
+def numbers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """What `binaries` wrote: all 64-bit numbers in order, and where each row's start (and the last one's end)."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8)
+    own = data[int(ends[0]) : int(ends[-1])] if data is not None else b""
+    return np.frombuffer(own, "<i8"), (ends - ends[0]) // 8
+
+
+def bounded(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch of documents with at most LINKS links, but of one row at least."""
+    ends, at = np.cumsum(pc.binary_length(batch.column("codes")).to_numpy(zero_copy_only=False).astype(np.int64) // 8), 0
+    while at < len(ends):
+        upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LINKS, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
+def aligned(documents: DataFrame, path_a: str, path_b: str, columns: list[str]) -> DataFrame:
+    """Written: the columns as c0, c1 and so on, each document's sums and sha256, and its distinct links as 64-bit
+    numbers: codes, and how often it holds each."""
+    kinds = [documents.schema[c].dataType.simpleString() for c in columns]
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = units_of(path_a, path_b)
+        for batch in batches:
+            at = 0
+            for texts in pieces(batch.column("text"), chars=1 << 22):
+                out, said, rows, codes, times = np.zeros((len(texts), 4), np.int64), [""] * len(texts), [], [], []
+                for done, linked in documents_of(texts, by, say=True):
+                    doc, code, n = (linked.column(c).to_numpy() for c in ("doc", "code", "n"))
+                    order = np.argsort(doc, kind="stable")
+                    edges = np.searchsorted(doc[order], np.arange(len(done) + 1)).tolist()
+                    code, n = code[order].astype("<i8"), n[order].astype("<i8")
+                    for (row, *four, sha), x, z in zip(done, edges, edges[1:], strict=False):
+                        out[row], said[row] = four, sha
+                        rows.append(row)
+                        codes.append(code[x:z])
+                        times.append(n[x:z])
+                own = [batch.column(c).slice(at, len(texts)) for c in columns]
+                yield pa.RecordBatch.from_arrays([*own, *(pa.array(out[:, i]) for i in range(4)), pa.array(said), *(binaries(x, rows, len(texts)).cast(pa.binary()) for x in (codes, times))], names=[*(f"c{i}" for i in range(len(own))), *SUMS[:4], "groups_sha256", "codes", "times"])
+                at += len(texts)
+
+    schema = "".join(f"c{i} {k}, " for i, k in enumerate(kinds)) + ", ".join(f"{x} long" for x in SUMS[:4]) + ", groups_sha256 string, codes binary, times binary"
+    return staged(documents.select(*dict.fromkeys([*columns, "text"])).mapInArrow(apply, schema), "aligned")
+
+
+def pair_counts(found: DataFrame, size: int) -> DataFrame:
+    """(code, n, best): in how many of the aligned documents each pair of ids is linked, and whether no pair of its first
+    id has more. A code is the first id times the size of the second vocabulary, plus the second id."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by, kept, waiting = units_of(path_a, path_b), [], 0
+        kept, waiting = [], 0
 
         def summed() -> pa.Table:
             return pa.concat_tables(kept).group_by("code", use_threads=False).aggregate([("n", "sum")]).rename_columns(["code", "n"]).combine_chunks()
 
         for batch in batches:
-            for texts in pieces(batch.column("text")):
-                for _, linked in documents_of(texts, by, say=False):
-                    kept.append(linked.group_by("code", use_threads=False).aggregate([([], "count_all")]).rename_columns(["code", "n"]))
-                    waiting += len(kept[-1])
-                    if waiting > PAIRS:
-                        kept = [summed()]
-                        waiting = len(kept[0])
-                        if waiting > PAIRS // 2:
-                            yield from kept[0].to_batches()
-                            kept, waiting = [], 0
+            for few in bounded(batch):
+                linked = pa.table({"code": numbers(few.column("codes"))[0]})
+                kept.append(linked.group_by("code", use_threads=False).aggregate([([], "count_all")]).rename_columns(["code", "n"]))
+                waiting += len(kept[-1])
+                if waiting > PAIRS:
+                    kept = [summed()]
+                    waiting = len(kept[0])
+                    if waiting > PAIRS // 2:
+                        yield from kept[0].to_batches()
+                        kept, waiting = [], 0
         if kept:
             yield from summed().to_batches()
 
-    counts = documents.select("text").where("text <> ''").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = found.select("codes").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
     counts = staged(counts.withColumn("a", F.floor(F.col("code") / size)), "pair-counts")
     most = counts.groupBy("a").agg(F.max("n").alias("most"))
     return staged(counts.join(most, "a").select("code", "n", (F.col("n") == F.col("most")).alias("best")), "pair-ranks")
@@ -439,27 +500,18 @@ def align_documents(documents: DataFrame, path_a: str, path_b: str, columns: lis
     vocabularies that no cut is proven for, whole). An empty table gives an empty result; other columns aren't read.
     """
     columns = list(dict.fromkeys(columns))
-    folder, files = write_counts(pair_counts(documents, path_a, path_b))
-    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
-    names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
+    found = aligned(documents, path_a, path_b, columns)
+    folder, files = write_counts(pair_counts(found, len(piece_level(path_b).written)))
+    own = [f"c{i}" for i in range(len(columns))]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by, counts = units_of(path_a, path_b), Counts(folder, files)
+        counts = Counts(folder, files)
         for batch in batches:
-            at = 0
-            for texts in pieces(batch.column("text")):
-                out, said = np.zeros((len(texts), 6), np.int64), [""] * len(texts)
-                for done, linked in documents_of(texts, by, say=True):
-                    doc, times = linked.column("doc").to_numpy(), linked.column("n").to_numpy()
-                    n, best = counts.of(linked.column("code").to_numpy())
-                    order = np.argsort(doc, kind="stable")
-                    edges = np.searchsorted(doc[order], np.arange(len(done) + 1))
-                    sums = [np.diff(np.concatenate([[0], np.cumsum((times * x)[order])])[edges]) for x in (best, n)]
-                    for i, (row, *four, sha) in enumerate(done):
-                        out[row] = [*four, sums[0][i], sums[1][i]]
-                        said[row] = sha
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, len(texts)) for c in columns), *(pa.array(out[:, i]) for i in range(6)), pa.array(said)], names=[*columns, *names, "groups_sha256"])
-                at += len(texts)
+            for few in bounded(batch):
+                (code, edges), (times, _) = (numbers(few.column(c)) for c in ("codes", "times"))
+                n, best = counts.of(code)
+                sums = [pa.array(np.diff(np.concatenate([[0], np.cumsum(times * x)])[edges])) for x in (best, n)]
+                yield pa.RecordBatch.from_arrays([*(few.column(c) for c in [*own, *SUMS[:4]]), *sums, few.column("groups_sha256")], names=[*columns, *SUMS, "groups_sha256"])
 
-    rows = documents.select(*dict.fromkeys([*columns, "text"]))
-    return rows.mapInArrow(apply, f"{schema}, {', '.join(f'{x} long' for x in names)}, groups_sha256 string")
+    schema = ", ".join(f"`{c}` {documents.schema[c].dataType.simpleString()}" for c in columns)
+    return found.mapInArrow(apply, f"{schema}, {', '.join(f'{x} long' for x in SUMS)}, groups_sha256 string")

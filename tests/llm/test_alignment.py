@@ -89,5 +89,33 @@ def test_documents(spark):
     assert alignment.align_documents(df.limit(0), A, B).collect() == []
 
 
+def test_read_once(spark):
+    """Every text is read, and so encoded and aligned, once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def noted(row):
+        read.add(1)
+        return row
+
+    df = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(ODD)), 3).map(noted), "doc_id int, text string", verifySchema=False)
+    assert len(alignment.align_documents(df, A, B).collect()) == len(ODD)
+    assert read.value == len(ODD)
+
+
+@pytest.mark.parametrize("links", [1, 3, 1 << 20])
+def test_written_links(monkeypatch, links):
+    """Arrays come back from their bytes, from slices of a batch too, and rows without any are empty."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(alignment, "LINKS", links)
+    values = [np.arange(k, dtype="<i8") + (1 << 40) for k in (2, 5, 1)]
+    batch = pa.record_batch({"codes": alignment.binaries(values, [1, 2, 5], 7).cast(pa.binary()), "row": list(range(7))})
+    got = {}
+    for few in [y for x in (batch.slice(0, 2), batch.slice(2)) for y in alignment.bounded(x)]:
+        flat, ends = alignment.numbers(few.column("codes"))
+        got |= {row: flat[x:z].tolist() for row, x, z in zip(few.column("row").to_pylist(), ends, ends[1:], strict=False)}
+    assert got == {i: [] for i in range(7)} | {1: values[0].tolist(), 2: values[1].tolist(), 5: values[2].tolist()}
+
+
 def test_cuttable():
     assert alignment.cuttable(B)
