@@ -27,8 +27,10 @@ from rillflow.operators.shared import in_order
 LEAST, TOP, SHARE, NO_LANG = 10, 2000, 50, "und"
 #: Sides of a tile; entries of one slice that make a tile dense; dense tiles that a task holds (4 MB each).
 TILE, CROWDED, TILES = 1024, 1 << 14, 32
-#: Coordinates that a task holds before it hands their counts over; words likewise.
-COORDINATES, WORDS = 1 << 21, 1 << 19
+#: Coordinates that a task holds before it hands their counts over; words likewise; rows that leave a task at a time.
+COORDINATES, WORDS, LEAVE = 1 << 20, 1 << 19, 1 << 16
+#: Bytes of text that a task splits at a time (one text at least).
+SPLIT = 1 << 20
 #: Deals of a language's phrases, each of which keeps its own first ones.
 DEALS = 64
 _BITS = 31
@@ -61,14 +63,14 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     bounds = np.stack([starts, stops], 1).ravel()  # words and the gaps between them take turns
     laid = pa.LargeStringArray.from_buffers(2 * len(starts) - 1, pa.py_buffer(bounds), pa.py_buffer(_LOWER[raw]))
     words = laid.take(pa.array(np.arange(0, 2 * len(starts) - 1, 2)))
-    piece = np.cumsum(cut | fresh[:-1])[starts]
+    piece = np.cumsum(cut | fresh[:-1], dtype=np.int32)[starts]  # an array has fewer than 2^31 bytes
     return words, np.searchsorted(heads, starts, "right") - 1, piece
 
 
 def coded(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], list[str]]]:
     """Slice by slice: each word occurrence's number among the slice's distinct (lang, word), its piece, and these."""
     at = 0
-    for texts in pieces(batch.column("text"), chars=1 << 22):
+    for texts in pieces(batch.column("text"), chars=SPLIT):
         langs = batch.column("lang").slice(at, len(texts)).dictionary_encode()
         at += len(texts)
         words, text, piece = split(texts)
@@ -85,7 +87,7 @@ def coded(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[
         else:
             distinct, number = np.unique(key, return_inverse=True)
         lang, word = np.divmod(distinct, len(coded_words.dictionary))
-        yield number, piece, langs.dictionary.take(pa.array(lang)).to_pylist(), coded_words.dictionary.take(pa.array(word)).to_pylist()
+        yield number, piece, *(x.dictionary.take(pa.array(at)).to_numpy(zero_copy_only=False).tolist() for x, at in ((langs, lang), (coded_words, word)))
 
 
 def of_langs(documents: DataFrame) -> DataFrame:
@@ -112,10 +114,10 @@ def word_counts(rows: DataFrame) -> DataFrame:
                     kept = [summed()]
                     waiting = len(kept[0])
                     if waiting > WORDS // 2:
-                        yield from kept[0].to_batches()
+                        yield from kept[0].to_batches(max_chunksize=LEAVE)
                         kept, waiting = [], 0
         if kept:
-            yield from summed().to_batches()
+            yield from summed().to_batches(max_chunksize=LEAVE)
 
     return rows.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
@@ -147,6 +149,12 @@ class Lexicon(sorted_files.SortedFiles):
         return back
 
 
+def leaving(code: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(code, n) in batches of at most LEAVE rows: what a task hands over stands in memory several times on its way."""
+    for i in range(0, len(code), LEAVE):
+        yield pa.RecordBatch.from_arrays([pa.array(code[i : i + LEAVE]), pa.array(n[i : i + LEAVE])], names=["code", "n"])
+
+
 class Tiles:
     """Counts pairs of ids: dense tiles, and sorted coordinates for the rest."""
 
@@ -168,20 +176,20 @@ class Tiles:
             cells = np.bincount(first[own] % TILE * TILE + second[own] % TILE, minlength=TILE * TILE).astype(np.int32)
             self.dense[t] = self.dense[t] + cells if t in self.dense else cells
             if self.dense[t].max() > 1 << 30:
-                yield self._of(t)
+                yield from self._of(t)
         self.new.append((first[rest] << _BITS) | second[rest])
         self.waiting += len(self.new[-1])
         if self.waiting > COORDINATES:
             self._sort()
             if len(self.codes) > COORDINATES // 2:
-                yield self._hand_over()
+                yield from self._hand_over()
 
-    def _of(self, t: int) -> pa.RecordBatch:
+    def _of(self, t: int) -> Iterator[pa.RecordBatch]:
         cells = self.dense.pop(t)
         at = np.flatnonzero(cells)
         row, column = np.divmod(at, TILE)
         code = (((t >> _BITS) * TILE + row) << _BITS) | ((t & ((1 << _BITS) - 1)) * TILE + column)
-        return pa.RecordBatch.from_arrays([pa.array(code), pa.array(cells[at].astype(np.int64))], names=["code", "n"])
+        yield from leaving(code, cells[at].astype(np.int64))
 
     def _sort(self) -> None:
         new, n = np.unique(np.concatenate(self.new) if self.new else np.zeros(0, np.int64), return_counts=True)
@@ -192,15 +200,16 @@ class Tiles:
         self.codes, self.counts = codes[heads], np.add.reduceat(n, heads) if len(heads) else n
         self.new, self.waiting = [], len(self.codes)
 
-    def _hand_over(self) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(self.codes), pa.array(self.counts)], names=["code", "n"])
+    def _hand_over(self) -> Iterator[pa.RecordBatch]:
+        codes, counts = self.codes, self.counts
         self.codes, self.counts, self.waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
-        return out
+        yield from leaving(codes, counts)
 
     def finish(self) -> Iterator[pa.RecordBatch]:
-        yield from (self._of(t) for t in list(self.dense))
+        for t in list(self.dense):
+            yield from self._of(t)
         self._sort()
-        yield self._hand_over()
+        yield from self._hand_over()
 
 
 def pair_counts(rows: DataFrame, lexicon, pairs=None) -> DataFrame:

@@ -2,9 +2,11 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rillflow.llm import collocations, setsketch
@@ -146,3 +148,24 @@ def test_tiles(monkeypatch):
             for code, n in zip(b.column("code").to_pylist(), b.column("n").to_pylist(), strict=True):
                 got[code >> 31, code & ((1 << 31) - 1)] += n
         assert got == want
+
+
+def test_tasks_hold_little():
+    """What splitting and counting take beside the texts stays bounded, and counts leave in small batches."""
+    rng = np.random.default_rng(5)
+    text = " ".join(f"w{i}" for i in rng.integers(0, 1 << 40, 1 << 18).tolist())
+    batch = pa.record_batch({"lang": ["en"] * 4, "text": pa.array([text[i : i + (1 << 20)] for i in range(0, 1 << 22, 1 << 20)], pa.string())})
+    seen, sizes = Counter(), []
+    tracemalloc.start()
+    tiles = collocations.Tiles()
+    for number, *_ in collocations.coded(batch):
+        seen["words"] += len(number)
+    split = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    for _ in range(16):
+        sizes += [b.num_rows for b in tiles.add(rng.integers(0, 1 << 20, 1 << 18), rng.integers(0, 1 << 20, 1 << 18))]
+    sizes += [b.num_rows for b in tiles.finish()]
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen["words"] > 250_000 and sum(sizes) >= 4_000_000
+    assert max(sizes) <= 1 << 16 and split < 64 << 20 and held < 96 << 20, (max(sizes), split >> 20, held >> 20)
