@@ -122,7 +122,8 @@ def links(distinct: DataFrame, n: int, distance: int = DISTANCE, group: int = GR
     key = F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(signed)]))
     rows = distinct.select("fp", key.alias("k")).select("k.t", "k.key", "fp")
     counts = rows.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = staged(rows.join(counts, ["t", "key"]), "simhash-keys")
+    # Spark sizes exploded rows like the fingerprints before them; a merge join sends neither side through the driver.
+    shared = staged(rows.hint("merge").join(counts, ["t", "key"]), "simhash-keys")
     # Larger groups are split into c chunks by a hash; each pair of chunks (i <= j) is a task's work of bounded size.
     chunks = F.ceil(F.col("n") / group).cast("int")
     mine = F.pmod(F.xxhash64("fp"), chunks).cast("int")

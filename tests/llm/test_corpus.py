@@ -253,6 +253,22 @@ def test_simhash_links(spark, group):
             assert any(d & m == 0 for m in masks)
 
 
+@pytest.fixture
+def small_broadcasts(spark):
+    """Spark refuses to broadcast more than 512 KB; what it estimates to be below 10 MB it tries to."""
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "512k")
+    yield
+    spark.conf.unset("spark.sql.maxBroadcastTableSize")
+
+
+def test_simhash_keys_not_broadcast(spark, small_broadcasts):
+    """8,000 fingerprints make 120,000 keys, of which Spark knows only the size before they were exploded."""
+    near = spark.range(4000).selectExpr("inline(array(struct(xxhash64(id) AS fp), struct(xxhash64(id) ^ 5 AS fp)))")
+    fps = simhash.staged(near, "fps")
+    edges = simhash.links(fps, 20_000).collect()
+    assert {(r.a ^ r.b) for r in edges} == {5} and len(edges) == 4000
+
+
 TEXTS = ["", "a", " a", "the rain. The\nsea, and  two\t\tblanks ", "<|endoftext|>x <|endoftext|>", "é" * 50, "a\u00a0 b\u2028 c", "\x00 a\x00", "don't we'll, 12.5% of", "x" * 5000, "word " * 3000, " " * 300, "\n \n a"]
 
 
