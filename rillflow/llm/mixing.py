@@ -98,7 +98,8 @@ def mix(documents: DataFrame, weights=WEIGHTS, share: float = SHARE, repeats: fl
     end = F.col("start") + F.col("size")
     pieces = placed.where("size > 0").withColumn("block", F.explode(F.sequence(F.floor(F.col("start") / F.col("width")), F.floor((end - 1) / F.col("width")))))
     pieces = pieces.withColumn("words", F.least(end, (F.col("block") + 1) * F.col("width")) - F.greatest(F.col("start"), F.col("block") * F.col("width"))).select("src", "start", "block", "words")
-    taken = pieces.join(takes, ["src", "block"]).groupBy("src", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    # Spark sizes the pieces like their documents, however many there are; a merge join doesn't send them through the driver.
+    taken = pieces.hint("merge").join(takes, ["src", "block"]).groupBy("src", "start").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     full = placed.where("size > 0").join(taken, ["src", "start"], "left").unionByName(placed.where("size = 0").withColumn("taken", F.lit(0).cast("long")))
     return full.select("doc_id", "h", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), planned
 

@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 import struct
 import zlib
 
@@ -84,6 +85,15 @@ def test_mix_edges(spark):
     assert max(per.values()) <= 2 and abs(rows.selectExpr("sum(size(split(trim(text), ' ')))").first()[0] - 1.5 * 300 * 31) < 300
 
 
+def test_mix_pieces_not_broadcast(spark):
+    """A few long documents make 25,000 pieces, of which Spark knows only the documents' size."""
+    mixed = mixing.mix(docs_of(spark, ["w"] * 8).selectExpr("doc_id", "repeat('w ', 200000) AS text", "source"))[0]
+    rows = mixed.collect()
+    assert [r.size for r in rows] == [200_000] * 8 and all(0 < r.taken <= 400_000 for r in rows)
+    assert abs(sum(r.taken for r in rows) - 1.5 * 8 * 200_000) <= 0.02 * 1.5 * 8 * 200_000
+    assert set(re.findall(r"(\w+) \[src#\d+L?, block#\d+L?\], \[", mixed._jdf.queryExecution().sparkPlan().toString())) == {"SortMergeJoin"}
+
+
 def test_shards(spark):
     rng = random.Random(4)
     texts = ["x" * rng.randrange(3000) + str(i) for i in range(1500)]
